@@ -75,7 +75,7 @@ def _json_rank(value: Column) -> Column:
     """Rank of one JSON value. Integer-valued numbers are integers however they are written."""
     shape = F.schema_of_variant(value)
     number = F.try_variant_get(value, "$", "double")
-    integral = number == F.floor(number)
+    integral = number % 1 == 0
     return (
         F.when(shape == "VOID", 0)
         .when(shape == "BOOLEAN", 1)

@@ -72,6 +72,7 @@ _CLICKHOUSE_BARE = {"Int8", "Int16", "Int32", "Int64", "UInt8", "UInt16", "UInt3
 _CLICKHOUSE_WRAPPERS = ("Nullable", "LowCardinality", "SimpleAggregateFunction")
 
 _MAX_PRECISION = 38
+_BIGINT_DIGITS = 19
 # A zone right after the minutes: Spark's cast wants the seconds spelled out.
 _MINUTES_THEN_ZONE = r"^(.{10}[T ]\d{2}:\d{2})(Z|[+-]\d{2}:?\d{2})$"
 
@@ -128,14 +129,35 @@ def numeric_digits(columns: Mapping[str, Column]) -> list[Column]:
 
 
 def numeric_type_of(name: str, measured: Mapping[str, int | None]) -> str:
-    """The widest decimal that keeps every measured value; more than 38 digits is an error."""
+    """A decimal that keeps every measured value; more than 38 digits is an error.
+
+    It has room for whole numbers as large as a bigint, so that later batches fit, and no more
+    than that, so that columns of different scale can be combined without losing digits.
+    """
     whole = measured[f"{name}\0whole"] or 0
     fraction = measured[f"{name}\0fraction"] or 0
     if whole + fraction > _MAX_PRECISION:
         raise ValueError(
             f"column {name!r} needs {whole + fraction} digits; a decimal holds {_MAX_PRECISION}"
         )
-    return f"numeric({_MAX_PRECISION},{fraction})"
+    return f"numeric({min(max(whole, _BIGINT_DIGITS) + fraction, _MAX_PRECISION)},{fraction})"
+
+
+def exact_cast(value: Column, from_type: T.DataType, to_type: T.DataType) -> Column:
+    """An ANSI cast that also refuses to round: a number with more decimals than fit is an error."""
+    cast = value.cast(to_type)
+    if not isinstance(to_type, T.DecimalType) or isinstance(from_type, T.IntegralType):
+        return cast
+    if isinstance(from_type, T.DecimalType):
+        if from_type.scale <= to_type.scale:
+            return cast
+        fits = cast == value
+    else:
+        fits = _digits(value.cast("string"))[1] <= to_type.scale
+    refusal = F.raise_error(
+        F.concat(F.lit(f"cannot keep all decimals as {to_type.simpleString()}: "), value.cast("string"))
+    )
+    return F.when(value.isNull() | fits, cast).otherwise(refusal.cast(to_type))
 
 
 def cast_column(value: Column, from_type: T.DataType, warehouse_type: str) -> Column:

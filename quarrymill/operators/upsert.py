@@ -14,6 +14,8 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarrymill.functions.types import exact_cast
+
 
 class DuplicateKeyError(ValueError):
     """One batch, or a merge target, holds the same key twice."""
@@ -73,11 +75,16 @@ def latest_per_key(df: DataFrame, key: str, seq: str) -> DataFrame:
 
 
 def align(df: DataFrame, target: DataFrame, what: str) -> DataFrame:
-    """Cast to the target's column types; a column the target lacks is an error."""
+    """Cast to the target's column types, exactly; a column the target lacks is an error."""
     unknown = [name for name in df.columns if name not in target.columns]
     if unknown:
         raise ValueError(f"{what}: the target has no column {', '.join(map(repr, unknown))}")
-    return df.select(*[_col(name).cast(target.schema[name].dataType).alias(name) for name in df.columns])
+    return df.select(
+        *[
+            exact_cast(_col(name), df.schema[name].dataType, target.schema[name].dataType).alias(name)
+            for name in df.columns
+        ]
+    )
 
 
 def upsert(base: DataFrame, updates: DataFrame, key: str, facts: KeyFacts) -> DataFrame:
