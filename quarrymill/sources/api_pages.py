@@ -13,7 +13,7 @@ _PAGE_SHAPE = "object string, url string, has_more boolean, data array<string>"
 
 def read_pages(spark: SparkSession, path: str, one_per_file: bool = False) -> DataFrame:
     """`(value, file)`: one page per line, or one (possibly pretty-printed) page per file."""
-    text = spark.read.option("wholetext", one_per_file).text(path)
+    text = spark.read.text(path, wholetext=one_per_file)
     return text.select("value", F.col("_metadata.file_path").alias("file"))
 
 
