@@ -73,8 +73,6 @@ _CLICKHOUSE_WRAPPERS = ("Nullable", "LowCardinality", "SimpleAggregateFunction")
 
 _MAX_PRECISION = 38
 _BIGINT_DIGITS = 19
-# A zone right after the minutes: Spark's cast wants the seconds spelled out.
-_MINUTES_THEN_ZONE = r"^(.{10}[T ]\d{2}:\d{2})(Z|[+-]\d{2}:?\d{2})$"
 
 
 def spark_type(warehouse_type: str) -> str:
@@ -108,34 +106,32 @@ def clickhouse_type(declared: str, wide_uint64: bool = False) -> str:
     return CLICKHOUSE_TYPES.get(name, "text")
 
 
-def _digits(text: Column) -> tuple[Column, Column]:
+def number_digits(text: Column) -> tuple[Column, Column]:
     """How many digits a number's text needs before and after the point."""
-    exponent = F.coalesce(
-        F.regexp_extract(text, r"[eE]([+-]?\d+)$", 1).try_cast("int"), F.lit(0)
+    point = F.instr(text, ".")
+    before = F.when(point > 0, F.substring(text, F.lit(1), point - 1)).otherwise(text)
+    after = F.when(point > 0, F.octet_length(text) - point).otherwise(0)
+    whole = F.octet_length(F.ltrim(before, F.lit("+-0")))
+
+    exponent = F.regexp_extract(text, r"[eE]([+-]?\d+)$", 1).cast("int")
+    mantissa = F.regexp_extract(text, r"^(.*?)[eE]", 1)
+    mantissa_point = F.instr(mantissa, ".")
+    mantissa_after = F.when(mantissa_point > 0, F.octet_length(mantissa) - mantissa_point).otherwise(0)
+    mantissa_whole = F.octet_length(F.ltrim(F.substring_index(mantissa, ".", 1), F.lit("+-0")))
+    scientific = (F.instr(text, "E") > 0) | (F.instr(text, "e") > 0)
+    return (
+        F.when(scientific, F.greatest(mantissa_whole + exponent, F.lit(0))).otherwise(whole),
+        F.when(scientific, F.greatest(mantissa_after - exponent, F.lit(0))).otherwise(after),
     )
-    whole = F.length(F.regexp_extract(text, r"^[+-]?0*(\d*)", 1)) + exponent
-    fraction = F.length(F.regexp_extract(text, r"\.(\d+)", 1)) - exponent
-    return F.greatest(whole, F.lit(0)), F.greatest(fraction, F.lit(0))
 
 
-def numeric_digits(columns: Mapping[str, Column]) -> list[Column]:
-    """Aggregates that measure text columns of numbers, two per column, for `numeric_type_of`."""
-    measured = []
-    for name, text in columns.items():
-        whole, fraction = _digits(text)
-        measured.append(F.max(whole).alias(f"{name}\0whole"))
-        measured.append(F.max(fraction).alias(f"{name}\0fraction"))
-    return measured
-
-
-def numeric_type_of(name: str, measured: Mapping[str, int | None]) -> str:
-    """A decimal that keeps every measured value; more than 38 digits is an error.
+def numeric_type(name: str, whole: int | None, fraction: int | None) -> str:
+    """A decimal for numbers with that many digits before and after the point; 38 is the limit.
 
     It has room for whole numbers as large as a bigint, so that later batches fit, and no more
     than that, so that columns of different scale can be combined without losing digits.
     """
-    whole = measured[f"{name}\0whole"] or 0
-    fraction = measured[f"{name}\0fraction"] or 0
+    whole, fraction = whole or 0, fraction or 0
     if whole + fraction > _MAX_PRECISION:
         raise ValueError(
             f"column {name!r} needs {whole + fraction} digits; a decimal holds {_MAX_PRECISION}"
@@ -153,26 +149,35 @@ def exact_cast(value: Column, from_type: T.DataType, to_type: T.DataType) -> Col
             return cast
         fits = cast == value
     else:
-        fits = _digits(value.cast("string"))[1] <= to_type.scale
+        fits = number_digits(value.cast("string"))[1] <= to_type.scale
     refusal = F.raise_error(
         F.concat(F.lit(f"cannot keep all decimals as {to_type.simpleString()}: "), value.cast("string"))
     )
     return F.when(value.isNull() | fits, cast).otherwise(refusal.cast(to_type))
 
 
+def _with_seconds(text: Column) -> Column:
+    """`2024-01-01T12:00Z` as `2024-01-01T12:00:00Z`: Spark wants seconds before a zone."""
+    zone_follows = F.substring(text, 17, 1).isin("Z", "+", "-")
+    spelled = F.concat(F.substring(text, 1, 16), F.lit(":00"), F.substring(text, 17, 6))
+    return F.when(zone_follows, spelled).otherwise(text)
+
+
+def _castable(value: Column, from_type: T.DataType, warehouse_type: str) -> Column:
+    if warehouse_type == "timestamptz" and isinstance(from_type, T.StringType):
+        return _with_seconds(value)
+    return value
+
+
 def cast_column(value: Column, from_type: T.DataType, warehouse_type: str) -> Column:
     """An ANSI cast: a value the type cannot hold fails the job, as an insert would."""
-    if warehouse_type == "timestamptz" and isinstance(from_type, T.StringType):
-        value = F.regexp_replace(value, _MINUTES_THEN_ZONE, "$1:00$2")
-    cast = value.cast(spark_type(warehouse_type))
+    cast = _castable(value, from_type, warehouse_type).cast(spark_type(warehouse_type))
     return F.lower(cast) if warehouse_type == "uuid" else cast
 
 
 def try_cast_column(value: Column, from_type: T.DataType, warehouse_type: str) -> Column:
     """The same cast with NULL for a value the type cannot hold."""
-    if warehouse_type == "timestamptz" and isinstance(from_type, T.StringType):
-        value = F.regexp_replace(value, _MINUTES_THEN_ZONE, "$1:00$2")
-    cast = value.try_cast(spark_type(warehouse_type))
+    cast = _castable(value, from_type, warehouse_type).try_cast(spark_type(warehouse_type))
     return F.lower(cast) if warehouse_type == "uuid" else cast
 
 
@@ -187,10 +192,13 @@ def settle_numeric(df: DataFrame, types: Mapping[str, str]) -> dict[str, str]:
         for name in bare
         if isinstance(field := df.schema[name].dataType, T.DecimalType)
     }
-    unsized = {name: F.col(f"`{name}`").cast("string") for name in bare if name not in sized}
+    unsized = [name for name in bare if name not in sized]
     if unsized:
-        measured = df.agg(*numeric_digits(unsized)).first().asDict()
-        sized |= {name: numeric_type_of(name, measured) for name in unsized}
+        digits = [number_digits(F.col(f"`{name}`").cast("string")) for name in unsized]
+        most = df.agg(*[F.max(part) for pair in digits for part in pair]).first()
+        sized |= {
+            name: numeric_type(name, most[2 * i], most[2 * i + 1]) for i, name in enumerate(unsized)
+        }
     return {name: sized.get(name, kind) for name, kind in types.items()}
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from quarrymill.session import shared_dir
@@ -31,17 +31,18 @@ def _reach(steps: DataFrame, start: DataFrame, id_col: str) -> DataFrame:
     """
     spark = steps.sparkSession
     folder = f"{shared_dir(spark)}/reach_{uuid.uuid4().hex}"
-    found: list[str] = []
+    levels: list[str] = []
     frontier = start.select(F.col(id_col).alias("id")).filter("id is not null").distinct()
+    shape = frontier.schema
     while True:
-        path = f"{folder}/level={len(found)}"
-        frontier.write.parquet(path)
-        newest = spark.read.parquet(path)
-        if newest.isEmpty():
-            return spark.read.parquet(*found) if found else newest
-        found.append(path)
+        written = Observation()
+        levels.append(f"{folder}/level={len(levels)}")
+        frontier.observe(written, F.count(F.lit(1)).alias("rows")).write.parquet(levels[-1])
+        seen = spark.read.schema(shape).parquet(*levels)
+        if written.get["rows"] == 0:
+            return seen
+        newest = spark.read.schema(shape).parquet(levels[-1])
         reached = steps.join(newest, steps["near"] == newest["id"]).select(F.col("far").alias("id"))
-        seen = spark.read.parquet(*found)
         frontier = reached.filter("id is not null").distinct().join(seen, "id", "left_anti")
 
 

@@ -1,7 +1,9 @@
 """The shipped models as DataFrame functions: staging projections, then the marts.
 
 Marts aggregate by the raw id before they build surrogate keys, so md5 runs once per customer and
-the large shuffles carry the narrow id. Every fact is reduced to one row per key before a join.
+the large shuffles carry the narrow id. Every fact is reduced to one row per key before a join, and
+facts with the same key are put side by side in one row by regrouping their union, so that the
+customers are joined once per key.
 Nothing is sorted here: order a result where it is read.
 """
 
@@ -97,15 +99,25 @@ def customers(postgres_customers: DataFrame, seed_customers: DataFrame) -> DataF
     return from_postgres.unionByName(from_seed)
 
 
+def _keyed_by_customer(per_id: DataFrame, id_col: str, source: str) -> DataFrame:
+    """Replace a raw id, which is never NULL here, by the surrogate key it has in `source`.
+
+    The key is declared non-NULL. Otherwise Catalyst, wanting no NULLs in a join, would move the
+    test whether md5 is NULL below the aggregate and run it on every fact.
+    """
+    key = F.coalesce(surrogate_key(id_col, source), F.lit(""))
+    return per_id.withColumn("id", key).drop(id_col)
+
+
 def customer_order_counts(all_customers: DataFrame, postgres_orders: DataFrame) -> DataFrame:
     """Orders and amount per customer; customers without orders count zero."""
     per_customer = (
-        postgres_orders.groupBy("customer_id")
+        postgres_orders.filter(F.col("customer_id").isNotNull())
+        .groupBy("customer_id")
         .agg(F.count("id").alias("orders"), F.sum("amount").alias("amount"))
-        .select(surrogate_key("customer_id", "postgres").alias("id"), "orders", "amount")
     )
     return (
-        all_customers.join(per_customer, "id", "left")
+        all_customers.join(_keyed_by_customer(per_customer, "customer_id", "postgres"), "id", "left")
         .groupBy(F.col("id").alias("customer_id"), "name")
         .agg(
             coalesce_zero(F.sum("orders")).alias("order_count"),
@@ -114,28 +126,25 @@ def customer_order_counts(all_customers: DataFrame, postgres_orders: DataFrame)
     )
 
 
-def orders_by_customer(postgres_orders: DataFrame, seed_orders: DataFrame) -> DataFrame:
-    """One row per customer of either order source, by surrogate key."""
-    by_source = [
-        orders.groupBy("customer_id")
+def _orders_per_customer(orders: DataFrame, source: str) -> DataFrame:
+    dated = "created_at" in orders.columns
+    per_customer = (
+        orders.filter(F.col("customer_id").isNotNull())
+        .groupBy("customer_id")
         .agg(
             F.count(F.lit(1)).alias("order_count"),
             F.sum("amount").alias("total_spent"),
-            (F.max("created_at") if "created_at" in orders.columns else null_of("timestamp")).alias(
-                "last_order_at"
-            ),
+            *([F.max("created_at").alias("last_order_at")] if dated else []),
         )
-        .select(surrogate_key("customer_id", source).alias("id"), "order_count", "total_spent", "last_order_at")
-        for orders, source in ((postgres_orders, "postgres"), (seed_orders, "seed"))
-    ]
-    return by_source[0].unionByName(by_source[1])
+    )
+    return _keyed_by_customer(per_customer, "customer_id", source)
 
 
-def events_by_customer(events: DataFrame) -> DataFrame:
-    """One row per user of the event log, by the surrogate key of the same customer."""
+def _events_per_customer(events: DataFrame) -> DataFrame:
     kind = F.col("event_type")
-    return (
-        events.groupBy("user_id")
+    per_user = (
+        events.filter(F.col("user_id").isNotNull())
+        .groupBy("user_id")
         .agg(
             F.count(F.lit(1)).alias("event_count"),
             F.count_if(kind == "page_view").alias("page_views"),
@@ -143,9 +152,26 @@ def events_by_customer(events: DataFrame) -> DataFrame:
             F.count_if(kind == "purchase").alias("purchases"),
             F.max("created_at").alias("last_event_at"),
         )
-        .withColumn("id", surrogate_key("user_id", "postgres"))
-        .drop("user_id")
     )
+    return _keyed_by_customer(per_user, "user_id", "postgres")
+
+
+def _side_by_side(facts: DataFrame, key: str) -> DataFrame:
+    """One row per key: counts and amounts added up, the latest of each time."""
+    measures = [name for name in facts.columns if name != key]
+    return facts.groupBy(key).agg(
+        *[(F.max if name.startswith("last_") else F.sum)(name).alias(name) for name in measures]
+    )
+
+
+def activity_by_customer(events: DataFrame, postgres_orders: DataFrame, seed_orders: DataFrame) -> DataFrame:
+    """One row per customer key: orders of both sources and events."""
+    facts = (
+        _orders_per_customer(postgres_orders, "postgres")
+        .unionByName(_orders_per_customer(seed_orders, "seed"), allowMissingColumns=True)
+        .unionByName(_events_per_customer(events), allowMissingColumns=True)
+    )
+    return _side_by_side(facts, "id")
 
 
 def billing_by_email(charges: DataFrame, subscriptions: DataFrame, billed: DataFrame) -> DataFrame:
@@ -167,12 +193,7 @@ def billing_by_email(charges: DataFrame, subscriptions: DataFrame, billed: DataF
     )
     facts = charged.unionByName(subscribed, allowMissingColumns=True)
     addresses = billed.filter(F.col("email").isNotNull()).select(F.col("id").alias("customer_id"), "email")
-    combined = {
-        name: (F.max if name.startswith("last_") else F.sum)(name).alias(name)
-        for name in facts.columns
-        if name != "customer_id"
-    }
-    return facts.join(addresses, "customer_id").groupBy("email").agg(*combined.values())
+    return _side_by_side(facts.join(addresses, "customer_id").drop("customer_id"), "email")
 
 
 def customer_activity(
@@ -185,11 +206,9 @@ def customer_activity(
     stripe_subscriptions: DataFrame,
 ) -> DataFrame:
     """Orders, events and billing of every customer on one row."""
-    joined = (
-        all_customers.join(orders_by_customer(postgres_orders, seed_orders), "id", "left")
-        .join(events_by_customer(events), "id", "left")
-        .join(billing_by_email(stripe_charges, stripe_subscriptions, stripe_customers), "email", "left")
-    )
+    activity = activity_by_customer(events, postgres_orders, seed_orders)
+    billing = billing_by_email(stripe_charges, stripe_subscriptions, stripe_customers)
+    joined = all_customers.join(activity, "id", "left").join(billing, "email", "left")
     return joined.select(
         F.col("id").alias("customer_id"),
         "name",

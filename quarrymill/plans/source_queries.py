@@ -284,7 +284,7 @@ def _customer_pages(spark, sf_dir) -> DataFrame:
         F.to_json(
             F.struct(
                 F.lit("list").alias("object"),
-                F.lit("/v1/customers").alias("url"),
+                F.concat(F.lit("/v1/customers?page="), F.col("page").cast("string")).alias("url"),
                 F.lit(True).alias("has_more"),
                 "data",
             )
@@ -301,9 +301,10 @@ def _customer_pages(spark, sf_dir) -> DataFrame:
 )
 def scan_api_pages(spark, sf_dir):
     path = _landing(spark, "pages")
-    _customer_pages(spark, sf_dir).write.partitionBy("page").text(path)
-    landed = spark.read.text(path).withColumn("page", F.col("page").cast("bigint"))
-    items = api_pages.scan_api_pages(landed)
+    _customer_pages(spark, sf_dir).select("value").write.text(path)
+    landed = api_pages.read_pages(spark, path).select("value")
+    number = F.regexp_extract(F.get_json_object("value", "$.url"), r"page=(\d+)", 1).cast("bigint")
+    items = api_pages.scan_api_pages(landed.withColumn("page", number))
     # Bring the one column that may look integral in small data to the type it declares.
     return api_pages.typed_records(items).withColumn("balance", F.col("balance").cast("double"))
 

@@ -27,7 +27,8 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def cents(price: str) -> Column:
-    return (F.col(price).cast("decimal(18,2)") * 100).cast("bigint")
+    """Prices are doubles with two decimals, so the nearest whole number of cents is exact."""
+    return F.rint(F.col(price) * 100).cast("bigint")
 
 
 def epoch(ts: str) -> Column:
