@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from quarrymill.operators.skew import own_shuffle
 from quarrymill.session import shared_dir
 
 
@@ -65,8 +66,10 @@ def set_union(*parts: DataFrame) -> DataFrame:
 
 
 def set_intersect(*parts: DataFrame) -> DataFrame:
-    """Ids in every part."""
-    return reduce(DataFrame.intersect, parts)
+    """Ids in every part, by one grouping of all parts: a bit per part, or-ed map-side."""
+    marked = [part.toDF("id").withColumn("\0bit", F.lit(1 << i)) for i, part in enumerate(parts)]
+    seen = reduce(DataFrame.unionByName, marked).groupBy("id").agg(F.bit_or("\0bit").alias("\0bits"))
+    return seen.filter(F.col("\0bits") == (1 << len(parts)) - 1).select("id")
 
 
 def dangling_refs(edges: DataFrame, nodes: DataFrame, id_col: str = "id") -> DataFrame:
@@ -76,5 +79,5 @@ def dangling_refs(edges: DataFrame, nodes: DataFrame, id_col: str = "id") -> Dat
     """
     known = nodes.select(F.col(id_col).alias("upstream"))
     wanted = edges.select("upstream").filter("upstream is not null").distinct()
-    missing = wanted.join(known, "upstream", "left_anti")
+    missing = own_shuffle(wanted.join(known, "upstream", "left_anti"), "upstream")
     return edges.join(missing, "upstream", "left_semi").select("upstream", "downstream").distinct()

@@ -17,6 +17,10 @@ from pyspark.sql import functions as F
 from quarrymill.functions.types import exact_cast
 
 
+# What a key costs in a broadcast hash table on top of its own bytes.
+_ROW_OVERHEAD = 32
+
+
 class DuplicateKeyError(ValueError):
     """One batch, or a merge target, holds the same key twice."""
 
@@ -28,6 +32,7 @@ class KeyFacts:
     lowest: Any
     highest: Any
     duplicated: int
+    key_bytes: int
 
 
 def _col(name: str) -> Column:
@@ -35,7 +40,7 @@ def _col(name: str) -> Column:
 
 
 def key_facts(df: DataFrame, key: str, seq: str | None = None) -> KeyFacts:
-    """Key range and number of duplicated keys (of `(key, seq)` pairs if there is a sequence).
+    """Range and size of the keys, and how many occur twice (with the same `seq`, if there is one).
 
     Reads only these columns. Counts are combined map-side, so a hot key costs one row per task.
     """
@@ -47,8 +52,9 @@ def key_facts(df: DataFrame, key: str, seq: str | None = None) -> KeyFacts:
         F.min(_col(key)).alias("lowest"),
         F.max(_col(key)).alias("highest"),
         F.count_if(F.col("\0n") > 1).alias("duplicated"),
+        F.sum(F.octet_length(_col(key).cast("string")) + _ROW_OVERHEAD).alias("key_bytes"),
     ).first()
-    return KeyFacts(row["lowest"], row["highest"], row["duplicated"] or 0)
+    return KeyFacts(row["lowest"], row["highest"], row["duplicated"] or 0, row["key_bytes"] or 0)
 
 
 def require_unique(df: DataFrame, key: str, what: str, seq: str | None = None) -> KeyFacts:
@@ -87,24 +93,42 @@ def align(df: DataFrame, target: DataFrame, what: str) -> DataFrame:
     )
 
 
+def _inside(base: DataFrame, key: str, facts: KeyFacts) -> DataFrame:
+    """Base rows that an update can match; the range reaches the scan and skips row groups."""
+    return base.filter(_col(key).between(F.lit(facts.lowest), F.lit(facts.highest)))
+
+
+def _outside(base: DataFrame, key: str, facts: KeyFacts) -> DataFrame:
+    value = _col(key)
+    return base.filter(value.isNull() | (value < F.lit(facts.lowest)) | (value > F.lit(facts.highest)))
+
+
+def with_carried(base: DataFrame, updates: DataFrame, key: str, facts: KeyFacts) -> DataFrame:
+    """`updates` with the columns it lacks: their value in the base row it replaces, else NULL.
+
+    The base is first cut to the rows that are replaced, in a join whose small side, the update
+    keys, Catalyst can broadcast.
+    """
+    carried = [name for name in base.columns if name not in updates.columns]
+    if not carried:
+        return updates
+    keyed = updates.filter(_col(key).isNotNull())
+    if facts.lowest is None:
+        return updates.unionByName(base.limit(0), allowMissingColumns=True)
+    replaced = _inside(base, key, facts).join(keyed.select(_col(key)), on=key, how="left_semi")
+    full = keyed.join(replaced.select(_col(key), *map(_col, carried)), on=key, how="left")
+    return full.unionByName(updates.filter(_col(key).isNull()), allowMissingColumns=True)
+
+
 def upsert(base: DataFrame, updates: DataFrame, key: str, facts: KeyFacts) -> DataFrame:
     """`base` with the rows of `updates` inserted or replaced by key.
 
     `updates` holds every key at most once (`facts` comes from that check). Columns it lacks keep
     their value in replaced rows and are NULL in inserted ones.
     """
-    carried = [name for name in base.columns if name not in updates.columns]
-    keyed = updates.filter(_col(key).isNotNull())
+    full = with_carried(base, updates, key, facts)
     if facts.lowest is None:
-        return base.unionByName(updates, allowMissingColumns=True)
-
-    low, high = F.lit(facts.lowest), F.lit(facts.highest)
-    outside = base.filter(_col(key).isNull() | (_col(key) < low) | (_col(key) > high))
-    inside = base.filter(_col(key).between(low, high))
-    kept = inside.join(keyed.select(_col(key)), on=key, how="left_anti")
-
-    if carried:
-        old = inside.select(_col(key), *map(_col, carried))
-        replaced = keyed.join(old, on=key, how="left")
-        updates = replaced.unionByName(updates.filter(_col(key).isNull()), allowMissingColumns=True)
-    return outside.unionByName(kept).unionByName(updates)
+        return base.unionByName(full)
+    keys = updates.filter(_col(key).isNotNull()).select(_col(key))
+    kept = _inside(base, key, facts).join(keys, on=key, how="left_anti")
+    return _outside(base, key, facts).unionByName(kept).unionByName(full)

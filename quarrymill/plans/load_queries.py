@@ -118,6 +118,35 @@ def write_merge_last_wins(spark, sf_dir):
     return store.table("users")
 
 
+_BIG, _SMALL = 485_000, 15_000
+
+
+@query(
+    "write_merge_few_rows",
+    f"""select o_orderkey as id,
+           case when o_totalprice < {_SMALL} then -1 when o_totalprice > {_BIG} then 0
+                else {_AMOUNT} end as amount,
+           case when o_totalprice < {_SMALL} then 'fixed twice' when o_totalprice > {_BIG} then 'fixed'
+                else o_orderstatus end as status
+    from orders""",
+)
+def write_merge_few_rows(spark, sf_dir):
+    """Corrections of few rows, twice: the large table stays as it is, the changes are kept apart."""
+    store = sinks.scratch_store(spark, "merge_few")
+    orders = load(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("id"),
+        cents("o_totalprice").alias("amount"),
+        F.col("o_orderstatus").alias("status"),
+    )
+    cheap, dear = F.col("amount") < _SMALL * 100, F.col("amount") > _BIG * 100
+    sinks.write_merge(store, "orders", orders, "id")
+    first = orders.filter(cheap | dear).select("id", F.lit(0).alias("amount"), F.lit("fixed").alias("status"))
+    sinks.write_merge(store, "orders", first, "id")
+    second = orders.filter(cheap).select("id", F.lit(-1).alias("amount"), F.lit("fixed twice").alias("status"))
+    sinks.write_merge(store, "orders", second, "id")
+    return store.table("orders")
+
+
 @query("join_key_match", f"with {_EXTRACTS_SQL} {_MERGED_SQL}")
 def join_key_match(spark, sf_dir):
     """The upsert itself, from one DataFrame into another."""

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarrymill.functions.scalars import coalesce_zero, epoch_to_ts, guarded_epoch, null_of, surrogate_key
+from quarrymill.operators.skew import own_shuffle
 
 ACTIVITY_TESTS = {"customer_id": ["unique", "not_null"], "customer_source": ["not_null"]}
 
@@ -208,7 +209,8 @@ def customer_activity(
     """Orders, events and billing of every customer on one row."""
     activity = activity_by_customer(events, postgres_orders, seed_orders)
     billing = billing_by_email(stripe_charges, stripe_subscriptions, stripe_customers)
-    joined = all_customers.join(activity, "id", "left").join(billing, "email", "left")
+    # Ids are unique, but very many customers may share an address or have none.
+    joined = all_customers.join(activity, "id", "left").join(own_shuffle(billing, "email"), "email", "left")
     return joined.select(
         F.col("id").alias("customer_id"),
         "name",

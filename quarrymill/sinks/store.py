@@ -4,6 +4,11 @@ A table `m` is a view over one immutable-schema Parquet table `m__v<run>`. Publi
 next version in full and then replaces the view, which is one catalog operation: a reader sees the
 old rows or the new ones. A job that fails half-way leaves the view where it was. Views that other
 people build on `m` bind by name and survive. One writer per table at a time is assumed.
+
+A merge of few rows into a large table does not rewrite the table. It writes the changed rows as
+`m__c<run>`, and the view hides the rows they replace: `m` is then the version without the changed
+keys, which are broadcast, and the changes. Their number is bounded (`CHANGES_SHARE`,
+`CHANGES_KEY_BYTES`); a merge that would exceed it writes a new version with everything folded in.
 """
 
 from __future__ import annotations
@@ -17,10 +22,26 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarrymill.functions.types import spark_type
-from quarrymill.operators.upsert import align, latest_per_key, require_unique, upsert
+from quarrymill.operators.upsert import (
+    KeyFacts,
+    align,
+    latest_per_key,
+    require_unique,
+    upsert,
+    with_carried,
+)
 from quarrymill.session import shared_dir
 
+# Changes are kept apart while they are at most this share of the rows they apply to and their keys
+# at most this large, which is what every reader's executors hold in memory.
+CHANGES_SHARE = 0.1
+CHANGES_KEY_BYTES = 128 * 1024 * 1024
+
 _CURRENT = "quarrymill.current"
+_CHANGES = "quarrymill.changes"
+_ROWS = "quarrymill.rows"
+_CHANGED_ROWS = "quarrymill.changed_rows"
+_CHANGED_KEY_BYTES = "quarrymill.changed_key_bytes"
 _UNIQUE = "quarrymill.unique_key"
 
 
@@ -64,7 +85,10 @@ class Store:
         return {row["key"]: row["value"] for row in rows}
 
     def versions(self, table: str) -> list[str]:
-        rows = self.spark.sql(f"SHOW TABLES IN `{self.database}` LIKE '{table}__v*'").collect()
+        """The physical tables that are or were behind a published table."""
+        rows = self.spark.sql(
+            f"SHOW TABLES IN `{self.database}` LIKE '{table}__v*|{table}__c*'"
+        ).collect()
         return sorted(row["tableName"] for row in rows)
 
 
@@ -81,10 +105,14 @@ def scratch_store(spark: SparkSession, purpose: str) -> Store:
 
 
 def _write_version(
-    store: Store, table: str, df: DataFrame, measures: dict[str, Column] | None = None
+    store: Store,
+    table: str,
+    df: DataFrame,
+    measures: dict[str, Column] | None = None,
+    kind: str = "v",
 ) -> tuple[str, dict]:
     """Write the next version; rows and `measures` are observed by the write itself."""
-    version = f"{table}__v{time.time_ns():020d}"
+    version = f"{table}__{kind}{time.time_ns():020d}"
     seen = Observation()
     _observed(df, seen, measures).write.format("parquet").mode("error").saveAsTable(store.name(version))
     return version, seen.get
@@ -95,20 +123,29 @@ def _observed(df: DataFrame, seen: Observation, measures: dict[str, Column] | No
     return df.observe(seen, F.count(F.lit(1)).alias("rows"), *extra)
 
 
-def _point(store: Store, table: str, version: str, unique_key: str | None = None) -> None:
-    marks = {_CURRENT: version} | ({_UNIQUE: unique_key} if unique_key else {})
-    listed = ", ".join(f"'{key}' = '{value}'" for key, value in marks.items())
+def _point(store: Store, table: str, marks: dict[str, str | int | None]) -> None:
+    """Make the view show what the marks say, in one catalog operation."""
+    kept = {key: str(value) for key, value in marks.items() if value is not None}
+    listed = ", ".join(f"'{key}' = '{value}'" for key, value in kept.items())
+    version = store.name(kept[_CURRENT])
+    rows = f"SELECT * FROM {version}"
+    if _CHANGES in kept:
+        changes, key = store.name(kept[_CHANGES]), kept[_UNIQUE]
+        rows = (
+            f"SELECT /*+ BROADCAST(c) */ v.* FROM {version} v "
+            f"LEFT ANTI JOIN (SELECT `{key}` FROM {changes} WHERE `{key}` IS NOT NULL) c ON v.`{key}` = c.`{key}` "
+            f"UNION ALL SELECT * FROM {changes}"
+        )
     store.spark.sql(
-        f"CREATE OR REPLACE VIEW {store.name(table)} TBLPROPERTIES ({listed}) "
-        f"AS SELECT * FROM {store.name(version)}"
+        f"CREATE OR REPLACE VIEW {store.name(table)} TBLPROPERTIES ({listed}) AS {rows}"
     )
 
 
-def _current(store: Store, table: str) -> str:
-    version = store.properties(table).get(_CURRENT)
-    if version is None:
+def _marks(store: Store, table: str) -> dict[str, str]:
+    marks = {k: v for k, v in store.properties(table).items() if k.startswith("quarrymill.")}
+    if _CURRENT not in marks:
         raise ValueError(f"{table} is a plain view; only published tables can be loaded into")
-    return version
+    return marks
 
 
 def _finish(store: Store, table: str, measured: dict, started: float) -> LoadResult:
@@ -119,19 +156,20 @@ def _finish(store: Store, table: str, measured: dict, started: float) -> LoadRes
 
 
 def drop_superseded(store: Store, table: str) -> list[str]:
-    """Drop the versions no view points at, once nobody reads them any more."""
-    current = _current(store, table)
-    stale = [version for version in store.versions(table) if version != current]
+    """Drop the versions the view no longer reads, once nobody else reads them either."""
+    marks = _marks(store, table)
+    in_use = {marks[_CURRENT], marks.get(_CHANGES)}
+    stale = [version for version in store.versions(table) if version not in in_use]
     for version in stale:
         store.spark.sql(f"DROP TABLE {store.name(version)}")
     return stale
 
 
 def compact(store: Store, table: str) -> None:
-    """Rewrite a table that many appends left in small files; AQE sizes the new ones."""
-    unique = store.properties(table).get(_UNIQUE)
-    version, _ = _write_version(store, table, store.table(table).hint("rebalance"))
-    _point(store, table, version, unique)
+    """Fold changes in and rewrite what many appends left in small files; AQE sizes the new ones."""
+    marks = _marks(store, table)
+    version, seen = _write_version(store, table, store.table(table).hint("rebalance"))
+    _point(store, table, {_CURRENT: version, _ROWS: seen["rows"], _UNIQUE: marks.get(_UNIQUE)})
 
 
 # --- materializations -------------------------------------------------------------------------
@@ -145,14 +183,13 @@ def typed_create(store: Store, table: str, columns: dict[str, str | None]) -> No
         T.StructField(name, T.DataType.fromDDL(spark_type(kind or "text")))
         for name, kind in columns.items()
     ]
-    version, _ = _write_version(store, table, store.spark.createDataFrame([], T.StructType(fields)))
-    _point(store, table, version)
+    clone_empty(store, table, store.spark.createDataFrame([], T.StructType(fields)))
 
 
 def clone_empty(store: Store, table: str, like: DataFrame) -> None:
     """An empty table with another one's columns."""
-    version, _ = _write_version(store, table, like.limit(0))
-    _point(store, table, version)
+    version, seen = _write_version(store, table, like.limit(0))
+    _point(store, table, {_CURRENT: version, _ROWS: seen["rows"]})
 
 
 def publish_view(store: Store, view: str, model: DataFrame | str) -> None:
@@ -173,7 +210,7 @@ def publish_table(
     """Build the whole result, then swap it in."""
     started = time.monotonic()
     version, measured = _write_version(store, table, df, measures)
-    _point(store, table, version)
+    _point(store, table, {_CURRENT: version, _ROWS: measured["rows"]})
     return _finish(store, table, measured, started)
 
 
@@ -209,13 +246,16 @@ def write_append(
 ) -> LoadResult:
     """Add the batch, creating the table if there is none. No dedup.
 
-    Columns the batch lacks become NULL; a column the table lacks is an error.
+    Columns the batch lacks become NULL; a column the table lacks is an error. After an append
+    nobody knows whether keys are unique, and changes that hide keys are folded in first.
     """
     if not store.exists(table):
         return publish_table(store, table, df, measures)
     started = time.monotonic()
-    version = _current(store, table)
-    target = store.table(version)
+    if _CHANGES in _marks(store, table):
+        compact(store, table)
+    marks = _marks(store, table)
+    target = store.table(marks[_CURRENT])
     batch = align(df, target, f"append to {table}")
     filled = batch.select(
         *[
@@ -226,9 +266,10 @@ def write_append(
         ]
     )
     seen = Observation()
-    _observed(filled, seen, measures).write.insertInto(store.name(version))
-    if _UNIQUE in store.properties(table):
-        _point(store, table, version)
+    if marks.pop(_UNIQUE, None):
+        _point(store, table, marks)
+    _observed(filled, seen, measures).write.insertInto(store.name(marks[_CURRENT]))
+    _point(store, table, marks | {_ROWS: int(marks[_ROWS]) + seen.get["rows"]})
     return _finish(store, table, seen.get, started)
 
 
@@ -261,27 +302,54 @@ def _merge(
     seq: str | None,
     measures: dict[str, Column] | None = None,
 ) -> LoadResult:
-    """Stage the batch, check it, write the merged version, point at it.
+    """Stage the batch, check it, write what changes, point at it.
 
     The batch is staged because the merge reads it more than once, and a source read twice may
     answer differently.
     """
     started = time.monotonic()
+    what = f"merge into {table}"
     staging = f"{table}__stg{time.time_ns():020d}"
     seen = Observation()
     _observed(df, seen, measures).write.format("parquet").mode("error").saveAsTable(store.name(staging))
     try:
         batch = store.table(staging)
-        what = f"merge into {table}"
         facts = require_unique(batch, key, what, seq)
         fresh = batch if seq is None else latest_per_key(batch, key, seq)
         if store.exists(table):
-            base = store.table(table)
-            if store.properties(table).get(_UNIQUE) != key:
-                require_unique(base, key, f"existing rows of {table}")
-            fresh = upsert(base, align(fresh, base, what), key, facts)
-        version, _ = _write_version(store, table, fresh)
-        _point(store, table, version, unique_key=key)
+            _merge_into(store, table, align(fresh, store.table(table), what), key, facts, seen.get["rows"])
+        else:
+            version, wrote = _write_version(store, table, fresh)
+            _point(store, table, {_CURRENT: version, _ROWS: wrote["rows"], _UNIQUE: key})
     finally:
         store.spark.sql(f"DROP TABLE IF EXISTS {store.name(staging)}")
     return _finish(store, table, seen.get, started)
+
+
+def _merge_into(
+    store: Store, table: str, fresh: DataFrame, key: str, facts: KeyFacts, incoming: int
+) -> None:
+    marks, base = _marks(store, table), store.table(table)
+    if marks.get(_UNIQUE) != key:
+        require_unique(base, key, f"existing rows of {table}")
+
+    rows = int(marks[_ROWS])
+    changed = int(marks.get(_CHANGED_ROWS, 0)) + incoming
+    key_bytes = int(marks.get(_CHANGED_KEY_BYTES, 0)) + facts.key_bytes
+    same_key = _CHANGES not in marks or marks.get(_UNIQUE) == key
+    if not same_key or changed > CHANGES_SHARE * rows or key_bytes > CHANGES_KEY_BYTES:
+        version, wrote = _write_version(store, table, upsert(base, fresh, key, facts))
+        _point(store, table, {_CURRENT: version, _ROWS: wrote["rows"], _UNIQUE: key})
+        return
+
+    full = with_carried(base, fresh, key, facts).select(*[f"`{name}`" for name in base.columns])
+    if _CHANGES in marks:
+        full = upsert(store.table(marks[_CHANGES]), full, key, facts)
+    changes, wrote = _write_version(store, table, full, kind="c")
+    apart = {
+        _CHANGES: changes,
+        _CHANGED_ROWS: wrote["rows"],
+        _CHANGED_KEY_BYTES: key_bytes,
+        _UNIQUE: key,
+    }
+    _point(store, table, marks | apart)

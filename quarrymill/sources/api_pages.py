@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarrymill.functions.inference import infer_json_types, type_json
+from quarrymill.operators.skew import own_shuffle
 
 # Elements of `data` are kept as JSON text; their own keys are typed later.
 _PAGE_SHAPE = "object string, url string, has_more boolean, data array<string>"
@@ -82,7 +83,8 @@ def page_chain_audit(
         F.col("has_more").alias("before_has_more"),
         F.col("last_id").alias("before_last_id"),
     )
-    chained = copies.join(previous, ["stream", "page"], "left").join(ends, "stream")
+    # One stream may be most of the pages: let that join be split at run time.
+    chained = copies.join(previous, ["stream", "page"], "left").join(own_shuffle(ends, "stream"), "stream")
     follows = F.coalesce(F.col("follows"), F.lit(False))
     is_first, is_last = F.col("page") == F.col("first"), F.col("page") == F.col("last")
     checks = {

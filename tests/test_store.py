@@ -162,3 +162,73 @@ def test_preview_is_ten_rows_unless_told(store, spark):
     sinks.publish_table(store, "m", spark.range(50))
     assert sinks.preview(store, "m").count() == 10
     assert sinks.preview(store, "m", 3, order_by=["id"]).collect() == [(0,), (1,), (2,)]
+
+
+NUMBERED = "id int, name string"
+
+
+def _hundred(store, frame):
+    sinks.write_merge(store, "u", frame(NUMBERED, *[(i, "old") for i in range(100)], (None, "none")), "id")
+    return store.versions("u")
+
+
+def test_a_small_merge_leaves_the_large_table_alone(store, frame, rows):
+    before = _hundred(store, frame)
+    sinks.write_merge(store, "u", frame(NUMBERED, (3, "new"), (200, "new"), (None, "more")), "id")
+    sinks.write_merge(store, "u", frame(NUMBERED, (3, "newer"), (4, "new"), (None, "most")), "id")
+    assert [v for v in store.versions("u") if "__v" in v] == before
+    found = rows(store.table("u"))
+    assert len(found) == 104
+    assert [r for r in found if r[1] != "old"] == [
+        (200, "new"), (3, "newer"), (4, "new"), (None, "more"), (None, "most"), (None, "none"),
+    ]
+    plan = store.table("u")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "LeftAnti" in plan
+    assert len(sinks.drop_superseded(store, "u")) == 1 and len(rows(store.table("u"))) == 104
+
+
+def test_changes_are_folded_in_when_they_are_many(store, frame, rows):
+    _hundred(store, frame)
+    sinks.write_merge(store, "u", frame(NUMBERED, (3, "new")), "id")
+    sinks.write_merge(store, "u", frame(NUMBERED, *[(i, "new") for i in range(10, 22)]), "id")
+    assert "quarrymill.changes" not in store.properties("u")
+    assert store.table("u").filter("name = 'new'").count() == 13 and store.table("u").count() == 101
+
+
+def test_changes_keep_columns_the_batch_lacks(store, frame, rows):
+    _hundred(store, frame)
+    sinks.write_merge(store, "u", frame("id int", (5,), (300,)), "id")
+    assert "quarrymill.changes" in store.properties("u")
+    assert rows(store.table("u").filter("id in (5, 300)")) == [(300, None), (5, "old")]
+
+
+def test_append_and_compact_after_changes(store, frame, rows):
+    _hundred(store, frame)
+    sinks.write_merge(store, "u", frame(NUMBERED, (3, "new")), "id")
+    sinks.write_append(store, "u", frame(NUMBERED, (3, "again")))
+    assert rows(store.table("u").filter("id = 3")) == [(3, "again"), (3, "new")]
+    with pytest.raises(DuplicateKeyError, match="existing"):
+        sinks.write_merge(store, "u", frame(NUMBERED, (4, "new")), "id")
+
+
+def test_merge_by_another_key_after_changes(store, frame, rows):
+    sinks.write_merge(store, "u", frame("a int, b int", *[(i, i) for i in range(100)]), "a")
+    sinks.write_merge(store, "u", frame("a int, b int", (1, 1000)), "a")
+    sinks.write_merge(store, "u", frame("a int, b int", (5000, 1000)), "b")
+    assert rows(store.table("u").filter("a > 99 or b > 99")) == [(5000, 1000)]
+    assert store.table("u").count() == 100
+
+
+def test_random_merges_agree_with_a_dict(store, frame):
+    import random
+
+    draw = random.Random(11)
+    expected, extra = {}, 0
+    for step in range(6):
+        keys = draw.sample(range(400), 200 if step == 0 else draw.choice([3, 8, 60]))
+        sinks.write_merge(store, "u", frame(NUMBERED, *[(k, f"s{step}") for k in keys], (None, "n")), "id")
+        expected |= {k: f"s{step}" for k in keys}
+        extra += 1
+    found = store.table("u").collect()
+    assert {r["id"]: r["name"] for r in found if r["id"] is not None} == expected
+    assert len(found) == len(expected) + extra
