@@ -111,30 +111,41 @@ def _failures(model: TestedModel, tests: Tests) -> list[tuple]:
 def run_column_tests(spark: SparkSession, models: Sequence[TestedModel]) -> DataFrame:
     """Run the tests of several tables and return one row per test.
 
-    A table's tests run together. If that fails, they run one by one, so that only the tests which
-    cannot run are reported as `error`. What comes to the driver is one count per test.
+    A table's tests run together, save those on columns it does not have. If they fail, they run
+    one by one, so that only the tests which cannot run are reported as `error`. What comes to the
+    driver is one count per test.
     """
     results: list[tuple] = []
     for model in models:
         check_known(model.tests)
-        if not any(model.tests.values()):
+        present = {c: names for c, names in model.tests.items() if c in model.df.columns and names}
+        absent = {c: names for c, names in model.tests.items() if c not in model.df.columns}
+        results += [
+            _error(model, column, name, f"{model.name} has no column {column!r}")
+            for column, names in absent.items()
+            for name in names
+        ]
+        if not present:
             continue
         try:
-            results += _failures(model, model.tests)
+            results += _failures(model, present)
         except PySparkException:
-            results += _one_by_one(model)
+            results += _one_by_one(model, present)
     return spark.createDataFrame(results, RESULT_SCHEMA)
 
 
-def _one_by_one(model: TestedModel) -> list[tuple]:
+def _error(model: TestedModel, column: str, test: str, message: str) -> tuple:
+    return (model.name, column, test, "error", None, 0, message)
+
+
+def _one_by_one(model: TestedModel, tests: Tests) -> list[tuple]:
     results = []
-    for column, names in model.tests.items():
+    for column, names in tests.items():
         for name in names:
             try:
                 results += _failures(model, {column: [name]})
             except PySparkException as failed:
-                message = str(failed).splitlines()[0]
-                results.append((model.name, column, name, "error", None, 0, message))
+                results.append(_error(model, column, name, str(failed).splitlines()[0]))
     return results
 
 

@@ -148,6 +148,11 @@ def _marks(store: Store, table: str) -> dict[str, str]:
     return marks
 
 
+def _in_use(store: Store, table: str) -> set[str]:
+    marks = _marks(store, table)
+    return {marks[part] for part in (_CURRENT, _CHANGES) if part in marks}
+
+
 def _finish(store: Store, table: str, measured: dict, started: float) -> LoadResult:
     extra = dict(measured)
     rows = extra.pop("rows")
@@ -157,8 +162,7 @@ def _finish(store: Store, table: str, measured: dict, started: float) -> LoadRes
 
 def drop_superseded(store: Store, table: str) -> list[str]:
     """Drop the versions the view no longer reads, once nobody else reads them either."""
-    marks = _marks(store, table)
-    in_use = {marks[_CURRENT], marks.get(_CHANGES)}
+    in_use = _in_use(store, table)
     stale = [version for version in store.versions(table) if version not in in_use]
     for version in stale:
         store.spark.sql(f"DROP TABLE {store.name(version)}")
@@ -302,54 +306,63 @@ def _merge(
     seq: str | None,
     measures: dict[str, Column] | None = None,
 ) -> LoadResult:
-    """Stage the batch, check it, write what changes, point at it.
+    """Write the batch once, check it, write what changes, point at it.
 
-    The batch is staged because the merge reads it more than once, and a source read twice may
-    answer differently.
+    The batch is written first because the merge reads it more than once, and a source read twice
+    may answer differently. Where it needs no further work it becomes part of the table as it is.
     """
     started = time.monotonic()
     what = f"merge into {table}"
-    staging = f"{table}__stg{time.time_ns():020d}"
-    seen = Observation()
-    _observed(df, seen, measures).write.format("parquet").mode("error").saveAsTable(store.name(staging))
+    staged, seen = _write_version(store, table, df, measures, kind="c")
     try:
-        batch = store.table(staging)
+        batch = store.table(staged)
         facts = require_unique(batch, key, what, seq)
-        fresh = batch if seq is None else latest_per_key(batch, key, seq)
         if store.exists(table):
-            _merge_into(store, table, align(fresh, store.table(table), what), key, facts, seen.get["rows"])
+            base = store.table(table)
+            fresh = batch if seq is None else latest_per_key(batch, key, seq)
+            as_is = staged if seq is None and batch.dtypes == base.dtypes else None
+            _merge_into(store, table, align(fresh, base, what), key, facts, seen["rows"], as_is)
+        elif seq is None:
+            _point(store, table, {_CURRENT: staged, _ROWS: seen["rows"], _UNIQUE: key})
         else:
-            version, wrote = _write_version(store, table, fresh)
+            version, wrote = _write_version(store, table, latest_per_key(batch, key, seq))
             _point(store, table, {_CURRENT: version, _ROWS: wrote["rows"], _UNIQUE: key})
     finally:
-        store.spark.sql(f"DROP TABLE IF EXISTS {store.name(staging)}")
-    return _finish(store, table, seen.get, started)
+        if not store.exists(table) or staged not in _in_use(store, table):
+            store.spark.sql(f"DROP TABLE IF EXISTS {store.name(staged)}")
+    return _finish(store, table, seen, started)
 
 
 def _merge_into(
-    store: Store, table: str, fresh: DataFrame, key: str, facts: KeyFacts, incoming: int
+    store: Store,
+    table: str,
+    fresh: DataFrame,
+    key: str,
+    facts: KeyFacts,
+    incoming: int,
+    as_is: str | None,
 ) -> None:
+    """Merge aligned rows. `as_is` names the table that already holds exactly them, if there is one."""
     marks, base = _marks(store, table), store.table(table)
     if marks.get(_UNIQUE) != key:
         require_unique(base, key, f"existing rows of {table}")
 
-    rows = int(marks[_ROWS])
     changed = int(marks.get(_CHANGED_ROWS, 0)) + incoming
     key_bytes = int(marks.get(_CHANGED_KEY_BYTES, 0)) + facts.key_bytes
     same_key = _CHANGES not in marks or marks.get(_UNIQUE) == key
-    if not same_key or changed > CHANGES_SHARE * rows or key_bytes > CHANGES_KEY_BYTES:
+    few = changed <= CHANGES_SHARE * int(marks[_ROWS]) and key_bytes <= CHANGES_KEY_BYTES
+    if not (same_key and few):
         version, wrote = _write_version(store, table, upsert(base, fresh, key, facts))
         _point(store, table, {_CURRENT: version, _ROWS: wrote["rows"], _UNIQUE: key})
         return
 
-    full = with_carried(base, fresh, key, facts).select(*[f"`{name}`" for name in base.columns])
-    if _CHANGES in marks:
-        full = upsert(store.table(marks[_CHANGES]), full, key, facts)
-    changes, wrote = _write_version(store, table, full, kind="c")
-    apart = {
-        _CHANGES: changes,
-        _CHANGED_ROWS: wrote["rows"],
-        _CHANGED_KEY_BYTES: key_bytes,
-        _UNIQUE: key,
-    }
+    if as_is and _CHANGES not in marks:
+        changes, changed = as_is, incoming
+    else:
+        full = with_carried(base, fresh, key, facts).select(*[f"`{name}`" for name in base.columns])
+        if _CHANGES in marks:
+            full = upsert(store.table(marks[_CHANGES]), full, key, facts)
+        changes, wrote = _write_version(store, table, full, kind="c")
+        changed = wrote["rows"]
+    apart = {_CHANGES: changes, _CHANGED_ROWS: changed, _CHANGED_KEY_BYTES: key_bytes, _UNIQUE: key}
     _point(store, table, marks | apart)

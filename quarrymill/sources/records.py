@@ -64,14 +64,19 @@ def scan_jdbc_full(
     identifier: str | None = None,
     schema: str | None = None,
     properties: Mapping[str, str] | None = None,
+    predicates: list[str] | None = None,
 ) -> DataFrame:
     """A whole database table, read in parallel ranges of a numeric, date or timestamp column.
 
-    The ranges cover every value, so no row is skipped or read twice however the column repeats.
-    Filters and columns of what follows are pushed into the queries.
+    The ranges cover every value and NULL, so no row is skipped or read twice however the column
+    repeats. Where its values are so uneven that one range holds most rows, give `predicates`
+    instead: conditions, one query each, that together select every row once. Filters and columns
+    of what follows are pushed into the queries.
     """
     table = table_identifier(stream, identifier, schema)
     reader = jdbc_reader(spark, url, properties)
+    if predicates:
+        return reader.jdbc(url, table, predicates=predicates, properties=dict(properties or {}))
     if partition_column is None:
         return reader.option("dbtable", table).load()
     bounds = (

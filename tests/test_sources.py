@@ -161,6 +161,58 @@ def test_partition_options():
     assert found == {"partitionColumn": "id", "lowerBound": "1", "upperBound": "900", "numPartitions": "16"}
 
 
+class FakeReader:
+    """Stands in for a JDBC reader, as there is no database here: keeps options, answers with rows."""
+
+    def __init__(self, answer):
+        self.answer, self.asked, self.opts = answer, [], {}
+
+    def option(self, key, value):
+        copy = FakeReader(self.answer)
+        copy.asked, copy.opts = self.asked, self.opts | {key: value}
+        return copy
+
+    def options(self, **opts):
+        copy = self
+        for key, value in opts.items():
+            copy = copy.option(key, value)
+        return copy
+
+    def load(self):
+        self.asked.append(self.opts)
+        return self.answer(self.opts)
+
+    def jdbc(self, url, table, predicates, properties):
+        self.asked.append({"table": table, "predicates": predicates})
+        return self.answer({})
+
+
+def test_database_scan_covers_the_whole_range(monkeypatch, spark, frame):
+    orders = spark.range(1, 901).withColumnRenamed("id", "order_id")
+    reader = FakeReader(lambda opts: orders.selectExpr("min(order_id)", "max(order_id)") if "query" in opts else orders)
+    monkeypatch.setattr(records, "jdbc_reader", lambda *args: reader)
+    assert records.scan_jdbc_full(spark, "jdbc:x", "sales.orders", "order_id", 16).count() == 900
+    bounds, scan = reader.asked
+    assert bounds["query"] == "select min(order_id) lo, max(order_id) hi from sales.orders"
+    assert scan == {
+        "dbtable": "sales.orders", "partitionColumn": "order_id", "lowerBound": "1", "upperBound": "900",
+        "numPartitions": "16",
+    }
+    records.scan_jdbc_full(spark, "jdbc:x", "orders")
+    assert reader.asked[-1] == {"dbtable": "public.orders"}
+    halves = ["a < 5 or a is null", "a >= 5"]
+    records.scan_jdbc_full(spark, "jdbc:x", "orders", predicates=halves)
+    assert reader.asked[-1] == {"table": "public.orders", "predicates": halves}
+
+
+def test_database_scan_of_an_empty_table(monkeypatch, spark, frame):
+    empty = frame("order_id bigint")
+    reader = FakeReader(lambda opts: empty.selectExpr("min(order_id)", "max(order_id)") if "query" in opts else empty)
+    monkeypatch.setattr(records, "jdbc_reader", lambda *args: reader)
+    assert records.scan_jdbc_full(spark, "jdbc:x", "orders", "order_id", 16).isEmpty()
+    assert "numPartitions" not in reader.asked[-1]
+
+
 def test_cursor_is_compared_by_type(frame, rows):
     df = frame("c bigint", (8,), (9,), (10,), (None,))
     assert rows(records.scan_cursor(df, "c", "9")) == [(10,)]
