@@ -6,13 +6,14 @@ value, and the newest line of a key counts. Writers never rewrite each other's m
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, replace
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarrymill.operators.quality import TestedModel, run_column_tests
 from quarrymill.sinks.store import (
     LoadResult,
     Store,
@@ -171,3 +172,13 @@ def _load(
     if field and result.measured["high"] is not None:
         cursor_set(store, source, cursor_key(stream, field), result.measured["high"])
     return result
+
+
+def run_source_tests(store: Store, source: str, streams: Mapping[str, StreamConfig]) -> DataFrame:
+    """The column tests that streams declare, run on their raw tables."""
+    tested = [
+        TestedModel(raw_table(source, stream), store.table(raw_table(source, stream)), config.column_tests)
+        for stream, config in streams.items()
+        if config.column_tests
+    ]
+    return run_column_tests(store.spark, tested)

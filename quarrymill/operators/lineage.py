@@ -12,26 +12,38 @@ from quarrymill.operators.skew import own_shuffle
 from quarrymill.session import shared_dir
 
 
-def graph_ancestors(edges: DataFrame, start: DataFrame, id_col: str = "id") -> DataFrame:
+def graph_ancestors(
+    edges: DataFrame, start: DataFrame, id_col: str = "id", edges_are_stored: bool = False
+) -> DataFrame:
     """Everything the start nodes depend on, directly or not, and the start nodes themselves."""
-    return _reach(edges.select(F.col("downstream").alias("near"), F.col("upstream").alias("far")), start, id_col)
+    steps = edges.select(F.col("downstream").alias("near"), F.col("upstream").alias("far"))
+    return _reach(steps, start, id_col, edges_are_stored)
 
 
-def graph_descendants(edges: DataFrame, start: DataFrame, id_col: str = "id") -> DataFrame:
+def graph_descendants(
+    edges: DataFrame, start: DataFrame, id_col: str = "id", edges_are_stored: bool = False
+) -> DataFrame:
     """Everything that depends on the start nodes, directly or not, and the start nodes themselves."""
-    return _reach(edges.select(F.col("upstream").alias("near"), F.col("downstream").alias("far")), start, id_col)
+    steps = edges.select(F.col("upstream").alias("near"), F.col("downstream").alias("far"))
+    return _reach(steps, start, id_col, edges_are_stored)
 
 
-def _reach(steps: DataFrame, start: DataFrame, id_col: str) -> DataFrame:
+def _reach(steps: DataFrame, start: DataFrame, id_col: str, stored: bool) -> DataFrame:
     """Breadth-first over the newest nodes only, one round per level; cycles end by themselves.
 
-    Each round's new nodes are written to the shared folder. That cuts the lineage, survives lost
-    executors, and tells Catalyst the true size of the frontier, so that it broadcasts a small one
-    and the edges are only scanned. A frontier holds each node once: a node with very many edges
-    makes the edge side of the join skewed, which AQE splits, and never the frontier side.
+    The edges are read once per round, so computed ones are stored first; pass `edges_are_stored`
+    for a plain table. Each round's new nodes are written to the shared folder. That cuts the
+    lineage, survives lost executors, and tells Catalyst the true size of the frontier: a small
+    one is broadcast and the edges are only scanned. A frontier holds each node once, so a node
+    with very many edges makes the edge side of the join skewed, which Spark splits at run time.
     """
     spark = steps.sparkSession
     folder = f"{shared_dir(spark)}/reach_{uuid.uuid4().hex}"
+    steps = steps.filter("near is not null and far is not null")
+    if not stored:
+        steps.write.parquet(f"{folder}/edges")
+        steps = spark.read.schema(steps.schema).parquet(f"{folder}/edges")
+
     levels: list[str] = []
     frontier = start.select(F.col(id_col).alias("id")).filter("id is not null").distinct()
     shape = frontier.schema
@@ -44,7 +56,7 @@ def _reach(steps: DataFrame, start: DataFrame, id_col: str) -> DataFrame:
             return seen
         newest = spark.read.schema(shape).parquet(levels[-1])
         reached = steps.join(newest, steps["near"] == newest["id"]).select(F.col("far").alias("id"))
-        frontier = reached.filter("id is not null").distinct().join(seen, "id", "left_anti")
+        frontier = reached.distinct().join(seen, "id", "left_anti")
 
 
 def select_nodes(nodes: DataFrame, method: str, value: str) -> DataFrame:

@@ -7,10 +7,11 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarrymill.operators import lineage, quality
+from quarrymill.operators import cursors, lineage, quality
 from quarrymill.plans import tables
 from quarrymill.plans.registry import query
 from quarrymill.plans.tables import load, with_raw
+from quarrymill.sinks.store import scratch_store
 
 # --- column tests -----------------------------------------------------------------------------
 
@@ -89,9 +90,12 @@ def run_column_tests(spark, sf_dir):
 )
 def source_column_tests(spark, sf_dir):
     """Tests declared on a stream, run on its raw table. Charge ids repeat in this data."""
-    declared = {"id": ["unique", "not_null"], "customer": ["not_null"]}
-    charges = quality.TestedModel("raw_stripe_charges", tables.raw_stripe_charges(spark, sf_dir), declared)
-    return quality.run_column_tests(spark, [charges]).select("model", "column", "test", "status", "failures")
+    store = scratch_store(spark, "source_tests")
+    declared = cursors.StreamConfig(column_tests={"id": ["unique", "not_null"], "customer": ["not_null"]})
+    charges = tables.raw_stripe_charges(spark, sf_dir)
+    cursors.load_stream(store, "stripe", "charges", lambda mark: charges, declared)
+    results = cursors.run_source_tests(store, "stripe", {"charges": declared})
+    return results.select("model", "column", "test", "status", "failures")
 
 
 @query(
