@@ -6,7 +6,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarrymill.functions.types import apply_types, cast_column, number_digits, numeric_type
+from quarrymill.functions.columns import exact
+from quarrymill.functions.types import (
+    apply_types,
+    cast_column,
+    number_digits,
+    numeric_type,
+    text_schema,
+)
 
 # The text shape of each CSV class. `\z` is the very end of the text.
 CSV_SHAPES = {
@@ -74,7 +81,7 @@ def infer_csv_types(df: DataFrame) -> dict[str, str]:
     """
     if not df.columns:
         return {}
-    named = df.select(*[F.col(f"`{name}`").alias(str(i)) for i, name in enumerate(df.columns)])
+    named = df.select(*[exact(name).alias(str(i)) for i, name in enumerate(df.columns)])
     values = named.unpivot([], named.columns, "column", "value").filter("value is not null")
     classed = values.select("column", "value", _csv_bit(F.col("value")).alias("class"))
     numeric = F.when(F.col("class") == _CSV_BIT["numeric"], F.col("value"))
@@ -142,9 +149,8 @@ def type_json(df: DataFrame, json_col: str, types: dict[str, str]) -> DataFrame:
 
     One parse per row: all keys are read as text, in which objects and arrays are their JSON.
     """
-    others = [F.col(f"`{name}`") for name in df.columns if name != json_col]
-    shape = ", ".join(f"`{name}` string" for name in sorted(types))
-    parsed = F.from_json(F.col(json_col), shape, {"mode": "FAILFAST"})
+    others = [exact(name) for name in df.columns if name != json_col]
+    parsed = F.from_json(F.col(json_col), text_schema(sorted(types)), {"mode": "FAILFAST"})
     flat = df.select(*others, parsed.alias("\0doc"))
     return flat.select(
         *others, *[_typed(F.col("\0doc")[name], kind).alias(name) for name, kind in sorted(types.items())]

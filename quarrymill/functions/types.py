@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quarrymill.functions.columns import exact
+
 # Warehouse type name -> Spark type.
 # `numeric` has no scale of its own: it is measured (see `numeric_type_of`).
 WAREHOUSE_TYPES = {
@@ -75,6 +77,11 @@ _MAX_PRECISION = 38
 _BIGINT_DIGITS = 19
 
 
+def text_schema(names: Iterable[str]) -> T.StructType:
+    """Every column as text, to be cast later."""
+    return T.StructType([T.StructField(name, T.StringType()) for name in names])
+
+
 def spark_type(warehouse_type: str) -> str:
     """The Spark type of a warehouse type. `numeric(p,s)` is a decimal of that size."""
     name = warehouse_type.strip().lower()
@@ -163,9 +170,21 @@ def _with_seconds(text: Column) -> Column:
     return F.when(zone_follows, spelled).otherwise(text)
 
 
+def _iso(ts: Column) -> Column:
+    """A time as ISO text in UTC, to the millisecond, or to the microsecond where that says more."""
+    whole = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+    finer = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    return F.when(F.unix_micros(ts) % 1000 == 0, whole).otherwise(finer)
+
+
 def _castable(value: Column, from_type: T.DataType, warehouse_type: str) -> Column:
-    if warehouse_type == "timestamptz" and isinstance(from_type, T.StringType):
-        return _with_seconds(value)
+    if isinstance(from_type, T.StringType):
+        return _with_seconds(value) if warehouse_type == "timestamptz" else value
+    if spark_type(warehouse_type) == "string":
+        if isinstance(from_type, (T.ArrayType, T.MapType, T.StructType)):
+            return F.to_json(value)
+        if isinstance(from_type, (T.TimestampType, T.TimestampNTZType)):
+            return _iso(value.cast("timestamp"))
     return value
 
 
@@ -194,7 +213,7 @@ def settle_numeric(df: DataFrame, types: Mapping[str, str]) -> dict[str, str]:
     }
     unsized = [name for name in bare if name not in sized]
     if unsized:
-        digits = [number_digits(F.col(f"`{name}`").cast("string")) for name in unsized]
+        digits = [number_digits(exact(name).cast("string")) for name in unsized]
         most = df.agg(*[F.max(part) for pair in digits for part in pair]).first()
         sized |= {
             name: numeric_type(name, most[2 * i], most[2 * i + 1]) for i, name in enumerate(unsized)
@@ -208,7 +227,7 @@ def apply_types(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     settled = settle_numeric(df, full)
     return df.select(
         *[
-            cast_column(F.col(f"`{name}`"), df.schema[name].dataType, settled[name]).alias(name)
+            cast_column(exact(name), df.schema[name].dataType, settled[name]).alias(name)
             for name in df.columns
         ]
     )
@@ -240,11 +259,11 @@ def coerce_or_reject(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
         if kind == "numeric":
             raise ValueError(f"give {name!r} a sized type, numeric(p,s), to load with rejects")
     cast = {
-        name: try_cast_column(F.col(f"`{name}`"), df.schema[name].dataType, kind)
+        name: try_cast_column(exact(name), df.schema[name].dataType, kind)
         for name, kind in settled.items()
     }
     bad = [
-        F.when(F.col(f"`{name}`").isNotNull() & value.isNull(), F.lit(name))
+        F.when(exact(name).isNotNull() & value.isNull(), F.lit(name))
         for name, value in cast.items()
     ]
     return df.select(

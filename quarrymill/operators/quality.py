@@ -5,11 +5,14 @@ from __future__ import annotations
 import time
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarrymill.functions.columns import exact
+
 KNOWN_TESTS = ("unique", "not_null")
 RESULT_SCHEMA = (
     "model string, column string, test string, status string, failures bigint, "
@@ -17,6 +20,9 @@ RESULT_SCHEMA = (
 )
 Tests = Mapping[str, Sequence[str]]
 
+# Every row is repeated once per column of a grouping, so wide tables are tested in a few scans.
+_COLUMNS_AT_ONCE = 16
+
 
 @dataclass(frozen=True)
 class TestedModel:
@@ -29,9 +35,6 @@ class TestedModel:
     __test__ = False
 
 
-def _col(name: str):
-    return F.col(f"`{name}`")
-
 
 def check_known(tests: Tests) -> None:
     for column, names in tests.items():
@@ -42,10 +45,10 @@ def check_known(tests: Tests) -> None:
 
 def null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """`(column, test, failures)`: rows that are NULL, all columns in one aggregate."""
-    counts = df.agg(*[F.count_if(_col(name).isNull()).alias(name) for name in columns])
+    counts = df.agg(*[F.count_if(exact(name).isNull()).alias(name) for name in columns])
     return counts.select(
         F.explode(
-            F.array(*[F.struct(F.lit(name).alias("column"), _col(name).alias("failures")) for name in columns])
+            F.array(*[F.struct(F.lit(name).alias("column"), exact(name).alias("failures")) for name in columns])
         ).alias("r")
     ).select("r.column", F.lit("not_null").alias("test"), "r.failures")
 
@@ -57,7 +60,7 @@ def duplicate_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     own type, and counts are combined map-side, so a value that fills a third of the table
     arrives as one row per task.
     """
-    keys = [_col(name) for name in columns]
+    keys = [exact(name) for name in columns]
     per_value = df.groupingSets([[key] for key in keys], *keys).agg(
         F.count(F.lit(1)).alias("\0n"), F.grouping_id().alias("\0set")
     )
@@ -67,7 +70,7 @@ def duplicate_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     counts = per_value.agg(
         *[
             F.count_if(
-                (F.col("\0set") == set_of[name]) & _col(name).isNotNull() & (F.col("\0n") > 1)
+                (F.col("\0set") == set_of[name]) & exact(name).isNotNull() & (F.col("\0n") > 1)
             ).alias(f"\0{i}")
             for i, name in enumerate(columns)
         ]
@@ -91,11 +94,11 @@ def column_test_counts(df: DataFrame, tests: Tests) -> DataFrame:
     parts = []
     if wanted["not_null"]:
         parts.append(null_counts(df, wanted["not_null"]))
-    if wanted["unique"]:
-        parts.append(duplicate_counts(df, wanted["unique"]))
+    for first in range(0, len(wanted["unique"]), _COLUMNS_AT_ONCE):
+        parts.append(duplicate_counts(df, wanted["unique"][first : first + _COLUMNS_AT_ONCE]))
     if not parts:
         raise ValueError("no tests to run")
-    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _failures(model: TestedModel, tests: Tests) -> list[tuple]:
@@ -156,7 +159,7 @@ def all_passed(results: DataFrame) -> bool:
 def duplicate_ids(df: DataFrame, *keys: str) -> DataFrame:
     """Keys that occur more than once, with how often."""
     return (
-        df.groupBy(*[_col(key) for key in keys])
+        df.groupBy(*[exact(key) for key in keys])
         .agg(F.count(F.lit(1)).alias("copies"))
         .filter(F.col("copies") > 1)
     )

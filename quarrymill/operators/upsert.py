@@ -14,6 +14,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarrymill.functions.columns import exact
 from quarrymill.functions.types import exact_cast
 
 
@@ -35,9 +36,6 @@ class KeyFacts:
     key_bytes: int
 
 
-def _col(name: str) -> Column:
-    return F.col(f"`{name}`")
-
 
 def key_facts(df: DataFrame, key: str, seq: str | None = None) -> KeyFacts:
     """Range and size of the keys, and how many occur twice (with the same `seq`, if there is one).
@@ -45,14 +43,14 @@ def key_facts(df: DataFrame, key: str, seq: str | None = None) -> KeyFacts:
     Reads only these columns. Counts are combined map-side, so a hot key costs one row per task.
     """
     keys = [key] if seq is None else [key, seq]
-    per_key = df.filter(_col(key).isNotNull()).groupBy(*map(_col, keys)).agg(
+    per_key = df.filter(exact(key).isNotNull()).groupBy(*map(exact, keys)).agg(
         F.count(F.lit(1)).alias("\0n")
     )
     row = per_key.agg(
-        F.min(_col(key)).alias("lowest"),
-        F.max(_col(key)).alias("highest"),
+        F.min(exact(key)).alias("lowest"),
+        F.max(exact(key)).alias("highest"),
         F.count_if(F.col("\0n") > 1).alias("duplicated"),
-        F.sum(F.octet_length(_col(key).cast("string")) + _ROW_OVERHEAD).alias("key_bytes"),
+        F.sum(F.octet_length(exact(key).cast("string")) + _ROW_OVERHEAD).alias("key_bytes"),
     ).first()
     return KeyFacts(row["lowest"], row["highest"], row["duplicated"] or 0, row["key_bytes"] or 0)
 
@@ -65,19 +63,19 @@ def require_unique(df: DataFrame, key: str, what: str, seq: str | None = None) -
 
 
 def latest_per_key(df: DataFrame, key: str, seq: str) -> DataFrame:
-    """The row with the greatest `seq` of every key; rows without a key are all kept.
+    """The row with the greatest `seq` of every key, NULL below all; rows without a key are kept.
 
     `max_by` is combined map-side, unlike a window, which would sort all rows of a hot key in
     one task.
     """
     rest = [name for name in df.columns if name != key]
     newest = (
-        df.filter(_col(key).isNotNull())
-        .groupBy(_col(key))
-        .agg(F.max_by(F.struct(*map(_col, rest)), _col(seq)).alias("\0row"))
-        .select(_col(key), *[F.col("\0row").getField(name).alias(name) for name in rest])
+        df.filter(exact(key).isNotNull())
+        .groupBy(exact(key))
+        .agg(F.max_by(F.struct(*map(exact, rest)), F.struct(exact(seq).isNotNull(), exact(seq))).alias("\0row"))
+        .select(exact(key), *[F.col("\0row").getField(name).alias(name) for name in rest])
     )
-    return newest.unionByName(df.filter(_col(key).isNull()))
+    return newest.unionByName(df.filter(exact(key).isNull()))
 
 
 def align(df: DataFrame, target: DataFrame, what: str) -> DataFrame:
@@ -87,7 +85,7 @@ def align(df: DataFrame, target: DataFrame, what: str) -> DataFrame:
         raise ValueError(f"{what}: the target has no column {', '.join(map(repr, unknown))}")
     return df.select(
         *[
-            exact_cast(_col(name), df.schema[name].dataType, target.schema[name].dataType).alias(name)
+            exact_cast(exact(name), df.schema[name].dataType, target.schema[name].dataType).alias(name)
             for name in df.columns
         ]
     )
@@ -95,11 +93,11 @@ def align(df: DataFrame, target: DataFrame, what: str) -> DataFrame:
 
 def _inside(base: DataFrame, key: str, facts: KeyFacts) -> DataFrame:
     """Base rows that an update can match; the range reaches the scan and skips row groups."""
-    return base.filter(_col(key).between(F.lit(facts.lowest), F.lit(facts.highest)))
+    return base.filter(exact(key).between(F.lit(facts.lowest), F.lit(facts.highest)))
 
 
 def _outside(base: DataFrame, key: str, facts: KeyFacts) -> DataFrame:
-    value = _col(key)
+    value = exact(key)
     return base.filter(value.isNull() | (value < F.lit(facts.lowest)) | (value > F.lit(facts.highest)))
 
 
@@ -112,12 +110,12 @@ def with_carried(base: DataFrame, updates: DataFrame, key: str, facts: KeyFacts)
     carried = [name for name in base.columns if name not in updates.columns]
     if not carried:
         return updates
-    keyed = updates.filter(_col(key).isNotNull())
+    keyed = updates.filter(exact(key).isNotNull())
     if facts.lowest is None:
         return updates.unionByName(base.limit(0), allowMissingColumns=True)
-    replaced = _inside(base, key, facts).join(keyed.select(_col(key)), on=key, how="left_semi")
-    full = keyed.join(replaced.select(_col(key), *map(_col, carried)), on=key, how="left")
-    return full.unionByName(updates.filter(_col(key).isNull()), allowMissingColumns=True)
+    replaced = _inside(base, key, facts).join(keyed.select(exact(key)), on=key, how="left_semi")
+    full = keyed.join(replaced.select(exact(key), *map(exact, carried)), on=key, how="left")
+    return full.unionByName(updates.filter(exact(key).isNull()), allowMissingColumns=True)
 
 
 def upsert(base: DataFrame, updates: DataFrame, key: str, facts: KeyFacts) -> DataFrame:
@@ -129,6 +127,6 @@ def upsert(base: DataFrame, updates: DataFrame, key: str, facts: KeyFacts) -> Da
     full = with_carried(base, updates, key, facts)
     if facts.lowest is None:
         return base.unionByName(full)
-    keys = updates.filter(_col(key).isNotNull()).select(_col(key))
+    keys = updates.filter(exact(key).isNotNull()).select(exact(key))
     kept = _inside(base, key, facts).join(keys, on=key, how="left_anti")
     return _outside(base, key, facts).unionByName(kept).unionByName(full)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quarrymill.functions.columns import exact
 from quarrymill.session import pin
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,7 +39,7 @@ def comparable(df: DataFrame) -> DataFrame:
     """Result types that two engines print alike: exact decimals as doubles, UTC wall-clock times."""
 
     def plain(field: T.StructField):
-        column = F.col(f"`{field.name}`")
+        column = exact(field.name)
         if isinstance(field.dataType, T.DecimalType):
             return column.cast("double").alias(field.name)
         if isinstance(field.dataType, T.TimestampType):

@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quarrymill.functions.columns import exact, quoted
 from quarrymill.functions.types import spark_type
 from quarrymill.operators.upsert import (
     KeyFacts,
@@ -71,7 +72,7 @@ class Store:
     database: str
 
     def name(self, table: str) -> str:
-        return f"`{self.database}`.`{table}`"
+        return f"{quoted(self.database)}.{quoted(table)}"
 
     def exists(self, table: str) -> bool:
         return self.spark.catalog.tableExists(self.name(table))
@@ -87,14 +88,14 @@ class Store:
     def versions(self, table: str) -> list[str]:
         """The physical tables that are or were behind a published table."""
         rows = self.spark.sql(
-            f"SHOW TABLES IN `{self.database}` LIKE '{table}__v*|{table}__c*'"
+            f"SHOW TABLES IN {quoted(self.database)} LIKE '{table}__v*|{table}__c*'"
         ).collect()
         return sorted(row["tableName"] for row in rows)
 
 
 def open_store(spark: SparkSession, database: str, location: str | None = None) -> Store:
     where = f" LOCATION '{location}'" if location else ""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`{where}")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(database)}{where}")
     return Store(spark, database)
 
 
@@ -126,14 +127,14 @@ def _observed(df: DataFrame, seen: Observation, measures: dict[str, Column] | No
 def _point(store: Store, table: str, marks: dict[str, str | int | None]) -> None:
     """Make the view show what the marks say, in one catalog operation."""
     kept = {key: str(value) for key, value in marks.items() if value is not None}
-    listed = ", ".join(f"'{key}' = '{value}'" for key, value in kept.items())
+    listed = ", ".join(f"'{key}' = {_literal(value)}" for key, value in kept.items())
     version = store.name(kept[_CURRENT])
     rows = f"SELECT * FROM {version}"
     if _CHANGES in kept:
-        changes, key = store.name(kept[_CHANGES]), kept[_UNIQUE]
+        changes, key = store.name(kept[_CHANGES]), quoted(kept[_UNIQUE])
         rows = (
             f"SELECT /*+ BROADCAST(c) */ v.* FROM {version} v "
-            f"LEFT ANTI JOIN (SELECT `{key}` FROM {changes} WHERE `{key}` IS NOT NULL) c ON v.`{key}` = c.`{key}` "
+            f"LEFT ANTI JOIN (SELECT {key} FROM {changes} WHERE {key} IS NOT NULL) c ON v.{key} = c.{key} "
             f"UNION ALL SELECT * FROM {changes}"
         )
     store.spark.sql(
@@ -141,6 +142,11 @@ def _point(store: Store, table: str, marks: dict[str, str | int | None]) -> None
     )
 
 
+def _literal(text: str) -> str:
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
 def _marks(store: Store, table: str) -> dict[str, str]:
     marks = {k: v for k, v in store.properties(table).items() if k.startswith("quarrymill.")}
     if _CURRENT not in marks:
@@ -263,7 +269,7 @@ def write_append(
     batch = align(df, target, f"append to {table}")
     filled = batch.select(
         *[
-            F.col(f"`{field.name}`")
+            exact(field.name)
             if field.name in batch.columns
             else F.lit(None).cast(field.dataType).alias(field.name)
             for field in target.schema.fields
@@ -359,7 +365,7 @@ def _merge_into(
     if as_is and _CHANGES not in marks:
         changes, changed = as_is, incoming
     else:
-        full = with_carried(base, fresh, key, facts).select(*[f"`{name}`" for name in base.columns])
+        full = with_carried(base, fresh, key, facts).select(*map(exact, base.columns))
         if _CHANGES in marks:
             full = upsert(store.table(marks[_CHANGES]), full, key, facts)
         changes, wrote = _write_version(store, table, full, kind="c")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarrymill.functions.columns import exact
 from quarrymill.functions.inference import infer_json_types, type_json
 from quarrymill.operators.skew import own_shuffle
 
@@ -28,7 +29,7 @@ def scan_api_pages(pages: DataFrame, value: str = "value") -> DataFrame:
 
     All other columns of `pages` stay, so a page number among them keeps the page order.
     """
-    others = [F.col(f"`{name}`") for name in pages.columns if name != value]
+    others = [exact(name) for name in pages.columns if name != value]
     page = F.from_json(F.col(value), _PAGE_SHAPE, {"mode": "FAILFAST"})
     opened = pages.select(*others, page.alias("\0page"))
     return opened.select(*others, F.posexplode(F.col("\0page.data")).alias("position", "record"))

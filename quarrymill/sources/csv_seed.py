@@ -48,8 +48,9 @@ def scan_seed_tree(spark: SparkSession, root: str) -> DataFrame:
         .load(root)
         .select("path", "length")
     )
-    base = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root).toUri().getPath().rstrip("/")
-    relative = F.expr(f"substring(path, instr(path, '{base}/') + {len(base) + 1})")
+    # Listed paths start with the scheme; a root without one stands after it.
+    base = root.rstrip("/") + "/"
+    relative = F.substr(F.col("path"), F.instr(F.col("path"), base) + len(base))
     seed = F.regexp_extract(relative, r"^(.*?\.csv)(/|$)", 1)
     return (
         files.withColumn("seed", seed)

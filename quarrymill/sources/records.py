@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
-from quarrymill.functions.types import apply_clickhouse_types
+from quarrymill.functions.types import apply_clickhouse_types, text_schema
 
 
 def scan_table(spark: SparkSession, name: str) -> DataFrame:
@@ -22,8 +22,7 @@ def scan_jsonl(
     Values are read as text first, because 64-bit integers arrive as strings. Blank lines are
     skipped; a line that is not JSON fails the job. Lines split, so one file is many tasks.
     """
-    shape = ", ".join(f"`{name}` string" for name in declared)
-    text = spark.read.schema(shape).option("mode", "FAILFAST").json(path)
+    text = spark.read.schema(text_schema(declared)).option("mode", "FAILFAST").json(path)
     return apply_clickhouse_types(text, declared, wide_uint64)
 
 

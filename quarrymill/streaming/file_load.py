@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from quarrymill.sinks.store import Store, write_merge
+from quarrymill.functions.columns import quoted
 from quarrymill.session import shared_dir
+from quarrymill.sinks.store import Store, write_merge
 
 
 def stream_load(
@@ -72,7 +73,7 @@ def _landing_view(store: Store, table: str, folder: str, schema: T.StructType) -
     spark.createDataFrame([], schema).write.mode("overwrite").parquet(
         f"{folder}/query_id=none/batch_id=-1"
     )
-    columns = ", ".join(f"`{name}`" for name in schema.names)
+    columns = ", ".join(map(quoted, schema.names))
     spark.sql(
         f"CREATE OR REPLACE VIEW {store.name(table)} AS SELECT {columns} FROM parquet.`{folder}`"
     )

@@ -31,6 +31,12 @@ def test_unique_counts_many_columns_at_once(frame, rows):
     assert rows(found) == [("a", "unique", 2), ("b", "unique", 1), ("c", "not_null", 1), ("c", "unique", 1)]
 
 
+def test_unique_of_very_many_columns(spark, rows):
+    wide = spark.range(3).selectExpr(*[f"if({i} % 2 = 0, id, 0) as c{i}" for i in range(70)])
+    found = quality.column_test_counts(wide, {f"c{i}": ["unique"] for i in range(70)})
+    assert {r["column"]: r["failures"] for r in found.collect()} == {f"c{i}": i % 2 for i in range(70)}
+
+
 def test_of_an_empty_table_passes(frame, rows):
     df = frame("a int")
     assert rows(quality.column_test_counts(df, {"a": ["unique", "not_null"]})) == [

@@ -182,3 +182,18 @@ def test_a_scale_is_never_rounded_away(frame):
         align(frame("n decimal(10,4)", (Decimal("1.2525"),)), target, "t").collect()
     with pytest.raises(Exception, match="cannot keep all decimals"):
         align(frame("n string", ("1.255",)), target, "t").collect()
+
+
+def test_nested_values_and_times_as_text(spark):
+    row = spark.sql("select array(1, 2) a, named_struct('k', 1) s, timestamp'2024-01-01 00:00:00' t, "
+                    "timestamp'2024-01-01 00:00:00.000001' u")
+    assert types.apply_types(row, {"a": "jsonb"}).first() == (
+        "[1,2]", '{"k":1}', "2024-01-01T00:00:00.000Z", "2024-01-01T00:00:00.000001Z",
+    )
+
+
+def test_odd_names(frame):
+    text = frame("`a.b` string, `c``d` string", ("1", "x"))
+    assert type_csv(text).dtypes == [("a.b", "bigint"), ("c`d", "string")]
+    docs = frame("doc string", ('{"a.b": 1, "c`d": "x", "e f": [1]}',))
+    assert type_json(docs, "doc", infer_json_types(docs, "doc")).collect() == [(1, "x", "[1]")]

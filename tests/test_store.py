@@ -232,3 +232,17 @@ def test_random_merges_agree_with_a_dict(store, frame):
     found = store.table("u").collect()
     assert {r["id"]: r["name"] for r in found if r["id"] is not None} == expected
     assert len(found) == len(expected) + extra
+
+
+def test_keys_with_odd_names(store, frame, rows):
+    schema = "`it's a.key` int, name string"
+    sinks.write_merge(store, "u", frame(schema, *[(i, "old") for i in range(50)]), "it's a.key")
+    sinks.write_merge(store, "u", frame(schema, (7, "new")), "it's a.key")
+    assert "quarrymill.changes" in store.properties("u")
+    assert rows(store.table("u").filter("name = 'new'")) == [(7, "new")] and store.table("u").count() == 50
+
+
+def test_a_null_sequence_comes_first(store, frame, rows):
+    schema = "id int, name string, n int"
+    sinks.write_merge(store, "u", frame(schema, (1, "a", None), (1, "b", 1), (2, "c", None)), "id", seq="n")
+    assert rows(store.table("u")) == [(1, "b", 1), (2, "c", None)]
