@@ -23,6 +23,7 @@ HEADLINE = [
     "customer_activity",
     "customer_order_counts",
     "customers",
+    "demo_build",
     "rpt_events",
     "agg_group",
     "agg_filter",

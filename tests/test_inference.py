@@ -197,3 +197,9 @@ def test_odd_names(frame):
     assert type_csv(text).dtypes == [("a.b", "bigint"), ("c`d", "string")]
     docs = frame("doc string", ('{"a.b": 1, "c`d": "x", "e f": [1]}',))
     assert type_json(docs, "doc", infer_json_types(docs, "doc")).collect() == [(1, "x", "[1]")]
+
+
+def test_the_last_of_two_equal_json_keys_counts(frame):
+    docs = frame("doc string", ('{"a": 1, "a": "x"}',))
+    found = infer_json_types(docs, "doc")
+    assert found == {"a": "text"} and type_json(docs, "doc", found).collect() == [("x",)]
