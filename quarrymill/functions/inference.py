@@ -36,6 +36,9 @@ _CSV_TYPE_OF_BITS = {
 JSON_RANKS = ("unknown", "boolean", "bigint", "double precision", "text", "jsonb")
 
 
+MOST_JSON_KEYS = 5000
+
+
 def _fits_bigint(digits: Column) -> Column:
     """Whether a whole number's text is in the bigint range, by length and then by digits.
 
@@ -140,8 +143,11 @@ def json_type_table(df: DataFrame, json_col: str) -> DataFrame:
 
 
 def infer_json_types(df: DataFrame, json_col: str) -> dict[str, str]:
-    """The same as a dict: one entry per distinct key."""
-    return {row["key"]: row["type"] for row in json_type_table(df, json_col).collect()}
+    """The same as a dict, to make columns of. Objects keyed by data, not by name, are an error."""
+    rows = json_type_table(df, json_col).limit(MOST_JSON_KEYS + 1).collect()
+    if len(rows) > MOST_JSON_KEYS:
+        raise ValueError(f"{json_col!r} has more than {MOST_JSON_KEYS} distinct keys; they cannot all be columns")
+    return {row["key"]: row["type"] for row in rows}
 
 
 def type_json(df: DataFrame, json_col: str, types: dict[str, str]) -> DataFrame:

@@ -6,7 +6,6 @@ from collections.abc import Callable
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarrymill.functions.columns import exact

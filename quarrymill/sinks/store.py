@@ -13,6 +13,7 @@ keys, which are broadcast, and the changes. Their number is bounded (`CHANGES_SH
 
 from __future__ import annotations
 
+import re
 import time
 import uuid
 from dataclasses import dataclass
@@ -87,10 +88,9 @@ class Store:
 
     def versions(self, table: str) -> list[str]:
         """The physical tables that are or were behind a published table."""
-        rows = self.spark.sql(
-            f"SHOW TABLES IN {quoted(self.database)} LIKE '{table}__v*|{table}__c*'"
-        ).collect()
-        return sorted(row["tableName"] for row in rows)
+        rows = self.spark.sql(f"SHOW TABLES IN {quoted(self.database)} LIKE '{table}__*'").collect()
+        own = re.compile(re.escape(table) + r"__[vc]\d{20}", re.IGNORECASE)
+        return sorted(row["tableName"] for row in rows if own.fullmatch(row["tableName"]))
 
 
 def open_store(spark: SparkSession, database: str, location: str | None = None) -> Store:
@@ -175,10 +175,20 @@ def drop_superseded(store: Store, table: str) -> list[str]:
     return stale
 
 
-def compact(store: Store, table: str) -> None:
-    """Fold changes in and rewrite what many appends left in small files; AQE sizes the new ones."""
-    marks = _marks(store, table)
-    version, seen = _write_version(store, table, store.table(table).hint("rebalance"))
+def compact(store: Store, table: str, sort_by: str | None = None) -> None:
+    """Fold changes in and rewrite what many appends left in small files; AQE sizes the new ones.
+
+    Sorted by the merge key, files cover disjoint key ranges, and later merges and look-ups skip
+    those they cannot need. Rows with equal keys, or none, are spread by a hash of their values.
+    """
+    marks, rows = _marks(store, table), store.table(table)
+    if sort_by:
+        hashable = [f.name for f in rows.schema.fields if "map<" not in f.dataType.simpleString()]
+        spread = F.xxhash64(*map(exact, hashable))
+        rows = rows.repartitionByRange(exact(sort_by), spread).sortWithinPartitions(exact(sort_by))
+    else:
+        rows = rows.hint("rebalance")
+    version, seen = _write_version(store, table, rows)
     _point(store, table, {_CURRENT: version, _ROWS: seen["rows"], _UNIQUE: marks.get(_UNIQUE)})
 
 

@@ -37,3 +37,19 @@ def rows():
     return lambda df, *columns: sorted(
         (tuple(r) for r in (df.select(*columns) if columns else df).collect()), key=repr
     )
+
+
+@pytest.fixture
+def conf(spark):
+    """Set session options for one test."""
+    before = {}
+
+    def change(**options):
+        for name, value in options.items():
+            key = name.replace("__", ".")
+            before.setdefault(key, spark.conf.get(key, None))
+            spark.conf.set(key, value)
+
+    yield change
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)

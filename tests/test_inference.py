@@ -203,3 +203,12 @@ def test_the_last_of_two_equal_json_keys_counts(frame):
     docs = frame("doc string", ('{"a": 1, "a": "x"}',))
     found = infer_json_types(docs, "doc")
     assert found == {"a": "text"} and type_json(docs, "doc", found).collect() == [("x",)]
+
+
+def test_objects_keyed_by_data_are_refused(spark, monkeypatch):
+    from quarrymill.functions import inference
+
+    monkeypatch.setattr(inference, "MOST_JSON_KEYS", 20)
+    docs = spark.range(21).selectExpr("concat('{\"k', id, '\": 1}') as doc")
+    with pytest.raises(ValueError, match="distinct keys"):
+        infer_json_types(docs, "doc")

@@ -246,3 +246,29 @@ def test_a_null_sequence_comes_first(store, frame, rows):
     schema = "id int, name string, n int"
     sinks.write_merge(store, "u", frame(schema, (1, "a", None), (1, "b", 1), (2, "c", None)), "id", seq="n")
     assert rows(store.table("u")) == [(1, "b", 1), (2, "c", None)]
+
+
+def test_sorted_compaction_gives_disjoint_files(store, spark, conf):
+    conf(spark__sql__adaptive__coalescePartitions__enabled="false")
+    shuffled = spark.range(4000).selectExpr("if(id % 3 = 0, null, (id * 7919) % 4001) as id", "id as v")
+    sinks.write_append(store, "u", shuffled)
+    sinks.compact(store, "u", sort_by="id")
+    current = store.table(store.properties("u")["quarrymill.current"])
+    files = (
+        current.groupBy("_metadata.file_name")
+        .agg({"id": "min", "*": "count"})
+        .withColumnRenamed("min(id)", "low")
+        .join(current.groupBy("_metadata.file_name").agg({"id": "max"}), "file_name")
+        .collect()
+    )
+    spans = sorted((f["low"], f["max(id)"]) for f in files if f["low"] is not None)
+    assert all(one[1] <= two[0] for one, two in zip(spans, spans[1:])) and len(spans) > 3
+    assert max(f["count(1)"] for f in files) < 2000 and store.table("u").count() == 4000
+
+
+def test_tables_with_similar_names_are_left_alone(store, frame, rows):
+    sinks.publish_table(store, "a", frame("id int", (1,)))
+    sinks.publish_table(store, "a__c", frame("id int", (2,)))
+    sinks.publish_table(store, "a", frame("id int", (3,)))
+    assert len(sinks.drop_superseded(store, "a")) == 1
+    assert rows(store.table("a")) == [(3,)] and rows(store.table("a__c")) == [(2,)]
