@@ -47,7 +47,7 @@ def scan_csv_seed(spark, sf_dir):
 
 @query(
     "scan_csv_split",
-    """select l_orderkey, l_suppkey, l_linenumber, cast(l_extendedprice as double) as l_extendedprice,
+    """select l_orderkey, l_suppkey, cast(l_linenumber as bigint) as l_linenumber, cast(l_extendedprice as double) as l_extendedprice,
            l_returnflag, l_shipdate from lineitem""",
 )
 def scan_csv_split(spark, sf_dir):

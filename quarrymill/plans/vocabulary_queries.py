@@ -20,6 +20,7 @@ from quarrymill.operators import lineage
 from quarrymill.plans import tables
 from quarrymill.plans.registry import query
 from quarrymill.plans.tables import cents, load, with_raw
+from quarrymill.sources.records import scan_past_target
 
 _CENTS = "cast(cast({} as decimal(18,2)) * 100 as bigint)"
 _UTC = "at time zone 'UTC'"
@@ -108,12 +109,10 @@ def filter_eq(spark, sf_dir):
     where l_shipdate > (select coalesce(max(o_orderdate), timestamp '1970-01-01') from orders)""",
 )
 def filter_gt_max(spark, sf_dir):
-    """Only what is newer than the target: the bound is a scalar subquery, one row by nature."""
-    newest = load(spark, sf_dir, "orders").agg(
-        F.coalesce(F.max("o_orderdate"), F.lit("1970-01-01").cast("timestamp_ntz"))
-    )
+    """Only what is newer than the target, here lines shipped after the last order."""
     lines = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate")
-    return lines.filter(F.col("l_shipdate") > newest.scalar())
+    orders = load(spark, sf_dir, "orders").select(F.col("o_orderdate").alias("l_shipdate"))
+    return scan_past_target(lines, "l_shipdate", orders)
 
 
 # --- joins ------------------------------------------------------------------------------------

@@ -106,3 +106,14 @@ def scan_cursor(
     if overlap:
         return df.filter(F.col(cursor) >= low - F.expr(f"interval {overlap}"))
     return df.filter(F.col(cursor) > low)
+
+
+def scan_past_target(df: DataFrame, cursor: str, target: DataFrame, floor: str = "1970-01-01") -> DataFrame:
+    """Rows newer than anything in `target`, or than `floor` where that is empty.
+
+    The bound is a scalar subquery, one row by nature; Spark runs it first and hands its value to
+    the scan.
+    """
+    kind = df.schema[cursor].dataType
+    newest = target.agg(F.coalesce(F.max(F.col(cursor)).cast(kind), F.lit(floor).cast(kind)))
+    return df.filter(F.col(cursor) > newest.scalar())

@@ -16,7 +16,6 @@ TABLES = (
 
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     db = duckdb.connect()
-    db.execute("set timezone = 'UTC'")
     for name in TABLES:
         db.execute(f"create view {name} as select * from '{Path(sf_dir) / name}.parquet'")
     return db

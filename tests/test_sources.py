@@ -231,3 +231,10 @@ def test_cursor_reaches_the_scan(spark):
     events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
     plan = records.scan_cursor(events, "ts", "2024-01-15 12:00:00")._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThan(ts,2024-01-15T12:00" in plan
+
+
+def test_rows_past_a_target(frame, rows):
+    df = frame("id int, d date", *[(day, dt.date(2024, 1, day)) for day in (1, 2, 3)], (9, None))
+    target = frame("d date", (dt.date(2024, 1, 2),), (None,))
+    assert rows(records.scan_past_target(df, "d", target), "id") == [(3,)]
+    assert rows(records.scan_past_target(df, "d", target.limit(0)), "id") == [(1,), (2,), (3,)]
