@@ -17,6 +17,9 @@ REQUIRED_SETTINGS = {
 }
 
 
+_local_dirs: dict[str, str] = {}
+
+
 def pin(spark: SparkSession) -> SparkSession:
     """Set the run-time options on a session somebody else has built."""
     for key, value in REQUIRED_SETTINGS.items():
@@ -50,9 +53,9 @@ def shared_dir(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        chosen = tempfile.mkdtemp(prefix="quarrymill-")
-    else:
-        chosen = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_quarrymill"
-    spark.conf.set("spark.checkpoint.dir", chosen)
-    return chosen
+    if not spark.sparkContext.master.startswith("local"):
+        return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_quarrymill"
+    application = spark.sparkContext.applicationId
+    if application not in _local_dirs:
+        _local_dirs[application] = tempfile.mkdtemp(prefix="quarrymill-")
+    return _local_dirs[application]

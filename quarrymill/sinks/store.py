@@ -333,11 +333,13 @@ def _merge(
     try:
         batch = store.table(staged)
         facts = require_unique(batch, key, what, seq)
-        if store.exists(table):
+        if store.exists(table) and seen["rows"]:
             base = store.table(table)
             fresh = batch if seq is None else latest_per_key(batch, key, seq)
             as_is = staged if seq is None and batch.dtypes == base.dtypes else None
             _merge_into(store, table, align(fresh, base, what), key, facts, seen["rows"], as_is)
+        elif store.exists(table):
+            align(batch, store.table(table), what)
         elif seq is None:
             _point(store, table, {_CURRENT: staged, _ROWS: seen["rows"], _UNIQUE: key})
         else:

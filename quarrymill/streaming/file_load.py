@@ -54,7 +54,7 @@ def stream_load(
         known.wait()
         batch.write.mode("overwrite").parquet(f"{folder}/query_id={query_id[0]}/batch_id={batch_id}")
 
-    if strategy == "append":
+    if strategy == "append" and not store.exists(table):
         _landing_view(store, table, folder, arriving.schema)
     query = (
         arriving.writeStream.foreachBatch(land)
@@ -70,9 +70,7 @@ def stream_load(
 def _landing_view(store: Store, table: str, folder: str, schema: T.StructType) -> None:
     """The table is a view over the batch folders; an empty one exists from the start."""
     spark = store.spark
-    spark.createDataFrame([], schema).write.mode("overwrite").parquet(
-        f"{folder}/query_id=none/batch_id=-1"
-    )
+    spark.createDataFrame([], schema).write.parquet(f"{folder}/query_id=none/batch_id=-1")
     columns = ", ".join(map(quoted, schema.names))
     spark.sql(
         f"CREATE OR REPLACE VIEW {store.name(table)} AS SELECT {columns} FROM parquet.`{folder}`"

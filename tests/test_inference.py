@@ -212,3 +212,51 @@ def test_objects_keyed_by_data_are_refused(spark, monkeypatch):
     docs = spark.range(21).selectExpr("concat('{\"k', id, '\": 1}') as doc")
     with pytest.raises(ValueError, match="distinct keys"):
         infer_json_types(docs, "doc")
+
+
+def _class_in_python(value):
+    import re
+
+    if value.lower() in ("true", "false"):
+        return "boolean"
+    if re.fullmatch(r"[0-9]{4}-[0-9]{2}-[0-9]{2}", value):
+        return "date"
+    clock = r"[0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]+)?)?"
+    if re.fullmatch(rf"[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}[T ]{clock}(Z|[+-][0-9]{{2}}:?[0-9]{{2}})?", value):
+        return "timestamptz"
+    if re.fullmatch(r"-?[0-9]+", value):
+        return "bigint" if -(2**63) <= int(value) < 2**63 else "numeric"
+    return "numeric" if re.fullmatch(r"-?([0-9]+\.[0-9]*|\.[0-9]+)", value) else "text"
+
+
+def test_csv_classes_agree_with_brute_force(spark):
+    """Many columns of odd values at once; also shows that wide tables are one pass."""
+    import random
+
+    draw = random.Random(3)
+    pieces = [
+        "true", "FALSE", "tru", "t", "2024-01-31", "2024-1-31", "2024-01-31T10:00", "2024-01-31 10:00:00.5+01:00",
+        "2024-01-31T10:00Z", "2024-01-31T10", "0", "-1", "007", "-0", "--1", "1-1", "12-45", "1234-", "-", ".", "-.", "5.",
+        ".5", "-1.50", "1.2.3", "1e5", "9223372036854775807", "9223372036854775808", "-9223372036854775808",
+        "-9223372036854775809", "00009223372036854775807", "12345678901234567890", " 1", "1 ", "1\n", "é", "１", "abc",
+        "2024-01-31\n", "NaN", "+1", "1,5", "0x1", "-2024-01-31",
+    ]
+    columns = {}
+    for i in range(250):
+        chosen = draw.sample(pieces, draw.choice([1, 1, 2, 2, 3]))
+        columns[f"c{i}"] = [draw.choice([*chosen, None]) for _ in range(4)]
+    for i, value in enumerate(pieces):
+        columns[f"only{i}"] = [value] * 4
+
+    def settled(values):
+        seen = {_class_in_python(v) for v in values if v is not None}
+        if len(seen) == 1:
+            return seen.pop()
+        return {frozenset({"bigint", "numeric"}): "numeric", frozenset({"date", "timestamptz"}): "timestamptz"}.get(
+            frozenset(seen), "text"
+        )
+
+    schema = ", ".join(f"{name} string" for name in columns)
+    df = spark.createDataFrame(list(zip(*columns.values())), schema)
+    found = {name: kind.partition("(")[0] for name, kind in infer_csv_types(df).items()}
+    assert found == {name: settled(values) for name, values in columns.items()}

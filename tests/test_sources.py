@@ -238,3 +238,20 @@ def test_rows_past_a_target(frame, rows):
     target = frame("d date", (dt.date(2024, 1, 2),), (None,))
     assert rows(records.scan_past_target(df, "d", target), "id") == [(3,)]
     assert rows(records.scan_past_target(df, "d", target.limit(0)), "id") == [(1,), (2,), (3,)]
+
+
+def test_csv_round_trip_of_odd_text(spark, tmp_path):
+    """What a CSV writer quotes comes back as it was, empty text as NULL."""
+    import csv
+    import random
+
+    draw = random.Random(9)
+    alphabet = ['"', ",", "\n", " ", "a", "é", "'", ";", "\\", "0", "\t"]
+    written = [
+        [str(i), *("".join(draw.choices(alphabet, k=draw.randrange(6))) for _ in range(2)), "end"] for i in range(400)
+    ]
+    path = tmp_path / "odd.csv"
+    with path.open("w", newline="") as out:
+        csv.writer(out, lineterminator="\n").writerows([["id", "a", "b", "z"], *written])
+    found = sorted(csv_seed.scan_csv_text(spark, str(path)).collect(), key=lambda r: int(r["id"]))
+    assert [tuple(r) for r in found] == [tuple(v or None for v in row) for row in written]

@@ -272,3 +272,15 @@ def test_tables_with_similar_names_are_left_alone(store, frame, rows):
     sinks.publish_table(store, "a", frame("id int", (3,)))
     assert len(sinks.drop_superseded(store, "a")) == 1
     assert rows(store.table("a")) == [(3,)] and rows(store.table("a__c")) == [(2,)]
+
+
+def test_an_empty_merge_changes_nothing(store, frame, rows):
+    _hundred(store, frame)
+    before = store.properties("u")
+    assert sinks.write_merge(store, "u", frame(NUMBERED), "id").rows == 0
+    assert store.properties("u") == before and store.table("u").count() == 101
+    with pytest.raises(ValueError, match="'other'"):
+        sinks.write_merge(store, "u", frame("id int, other int"), "id")
+    assert sinks.write_merge(store, "w", frame(NUMBERED), "id").rows == 0
+    sinks.write_merge(store, "w", frame(NUMBERED, (1, "a")), "id")
+    assert rows(store.table("w")) == [(1, "a")]
