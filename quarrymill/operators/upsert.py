@@ -1,9 +1,9 @@
 """Keyed upsert of one DataFrame into another, without a table format underneath.
 
-Rows with a NULL key never match anything: they are appended and never shuffled, so any number of
-them is fine. Of the rest, only base rows inside the key range of the updates take part in the
-join; the others pass through in the scan stage. Catalyst broadcasts the update keys when they are
-small, in which case the base is not shuffled at all.
+Update keys whose measured size is at most `BROADCAST_KEY_BYTES` are broadcast: the base is then
+read once and not shuffled at all. Beyond that, only base rows inside the key range of the updates
+take part in a shuffled join, and the others pass through in the scan stage. Rows with a NULL key
+never match anything: they are appended and never shuffled, so any number of them is fine.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from quarrymill.functions.columns import exact
 from quarrymill.functions.types import exact_cast
 
 
+BROADCAST_KEY_BYTES = 128 * 1024 * 1024
 # What a key costs in a broadcast hash table on top of its own bytes.
 _ROW_OVERHEAD = 32
 
@@ -101,32 +102,39 @@ def _outside(base: DataFrame, key: str, facts: KeyFacts) -> DataFrame:
     return base.filter(value.isNull() | (value < F.lit(facts.lowest)) | (value > F.lit(facts.highest)))
 
 
+def _keys(updates: DataFrame, key: str, facts: KeyFacts) -> DataFrame:
+    keys = updates.filter(exact(key).isNotNull()).select(exact(key))
+    return F.broadcast(keys) if facts.key_bytes <= BROADCAST_KEY_BYTES else keys
+
+
 def with_carried(base: DataFrame, updates: DataFrame, key: str, facts: KeyFacts) -> DataFrame:
     """`updates` with the columns it lacks: their value in the base row it replaces, else NULL.
 
-    The base is first cut to the rows that are replaced, in a join whose small side, the update
-    keys, Catalyst can broadcast.
+    The base is first cut to the rows that are replaced, within the key range of the updates.
     """
     carried = [name for name in base.columns if name not in updates.columns]
     if not carried:
         return updates
-    keyed = updates.filter(exact(key).isNotNull())
     if facts.lowest is None:
         return updates.unionByName(base.limit(0), allowMissingColumns=True)
-    replaced = _inside(base, key, facts).join(keyed.select(exact(key)), on=key, how="left_semi")
+    replaced = _inside(base, key, facts).join(_keys(updates, key, facts), on=key, how="left_semi")
+    keyed = updates.filter(exact(key).isNotNull())
     full = keyed.join(replaced.select(exact(key), *map(exact, carried)), on=key, how="left")
     return full.unionByName(updates.filter(exact(key).isNull()), allowMissingColumns=True)
 
 
 def upsert(base: DataFrame, updates: DataFrame, key: str, facts: KeyFacts) -> DataFrame:
-    """`base` with the rows of `updates` inserted or replaced by key.
+    """`base` with the rows of `updates` inserted or replaced by key, columns in the base's order.
 
     `updates` holds every key at most once (`facts` comes from that check). Columns it lacks keep
     their value in replaced rows and are NULL in inserted ones.
     """
+    columns = [exact(name) for name in base.columns]
     full = with_carried(base, updates, key, facts)
     if facts.lowest is None:
         return base.unionByName(full)
-    keys = updates.filter(exact(key).isNotNull()).select(exact(key))
+    keys = _keys(updates, key, facts)
+    if facts.key_bytes <= BROADCAST_KEY_BYTES:
+        return base.join(keys, on=key, how="left_anti").select(*columns).unionByName(full)
     kept = _inside(base, key, facts).join(keys, on=key, how="left_anti")
-    return _outside(base, key, facts).unionByName(kept).unionByName(full)
+    return _outside(base, key, facts).select(*columns).unionByName(kept).unionByName(full)

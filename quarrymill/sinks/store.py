@@ -8,7 +8,7 @@ people build on `m` bind by name and survive. One writer per table at a time is
 A merge of few rows into a large table does not rewrite the table. It writes the changed rows as
 `m__c<run>`, and the view hides the rows they replace: `m` is then the version without the changed
 keys, which are broadcast, and the changes. Their number is bounded (`CHANGES_SHARE`,
-`CHANGES_KEY_BYTES`); a merge that would exceed it writes a new version with everything folded in.
+`BROADCAST_KEY_BYTES`); a merge that would exceed it writes a new version with everything folded in.
 """
 
 from __future__ import annotations
@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 from quarrymill.functions.columns import exact, quoted
 from quarrymill.functions.types import spark_type
 from quarrymill.operators.upsert import (
+    BROADCAST_KEY_BYTES,
     KeyFacts,
     align,
     latest_per_key,
@@ -35,9 +36,8 @@ from quarrymill.operators.upsert import (
 from quarrymill.session import shared_dir
 
 # Changes are kept apart while they are at most this share of the rows they apply to and their keys
-# at most this large, which is what every reader's executors hold in memory.
+# are small enough to be broadcast (`BROADCAST_KEY_BYTES`) whenever the table is read.
 CHANGES_SHARE = 0.1
-CHANGES_KEY_BYTES = 128 * 1024 * 1024
 
 _CURRENT = "quarrymill.current"
 _CHANGES = "quarrymill.changes"
@@ -132,10 +132,11 @@ def _point(store: Store, table: str, marks: dict[str, str | int | None]) -> None
     rows = f"SELECT * FROM {version}"
     if _CHANGES in kept:
         changes, key = store.name(kept[_CHANGES]), quoted(kept[_UNIQUE])
+        columns = ", ".join(map(quoted, store.table(kept[_CURRENT]).columns))
         rows = (
-            f"SELECT /*+ BROADCAST(c) */ v.* FROM {version} v "
+            f"SELECT /*+ BROADCAST(c) */ {columns} FROM {version} v "
             f"LEFT ANTI JOIN (SELECT {key} FROM {changes} WHERE {key} IS NOT NULL) c ON v.{key} = c.{key} "
-            f"UNION ALL SELECT * FROM {changes}"
+            f"UNION ALL SELECT {columns} FROM {changes}"
         )
     store.spark.sql(
         f"CREATE OR REPLACE VIEW {store.name(table)} TBLPROPERTIES ({listed}) AS {rows}"
@@ -368,7 +369,7 @@ def _merge_into(
     changed = int(marks.get(_CHANGED_ROWS, 0)) + incoming
     key_bytes = int(marks.get(_CHANGED_KEY_BYTES, 0)) + facts.key_bytes
     same_key = _CHANGES not in marks or marks.get(_UNIQUE) == key
-    few = changed <= CHANGES_SHARE * int(marks[_ROWS]) and key_bytes <= CHANGES_KEY_BYTES
+    few = changed <= CHANGES_SHARE * int(marks[_ROWS]) and key_bytes <= BROADCAST_KEY_BYTES
     if not (same_key and few):
         version, wrote = _write_version(store, table, upsert(base, fresh, key, facts))
         _point(store, table, {_CURRENT: version, _ROWS: wrote["rows"], _UNIQUE: key})

@@ -3,8 +3,11 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
+from quarrymill.operators import upsert as upsert_module
 from quarrymill.operators.skew import own_shuffle
+from quarrymill.operators.upsert import key_facts, upsert
 from quarrymill.plans import QUERIES
 
 SF_DIR = "/root/testdata/sf0.01"
@@ -52,15 +55,32 @@ def test_flagship_shuffles_each_fact_once_and_as_partial_sums(spark, conf):
             assert "partial_" in below
 
 
-def test_merge_ranges_reach_the_scan(spark, store):
-    from quarrymill.operators.upsert import key_facts, upsert
-
+def test_few_update_keys_are_broadcast_and_the_base_is_read_once(spark):
     base = spark.read.parquet(f"{SF_DIR}/orders.parquet")
     updates = base.filter("o_orderkey between 100 and 120")
     plan = plan_of(upsert(base, updates, "o_orderkey", key_facts(updates, "o_orderkey")))
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+    assert plan.count("FileScan") == 3  # the base, the keys and the updates
+
+
+def test_many_update_keys_meet_only_their_range_of_the_base(spark, conf, monkeypatch):
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    monkeypatch.setattr(upsert_module, "BROADCAST_KEY_BYTES", 0)
+    orders = spark.read.parquet(f"{SF_DIR}/orders.parquet")
+    base = orders.withColumn("o_orderkey", F.expr("if(o_orderkey % 4 = 0, null, o_orderkey)"))
+    stored = orders.select("o_orderkey", "o_custkey")
+    updates = stored.filter("o_orderkey between 100 and 120")
+    facts = key_facts(updates, "o_orderkey")
+    plan = plan_of(upsert(stored, updates, "o_orderkey", facts))
     assert "GreaterThanOrEqual(o_orderkey,100)" in plan and "LessThanOrEqual(o_orderkey,120)" in plan
     assert "Or(Or(IsNull(o_orderkey),LessThan(o_orderkey,100)),GreaterThan(o_orderkey,120))" in plan
-    assert "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+    merged = upsert(base, updates.withColumn("o_custkey", F.lit(-1)), "o_orderkey", facts)
+    assert merged.count() == base.count() + updates.filter("o_orderkey % 4 = 0").count()
+    assert merged.filter("o_custkey = -1").count() == updates.count()
+    # Columns the updates lack come from the base rows they replace.
+    assert merged.filter("o_custkey = -1 and o_orderstatus is null").count() == 6
 
 
 def test_all_unique_checks_of_a_table_share_one_shuffle(spark):

@@ -219,14 +219,21 @@ def test_merge_by_another_key_after_changes(store, frame, rows):
     assert store.table("u").count() == 100
 
 
-def test_random_merges_agree_with_a_dict(store, frame):
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_random_merges_agree_with_a_dict(store, frame, monkeypatch, broadcast):
+    """The key is the last column; column order must survive every way to merge."""
     import random
 
+    from quarrymill.operators import upsert as upsert_module
+
+    if not broadcast:
+        monkeypatch.setattr(upsert_module, "BROADCAST_KEY_BYTES", 0)
     draw = random.Random(11)
     expected, extra = {}, 0
     for step in range(6):
         keys = draw.sample(range(400), 200 if step == 0 else draw.choice([3, 8, 60]))
-        sinks.write_merge(store, "u", frame(NUMBERED, *[(k, f"s{step}") for k in keys], (None, "n")), "id")
+        batch = [(f"s{step}", step, k) for k in keys] + [("n", step, None)]
+        sinks.write_merge(store, "u", frame("name string, step int, id int", *batch), "id")
         expected |= {k: f"s{step}" for k in keys}
         extra += 1
     found = store.table("u").collect()
