@@ -9,10 +9,10 @@ never match anything: they are appended and never shuffled, so any number of the
 from __future__ import annotations
 
 from dataclasses import dataclass
-from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quarrymill.functions.columns import exact
 from quarrymill.functions.types import exact_cast
@@ -29,10 +29,10 @@ class DuplicateKeyError(ValueError):
 
 @dataclass(frozen=True)
 class KeyFacts:
-    """What one narrow aggregate over the key column tells about a batch."""
+    """What one narrow aggregate over the key column tells about a batch; the range is text."""
 
-    lowest: Any
-    highest: Any
+    lowest: str | None
+    highest: str | None
     duplicated: int
     key_bytes: int
 
@@ -48,8 +48,8 @@ def key_facts(df: DataFrame, key: str, seq: str | None = None) -> KeyFacts:
         F.count(F.lit(1)).alias("\0n")
     )
     row = per_key.agg(
-        F.min(exact(key)).alias("lowest"),
-        F.max(exact(key)).alias("highest"),
+        F.min(exact(key)).cast("string").alias("lowest"),
+        F.max(exact(key)).cast("string").alias("highest"),
         F.count_if(F.col("\0n") > 1).alias("duplicated"),
         F.sum(F.octet_length(exact(key).cast("string")) + _ROW_OVERHEAD).alias("key_bytes"),
     ).first()
@@ -92,14 +92,20 @@ def align(df: DataFrame, target: DataFrame, what: str) -> DataFrame:
     )
 
 
-def _inside(base: DataFrame, key: str, facts: KeyFacts) -> DataFrame:
-    """Base rows that an update can match; the range reaches the scan and skips row groups."""
-    return base.filter(exact(key).between(F.lit(facts.lowest), F.lit(facts.highest)))
+def _within(base: DataFrame, key: str, facts: KeyFacts) -> Column:
+    """Whether an update can match a base row; the range reaches the scan and skips row groups."""
+    kind = base.schema[key].dataType
+    if isinstance(kind, T.BinaryType):
+        return exact(key).isNotNull()
+    return exact(key).between(F.lit(facts.lowest).cast(kind), F.lit(facts.highest).cast(kind))
 
 
-def _outside(base: DataFrame, key: str, facts: KeyFacts) -> DataFrame:
-    value = exact(key)
-    return base.filter(value.isNull() | (value < F.lit(facts.lowest)) | (value > F.lit(facts.highest)))
+def _beyond(base: DataFrame, key: str, facts: KeyFacts) -> Column:
+    kind, value = base.schema[key].dataType, exact(key)
+    if isinstance(kind, T.BinaryType):
+        return value.isNull()
+    low, high = F.lit(facts.lowest).cast(kind), F.lit(facts.highest).cast(kind)
+    return value.isNull() | (value < low) | (value > high)
 
 
 def _keys(updates: DataFrame, key: str, facts: KeyFacts) -> DataFrame:
@@ -117,7 +123,7 @@ def with_carried(base: DataFrame, updates: DataFrame, key: str, facts: KeyFacts)
         return updates
     if facts.lowest is None:
         return updates.unionByName(base.limit(0), allowMissingColumns=True)
-    replaced = _inside(base, key, facts).join(_keys(updates, key, facts), on=key, how="left_semi")
+    replaced = base.filter(_within(base, key, facts)).join(_keys(updates, key, facts), on=key, how="left_semi")
     keyed = updates.filter(exact(key).isNotNull())
     full = keyed.join(replaced.select(exact(key), *map(exact, carried)), on=key, how="left")
     return full.unionByName(updates.filter(exact(key).isNull()), allowMissingColumns=True)
@@ -136,5 +142,5 @@ def upsert(base: DataFrame, updates: DataFrame, key: str, facts: KeyFacts) -> Da
     keys = _keys(updates, key, facts)
     if facts.key_bytes <= BROADCAST_KEY_BYTES:
         return base.join(keys, on=key, how="left_anti").select(*columns).unionByName(full)
-    kept = _inside(base, key, facts).join(keys, on=key, how="left_anti")
-    return _outside(base, key, facts).select(*columns).unionByName(kept).unionByName(full)
+    kept = base.filter(_within(base, key, facts)).join(keys, on=key, how="left_anti")
+    return base.filter(_beyond(base, key, facts)).select(*columns).unionByName(kept).unionByName(full)

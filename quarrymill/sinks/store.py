@@ -333,18 +333,21 @@ def _merge(
     staged, seen = _write_version(store, table, df, measures, kind="c")
     try:
         batch = store.table(staged)
+        exists = store.exists(table)
+        as_is = not exists or batch.dtypes == store.table(table).dtypes
+        if not as_is:
+            # First of all: keys that differ as text may be equal as the table's type.
+            batch = align(batch, store.table(table), what)
+        if exists and not seen["rows"]:
+            return _finish(store, table, seen, started)
         facts = require_unique(batch, key, what, seq)
-        if store.exists(table) and seen["rows"]:
-            base = store.table(table)
-            fresh = batch if seq is None else latest_per_key(batch, key, seq)
-            as_is = staged if seq is None and batch.dtypes == base.dtypes else None
-            _merge_into(store, table, align(fresh, base, what), key, facts, seen["rows"], as_is)
-        elif store.exists(table):
-            align(batch, store.table(table), what)
-        elif seq is None:
+        fresh, as_is = (batch, as_is) if seq is None else (latest_per_key(batch, key, seq), False)
+        if exists:
+            _merge_into(store, table, fresh, key, facts, seen["rows"], staged if as_is else None)
+        elif as_is:
             _point(store, table, {_CURRENT: staged, _ROWS: seen["rows"], _UNIQUE: key})
         else:
-            version, wrote = _write_version(store, table, latest_per_key(batch, key, seq))
+            version, wrote = _write_version(store, table, fresh)
             _point(store, table, {_CURRENT: version, _ROWS: wrote["rows"], _UNIQUE: key})
     finally:
         if not store.exists(table) or staged not in _in_use(store, table):

@@ -37,6 +37,7 @@ def jdbc_reader(
     spark: SparkSession, url: str, properties: Mapping[str, str] | None = None, fetch_size: int = 10_000
 ) -> DataFrameReader:
     reader = spark.read.format("jdbc").option("url", url).option("fetchsize", fetch_size)
+    reader = reader.option("preferTimestampNTZ", True)
     for key, value in (properties or {}).items():
         reader = reader.option(key, value)
     return reader

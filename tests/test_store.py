@@ -291,3 +291,33 @@ def test_an_empty_merge_changes_nothing(store, frame, rows):
     assert sinks.write_merge(store, "w", frame(NUMBERED), "id").rows == 0
     sinks.write_merge(store, "w", frame(NUMBERED, (1, "a")), "id")
     assert rows(store.table("w")) == [(1, "a")]
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_keys_are_compared_as_the_tables_type(store, frame, rows, monkeypatch, broadcast):
+    from quarrymill.operators import upsert as upsert_module
+
+    if not broadcast:
+        monkeypatch.setattr(upsert_module, "BROADCAST_KEY_BYTES", 0)
+    sinks.write_merge(store, "u", frame("id bigint, name string", *[(i, "old") for i in range(8, 12)]), "id")
+    sinks.write_merge(store, "u", frame(PAIR, ("9", "new"), ("010", "new")), "id")
+    assert rows(store.table("u")) == [(10, "new"), (11, "old"), (8, "old"), (9, "new")]
+    with pytest.raises(DuplicateKeyError):
+        sinks.write_merge(store, "u", frame(PAIR, ("9", "x"), ("09", "y")), "id")
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz", "date", "decimal(20,3)", "double", "binary", "string"])
+def test_keys_of_every_type(store, spark, rows, monkeypatch, kind):
+    from quarrymill.operators import upsert as upsert_module
+
+    monkeypatch.setattr(upsert_module, "BROADCAST_KEY_BYTES", 0)
+    made = {
+        "timestamp": "timestamp_micros(id * 3600000001)",
+        "timestamp_ntz": "cast(timestamp_micros(id * 3600000001) as timestamp_ntz)",
+        "date": "date_add(date'2024-01-01', cast(id as int))",
+        "binary": "cast(cast(id as string) as binary)",
+        "double": "id / 3d",
+    }.get(kind, f"cast(id as {kind})")
+    sinks.write_merge(store, "u", spark.range(40).selectExpr(f"{made} as k", "'old' as name"), "k")
+    sinks.write_merge(store, "u", spark.range(9, 25).selectExpr(f"{made} as k", "'new' as name"), "k")
+    assert rows(store.table("u").groupBy("name").count()) == [("new", 16), ("old", 24)]
