@@ -7,8 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarrymill.llm import chat, decontamination, licenses
-from quarrymill.llm.common import table
+from quarrymill.llm import (
+    chat,
+    decontamination,
+    jaccard,
+    language_model,
+    licenses,
+    neighbours,
+    packing,
+    pii,
+    toxicity,
+    warc,
+)
+from quarrymill.llm.common import in_fold, shared_path, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -103,17 +114,141 @@ FROM o GROUP BY conv_id
 """
 
 
+TOXIC_FROM = 0.7
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    weights = toxicity.fit(docs, table(spark, sf_dir, "labels"), ~in_fold("doc_id", 3, 1))
+    return toxicity.score(docs, weights).select(
+        "doc_id", in_fold("doc_id", 3, 1).alias("held_out"), "score",
+        (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"),
+    )
+
+
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.find(docs, pii.fit(docs))
+    base = F.filter("pii", lambda s: s["base"])
+
+    def listed(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def number(kind):
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *[number(kind) for kind in pii.KINDS],
+        F.sha2(listed(base), 256).alias("base_sha256"),
+        listed(F.col("pii")).alias("spans"),
+    )
+
+
+def tokenizer_file() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed_digest(packing.pack(table(spark, sf_dir, "documents"), tokenizer_file()))
+
+
+def packed_digest(packed: DataFrame) -> DataFrame:
+    return packed.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    path = shared_path(spark, "archives")
+    warc.write_archives(pages, path)
+    return warc.read_archives(spark, path).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "intact"
+    )
+
+
+_OP6_SQL = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS x,
+         max(page_id) OVER (PARTITION BY coalesce(html, '')) AS largest
+  FROM pages
+),
+d AS (
+  SELECT *, list_transform(range(0, 8), lambda i: CAST('0x' || x[5 * i + 1 : 5 * i + 5] AS BIGINT)) AS fives,
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567' AS a
+  FROM p
+)
+SELECT page_id, CAST(strlen(body) AS BIGINT) AS payload_bytes,
+       array_to_string(list_transform(fives, lambda v:
+         a[(v // 32768) + 1] || a[(v // 1024) % 32 + 1] || a[(v // 32) % 32 + 1] || a[v % 32 + 1]), '') AS payload_digest,
+       CASE WHEN page_id = largest THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> largest THEN largest END AS refers_to, true AS intact
+FROM d
+"""
+
+
+def op7_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = language_model.score(docs, ~in_fold("doc_id", 7, 2))
+    return scored.select(
+        "doc_id", in_fold("doc_id", 7, 2).alias("held_out"), "n_tokens", "n_known", "train_tokens",
+        "base_score", "score",
+    )
+
+
+def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar_sets(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+_OP8_SQL = """
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                              'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+),
+g AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + 3], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM w WHERE len(w) > 0)
+),
+n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+links AS (
+  SELECT a, b FROM (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common FROM g x JOIN g y ON x.g = y.g AND x.doc_id <> y.doc_id
+    GROUP BY ALL
+  ) JOIN n AS p ON p.doc_id = a JOIN n AS q ON q.doc_id = b
+  WHERE 100 * common >= 85 * (p.n + q.n - common)
+),
+reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents
+  UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+)
+SELECT w.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, least AS component_id
+FROM w LEFT JOIN n USING (doc_id) JOIN (SELECT a AS doc_id, min(b) AS least FROM reach GROUP BY a) USING (doc_id)
+"""
+
+
+def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 50 == 0)
+
+
 def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     spans = licenses.license_spans(table(spark, sf_dir, "documents"), licenses.shipped_templates(spark))
     return licenses.license_report(spans)
 
 
 QUERIES: dict[str, Query] = {
-    "op1_decontamination": op1_decontamination,
-    "op2_chat": op2_chat,
-    "op10_licenses": op10_licenses,
-}
+    f.__name__: f
+    for f in (
+        op1_decontamination, op2_chat, op3_toxicity, op4_pii, op5_packing, op6_warc, op7_language_model,
+        op8_jaccard, op9_neighbours, op10_licenses,
+    )
+}
 CHECK_SQL: dict[str, str] = {
     "op1_decontamination": _OP1_SQL.strip(),
     "op2_chat": _OP2_SQL.strip(),
+    "op6_warc": _OP6_SQL.strip(),
+    "op8_jaccard": _OP8_SQL.strip(),
 }
