@@ -53,10 +53,13 @@ ALPHANUMERIC[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range
 
 
 class Words:
-    """The words of some texts: `hashes` of lower-cased words and `bounds`, where each text's words begin and end."""
+    """The words of some texts: `hashes` of lower-cased words and `bounds`, where each text's words begin and end.
 
-    def __init__(self, hashes: np.ndarray, bounds: np.ndarray):
-        self.hashes, self.bounds = hashes, bounds
+    `stems` has the hashes of the words' first bytes, for each number of bytes that was asked for.
+    """
+
+    def __init__(self, hashes: np.ndarray, bounds: np.ndarray, stems: list[np.ndarray]):
+        self.hashes, self.bounds, self.stems = hashes, bounds, stems
 
     def owner(self) -> np.ndarray:
         """The text of each word."""
@@ -76,14 +79,14 @@ class Words:
         return total[within], owner[:n][within]
 
 
-def words_of(data: np.ndarray, offsets: np.ndarray, of_word: np.ndarray) -> Words:
+def words_of(data: np.ndarray, offsets: np.ndarray, of_word: np.ndarray, stems: tuple[int, ...] = ()) -> Words:
     """Words of the texts that lie in `data` between `offsets`."""
     offsets = offsets.astype(np.int64)
     base, n = offsets[0], int(offsets[-1] - offsets[0])
     offsets = offsets - base
     data = data[base : base + n]
     if n == 0:
-        return Words(np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64))
+        return Words(np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64), [np.zeros(0, np.uint64) for _ in stems])
     inside = of_word[data]
     starts, ends = inside.copy(), inside.copy()
     starts[1:] &= ~inside[:-1]
@@ -96,9 +99,14 @@ def words_of(data: np.ndarray, offsets: np.ndarray, of_word: np.ndarray) -> Word
     # A word's hash is a polynomial of its bytes: a difference of running sums, moved to power 0.
     terms = (_LOWERED[data].astype(np.uint64) + np.uint64(1)) * _powers_of("up", _BASE, n)
     running = np.cumsum(terms, dtype=np.uint64)
-    total = running[end] - running[start] + terms[start]
-    hashes = mix(total * _powers_of("down", _BASE_INVERSE, n)[start] + (end - start).astype(np.uint64))
-    return Words(hashes, np.searchsorted(start, offsets))
+    down = _powers_of("down", _BASE_INVERSE, n)[start]
+
+    def hashed(last: np.ndarray) -> np.ndarray:
+        total = running[last] - running[start] + terms[start]
+        return mix(total * down + (last - start).astype(np.uint64))
+
+    cut = [hashed(np.minimum(end, start + size - 1)) for size in stems]
+    return Words(hashed(end), np.searchsorted(start, offsets), cut)
 
 
 def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -114,14 +122,16 @@ def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, at
 
 
-def slices(texts: pa.Array, of_word: np.ndarray) -> Iterator[tuple[int, int, Words]]:
+def slices(
+    texts: pa.Array, of_word: np.ndarray, stems: tuple[int, ...] = ()
+) -> Iterator[tuple[int, int, Words]]:
     """(first, last, words) of consecutive rows of a string column, a slice of bytes at a time."""
     data, offsets = buffers(texts)
     first, n = 0, len(texts)
     while first < n:
         last = int(np.searchsorted(offsets, offsets[first] + SLICE_BYTES, side="right")) - 1
         last = min(max(last, first + 1), n)
-        yield first, last, words_of(data, offsets[first : last + 1], of_word)
+        yield first, last, words_of(data, offsets[first : last + 1], of_word, stems)
         first = last
 
 

@@ -160,4 +160,4 @@ def remove_contaminated(docs: DataFrame, items: DataFrame, **options) -> DataFra
         **{**options, "doc_id": "key", "text": "text"},
     )
     bad = staged(found.filter("contaminated").select(F.col("key").alias(own)).distinct(), "contaminated")
-    return keyed.join(bad, own, "left_anti").select(*[keyed[c] for c in docs.columns])
+    return keyed.join(bad, own, "left_anti").drop(own)

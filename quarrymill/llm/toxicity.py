@@ -12,23 +12,24 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from quarrymill.llm.bytewords import ALPHANUMERIC, Words, slices
+from quarrymill.llm.bytewords import ALPHANUMERIC, Words, mix, slices
 from quarrymill.llm.common import mapped, staged
 
 BUCKET_BITS = 18
+# First bytes of a word that are features as well, for languages that inflect.
+STEM_BYTES = (4, 5)
 
 
 @dataclass(frozen=True)
 class Ftrl:
     """Parameters of the learner. `most_rows` bounds the labelled rows of each class that it is fitted on."""
 
-    alpha: float = 0.3
+    alpha: float = 1.0
     beta: float = 1.0
-    l1: float = 3.0
-    l2: float = 1.0
-    epochs: int = 4
-    shards: int = 4
-    most_rows: int = 3000
+    l1: float = 6.0
+    l2: float = 0.1
+    epochs: int = 8
+    most_rows: int = 4000
     bits: int = BUCKET_BITS
 
 
@@ -48,15 +49,16 @@ class Weights:
 
 
 def _features(words: Words, bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(buckets, text of each) of single words, pairs of neighbours, and pairs with one word between."""
-    shift = np.uint64(64 - bits)
-    for hashes, owner in ((words.hashes, words.owner()), words.grams(2), words.grams(2, skip=1)):
-        yield (hashes >> shift).astype(np.int64), owner
+    """(buckets, text of each) of single words and their stems, pairs of neighbours, and pairs with one word between."""
+    shift, owner = np.uint64(64 - bits), words.owner()
+    stems = [(mix(hashes + np.uint64(k + 1)), owner) for k, hashes in enumerate(words.stems)]
+    for hashes, of in ((words.hashes, owner), *stems, words.grams(2), words.grams(2, skip=1)):
+        yield (hashes >> shift).astype(np.int64), of
 
 
 def _row_features(text_column: pa.Array, bits: int) -> Iterator[np.ndarray]:
     """The distinct buckets of each text."""
-    for first, last, words in slices(text_column, ALPHANUMERIC):
+    for first, last, words in slices(text_column, ALPHANUMERIC, STEM_BYTES):
         parts = list(_features(words, bits))
         both = np.concatenate([owner * (1 << bits) + bucket for bucket, owner in parts])
         both = np.unique(both)
@@ -71,12 +73,16 @@ def _weights_of(z: np.ndarray, n: np.ndarray, p: Ftrl) -> np.ndarray:
     return np.where(np.abs(z) <= p.l1, 0.0, w)
 
 
+def _bias_of(z: float, n: float, p: Ftrl) -> float:
+    return -z / ((p.beta + np.sqrt(n)) / p.alpha + p.l2)
+
+
 def _pass(rows: list[tuple[np.ndarray, int]], z: np.ndarray, n: np.ndarray, p: Ftrl) -> None:
     """One pass of FTRL-proximal over rows, changing z and n in place. The last coordinate is the bias, without L1."""
     for buckets, label in rows:
         zi, ni = z[buckets], n[buckets]
         w = _weights_of(zi, ni, p)
-        bias = -z[-1] / ((p.beta + np.sqrt(n[-1])) / p.alpha + p.l2)
+        bias = _bias_of(z[-1], n[-1], p)
         score = 1.0 / (1.0 + np.exp(-np.clip(w.sum() + bias, -35, 35)))
         g = score - label
         sigma = (np.sqrt(ni + g * g) - np.sqrt(ni)) / p.alpha
@@ -113,9 +119,8 @@ def fit(
 ) -> Weights:
     """Fit on a bounded sample of the labelled rows for which `wanted` holds.
 
-    Shards of the sample each make a pass from the same state; the changes of a pass are added up by coordinate
-    and carried into the next. The state has 2**bits coordinates, so that is what the driver holds at most.
-    Without rows of both classes all weights are 0 and the score is the same for every text.
+    Features are made in parallel; the learner itself is sequential, so one task goes through the sample's features,
+    which `most_rows` bounds. Without rows of both classes all weights are 0 and every text scores a half.
     """
     bits, size = p.bits, (1 << p.bits) + 1
 
@@ -127,39 +132,23 @@ def fit(
                 names=["doc", "label", "buckets"],
             )
 
+    def learn(rows: pd.DataFrame) -> pd.DataFrame:
+        z, n = np.zeros(size), np.zeros(size)
+        rows = rows.sort_values(["order", "doc"])
+        for _ in range(p.epochs):
+            _pass(list(zip(rows["buckets"], rows["label"])), z, n, p)
+        w = np.append(_weights_of(z[:-1], n[:-1], p), _bias_of(z[-1], n[-1], p))
+        at = np.append(np.flatnonzero(w[:-1]), size - 1)
+        return pd.DataFrame({"at": at, "weight": w[at]})
+
     rows = training_rows(docs, labels, wanted, p, doc_id, text)
     table = staged(rows.mapInArrow(featurize, "doc bigint, label int, buckets array<int>"), "features")
-    z, n = np.zeros(size), np.zeros(size)
-    context = docs.sparkSession.sparkContext
     if table.select("label").distinct().count() < 2:
         return Weights(np.zeros(0, np.int64), np.zeros(0), 0.0, bits)
-    shard = F.pmod(F.xxhash64("doc"), F.lit(p.shards))
-    for _ in range(p.epochs):
-        state = context.broadcast((z, n))
-
-        def learn(shard_rows):
-            own_z, own_n = state.value[0].copy(), state.value[1].copy()
-            shard_rows = shard_rows.sort_values("order")
-            _pass(list(zip(shard_rows["buckets"], shard_rows["label"])), own_z, own_n, p)
-            dz, dn = own_z - state.value[0], own_n - state.value[1]
-            at = np.flatnonzero((dz != 0) | (dn != 0))
-            return pd.DataFrame({"at": at, "dz": dz[at], "dn": dn[at]})
-
-        changes = (
-            table.select("label", "buckets", shard.alias("shard"), F.xxhash64("doc", F.lit(11)).alias("order"))
-            .groupBy("shard")
-            .applyInPandas(learn, "at bigint, dz double, dn double")
-            .groupBy("at")
-            .agg(F.sum("dz").alias("dz"), F.sum("dn").alias("dn"))
-            .toPandas()
-        )
-        z[changes["at"]] += changes["dz"]
-        n[changes["at"]] += changes["dn"]
-        state.unpersist()
-    w = _weights_of(z[:-1], n[:-1], p)
-    at = np.flatnonzero(w)
-    bias = -z[-1] / ((p.beta + np.sqrt(n[-1])) / p.alpha + p.l2)
-    return Weights(at, w[at], float(bias), bits)
+    ordered = table.select("doc", "label", "buckets", F.xxhash64("doc", F.lit(11)).alias("order"))
+    found = ordered.groupBy(F.lit(0)).applyInPandas(learn, "at bigint, weight double").toPandas().sort_values("at")
+    at, weight = found["at"].to_numpy(), found["weight"].to_numpy()
+    return Weights(at[:-1], weight[:-1], float(weight[-1]), bits)
 
 
 def score(docs: DataFrame, weights: Weights, *, text: str = "text", out: str = "score") -> DataFrame:
@@ -172,7 +161,7 @@ def score(docs: DataFrame, weights: Weights, *, text: str = "text", out: str = "
         bits, bias = model.value.bits, model.value.bias
         for batch in batches:
             logits = np.full(batch.num_rows, bias)
-            for first, _, words in slices(batch.column(at), ALPHANUMERIC):
+            for first, _, words in slices(batch.column(at), ALPHANUMERIC, STEM_BYTES):
                 hits = []
                 for bucket, owner in _features(words, bits):
                     found = np.flatnonzero(dense[bucket])
