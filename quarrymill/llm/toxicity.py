@@ -145,8 +145,8 @@ def fit(
     table = staged(rows.mapInArrow(featurize, "doc bigint, label int, buckets array<int>"), "features")
     if table.select("label").distinct().count() < 2:
         return Weights(np.zeros(0, np.int64), np.zeros(0), 0.0, bits)
-    ordered = table.select("doc", "label", "buckets", F.xxhash64("doc", F.lit(11)).alias("order"))
-    found = ordered.groupBy(F.lit(0)).applyInPandas(learn, "at bigint, weight double").toPandas().sort_values("at")
+    ordered = table.select("doc", "label", "buckets", F.xxhash64("doc", F.lit(11)).alias("order"), F.lit(0).alias("all"))
+    found = ordered.groupBy("all").applyInPandas(learn, "at bigint, weight double").toPandas().sort_values("at")
     at, weight = found["at"].to_numpy(), found["weight"].to_numpy()
     return Weights(at[:-1], weight[:-1], float(weight[-1]), bits)
 
