@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,9 +38,6 @@ _CSV_TYPE_OF_BITS = {
 JSON_RANKS = ("unknown", "boolean", "bigint", "double precision", "text", "jsonb")
 
 
-MOST_JSON_KEYS = 5000
-
-
 def _fits_bigint(digits: Column) -> Column:
     """Whether a whole number's text is in the bigint range, by length and then by digits.
 
@@ -142,12 +141,15 @@ def json_type_table(df: DataFrame, json_col: str) -> DataFrame:
     )
 
 
-def infer_json_types(df: DataFrame, json_col: str) -> dict[str, str]:
-    """The same as a dict, to make columns of. Objects keyed by data, not by name, are an error."""
-    rows = json_type_table(df, json_col).limit(MOST_JSON_KEYS + 1).collect()
-    if len(rows) > MOST_JSON_KEYS:
-        raise ValueError(f"{json_col!r} has more than {MOST_JSON_KEYS} distinct keys; they cannot all be columns")
-    return {row["key"]: row["type"] for row in rows}
+def infer_json_types(df: DataFrame, json_col: str, keep: Collection[str] | None = None) -> dict[str, str]:
+    """The same as a dict, to make columns of.
+
+    Objects keyed by data have as many keys as rows; name those that are columns in `keep`.
+    """
+    found = json_type_table(df, json_col)
+    if keep is not None:
+        found = found.filter(F.col("key").isin(*keep))
+    return {row["key"]: row["type"] for row in found.collect()}
 
 
 def type_json(df: DataFrame, json_col: str, types: dict[str, str]) -> DataFrame:

@@ -88,11 +88,19 @@ def next_cursor(df: DataFrame, cursor: str, previous: str | None = None) -> Data
 
 @dataclass(frozen=True)
 class StreamConfig:
-    """What a source declares about one of its streams."""
+    """What a source declares about one of its streams.
+
+    `inclusive` extracts rows at the mark again, so that rows that arrive later with the mark's value are not lost;
+    it needs a merge, which absorbs those that were there. `identifier` and `schema` name the table of a
+    database stream where it differs from the stream's name.
+    """
 
     write_disposition: str = "append"
     primary_key: str | Sequence[str] | None = None
     cursor_field: str | None = None
+    inclusive: bool = False
+    identifier: str | None = None
+    schema: str | None = None
     initial_value: str | None = None
     column_tests: dict[str, Sequence[str]] | None = None
 
@@ -104,6 +112,7 @@ class StreamConfig:
         return self.primary_key[0] if self.primary_key else None
 
 
+# Gets the mark to start after. Streams that are `inclusive` filter by `scan_cursor(..., inclusive=True)`.
 Extract = Callable[[str | None], DataFrame]
 
 
@@ -126,7 +135,8 @@ def load_stream(
 
     `extract` gets the mark to start after, or None for everything. The new mark is observed by
     the write that lands the rows, so nothing is read twice, and it is stored only after those
-    rows are published: a crash in between loads them again, which `merge` absorbs.
+    rows are published: a crash in between loads them again, which `merge` absorbs. It never falls: late
+    rows below the stored mark leave it where it is.
     """
     config = replace(config, write_disposition=strategy or config.write_disposition)
     if full_refresh:
@@ -156,7 +166,13 @@ def _load(
     field = config.cursor_field
     stored = cursor_get(store, source, cursor_key(stream, field)) if field else None
     batch = extract(stored if stored is not None else config.initial_value)
-    measures = {"high": F.max(F.col(field)).cast("string")} if field else None
+    measures = None
+    if field:
+        previous = None if config.write_disposition == "replace" else stored
+        before = F.lit(previous).cast(batch.schema[field].dataType)
+        measures = {"high": F.greatest(F.max(F.col(field)), before).cast("string")}
+    if config.inclusive and config.write_disposition == "append":
+        raise ValueError(f"{source}.{stream}: inclusive cursors need a merge by primary_key")
 
     if config.write_disposition == "merge":
         if not key:
@@ -174,6 +190,20 @@ def _load(
     return result
 
 
+def load_streams(
+    store: Store,
+    source: str,
+    streams: Mapping[str, StreamConfig],
+    extract_of: Callable[[str, StreamConfig], Extract],
+    full_refresh: bool = False,
+) -> list[LoadResult]:
+    """Load every declared stream, in the order of declaration."""
+    return [
+        load_stream(store, source, name, extract_of(name, config), config, full_refresh=full_refresh)
+        for name, config in streams.items()
+    ]
+
+
 def run_source_tests(store: Store, source: str, streams: Mapping[str, StreamConfig]) -> DataFrame:
     """The column tests that streams declare, run on their raw tables."""
     tested = [

@@ -1,9 +1,8 @@
 """Keyed upsert of one DataFrame into another, without a table format underneath.
 
-Update keys whose measured size is at most `BROADCAST_KEY_BYTES` are broadcast: the base is then
-read once and not shuffled at all. Beyond that, only base rows inside the key range of the updates
-take part in a shuffled join, and the others pass through in the scan stage. Rows with a NULL key
-never match anything: they are appended and never shuffled, so any number of them is fine.
+Only base rows inside the key range of the updates take part in a join; the others pass through in the
+scan stage. How the join runs is left to Catalyst and AQE, which know the sizes. Rows with a NULL key never
+match anything: they are appended and never shuffled, so any number of them is fine.
 """
 
 from __future__ import annotations
@@ -18,11 +17,6 @@ from quarrymill.functions.columns import exact
 from quarrymill.functions.types import exact_cast
 
 
-BROADCAST_KEY_BYTES = 128 * 1024 * 1024
-# What a key costs in a broadcast hash table on top of its own bytes.
-_ROW_OVERHEAD = 32
-
-
 class DuplicateKeyError(ValueError):
     """One batch, or a merge target, holds the same key twice."""
 
@@ -34,12 +28,10 @@ class KeyFacts:
     lowest: str | None
     highest: str | None
     duplicated: int
-    key_bytes: int
-
 
 
 def key_facts(df: DataFrame, key: str, seq: str | None = None) -> KeyFacts:
-    """Range and size of the keys, and how many occur twice (with the same `seq`, if there is one).
+    """Range of the keys, and how many occur twice (with the same `seq`, if there is one).
 
     Reads only these columns. Counts are combined map-side, so a hot key costs one row per task.
     """
@@ -51,9 +43,8 @@ def key_facts(df: DataFrame, key: str, seq: str | None = None) -> KeyFacts:
         F.min(exact(key)).cast("string").alias("lowest"),
         F.max(exact(key)).cast("string").alias("highest"),
         F.count_if(F.col("\0n") > 1).alias("duplicated"),
-        F.sum(F.octet_length(exact(key).cast("string")) + _ROW_OVERHEAD).alias("key_bytes"),
     ).first()
-    return KeyFacts(row["lowest"], row["highest"], row["duplicated"] or 0, row["key_bytes"] or 0)
+    return KeyFacts(row["lowest"], row["highest"], row["duplicated"] or 0)
 
 
 def require_unique(df: DataFrame, key: str, what: str, seq: str | None = None) -> KeyFacts:
@@ -108,9 +99,24 @@ def _beyond(base: DataFrame, key: str, facts: KeyFacts) -> Column:
     return value.isNull() | (value < low) | (value > high)
 
 
-def _keys(updates: DataFrame, key: str, facts: KeyFacts) -> DataFrame:
-    keys = updates.filter(exact(key).isNotNull()).select(exact(key))
-    return F.broadcast(keys) if facts.key_bytes <= BROADCAST_KEY_BYTES else keys
+def _keys(updates: DataFrame, key: str) -> DataFrame:
+    return updates.filter(exact(key).isNotNull()).select(exact(key))
+
+
+def touched(base: DataFrame, updates: DataFrame, key: str, facts: KeyFacts) -> DataFrame:
+    """Base rows whose key the updates have; the key range reaches the scan."""
+    if facts.lowest is None:
+        return base.limit(0)
+    return base.filter(_within(base, key, facts)).join(_keys(updates, key), on=key, how="left_semi")
+
+
+def newer_than_stored(base: DataFrame, updates: DataFrame, key: str, seq: str, facts: KeyFacts) -> DataFrame:
+    """`updates` without rows whose base row has a greater `seq`; NULL is below all."""
+    stored = touched(base, updates, key, facts).select(exact(key), exact(seq).alias("\0stored"))
+    both = updates.filter(exact(key).isNotNull()).join(stored, on=key, how="left")
+    loses = F.col("\0stored").isNotNull() & (exact(seq).isNull() | (exact(seq) < F.col("\0stored")))
+    kept = both.filter(~loses).select(*map(exact, updates.columns))
+    return kept.unionByName(updates.filter(exact(key).isNull()))
 
 
 def with_carried(base: DataFrame, updates: DataFrame, key: str, facts: KeyFacts) -> DataFrame:
@@ -123,7 +129,7 @@ def with_carried(base: DataFrame, updates: DataFrame, key: str, facts: KeyFacts)
         return updates
     if facts.lowest is None:
         return updates.unionByName(base.limit(0), allowMissingColumns=True)
-    replaced = base.filter(_within(base, key, facts)).join(_keys(updates, key, facts), on=key, how="left_semi")
+    replaced = touched(base, updates, key, facts)
     keyed = updates.filter(exact(key).isNotNull())
     full = keyed.join(replaced.select(exact(key), *map(exact, carried)), on=key, how="left")
     return full.unionByName(updates.filter(exact(key).isNull()), allowMissingColumns=True)
@@ -139,8 +145,6 @@ def upsert(base: DataFrame, updates: DataFrame, key: str, facts: KeyFacts) -> Da
     full = with_carried(base, updates, key, facts)
     if facts.lowest is None:
         return base.unionByName(full)
-    keys = _keys(updates, key, facts)
-    if facts.key_bytes <= BROADCAST_KEY_BYTES:
-        return base.join(keys, on=key, how="left_anti").select(*columns).unionByName(full)
+    keys = _keys(updates, key)
     kept = base.filter(_within(base, key, facts)).join(keys, on=key, how="left_anti")
     return base.filter(_beyond(base, key, facts)).select(*columns).unionByName(kept).unionByName(full)

@@ -1,14 +1,18 @@
 """Tables as versions behind a view.
 
-A table `m` is a view over one immutable-schema Parquet table `m__v<run>`. Publishing writes the
-next version in full and then replaces the view, which is one catalog operation: a reader sees the
-old rows or the new ones. A job that fails half-way leaves the view where it was. Views that other
-people build on `m` bind by name and survive. One writer per table at a time is assumed.
-
-A merge of few rows into a large table does not rewrite the table. It writes the changed rows as
-`m__c<run>`, and the view hides the rows they replace: `m` is then the version without the changed
-keys, which are broadcast, and the changes. Their number is bounded (`CHANGES_SHARE`,
-`BROADCAST_KEY_BYTES`); a merge that would exceed it writes a new version with everything folded in.
+A table `m` is a view over immutable Parquet tables `m__v<run>`, its parts. Whatever changes the table
+writes a new part or a new version in full and then replaces the view, which is one catalog operation: a
+reader sees the old rows or the new ones, after an append as well. A job that fails half-way leaves the view
+where it was. Views that other people build on `m` bind by name and survive. One writer per
+table at a time is assumed.
+
+Appends add parts; `compact` folds them into one. A merge writes a new version, or, if the caller asks for
+`apart`, only the changed rows as `m__c<run>`: the view is then the parts without the changed keys, and the
+changes. Which of the two it is never depends on sizes, and readers get no hints.
+
+The view's properties name what it reads, and the last batch of each streaming query that was landed, so
+that a batch that runs again after a crash changes nothing. The superseded version is kept for readers that still
+use it, older ones are dropped (`GRACE_VERSIONS`).
 """
 
 from __future__ import annotations
@@ -25,26 +29,28 @@ from pyspark.sql import types as T
 from quarrymill.functions.columns import exact, quoted
 from quarrymill.functions.types import spark_type
 from quarrymill.operators.upsert import (
-    BROADCAST_KEY_BYTES,
     KeyFacts,
     align,
     latest_per_key,
+    newer_than_stored,
     require_unique,
+    touched,
     upsert,
     with_carried,
 )
 from quarrymill.session import shared_dir
 
-# Changes are kept apart while they are at most this share of the rows they apply to and their keys
-# are small enough to be broadcast (`BROADCAST_KEY_BYTES`) whenever the table is read.
-CHANGES_SHARE = 0.1
+# Superseded versions that are left for readers that have begun before a change.
+GRACE_VERSIONS = 1
 
 _CURRENT = "quarrymill.current"
 _CHANGES = "quarrymill.changes"
-_ROWS = "quarrymill.rows"
-_CHANGED_ROWS = "quarrymill.changed_rows"
-_CHANGED_KEY_BYTES = "quarrymill.changed_key_bytes"
+_CHANGES_KEY = "quarrymill.changes_key"
 _UNIQUE = "quarrymill.unique_key"
+_BATCH = "quarrymill.batch."
+
+# A streaming query's id and the number of one of its batches.
+Batch = tuple[str, int]
 
 
 @dataclass(frozen=True)
@@ -124,23 +130,35 @@ def _observed(df: DataFrame, seen: Observation, measures: dict[str, Column] | No
     return df.observe(seen, F.count(F.lit(1)).alias("rows"), *extra)
 
 
-def _point(store: Store, table: str, marks: dict[str, str | int | None]) -> None:
-    """Make the view show what the marks say, in one catalog operation."""
-    kept = {key: str(value) for key, value in marks.items() if value is not None}
+def _parts(marks: dict[str, str]) -> list[str]:
+    return marks[_CURRENT].split(",")
+
+
+def _point(store: Store, table: str, marks: dict[str, str | None], grace: int = GRACE_VERSIONS) -> None:
+    """Make the view show what the marks say, in one catalog operation, and drop what is long superseded."""
+    kept = {key: value for key, value in marks.items() if value is not None}
     listed = ", ".join(f"'{key}' = {_literal(value)}" for key, value in kept.items())
-    version = store.name(kept[_CURRENT])
-    rows = f"SELECT * FROM {version}"
+    parts = [store.name(part) for part in _parts(kept)]
+    columns = ", ".join(map(quoted, store.table(_parts(kept)[0]).columns))
     if _CHANGES in kept:
-        changes, key = store.name(kept[_CHANGES]), quoted(kept[_UNIQUE])
-        columns = ", ".join(map(quoted, store.table(kept[_CURRENT]).columns))
-        rows = (
-            f"SELECT /*+ BROADCAST(c) */ {columns} FROM {version} v "
-            f"LEFT ANTI JOIN (SELECT {key} FROM {changes} WHERE {key} IS NOT NULL) c ON v.{key} = c.{key} "
-            f"UNION ALL SELECT {columns} FROM {changes}"
-        )
+        changes, key = store.name(kept[_CHANGES]), quoted(kept[_CHANGES_KEY])
+        keys = f"(SELECT {key} FROM {changes} WHERE {key} IS NOT NULL)"
+        reads = [f"SELECT {columns} FROM {part} v LEFT ANTI JOIN {keys} c ON v.{key} = c.{key}" for part in parts]
+        reads.append(f"SELECT {columns} FROM {changes}")
+    else:
+        reads = [f"SELECT {columns} FROM {part}" for part in parts]
     store.spark.sql(
-        f"CREATE OR REPLACE VIEW {store.name(table)} TBLPROPERTIES ({listed}) AS {rows}"
+        f"CREATE OR REPLACE VIEW {store.name(table)} TBLPROPERTIES ({listed}) AS {' UNION ALL '.join(reads)}"
     )
+    stale = _superseded(store, table)
+    for version in stale[: max(0, len(stale) - grace)]:
+        store.spark.sql(f"DROP TABLE {store.name(version)}")
+
+
+def _superseded(store: Store, table: str) -> list[str]:
+    """Versions the view does not read, oldest first."""
+    in_use = _in_use(store, table)
+    return sorted((v for v in store.versions(table) if v not in in_use), key=lambda v: v[-20:])
 
 
 def _literal(text: str) -> str:
@@ -157,7 +175,25 @@ def _marks(store: Store, table: str) -> dict[str, str]:
 
 def _in_use(store: Store, table: str) -> set[str]:
     marks = _marks(store, table)
-    return {marks[part] for part in (_CURRENT, _CHANGES) if part in marks}
+    return {*_parts(marks), *([marks[_CHANGES]] if _CHANGES in marks else [])}
+
+
+def _landed(store: Store, table: str, batch: Batch | None) -> dict[str, str]:
+    """The marks of landed batches of a published table, with `batch` among them."""
+    marks = _marks(store, table) if store.exists(table) else {}
+    landed = {key: value for key, value in marks.items() if key.startswith(_BATCH)}
+    return landed | ({_BATCH + batch[0]: str(batch[1])} if batch else {})
+
+
+def _has_landed(store: Store, table: str, batch: Batch | None) -> bool:
+    """Whether this batch or a later one of its query is part of the table."""
+    if batch is None or not store.exists(table):
+        return False
+    return int(_marks(store, table).get(_BATCH + batch[0], -1)) >= batch[1]
+
+
+def _nothing(store: Store, table: str, started: float, measures: dict[str, Column] | None) -> LoadResult:
+    return _finish(store, table, {"rows": 0, **dict.fromkeys(measures or {})}, started)
 
 
 def _finish(store: Store, table: str, measured: dict, started: float) -> LoadResult:
@@ -168,16 +204,15 @@ def _finish(store: Store, table: str, measured: dict, started: float) -> LoadRes
 
 
 def drop_superseded(store: Store, table: str) -> list[str]:
-    """Drop the versions the view no longer reads, once nobody else reads them either."""
-    in_use = _in_use(store, table)
-    stale = [version for version in store.versions(table) if version not in in_use]
+    """Drop all versions the view no longer reads, once nobody else reads them either."""
+    stale = _superseded(store, table)
     for version in stale:
         store.spark.sql(f"DROP TABLE {store.name(version)}")
     return stale
 
 
-def compact(store: Store, table: str, sort_by: str | None = None) -> None:
-    """Fold changes in and rewrite what many appends left in small files; AQE sizes the new ones.
+def compact(store: Store, table: str, sort_by: str | None = None, grace: int = GRACE_VERSIONS) -> None:
+    """Fold parts and changes into one version; AQE sizes the new files.
 
     Sorted by the merge key, files cover disjoint key ranges, and later merges and look-ups skip
     those they cannot need. Rows with equal keys, or none, are spread by a hash of their values.
@@ -189,8 +224,8 @@ def compact(store: Store, table: str, sort_by: str | None = None) -> None:
         rows = rows.repartitionByRange(exact(sort_by), spread).sortWithinPartitions(exact(sort_by))
     else:
         rows = rows.hint("rebalance")
-    version, seen = _write_version(store, table, rows)
-    _point(store, table, {_CURRENT: version, _ROWS: seen["rows"], _UNIQUE: marks.get(_UNIQUE)})
+    version, _ = _write_version(store, table, rows)
+    _point(store, table, {**marks, _CURRENT: version, _CHANGES: None, _CHANGES_KEY: None}, grace)
 
 
 # --- materializations -------------------------------------------------------------------------
@@ -209,42 +244,44 @@ def typed_create(store: Store, table: str, columns: dict[str, str | None]) -> No
 
 def clone_empty(store: Store, table: str, like: DataFrame) -> None:
     """An empty table with another one's columns."""
-    version, seen = _write_version(store, table, like.limit(0))
-    _point(store, table, {_CURRENT: version, _ROWS: seen["rows"]})
+    version, _ = _write_version(store, table, like.limit(0))
+    _point(store, table, {_CURRENT: version})
 
 
-def publish_view(store: Store, view: str, model: DataFrame | str) -> None:
-    """The default materialization: a query that whoever reads the view evaluates.
+def publish_view(store: Store, view: str, model: str) -> None:
+    """The default materialization: SQL text that whoever reads the view evaluates.
 
-    SQL text becomes a view of the catalog; a DataFrame becomes a view of this session, since the
-    catalog can only keep text.
+    The catalog can keep text only; a DataFrame is an error.
     """
-    if isinstance(model, str):
-        store.spark.sql(f"CREATE OR REPLACE VIEW {store.name(view)} AS {model}")
-    else:
-        model.createOrReplaceTempView(view)
+    if not isinstance(model, str):
+        raise TypeError(f"{view}: a view is published as SQL text; publish_table takes a DataFrame")
+    store.spark.sql(f"CREATE OR REPLACE VIEW {store.name(view)} AS {model}")
 
 
 def publish_table(
-    store: Store, table: str, df: DataFrame, measures: dict[str, Column] | None = None
+    store: Store,
+    table: str,
+    df: DataFrame,
+    measures: dict[str, Column] | None = None,
+    grace: int = GRACE_VERSIONS,
 ) -> LoadResult:
-    """Build the whole result, then swap it in."""
+    """Build the whole result, then swap it in. `grace` superseded versions stay for their readers."""
     started = time.monotonic()
     version, measured = _write_version(store, table, df, measures)
-    _point(store, table, {_CURRENT: version, _ROWS: measured["rows"]})
+    _point(store, table, {_CURRENT: version} | _landed(store, table, None), grace)
     return _finish(store, table, measured, started)
 
 
 def publish_incremental(
-    store: Store, table: str, df: DataFrame, unique_key: str | None
+    store: Store, table: str, df: DataFrame, unique_key: str | None, apart: bool = False
 ) -> LoadResult:
-    """Upsert the model's result by key. Rows that are gone from it stay in the table.
+    """Upsert the model's result by key, laid out as in `write_merge`. Rows that are gone from it stay.
 
     Strict: a key that occurs twice in the result is an error, as is a column the table lacks.
     """
     if not unique_key:
         raise ValueError(f"{table}: incremental requires unique_key")
-    return _merge(store, table, df, unique_key, None)
+    return _merge(store, table, df, unique_key, None, apart=apart)
 
 
 def preview(store: Store, table: str, n: int = 10, order_by: list | None = None) -> DataFrame:
@@ -263,35 +300,41 @@ def write_replace(
 
 
 def write_append(
-    store: Store, table: str, df: DataFrame, measures: dict[str, Column] | None = None
+    store: Store,
+    table: str,
+    df: DataFrame,
+    measures: dict[str, Column] | None = None,
+    batch: Batch | None = None,
 ) -> LoadResult:
-    """Add the batch, creating the table if there is none. No dedup.
+    """Add the rows as a part of their own, creating the table if there is none. No dedup.
 
-    Columns the batch lacks become NULL; a column the table lacks is an error. After an append
-    nobody knows whether keys are unique, and changes that hide keys are folded in first.
+    Columns the rows lack become NULL; a column the table lacks is an error. Changes that are kept apart
+    are folded in first, as appended rows may have their keys. A streamed `batch` that has landed is skipped.
     """
-    if not store.exists(table):
-        return publish_table(store, table, df, measures)
     started = time.monotonic()
+    if _has_landed(store, table, batch):
+        return _nothing(store, table, started, measures)
+    if not store.exists(table):
+        version, seen = _write_version(store, table, df, measures)
+        _point(store, table, {_CURRENT: version} | _landed(store, table, batch))
+        return _finish(store, table, seen, started)
     if _CHANGES in _marks(store, table):
         compact(store, table)
     marks = _marks(store, table)
-    target = store.table(marks[_CURRENT])
-    batch = align(df, target, f"append to {table}")
-    filled = batch.select(
+    target = store.table(_parts(marks)[0])
+    aligned = align(df, target, f"append to {table}")
+    filled = aligned.select(
         *[
             exact(field.name)
-            if field.name in batch.columns
+            if field.name in aligned.columns
             else F.lit(None).cast(field.dataType).alias(field.name)
             for field in target.schema.fields
         ]
     )
-    seen = Observation()
-    if marks.pop(_UNIQUE, None):
-        _point(store, table, marks)
-    _observed(filled, seen, measures).write.insertInto(store.name(marks[_CURRENT]))
-    _point(store, table, marks | {_ROWS: int(marks[_ROWS]) + seen.get["rows"]})
-    return _finish(store, table, seen.get, started)
+    part, seen = _write_version(store, table, filled, measures)
+    marks = {**marks, _CURRENT: f"{marks[_CURRENT]},{part}", _UNIQUE: None}
+    _point(store, table, marks | _landed(store, table, batch))
+    return _finish(store, table, seen, started)
 
 
 def write_merge(
@@ -301,18 +344,26 @@ def write_merge(
     key: str | list[str],
     seq: str | None = None,
     measures: dict[str, Column] | None = None,
+    apart: bool = False,
+    batch: Batch | None = None,
 ) -> LoadResult:
-    """Upsert the batch by one key column.
+    """Upsert the rows by one key column.
 
-    Without `seq` the batch is one extract and a key twice in it is an error. With `seq`, which
-    numbers the extracts inside `df`, the last one wins and only a key twice within one is an
-    error. An update takes the new value even when that is NULL. NULL keys are always appended.
+    Without `seq` the rows are one extract and a key twice in them is an error. With `seq`, which numbers extracts,
+    the greatest one of a key wins, among the rows and against the stored row, so that the order in which
+    batches arrive does not matter; only a key twice with one `seq` is an error. NULL is below all others, and of
+    equal ones the arriving row wins. An update takes the new value even when that is NULL. NULL keys
+    are always appended.
+
+    The result is a new version of the table. With `apart` the changed rows are kept beside it instead: the merge
+    then writes no more than them, and every reader joins against their keys until `compact`. A streamed
+    `batch` that has landed is skipped.
     """
     if isinstance(key, list):
         if len(key) != 1:
             raise ValueError(f"merge needs exactly one key column, got {key}")
         key = key[0]
-    return _merge(store, table, df, key, seq, measures)
+    return _merge(store, table, df, key, seq, measures, apart, batch)
 
 
 def _merge(
@@ -322,35 +373,45 @@ def _merge(
     key: str,
     seq: str | None,
     measures: dict[str, Column] | None = None,
+    apart: bool = False,
+    batch: Batch | None = None,
 ) -> LoadResult:
-    """Write the batch once, check it, write what changes, point at it.
+    """Write the rows once, check them, write what changes, point at it.
 
-    The batch is written first because the merge reads it more than once, and a source read twice
-    may answer differently. Where it needs no further work it becomes part of the table as it is.
+    They are written first because the merge reads them more than once, and a source read twice
+    may answer differently. Where they need no further work they become part of the table as they are.
     """
     started = time.monotonic()
     what = f"merge into {table}"
+    if _has_landed(store, table, batch):
+        return _nothing(store, table, started, measures)
+    if store.exists(table):
+        _marks(store, table)  # a plain view cannot be merged into
     staged, seen = _write_version(store, table, df, measures, kind="c")
+    pointed = False
     try:
-        batch = store.table(staged)
+        given = store.table(staged)
         exists = store.exists(table)
-        as_is = not exists or batch.dtypes == store.table(table).dtypes
+        as_is = not exists or given.dtypes == store.table(table).dtypes
         if not as_is:
             # First of all: keys that differ as text may be equal as the table's type.
-            batch = align(batch, store.table(table), what)
+            given = align(given, store.table(table), what)
         if exists and not seen["rows"]:
+            if batch:
+                _point(store, table, _marks(store, table) | _landed(store, table, batch))
             return _finish(store, table, seen, started)
-        facts = require_unique(batch, key, what, seq)
-        fresh, as_is = (batch, as_is) if seq is None else (latest_per_key(batch, key, seq), False)
+        facts = require_unique(given, key, what, seq)
+        fresh, as_is = (given, as_is) if seq is None else (latest_per_key(given, key, seq), False)
         if exists:
-            _merge_into(store, table, fresh, key, facts, seen["rows"], staged if as_is else None)
+            _merge_into(store, table, fresh, key, seq, facts, apart, staged if as_is else None, batch)
         elif as_is:
-            _point(store, table, {_CURRENT: staged, _ROWS: seen["rows"], _UNIQUE: key})
+            _point(store, table, {_CURRENT: staged, _UNIQUE: key} | _landed(store, table, batch))
         else:
-            version, wrote = _write_version(store, table, fresh)
-            _point(store, table, {_CURRENT: version, _ROWS: wrote["rows"], _UNIQUE: key})
+            version, _ = _write_version(store, table, fresh)
+            _point(store, table, {_CURRENT: version, _UNIQUE: key} | _landed(store, table, batch))
+        pointed = True
     finally:
-        if not store.exists(table) or staged not in _in_use(store, table):
+        if not pointed or staged not in _in_use(store, table):
             store.spark.sql(f"DROP TABLE IF EXISTS {store.name(staged)}")
     return _finish(store, table, seen, started)
 
@@ -360,31 +421,36 @@ def _merge_into(
     table: str,
     fresh: DataFrame,
     key: str,
+    seq: str | None,
     facts: KeyFacts,
-    incoming: int,
+    apart: bool,
     as_is: str | None,
+    batch: Batch | None,
 ) -> None:
-    """Merge aligned rows. `as_is` names the table that already holds exactly them, if there is one."""
+    """Merge aligned rows. `as_is` names the table that already holds exactly them, if there is one.
+
+    Stored rows are looked at where the rows' keys are: the check for stored duplicates and the comparison
+    of `seq` read the key column and shuffle no more than the rows that match.
+    """
     marks, base = _marks(store, table), store.table(table)
     if marks.get(_UNIQUE) != key:
-        require_unique(base, key, f"existing rows of {table}")
-
-    changed = int(marks.get(_CHANGED_ROWS, 0)) + incoming
-    key_bytes = int(marks.get(_CHANGED_KEY_BYTES, 0)) + facts.key_bytes
-    same_key = _CHANGES not in marks or marks.get(_UNIQUE) == key
-    few = changed <= CHANGES_SHARE * int(marks[_ROWS]) and key_bytes <= BROADCAST_KEY_BYTES
-    if not (same_key and few):
-        version, wrote = _write_version(store, table, upsert(base, fresh, key, facts))
-        _point(store, table, {_CURRENT: version, _ROWS: wrote["rows"], _UNIQUE: key})
+        require_unique(touched(base, fresh, key, facts), key, f"existing rows of {table}")
+    if seq is not None and seq in base.columns:
+        fresh = newer_than_stored(base, fresh, key, seq, facts)
+    marks = marks | _landed(store, table, batch)
+    if not apart:
+        version, _ = _write_version(store, table, upsert(base, fresh, key, facts))
+        unique = key if marks.get(_UNIQUE) == key else None
+        _point(store, table, {**marks, _CURRENT: version, _CHANGES: None, _CHANGES_KEY: None, _UNIQUE: unique})
         return
-
+    if marks.get(_CHANGES_KEY, key) != key:
+        raise ValueError(f"{table} keeps changes apart by {marks[_CHANGES_KEY]!r}; compact it to merge by {key!r}")
     if as_is and _CHANGES not in marks:
-        changes, changed = as_is, incoming
+        changes = as_is
     else:
         full = with_carried(base, fresh, key, facts).select(*map(exact, base.columns))
         if _CHANGES in marks:
             full = upsert(store.table(marks[_CHANGES]), full, key, facts)
-        changes, wrote = _write_version(store, table, full, kind="c")
-        changed = wrote["rows"]
-    apart = {_CHANGES: changes, _CHANGED_ROWS: changed, _CHANGED_KEY_BYTES: key_bytes, _UNIQUE: key}
-    _point(store, table, marks | apart)
+        changes, _ = _write_version(store, table, full, kind="c")
+    unique = key if marks.get(_UNIQUE) == key else None
+    _point(store, table, {**marks, _CHANGES: changes, _CHANGES_KEY: key, _UNIQUE: unique})

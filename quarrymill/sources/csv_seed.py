@@ -48,9 +48,10 @@ def scan_seed_tree(spark: SparkSession, root: str) -> DataFrame:
         .load(root)
         .select("path", "length")
     )
-    # Listed paths start with the scheme; a root without one stands after it.
-    base = root.rstrip("/") + "/"
-    relative = F.substr(F.col("path"), F.instr(F.col("path"), base) + len(base))
+    # Listed paths are whole ones, so the root is made whole first.
+    whole = spark._jvm.org.apache.hadoop.fs.Path(root)
+    whole = whole.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(whole).toString()
+    relative = F.substr(F.col("path"), F.lit(len(whole.rstrip("/")) + 2))
     seed = F.regexp_extract(relative, r"^(.*?\.csv)(/|$)", 1)
     return (
         files.withColumn("seed", seed)

@@ -6,6 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quarrymill.functions.types import apply_clickhouse_types, text_schema
 
@@ -60,11 +61,12 @@ def scan_jdbc_full(
     url: str,
     stream: str,
     partition_column: str | None = None,
-    num_partitions: int = 1,
+    num_partitions: int | None = None,
     identifier: str | None = None,
     schema: str | None = None,
     properties: Mapping[str, str] | None = None,
     predicates: list[str] | None = None,
+    past: tuple[str, str] | None = None,
 ) -> DataFrame:
     """A whole database table, read in parallel ranges of a numeric, date or timestamp column.
 
@@ -72,41 +74,58 @@ def scan_jdbc_full(
     repeats. Where its values are so uneven that one range holds most rows, give `predicates`
     instead: conditions, one query each, that together select every row once. Filters and columns
     of what follows are pushed into the queries.
+
+    `past`, a column and a SQL literal, is the condition of an incremental load. It is part of the query for
+    the bounds, so that the ranges divide what is read and not the whole table, and of every read.
+    Reading as one task must be asked for: `num_partitions=1`.
     """
+    if not predicates and num_partitions != 1 and (partition_column is None or not num_partitions):
+        raise ValueError(f"{stream}: give a partition_column and num_partitions, predicates, or num_partitions=1")
     table = table_identifier(stream, identifier, schema)
     reader = jdbc_reader(spark, url, properties)
+    condition = f"{past[0]} > {past[1]}" if past else None
     if predicates:
-        return reader.jdbc(url, table, predicates=predicates, properties=dict(properties or {}))
+        each = [f"({p}) and {condition}" for p in predicates] if condition else predicates
+        return reader.jdbc(url, table, predicates=each, properties=dict(properties or {}))
+    source = f"(select * from {table} where {condition}) past_mark" if condition else table
     if partition_column is None:
-        return reader.option("dbtable", table).load()
+        return reader.option("dbtable", source).load()
+    where = f" where {condition}" if condition else ""
     bounds = (
-        reader.option("query", f"select min({partition_column}) lo, max({partition_column}) hi from {table}")
+        reader.option("query", f"select min({partition_column}) lo, max({partition_column}) hi from {table}{where}")
         .load()
         .first()
     )
-    whole = jdbc_reader(spark, url, properties).option("dbtable", table)
+    whole = jdbc_reader(spark, url, properties).option("dbtable", source)
     if bounds[0] is None:
         return whole.load()
     return whole.options(**partition_options(partition_column, bounds[0], bounds[1], num_partitions)).load()
 
 
 def scan_cursor(
-    df: DataFrame, cursor: str, stored: str | None, initial: str | None = None, overlap: str | None = None
+    df: DataFrame,
+    cursor: str,
+    stored: str | None,
+    initial: str | None = None,
+    overlap: str | int | None = None,
+    inclusive: bool = False,
 ) -> DataFrame:
     """Rows past the high-water mark: the stored one, else the initial one, else all rows.
 
     The mark is text and is compared as the column's own type, so `9 < 10`; the literal reaches
-    the Parquet or JDBC scan. The comparison is strict. `overlap`, an interval such as
-    `1 hour`, moves a time mark back to pick late rows up again: merge those by key.
+    the Parquet or JDBC scan. The comparison is strict, which loses rows that arrive later with the
+    mark's value; `inclusive` reads rows at the mark again and `overlap` moves it back, by an interval such as `1 hour`
+    or, for numbers, by an amount. Merge what either of them reads by key.
     """
     mark = stored if stored is not None else initial
     if mark is None:
         return df
     kind = df.schema[cursor].dataType
     low = F.lit(mark).cast(kind)
-    if overlap:
-        return df.filter(F.col(cursor) >= low - F.expr(f"interval {overlap}"))
-    return df.filter(F.col(cursor) > low)
+    if overlap is None:
+        return df.filter(F.col(cursor) >= low if inclusive else F.col(cursor) > low)
+    back = F.lit(overlap).cast(kind) if isinstance(kind, T.NumericType) else F.expr(f"interval {overlap}")
+    return df.filter(F.col(cursor) >= (low - back).cast(kind))
 
 
 def scan_past_target(df: DataFrame, cursor: str, target: DataFrame, floor: str = "1970-01-01") -> DataFrame:

@@ -8,9 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from quarrymill.functions.columns import quoted
-from quarrymill.session import shared_dir
-from quarrymill.sinks.store import Store, write_merge
+from quarrymill.sinks.store import Store, clone_empty, write_append, write_merge
 
 
 def stream_load(
@@ -27,9 +25,12 @@ def stream_load(
 ) -> StreamingQuery:
     """Land every file of `path` that earlier runs have not landed, then stop.
 
-    The checkpoint remembers the files. Append is exactly-once: a batch is written to the folder
-    of its (query, batch id), and a batch that is run again after a crash overwrites that folder.
-    Merge upserts each batch by key, where running again changes nothing.
+    The checkpoint remembers the files. Batches land through the store like any other load, so that loads by batch and
+    by stream may share a table. The table records the last batch of each query together with its
+    rows, and a batch that runs again after a crash is skipped: either strategy is exactly-once.
+
+    `max_files` sizes batches. With `seq`, a merge does not depend on how files fall into batches; without it every
+    batch is one extract, in which a key may occur once.
     """
     if strategy == "merge" and not key:
         raise ValueError(f"{table}: merge requires primary_key")
@@ -42,20 +43,20 @@ def stream_load(
         .option("maxFilesPerTrigger", max_files)
         .load(path)
     )
-    folder = f"{shared_dir(spark)}/stream_{store.database}_{table}"
+    if strategy == "append" and not store.exists(table):
+        clone_empty(store, table, spark.createDataFrame([], arriving.schema))
     # The query's id outlives restarts but is known only once it runs; batches wait for it.
     query_id: list[str] = []
     known = threading.Event()
 
-    def land(batch: DataFrame, batch_id: int) -> None:
-        if strategy == "merge":
-            write_merge(store, table, batch, key, seq)
-            return
+    def land(rows: DataFrame, batch_id: int) -> None:
         known.wait()
-        batch.write.mode("overwrite").parquet(f"{folder}/query_id={query_id[0]}/batch_id={batch_id}")
+        batch = (query_id[0], batch_id)
+        if strategy == "merge":
+            write_merge(store, table, rows, key, seq, batch=batch)
+        else:
+            write_append(store, table, rows, batch=batch)
 
-    if strategy == "append" and not store.exists(table):
-        _landing_view(store, table, folder, arriving.schema)
     query = (
         arriving.writeStream.foreachBatch(land)
         .option("checkpointLocation", checkpoint)
@@ -65,13 +66,3 @@ def stream_load(
     query_id.append(str(query.id))
     known.set()
     return query
-
-
-def _landing_view(store: Store, table: str, folder: str, schema: T.StructType) -> None:
-    """The table is a view over the batch folders; an empty one exists from the start."""
-    spark = store.spark
-    spark.createDataFrame([], schema).write.parquet(f"{folder}/query_id=none/batch_id=-1")
-    columns = ", ".join(map(quoted, schema.names))
-    spark.sql(
-        f"CREATE OR REPLACE VIEW {store.name(table)} AS SELECT {columns} FROM parquet.`{folder}`"
-    )

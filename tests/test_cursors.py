@@ -4,6 +4,7 @@ import pytest
 
 from quarrymill.operators import cursors
 from quarrymill.operators.cursors import StreamConfig, load_stream
+from quarrymill.sinks import store as sinks
 from quarrymill.sources.records import scan_cursor
 from quarrymill.streaming.file_load import stream_load
 
@@ -112,3 +113,66 @@ def test_stream_merge(store, frame, rows, tmp_path):
     assert rows(store.table("s")) == [(1, "c", 3), (2, "d", 1)]
     with pytest.raises(ValueError, match="primary_key"):
         stream_load(store, "s", landing, "id int", checkpoint, "merge")
+
+
+def test_batches_and_streams_share_a_table(store, spark, frame, rows, tmp_path):
+    """Appends by batch, by stream, by batch again, compaction, and another run of the stream."""
+    landing, checkpoint = str(tmp_path / "in"), str(tmp_path / "check")
+    sinks.write_append(store, "s", frame("id int, name string", (1, "a")))
+    for k in (2, 5):
+        frame("id int, name string", (k, "stream"), (None, "n")).write.mode("append").parquet(landing)
+        stream_load(store, "s", landing, "id int, name string", checkpoint).awaitTermination()
+        sinks.write_append(store, "s", frame("id int, name string", (k + 1, "batch")))
+        sinks.compact(store, "s")
+    assert rows(store.table("s")) == [
+        (1, "a"), (2, "stream"), (3, "batch"), (5, "stream"), (6, "batch"), (None, "n"), (None, "n"),
+    ]
+
+
+@pytest.mark.parametrize("strategy", ["append", "merge"])
+def test_a_batch_that_runs_again_changes_nothing(store, frame, rows, tmp_path, strategy):
+    landing, checkpoint = str(tmp_path / "in"), tmp_path / "check"
+    frame("id int, name string", (1, "a"), (None, "n")).write.parquet(landing)
+    for _ in range(2):
+        stream_load(store, "s", landing, "id int, name string", str(checkpoint), strategy, key="id").awaitTermination()
+        assert rows(store.table("s")) == [(1, "a"), (None, "n")]
+        # As if the job had died before the batch was noted as done.
+        for done in (checkpoint / "commits").glob("*"):
+            done.unlink()
+
+
+@pytest.mark.parametrize("max_files", [1, 1000])
+def test_merge_by_sequence_does_not_depend_on_batches(store, frame, rows, tmp_path, max_files):
+    landing = str(tmp_path / "in")
+    for n, name in ((9, "new"), (5, "old")):
+        frame("id int, name string, n int", (1, name, n)).coalesce(1).write.mode("append").parquet(landing)
+    stream_load(
+        store, "s", landing, "id int, name string, n int", str(tmp_path / "c"), "merge", "id", "n", max_files=max_files
+    ).awaitTermination()
+    assert rows(store.table("s")) == [(1, "new", 9)]
+
+
+def test_marks_never_fall_and_ties_are_kept(store, frame, rows):
+    """Rows at the mark that arrive later are merged in; a late row below it does not move it."""
+    config = cursors.StreamConfig("merge", primary_key="id", cursor_field="at", inclusive=True)
+    state = []
+
+    def extract(mark):
+        return scan_cursor(frame("id int, at bigint", *state), "at", mark, inclusive=True)
+
+    state[:] = [(1, 10), (2, 12)]
+    cursors.load_stream(store, "x", "s", extract, config)
+    state[:] = [(1, 10), (2, 12), (3, 12)]
+    cursors.load_stream(store, "x", "s", extract, config)
+    assert rows(store.table("raw_x_s")) == [(1, 10), (2, 12), (3, 12)]
+    late = lambda mark: frame("id int, at bigint", (4, 11))
+    cursors.load_stream(store, "x", "s", late, config)
+    assert cursors.cursor_get(store, "x", cursors.cursor_key("s", "at")) == "12"
+    with pytest.raises(ValueError, match="inclusive"):
+        cursors.load_stream(store, "x", "t", late, cursors.StreamConfig("append", cursor_field="at", inclusive=True))
+
+
+def test_all_declared_streams_are_loaded(store, frame):
+    streams = {"a": cursors.StreamConfig(identifier="big.a"), "b": cursors.StreamConfig("replace")}
+    loaded = cursors.load_streams(store, "x", streams, lambda name, config: lambda mark: frame("id int, t string", (1, name)))
+    assert [r.target.split(".")[-1] for r in loaded] == ["raw_x_a", "raw_x_b"]

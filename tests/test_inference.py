@@ -205,13 +205,10 @@ def test_the_last_of_two_equal_json_keys_counts(frame):
     assert found == {"a": "text"} and type_json(docs, "doc", found).collect() == [("x",)]
 
 
-def test_objects_keyed_by_data_are_refused(spark, monkeypatch):
-    from quarrymill.functions import inference
-
-    monkeypatch.setattr(inference, "MOST_JSON_KEYS", 20)
-    docs = spark.range(21).selectExpr("concat('{\"k', id, '\": 1}') as doc")
-    with pytest.raises(ValueError, match="distinct keys"):
-        infer_json_types(docs, "doc")
+def test_objects_keyed_by_data_keep_the_named_keys(spark):
+    docs = spark.range(6000).selectExpr("concat('{\"k', id, '\": 1, \"name\": \"x\"}') as doc")
+    assert infer_json_types(docs, "doc", keep=["name"]) == {"name": "text"}
+    assert len(infer_json_types(docs, "doc")) == 6001
 
 
 def _class_in_python(value):

@@ -5,7 +5,6 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from quarrymill.operators import upsert as upsert_module
 from quarrymill.operators.skew import own_shuffle
 from quarrymill.operators.upsert import key_facts, upsert
 from quarrymill.plans import QUERIES
@@ -55,17 +54,16 @@ def test_flagship_shuffles_each_fact_once_and_as_partial_sums(spark, conf):
             assert "partial_" in below
 
 
-def test_few_update_keys_are_broadcast_and_the_base_is_read_once(spark):
+def test_few_update_keys_are_broadcast_and_the_base_is_not_shuffled(spark):
     base = spark.read.parquet(f"{SF_DIR}/orders.parquet")
     updates = base.filter("o_orderkey between 100 and 120")
     plan = plan_of(upsert(base, updates, "o_orderkey", key_facts(updates, "o_orderkey")))
     assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
-    assert plan.count("FileScan") == 3  # the base, the keys and the updates
+    assert plan.count("FileScan") == 4  # the base within and beyond the key range, the keys and the updates
 
 
-def test_many_update_keys_meet_only_their_range_of_the_base(spark, conf, monkeypatch):
+def test_many_update_keys_meet_only_their_range_of_the_base(spark, conf):
     conf(spark__sql__autoBroadcastJoinThreshold="-1")
-    monkeypatch.setattr(upsert_module, "BROADCAST_KEY_BYTES", 0)
     orders = spark.read.parquet(f"{SF_DIR}/orders.parquet")
     base = orders.withColumn("o_orderkey", F.expr("if(o_orderkey % 4 = 0, null, o_orderkey)"))
     stored = orders.select("o_orderkey", "o_custkey")

@@ -198,7 +198,14 @@ def test_database_scan_covers_the_whole_range(monkeypatch, spark, frame):
         "dbtable": "sales.orders", "partitionColumn": "order_id", "lowerBound": "1", "upperBound": "900",
         "numPartitions": "16",
     }
-    records.scan_jdbc_full(spark, "jdbc:x", "orders")
+    with pytest.raises(ValueError, match="partition_column"):
+        records.scan_jdbc_full(spark, "jdbc:x", "orders")
+    past = ("updated_at", "timestamp '2026-01-01'")
+    records.scan_jdbc_full(spark, "jdbc:x", "orders", "order_id", 16, past=past)
+    bounds, scan = reader.asked[-2:]
+    assert bounds["query"].endswith("from public.orders where updated_at > timestamp '2026-01-01'")
+    assert scan["dbtable"] == "(select * from public.orders where updated_at > timestamp '2026-01-01') past_mark"
+    records.scan_jdbc_full(spark, "jdbc:x", "orders", num_partitions=1)
     assert reader.asked[-1] == {"dbtable": "public.orders"}
     halves = ["a < 5 or a is null", "a >= 5"]
     records.scan_jdbc_full(spark, "jdbc:x", "orders", predicates=halves)
@@ -220,6 +227,12 @@ def test_cursor_is_compared_by_type(frame, rows):
     assert records.scan_cursor(df, "c", None).count() == 4
 
 
+def test_cursor_at_the_mark_and_overlap_of_numbers(frame, rows):
+    df = frame("c bigint", (8,), (9,), (10,), (None,))
+    assert rows(records.scan_cursor(df, "c", "9", inclusive=True)) == [(10,), (9,)]
+    assert rows(records.scan_cursor(df, "c", "10", overlap=2)) == [(10,), (8,), (9,)]
+
+
 def test_cursor_ties_and_late_rows(frame, rows):
     at = [dt.datetime(2026, 4, 20, hour) for hour in (9, 10, 10, 11)]
     df = frame("id int, at timestamp_ntz", *enumerate(at))
