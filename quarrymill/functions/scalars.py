@@ -31,14 +31,26 @@ def guarded_epoch(seconds: Column | str) -> Column:
     return F.when(value.isNotNull(), F.timestamp_seconds(value.cast("bigint")))
 
 
+# Further spellings of a time, in UTC: of mail and HTTP headers, and dates with slashes.
+_SPELLINGS = [
+    (r"^[A-Za-z]{3}, \d{2} [A-Za-z]{3} \d{4} \d{2}:\d{2}:\d{2} (GMT|UTC)\z", "dd MMM yyyy HH:mm:ss", 6, 20),
+    (r"^\d{4}/\d{2}/\d{2}\z", "yyyy/MM/dd", 1, 10),
+    (r"^\d{4}/\d{2}/\d{2} \d{2}:\d{2}:\d{2}\z", "yyyy/MM/dd HH:mm:ss", 1, 19),
+    (r"^\d{2}/\d{2}/\d{4}\z", "MM/dd/yyyy", 1, 10),
+]
+
+
 def epoch_or_iso_seconds(text: Column | str) -> Column:
-    """Unix seconds from digits or from an ISO date or timestamp; NULL where it is neither."""
+    """Unix seconds from digits, from an ISO date or timestamp, or from a header's or slashed date; else NULL."""
     value = _as_column(text)
     parsed = F.floor(F.unix_micros(value.try_cast("timestamp")) / F.lit(1_000_000))
-    return (
-        F.when(value.rlike(r"^\d+\z"), value.try_cast("bigint"))
-        .when(value.rlike(_LEADING_DATE), parsed.cast("bigint"))
+    seconds = F.when(value.rlike(r"^\d+\z"), value.try_cast("bigint")).when(
+        value.rlike(_LEADING_DATE), parsed.cast("bigint")
     )
+    for shape, pattern, start, length in _SPELLINGS:
+        spelled = F.try_to_timestamp(F.substring(value, start, length), F.lit(pattern))
+        seconds = seconds.when(value.rlike(shape), F.unix_seconds(spelled.cast("timestamp")))
+    return seconds
 
 
 def null_of(spark_type: str) -> Column:

@@ -373,28 +373,70 @@ def load_summary(spark, sf_dir):
 
 @query("stream_load", "select event_id, ts, user_id, event_type from events")
 def stream_load_query(spark, sf_dir):
-    """Files land in two waves; the second run takes up only the new ones."""
+    """Rows arrive by batch, by stream in two waves, and by batch again; the table is compacted in between."""
     store = sinks.scratch_store(spark, "stream")
     landing = f"{shared_dir(spark)}/landing_{uuid.uuid4().hex}"
     events = load(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
     early = F.col("ts") <= F.lit(_MID).cast("timestamp_ntz")
+    by_batch = F.col("event_id") % 4
+    sinks.write_append(store, "raw_events", events.filter(by_batch == 0))
     for wave in (events.filter(early), events.filter(~early)):
-        wave.write.mode("append").parquet(landing)
+        wave.filter(by_batch >= 2).write.mode("append").parquet(landing)
         run = stream_load(store, "raw_events", landing, events.schema, f"{landing}_checkpoint")
         run.awaitTermination()
+        sinks.compact(store, "raw_events")
+    sinks.write_append(store, "raw_events", events.filter(by_batch == 1))
     return store.table("raw_events")
 
 
-@query("stream_load_merge", "select user_id, arg_max(event_type, ts) as event_type, max(ts) as ts from events group by 1")
+@query(
+    "stream_load_merge",
+    """select user_id, arg_max(event_type, ts) as event_type, max(ts) as ts, max_files
+    from events, (select unnest([1, 1000]) as max_files) group by user_id, max_files""",
+)
 def stream_load_merge(spark, sf_dir):
-    store = sinks.scratch_store(spark, "stream_merge")
-    landing = f"{shared_dir(spark)}/landing_{uuid.uuid4().hex}"
+    """The later rows land first, with small batches and with large ones: the greatest sequence wins either way."""
     events = load(spark, sf_dir, "events").select("user_id", "event_type", "ts")
     early = F.col("ts") <= F.lit(_MID).cast("timestamp_ntz")
-    for wave in (events.filter(early), events.filter(~early)):
-        wave.write.mode("append").parquet(landing)
-        run = stream_load(
-            store, "users", landing, events.schema, f"{landing}_checkpoint", "merge", key="user_id", seq="ts"
-        )
-        run.awaitTermination()
-    return store.table("users")
+    results = []
+    for max_files in (1, 1000):
+        store = sinks.scratch_store(spark, "stream_merge")
+        landing = f"{shared_dir(spark)}/landing_{uuid.uuid4().hex}"
+        for wave in (events.filter(~early), events.filter(early)):
+            wave.coalesce(2).write.mode("append").parquet(landing)
+            run = stream_load(
+                store, "users", landing, events.schema, f"{landing}_checkpoint", "merge",
+                key="user_id", seq="ts", max_files=max_files,
+            )
+            run.awaitTermination()
+        results.append(store.table("users").withColumn("max_files", F.lit(max_files)))
+    return results[0].unionByName(results[1])
+
+
+@query(
+    "load_stream_ties",
+    f"""select event_id, ts, user_id, event_type from events
+    where ts <= timestamp '{_MID}' or event_id % 5 <> 0""",
+)
+def load_stream_ties(spark, sf_dir):
+    """An inclusive cursor: rows that arrive later with the mark's value come in, an older one moves no mark."""
+    store = sinks.scratch_store(spark, "ties")
+    events = load(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
+    config = cursors.StreamConfig("merge", primary_key="event_id", cursor_field="ts", inclusive=True)
+    first = F.col("ts") <= F.lit(_MID).cast("timestamp_ntz")
+    mark = events.filter(first).agg(F.max("ts").alias("ts"))
+    tied = events.join(mark, "ts", "left_semi")
+    arrivals = [
+        events.filter(first).join(tied.select("event_id"), "event_id", "left_anti").unionByName(tied.limit(1)),
+        events.filter(first),
+        events.filter(first).limit(1),
+        events.filter(first | (F.col("event_id") % 5 != 0)),
+    ]
+    for number, arrived in enumerate(arrivals):
+        late = number == 2  # an extract that holds nothing but an old row
+
+        def extract(mark, arrived=arrived, late=late):
+            return arrived if late else scan_cursor(arrived, "ts", mark, inclusive=True)
+
+        cursors.load_stream(store, "clickhouse", "events", extract, config)
+    return store.table("raw_clickhouse_events")

@@ -268,3 +268,11 @@ def test_csv_round_trip_of_odd_text(spark, tmp_path):
         csv.writer(out, lineterminator="\n").writerows([["id", "a", "b", "z"], *written])
     found = sorted(csv_seed.scan_csv_text(spark, str(path)).collect(), key=lambda r: int(r["id"]))
     assert [tuple(r) for r in found] == [tuple(v or None for v in row) for row in written]
+
+
+def test_further_spellings_of_times(frame):
+    from quarrymill.functions.scalars import epoch_or_iso_seconds
+
+    df = frame("t string", ("Mon, 01 Jan 2024 00:00:00 GMT",), ("2024/01/01",), ("2024/01/01 00:00:01",), ("01/02/2024",), ("Mon, soon",), ("2024/13/45",), (None,))
+    found = [r[0] for r in df.select(epoch_or_iso_seconds("t")).collect()]
+    assert found == [1704067200, 1704067200, 1704067201, 1704153600, None, None, None]
