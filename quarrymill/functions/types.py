@@ -75,6 +75,11 @@ _CLICKHOUSE_WRAPPERS = ("Nullable", "LowCardinality", "SimpleAggregateFunction")
 
 _MAX_PRECISION = 38
 _BIGINT_DIGITS = 19
+# The size of a `numeric` that declares none: the same for every batch of a table. A number that does not fit,
+# with more than 20 digits before the point or 18 after it, fails the load and is never rounded.
+BARE_NUMERIC = "numeric(38,18)"
+# Digits of the ClickHouse decimals that declare a scale only; beyond 38 Spark has no decimal.
+_CLICKHOUSE_DIGITS = {"Decimal32": 9, "Decimal64": 18, "Decimal128": 38, "Decimal256": 38}
 
 
 def text_schema(names: Iterable[str]) -> T.StructType:
@@ -83,8 +88,10 @@ def text_schema(names: Iterable[str]) -> T.StructType:
 
 
 def spark_type(warehouse_type: str) -> str:
-    """The Spark type of a warehouse type. `numeric(p,s)` is a decimal of that size."""
+    """The Spark type of a warehouse type. `numeric(p,s)` is a decimal of that size, `numeric` one of a fixed size."""
     name = warehouse_type.strip().lower()
+    if name == "numeric":
+        name = BARE_NUMERIC
     if name in WAREHOUSE_TYPES:
         return WAREHOUSE_TYPES[name]
     sized = re.fullmatch(r"numeric\((\d+),\s*(\d+)\)", name)
@@ -107,9 +114,15 @@ def clickhouse_type(declared: str, wide_uint64: bool = False) -> str:
         shape = wrapped[2].strip()
     if wide_uint64 and shape == "UInt64":
         return "numeric(20,0)"
-    name, bracket, _ = shape.partition("(")
+    name, bracket, inside = shape.partition("(")
     if bracket and name in _CLICKHOUSE_BARE:
         return "text"
+    sizes = [int(x) for x in re.findall(r"\d+", inside)]
+    if name in _CLICKHOUSE_DIGITS and len(sizes) == 1:
+        sizes.insert(0, _CLICKHOUSE_DIGITS[name])
+    if CLICKHOUSE_TYPES.get(name) == "numeric" and sizes:
+        precision, scale = min(sizes[0], _MAX_PRECISION), sizes[1] if len(sizes) > 1 else 0
+        return f"numeric({precision},{scale})"
     return CLICKHOUSE_TYPES.get(name, "text")
 
 
@@ -189,8 +202,9 @@ def _castable(value: Column, from_type: T.DataType, warehouse_type: str) -> Colu
 
 
 def cast_column(value: Column, from_type: T.DataType, warehouse_type: str) -> Column:
-    """An ANSI cast: a value the type cannot hold fails the job, as an insert would."""
-    cast = _castable(value, from_type, warehouse_type).cast(spark_type(warehouse_type))
+    """An ANSI cast: a value the type cannot hold, all its decimals included, fails the job."""
+    given, to_type = _castable(value, from_type, warehouse_type), T.DataType.fromDDL(spark_type(warehouse_type))
+    cast = exact_cast(given, from_type, to_type) if isinstance(to_type, T.DecimalType) else given.cast(to_type)
     return F.lower(cast) if warehouse_type == "uuid" else cast
 
 
@@ -201,24 +215,17 @@ def try_cast_column(value: Column, from_type: T.DataType, warehouse_type: str) -
 
 
 def settle_numeric(df: DataFrame, types: Mapping[str, str]) -> dict[str, str]:
-    """Give every bare `numeric` its scale, with one aggregate over the columns that need it.
+    """Give every bare `numeric` its size: that of a column which is a decimal already, else the fixed one.
 
-    A decimal column keeps the size it has.
+    Nothing is measured, as the next batch of the same table may hold other numbers.
     """
-    bare = [name for name, kind in types.items() if kind == "numeric"]
-    sized = {
-        name: f"numeric({field.precision},{field.scale})"
-        for name in bare
-        if isinstance(field := df.schema[name].dataType, T.DecimalType)
-    }
-    unsized = [name for name in bare if name not in sized]
-    if unsized:
-        digits = [number_digits(exact(name).cast("string")) for name in unsized]
-        most = df.agg(*[F.max(part) for pair in digits for part in pair]).first()
-        sized |= {
-            name: numeric_type(name, most[2 * i], most[2 * i + 1]) for i, name in enumerate(unsized)
-        }
-    return {name: sized.get(name, kind) for name, kind in types.items()}
+    settled = dict(types)
+    for name, kind in types.items():
+        if kind == "numeric":
+            field = df.schema[name].dataType
+            decimal = isinstance(field, T.DecimalType)
+            settled[name] = f"numeric({field.precision},{field.scale})" if decimal else BARE_NUMERIC
+    return settled
 
 
 def apply_types(df: DataFrame, types: Mapping[str, str]) -> DataFrame:

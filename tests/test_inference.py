@@ -143,8 +143,8 @@ def test_postgres_types(declared, expected):
         ("Nullable(Int8)", "integer"),
         ("LowCardinality(Nullable(String))", "text"),
         ("SimpleAggregateFunction(sum, UInt64)", "text"),
-        ("Decimal(10, 2)", "numeric"),
-        ("Decimal64(3)", "numeric"),
+        ("Decimal(10, 2)", "numeric(10,2)"),
+        ("Decimal64(3)", "numeric(18,3)"),
         ("DateTime", "timestamptz"),
         ("DateTime64(3, 'UTC')", "timestamptz"),
         ("Date32", "date"),
@@ -257,3 +257,21 @@ def test_csv_classes_agree_with_brute_force(spark):
     df = spark.createDataFrame(list(zip(*columns.values())), schema)
     found = {name: kind.partition("(")[0] for name, kind in infer_csv_types(df).items()}
     assert found == {name: settled(values) for name, values in columns.items()}
+
+
+def test_sizes_of_decimals_do_not_depend_on_the_batch(store, frame, rows):
+    """A second load may have more decimals than the first; none is rounded."""
+    from decimal import Decimal
+
+    from quarrymill.sinks.store import typed_create, write_append
+
+    for name, declared, kind in [("a", "numeric", "decimal(38,18)"), ("b", "Decimal(18, 2)", "decimal(18,2)")]:
+        apply = types.apply_pg_types if name == "a" else types.apply_clickhouse_types
+        for text in ("10", "10.25"):
+            write_append(store, name, apply(frame("n string", (text,)), {"n": declared}))
+        assert store.table(name).dtypes == [("n", kind)]
+        assert rows(store.table(name)) == [(Decimal(10),), (Decimal("10.25"),)]
+    with pytest.raises(Exception, match="cannot keep all decimals"):
+        types.apply_clickhouse_types(frame("n string", ("1.005",)), {"n": "Decimal(18, 2)"}).collect()
+    typed_create(store, "t", {"n": "numeric"})
+    assert store.table("t").dtypes == [("n", "decimal(38,18)")]
