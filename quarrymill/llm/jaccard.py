@@ -18,6 +18,8 @@ from quarrymill.llm.components import components
 BAND_RATIO = 1.4
 # A bucket of more members in several components is crowded: it yields no pairs unless pigeonhole needs it.
 CROWDED = 64
+# Bits of a set's sketch: two per element, up to this many.
+MOST_SKETCH_BITS = 4096
 
 
 @dataclass(frozen=True)
@@ -110,6 +112,16 @@ def signatures(shingles: np.ndarray, number: int, band: Band) -> tuple[np.ndarra
     return own, mix(sums[segment[less]] - value[less] + names[segment[less]]), spare
 
 
+def sketch(shingles: np.ndarray, band: Band) -> np.ndarray:
+    """The parity of the number of elements that fall on each bit, as 64-bit numbers.
+
+    An element that two sets do not share flips one bit, so sketches differ in no more bits than sets do in elements.
+    """
+    bits = min(64 * -(-2 * band.high // 64), MOST_SKETCH_BITS)
+    odd = np.bincount((mix(shingles ^ _CLASS) % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def sets_of(words: Words, size: int) -> list[np.ndarray]:
     """The distinct shingles of each text; of a text of fewer words, all words as one."""
     n = len(words.bounds) - 1
@@ -133,11 +145,14 @@ def _shingle_sets(text: pa.Array, size: int):
         yield from zip(range(first, last), sets_of(words, size))
 
 
-_SPARE = pa.list_(pa.struct([("band", pa.int64()), ("spare", pa.int64())]))
+_IN_BANDS = "array<struct<band: long, spare: long, sketch: array<long>>>"
+_ARROW_IN_BANDS = pa.list_(
+    pa.struct([("band", pa.int64()), ("spare", pa.int64()), ("sketch", pa.list_(pa.int64()))])
+)
 
 
 def _described(likeness: Likeness):
-    """doc, n, class and spares of each text."""
+    """doc, n, class and, for each of its bands, spare and sketch of each text."""
 
     def work(batches):
         for batch in batches:
@@ -149,11 +164,13 @@ def _described(likeness: Likeness):
                 for b in bands_of(len(shingles), likeness) if len(shingles) else ():
                     band = bands(likeness)[b]
                     if band.apart:
-                        own.append({"band": b, "spare": signatures(shingles, b, band)[2]})
+                        own.append(
+                            {"band": b, "spare": signatures(shingles, b, band)[2], "sketch": sketch(shingles, band)}
+                        )
                 spare.append(own)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(name, pa.int64()), pa.array(spare, _SPARE)],
-                names=["doc", "n", "class", "spares"],
+                [batch.column(0), pa.array(n, pa.int64()), pa.array(name, pa.int64()), pa.array(spare, _ARROW_IN_BANDS)],
+                names=["doc", "n", "class", "bands"],
             )
 
     return work
@@ -243,6 +260,15 @@ def _of_size(x, y, likeness: Likeness):
     return likeness.per * F.least(x, y) >= likeness.least * F.greatest(x, y)
 
 
+def _may_be_alike(a: str, b: str, likeness: Likeness) -> Column:
+    """Whether sizes and sketches of the rows `a` and `b` (with tag and sketch) leave a link possible."""
+    x, y = (F.expr(f"shiftright({row}.tag, 8)") for row in (a, b))
+    flipped = F.zip_with(f"{a}.sketch", f"{b}.sketch", lambda p, q: F.bit_count(p.bitwiseXOR(q)))
+    differ = F.aggregate(flipped, F.lit(0), lambda total, n: total + n)
+    most = (likeness.per - likeness.least) * (x + y)
+    return _of_size(x, y, likeness) & (differ * (likeness.per + likeness.least) <= most)
+
+
 def similar_sets(
     docs: DataFrame, likeness: Likeness = Likeness(), *, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
@@ -252,8 +278,8 @@ def similar_sets(
     the size band of the smaller set; linked sets differ in fewer elements than there are segments, so one segment is
     equal. Segments are indexed by signatures, the first few with each element left out as well. A set pays for its
     empty and crowded segments out of what that leaves spare. Candidates that share a bucket are verified
-    on their shingles: first each member against the bucket's smallest, then, where a bucket still holds
-    several components, all pairs from different ones. Crowded buckets are left out of the second step except
+    on their shingles, if sizes and parity sketches do not rule them out: first each member against the
+    bucket's smallest, then, where a bucket still holds several components, all pairs from different ones. Crowded buckets are left out of the second step except
     among sets that have nothing spare: a pair either of whose sets can spare its crowded buckets has met elsewhere.
     So no link between components is lost, and pairs within a component are not made.
 
@@ -264,16 +290,15 @@ def similar_sets(
     64-bit hashes.
     """
     given = docs.select(F.col(doc_id).alias("doc"), F.col(text).alias("text"))
-    spares = "array<struct<band: long, spare: long>>"
     described = staged(
-        given.mapInArrow(_described(likeness), f"doc long, n long, class long, spares {spares}"), "described"
-    )
-    classes = staged(
-        described.filter("n > 0 AND doc IS NOT NULL")
-        .groupBy("class")
-        .agg(F.min("doc").alias("doc"), F.first("n").alias("n"), F.first("spares").alias("spares")),
-        "classes",
+        given.mapInArrow(_described(likeness), f"doc long, n long, class long, bands {_IN_BANDS}"), "described"
     )
+    # Rows of a class agree in all but their ids.
+    classes = described.filter("n > 0 AND doc IS NOT NULL").groupBy("class").agg(F.min("doc").alias("doc"))
+    classes = staged(classes, "classes")
+    own = described.select("doc", "class", F.explode("bands").alias("b")).select("doc", "class", "b.*")
+    in_bands = staged(own.join(classes, ["class", "doc"], "left_semi").dropDuplicates(["class", "band"]), "in_bands")
+    in_bands = in_bands.drop("doc")
 
     index = given.filter("doc IS NOT NULL").select("text").mapInArrow(
         _indexed(likeness), "signature long, class long, tag long"
@@ -288,10 +313,10 @@ def similar_sets(
         .distinct()
     )
     shared = staged(shared, "buckets")
-    linked = _links(given, classes, _first_pairs(shared, likeness), likeness)
+    linked = _links(given, classes, _first_pairs(shared, in_bands, likeness), likeness)
     labels = components(linked)
 
-    later = _later_pairs(shared, classes, labels, likeness)
+    later = _later_pairs(shared, classes, in_bands, labels, likeness)
     if not later.isEmpty():
         more = _links(given, classes, later, likeness)
         linked = staged(linked.unionByName(more), "all_links")
@@ -310,60 +335,74 @@ def similar_sets(
     )
 
 
-def _first_pairs(shared: DataFrame, likeness: Likeness) -> DataFrame:
+def _first_pairs(shared: DataFrame, in_bands: DataFrame, likeness: Likeness) -> DataFrame:
     """x, y: each member of a bucket with the bucket's smallest whole segment."""
     bucket = Window.partitionBy("signature")
-    whole = F.when(_deleted() == 0, F.struct(F.col("class").alias("class"), _size().alias("n")))
-    return (
+    whole = F.when(_deleted() == 0, F.struct(F.col("class").alias("class"), F.col("tag").alias("tag")))
+    pairs = (
         shared.withColumn("first", F.min(whole).over(bucket))
-        .filter((F.col("class") != F.col("first.class")) & _of_size(_size(), F.col("first.n"), likeness))
-        .select(F.least("class", "first.class").alias("x"), F.greatest("class", "first.class").alias("y"))
+        .filter((F.col("class") != F.col("first.class")))
+        .filter(_of_size(_size(), F.expr("shiftright(first.tag, 8)"), likeness))
+        .select(
+            _band().alias("band"), "class", "tag",
+            F.col("first.class").alias("first_class"), F.col("first.tag").alias("first_tag"),
+        )
+        .distinct()
+    )
+    sketches = in_bands.select("class", "band", "sketch")
+    first = sketches.toDF("first_class", "band", "first_sketch")
+    both = pairs.join(sketches, ["class", "band"]).join(first, ["first_class", "band"])
+    both = both.select(
+        F.struct("class", "tag", "sketch").alias("a"),
+        F.struct(F.col("first_class").alias("class"), F.col("first_tag").alias("tag"),
+                 F.col("first_sketch").alias("sketch")).alias("b"),
+    )
+    return (
+        both.filter(_may_be_alike("a", "b", likeness))
+        .select(F.least("a.class", "b.class").alias("x"), F.greatest("a.class", "b.class").alias("y"))
         .distinct()
     )
 
 
-def _later_pairs(shared: DataFrame, classes: DataFrame, labels: DataFrame, likeness: Likeness) -> DataFrame:
+def _later_pairs(
+    shared: DataFrame, classes: DataFrame, in_bands: DataFrame, labels: DataFrame, likeness: Likeness
+) -> DataFrame:
     """x, y: pairs from different components that share a bucket, as far as pigeonhole needs them."""
-    named = classes.select("class", "doc", "spares").join(labels.withColumnRenamed("node", "doc"), "doc", "left")
-    named = staged(named.select("class", "spares", F.coalesce("label", "doc").alias("label")), "named")
+    named = classes.join(labels.withColumnRenamed("node", "doc"), "doc", "left")
+    named = staged(named.select("class", F.coalesce("label", "doc").alias("label")), "named")
     bucket = Window.partitionBy("signature")
     open_ = (
-        shared.join(named.select("class", "label"), "class")
+        shared.join(named, "class")
         .withColumn("low", F.min("label").over(bucket))
         .withColumn("high", F.max("label").over(bucket))
         .withColumn("members", F.count(F.lit(1)).over(bucket))
         .filter("low <> high")
-        .select("signature", "class", "tag", "label", (F.col("members") > CROWDED).alias("crowded"))
+        .select("signature", "class", "tag", "label", _band().alias("band"), (F.col("members") > CROWDED).alias("crowded"))
     )
     open_ = staged(open_, "open")
     # A whole segment may be one that counts twice.
     lost = (
         open_.filter("crowded")
-        .groupBy("class", _band().alias("band"))
+        .groupBy("class", "band")
         .agg(F.sum(F.when(_deleted() == 0, 2).otherwise(1)).alias("lost"))
     )
-    spare = named.select("class", F.explode("spares").alias("s")).select("class", "s.band", "s.spare")
-    poor = spare.join(lost, ["class", "band"]).filter("spare >= 0 AND lost > spare").select("class", "band")
-    poor = poor.unionByName(spare.filter("spare < 0").select("class", "band"))
-    poor = staged(poor, "poor")
-    calm = open_.filter("NOT crowded").select("signature", "class", "tag", "label")
-    needed = (
-        open_.filter("crowded")
-        .withColumn("band", _band())
-        .join(poor, ["class", "band"], "left_semi")
-        .select("signature", "class", "tag", "label")
+    poor = (
+        in_bands.select("class", "band", "spare")
+        .join(lost, ["class", "band"], "left")
+        .filter("spare < coalesce(lost, 0)")
+        .select("class", "band")
     )
-    members = staged(calm.unionByName(needed), "members")
+    calm = open_.filter("NOT crowded")
+    needed = open_.filter("crowded").join(poor, ["class", "band"], "left_semi")
+    members = calm.unionByName(needed).join(in_bands.select("class", "band", "sketch"), ["class", "band"])
+    members = staged(members.select("signature", "class", "tag", "label", "sketch"), "members")
     a, b = members.alias("a"), members.alias("b")
-    size = [F.expr(f"shiftright({s}.tag, 8)") for s in "ab"]
-    return staged(
-        a.join(b, F.col("a.signature") == F.col("b.signature"))
-        .filter("a.class < b.class AND a.label <> b.label AND (a.tag & b.tag & 1) = 0")
-        .filter(_of_size(*size, likeness))
-        .select(F.col("a.class").alias("x"), F.col("b.class").alias("y"))
-        .distinct(),
-        "later",
+    possible = (
+        (F.col("a.signature") == F.col("b.signature"))
+        & F.expr("a.class < b.class AND a.label <> b.label AND (a.tag & b.tag & 1) = 0")
+        & _may_be_alike("a", "b", likeness)
     )
+    return staged(a.join(b, possible).select(F.col("a.class").alias("x"), F.col("b.class").alias("y")).distinct(), "later")
 
 
 def _links(given: DataFrame, classes: DataFrame, pairs: DataFrame, likeness: Likeness) -> DataFrame:
