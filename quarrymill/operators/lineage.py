@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 from quarrymill.operators.skew import own_shuffle
 from quarrymill.session import shared_dir
 
+# Levels of a search that are read one by one before they are folded into one table.
+_LEVELS_APART = 8
+
 
 def graph_ancestors(
     edges: DataFrame, start: DataFrame, id_col: str = "id", edges_are_stored: bool = False
@@ -34,7 +37,8 @@ def _reach(steps: DataFrame, start: DataFrame, id_col: str, stored: bool) -> Dat
     The edges are read once per round, so computed ones are stored first; pass `edges_are_stored`
     for a plain table. Each round's new nodes are written to the shared folder. That cuts the
     lineage, survives lost executors, and tells Catalyst the true size of the frontier: a small
-    one is broadcast and the edges are only scanned. A frontier holds each node once, so a node
+    one is broadcast and the edges are only scanned. Every few rounds the levels so far are written as one
+    table, so that a round of a deep graph does not list and read a folder per earlier level. A frontier holds each node once, so a node
     with very many edges makes the edge side of the join skewed, which Spark splits at run time.
     """
     spark = steps.sparkSession
@@ -44,17 +48,25 @@ def _reach(steps: DataFrame, start: DataFrame, id_col: str, stored: bool) -> Dat
         steps.write.parquet(f"{folder}/edges")
         steps = spark.read.schema(steps.schema).parquet(f"{folder}/edges")
 
+    # What has been reached: one folded table, if there is one, and the levels since.
     levels: list[str] = []
+    rounds = 0
     frontier = start.select(F.col(id_col).alias("id")).filter("id is not null").distinct()
     shape = frontier.schema
     while True:
         written = Observation()
-        levels.append(f"{folder}/level={len(levels)}")
-        frontier.observe(written, F.count(F.lit(1)).alias("rows")).write.parquet(levels[-1])
+        level = f"{folder}/level={rounds}"
+        frontier.observe(written, F.count(F.lit(1)).alias("rows")).write.parquet(level)
+        levels.append(level)
         seen = spark.read.schema(shape).parquet(*levels)
         if written.get["rows"] == 0:
             return seen
-        newest = spark.read.schema(shape).parquet(levels[-1])
+        rounds += 1
+        if len(levels) > _LEVELS_APART:
+            seen.write.parquet(f"{folder}/folded={rounds}")
+            levels = [f"{folder}/folded={rounds}"]
+            seen = spark.read.schema(shape).parquet(*levels)
+        newest = spark.read.schema(shape).parquet(level)
         reached = steps.join(newest, steps["near"] == newest["id"]).select(F.col("far").alias("id"))
         frontier = reached.distinct().join(seen, "id", "left_anti")
 

@@ -74,11 +74,21 @@ def write_replace(spark, sf_dir):
     return store.table("orders")
 
 
-@query("write_merge", f"with {_EXTRACTS_SQL} {_MERGED_SQL}")
+@query(
+    "write_merge",
+    f"""with {_EXTRACTS_SQL}, merged as ({_MERGED_SQL})
+    select id, if(status = 'O', 0, amount) as amount, if(status = 'O', 'late', status) as status from merged
+    union all select -1, -1, 'late'""",
+)
 def write_merge(spark, sf_dir):
+    """Two extracts folded in, then changes kept apart: an update of some rows and an insert."""
     store = sinks.scratch_store(spark, "merge")
     sinks.write_merge(store, "orders", first_extract(spark, sf_dir), "id")
     sinks.write_merge(store, "orders", second_extract(spark, sf_dir), "id")
+    kind = store.table("orders").schema["amount"].dataType
+    late = store.table("orders").filter("status = 'O'").select("id", F.lit(0).cast(kind).alias("amount"), F.lit("late").alias("status"))
+    new = spark.range(1).select(F.lit(-1).cast(late.schema["id"].dataType).alias("id"), F.lit(-1).cast(kind).alias("amount"), F.lit("late").alias("status"))
+    sinks.write_merge(store, "orders", late.unionByName(new), "id", apart=True)
     return store.table("orders")
 
 

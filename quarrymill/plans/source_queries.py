@@ -313,25 +313,40 @@ def scan_api_pages(spark, sf_dir):
     "page_chain_audit",
     """with p as (
       select conv_id as stream, turn as page, role = 'user' as has_more,
-             lag(turn) over w as prev, lag(role = 'user') over w as prev_more, lag(role) over w as prev_id,
-             lead(turn) over w as next
-      from conversations window w as (partition by conv_id order by turn))
-    select stream, page, 'gap before' as problem from p where prev is not null and prev <> page - 1
-    union all select stream, page, 'after the end' from p where prev = page - 1 and not prev_more
-    union all select stream, page, 'cut off' from p where next is null and has_more
-    union all select stream, page, 'wrong cursor' from p where prev = page - 1 and prev_id <> 'user'""",
+             if(conv_id % 5 = 0 and turn = 2, 0, 1) as n,
+             if(conv_id % 3 = 0 and turn = 0, null, role) as last_id
+      from conversations),
+    q as (
+      select *, lag(page) over w as prev, lag(has_more) over w as prev_more, lag(last_id) over w as prev_id,
+             lead(page) over w as next
+      from p window w as (partition by stream order by page))
+    select stream, page, problem from (
+      select stream, page, unnest([
+        case when stream % 7 = 0 and page = 1 then 'copied' end,
+        case when prev <> page - 1 then 'gap before' end,
+        case when prev = page - 1 and not prev_more then 'after the end' end,
+        case when next is null and has_more and n > 0 then 'cut off' end,
+        case when next is not null and n = 0 then 'empty' end,
+        case when next is not null and has_more and last_id is null then 'no id' end,
+        case when prev = page - 1 and prev_id is distinct from 'user' then 'wrong cursor' end]) as problem
+      from q)
+    where problem is not null""",
 )
 def page_chain_audit(spark, sf_dir):
-    """Conversations as page chains: a user's turn asks for more, a turn is one page."""
+    """Conversations as page chains: a user's turn asks for more, a turn is one page; some are copied or empty."""
+    stream, page = F.col("conv_id"), F.col("turn")
     turns = load(spark, sf_dir, "conversations").select(
         "conv_id",
         "turn",
         (F.col("role") == "user").alias("more"),
-        F.lit(1).alias("rows"),
-        F.col("role").alias("last_id"),
+        F.when((stream % 5 == 0) & (page == 2), 0).otherwise(1).alias("rows"),
+        F.when(~((stream % 3 == 0) & (page == 0)), F.col("role")).alias("last_id"),
         F.lit("user").alias("after"),
     )
-    return api_pages.page_chain_audit(turns, "conv_id", "turn", "more", "rows", "last_id", "after")
+    copied = turns.filter((stream % 7 == 0) & (page == 1))
+    return api_pages.page_chain_audit(
+        turns.unionByName(copied), "conv_id", "turn", "more", "rows", "last_id", "after"
+    )
 
 
 # --- declared types ---------------------------------------------------------------------------

@@ -230,13 +230,14 @@ def agg_filter(spark, sf_dir):
 
 @query(
     "agg_having",
-    "select l_orderkey, l_linenumber, count(*) as copies from lineitem group by 1, 2 having count(*) > 1",
+    """select l_orderkey, count(*) as n_lines, sum(l_quantity) as quantity from lineitem
+    group by 1 having count(*) >= 5 and sum(l_quantity) > 150""",
 )
 def agg_having(spark, sf_dir):
-    counts = load(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(
-        F.count(F.lit(1)).alias("copies")
+    totals = load(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(
+        F.count(F.lit(1)).alias("n_lines"), F.sum("l_quantity").alias("quantity")
     )
-    return counts.filter("copies > 1")
+    return totals.filter("n_lines >= 5 AND quantity > 150")
 
 
 @query("agg_global_max", "select max(ts) as newest_event, max(event_id) as last_id from events")

@@ -53,7 +53,8 @@ def shared_dir(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
         return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_quarrymill"
     application = spark.sparkContext.applicationId
     if application not in _local_dirs:
