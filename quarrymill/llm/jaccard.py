@@ -394,13 +394,23 @@ def _later_pairs(
     )
     calm = open_.filter("NOT crowded")
     needed = open_.filter("crowded").join(poor, ["class", "band"], "left_semi")
-    members = calm.unionByName(needed).join(in_bands.select("class", "band", "sketch"), ["class", "band"])
-    members = staged(members.select("signature", "class", "tag", "label", "sketch"), "members")
+    members = staged(calm.unionByName(needed), "open_members")
+    # The buckets of a set in a band, at most two per segment and element.
+    kept = members.groupBy("class", "band").agg(
+        F.collect_set(F.when(_deleted() == 0, F.col("signature"))).alias("whole"),
+        F.collect_set(F.when(_deleted() == 1, F.col("signature"))).alias("less"),
+    )
+    members = members.join(in_bands.select("class", "band", "sketch"), ["class", "band"]).join(kept, ["class", "band"])
+    members = staged(members.select("signature", "class", "tag", "label", "sketch", "whole", "less"), "members")
     a, b = members.alias("a"), members.alias("b")
+    # Alike sets share many buckets; a pair is made in the first of them only.
+    shared_by = [("whole", "whole"), ("whole", "less"), ("less", "whole")]
+    first = F.least(*[F.array_min(F.array_intersect(f"a.{x}", f"b.{y}")) for x, y in shared_by])
     possible = (
         (F.col("a.signature") == F.col("b.signature"))
         & F.expr("a.class < b.class AND a.label <> b.label AND (a.tag & b.tag & 1) = 0")
         & _may_be_alike("a", "b", likeness)
+        & (F.col("a.signature") == first)
     )
     return staged(a.join(b, possible).select(F.col("a.class").alias("x"), F.col("b.class").alias("y")).distinct(), "later")
 
