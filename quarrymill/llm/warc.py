@@ -9,8 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quarrymill.llm.common import staged
-from quarrymill.operators.skew import own_shuffle
+from quarrymill.llm.common import bounded, staged
 
 # The format's marks.
 MAGIC = "WARC/1.1\r\n"
@@ -37,12 +36,12 @@ def with_revisits(pages: DataFrame, payload: str, page_id: str, least_bytes: int
     """
     body = F.coalesce(F.col(payload), F.lit("")).cast("binary")
     given = pages.withColumn("digest", sha1_base32(body))
-    keepers = given.groupBy("digest").agg(F.max(page_id).alias("largest"))
-    # One payload may be a third of all pages: Spark splits such a join only between two plain shuffles.
-    joined = given.join(own_shuffle(keepers, "digest"), "digest")
+    # Only payloads that occur again need a keeper; the pages themselves are then shuffled only if those are very many.
+    again = given.groupBy("digest").agg(F.max(page_id).alias("largest"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    joined = given.join(bounded(staged(again.drop("n"), "again")), "digest", "left")
     large = F.octet_length(F.coalesce(F.col(payload), F.lit(""))) >= least_bytes
-    same = F.col(page_id).eqNullSafe(F.col("largest"))
-    return joined.withColumn("keeper", F.when(large & ~same, F.col("largest"))).drop("largest")
+    other = F.col("largest").isNotNull() & ~F.col(page_id).eqNullSafe(F.col("largest"))
+    return joined.withColumn("keeper", F.when(large & other, F.col("largest"))).drop("largest")
 
 
 def records(pages: DataFrame, payload: str, page_id: str, url: str) -> Column:
