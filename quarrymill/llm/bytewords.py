@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 # Bytes handled at a time; one longer text is handled alone.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _BASE_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))

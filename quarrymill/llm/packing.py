@@ -25,7 +25,7 @@ _PLAIN = re.compile(r"[\t\n\r\x20-\x7eÀ-ÖØ-öø-ÿ]*")
 _PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-z0-9ß-öø-ÿ]+")
 # The same pattern in full, as the tokenizer file must state it for the short way to be taken.
 _STATED = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-_MOST_CACHED = 400_000
+_MOST_CACHED = 120_000
 
 
 def _byte_letters() -> dict[int, str]:
