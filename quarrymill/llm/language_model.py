@@ -1,4 +1,4 @@
-"""Language-model scoring: a weighted backoff automaton over n-grams counted in the corpus."""
+"""Language-model scoring: a weighted backoff model over all n-grams counted in the corpus."""
 
 from __future__ import annotations
 
@@ -9,65 +9,33 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarrymill.llm.bytewords import NOT_BLANK, mix, slices, sums_by
-from quarrymill.llm.common import staged
+from quarrymill.llm.bytewords import NOT_BLANK, mix, slices
+from quarrymill.llm.common import bounded, staged
+from quarrymill.operators.skew import own_shuffle
 
 # The token after the last word of a text.
 END = np.uint64(0x3C2F733E)
+# Marks what stands in for the words before a text.
+_BEFORE = np.uint64(0x3C733E)
 # Partial counts held by a task before equal keys are added up.
 _MOST_PENDING = 2_000_000
-_MOST_REMEMBERED = 300_000
 
 
 @dataclass(frozen=True)
 class Parameters:
-    """The model's order and its cutoffs.
+    """The model's order, and how few of an n-gram's occurrences make it part of the model.
 
-    A word gets an id, and a longer n-gram an arc, if it makes up at least this share of all training tokens. So there
-    are at most 1 / share of them, however large the corpus: 2 million words and 100,000 n-grams of
-    each order. Cutoffs are by count over the whole corpus, nothing is sampled. All other words are looked up by a join.
+    All words and n-grams of the training texts are part of it. A caller may ask for a smaller model: then a word must
+    make up at least `word_share` of all training tokens and a longer n-gram the larger of both shares, and what is
+    rarer backs off. Counts and `base_score` cover all words in any case.
     """
 
     order: int = 3
-    word_share: float = 5e-7
-    ngram_share: float = 1e-5
+    word_share: float = 0.0
+    ngram_share: float = 0.0
     discount: float = 0.5
 
 
-class Lookup:
-    """Positions of keys in a list of distinct keys: a hash table that is probed for whole arrays."""
-
-    def __init__(self, keys: np.ndarray):
-        self.keys = keys
-        bits = max(4, (4 * len(keys)).bit_length())
-        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
-        self.slots = np.full(1 << bits, -1, np.int32)
-        rest, at = np.arange(len(keys), dtype=np.int32), self._home(keys)
-        while len(rest):
-            free = self.slots[at] < 0
-            self.slots[at[free]] = rest[free]
-            lost = self.slots[at] != rest
-            rest, at = rest[lost], (at[lost] + 1) & self.mask
-
-    def _home(self, keys: np.ndarray) -> np.ndarray:
-        return (mix(keys.astype(np.uint64)) >> self.shift).astype(np.int64)
-
-    def __call__(self, keys: np.ndarray) -> np.ndarray:
-        """The position of each key, -1 where it is not in the list."""
-        out = np.full(len(keys), -1, np.int64)
-        if not len(self.keys):
-            return out
-        rest, at = np.arange(len(keys)), self._home(keys)
-        while len(rest):
-            slot = self.slots[at]
-            there = slot >= 0
-            rest, at, slot = rest[there], at[there], slot[there]
-            same = self.keys[slot] == keys[rest]
-            out[rest[same]] = slot[same]
-            rest, at = rest[~same], (at[~same] + 1) & self.mask
-        return out
-
-
 def _tokens(texts: pa.Array):
     """(first, last, tokens, bounds) of consecutive rows: word hashes with END after each text."""
     for first, last, words in slices(texts, NOT_BLANK):
@@ -75,45 +43,88 @@ def _tokens(texts: pa.Array):
         yield first, last, tokens, words.bounds + np.arange(last - first + 1)
 
 
+def paired(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Spark's xxhash64(a, b) of two long columns."""
+    one, two, three, four, five = map(
+        np.uint64, (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5)
+    )
+
+    def turned(x, bits):
+        return (x << np.uint64(bits)) | (x >> np.uint64(64 - bits))
+
+    out = np.full(len(a), 42, np.uint64)
+    for x in (a, b):
+        out = out + five + np.uint64(8)
+        out = turned(out ^ (turned(x * two, 31) * one), 27) * one + four
+        out = (out ^ (out >> np.uint64(33))) * two
+        out = (out ^ (out >> np.uint64(29))) * three
+        out = out ^ (out >> np.uint64(32))
+    return out
+
+
+def grams(tokens: np.ndarray, bounds: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(key, history, shorter, whole) of the n-gram of `size` words that ends at each token.
+
+    `history` is the key of it without its last word, `shorter` of it without its first word; a single word has
+    neither. Before a text's first word stands something that is no word; n-grams with it are not `whole`.
+    """
+    place = np.arange(len(tokens)) - np.repeat(bounds[:-1], np.diff(bounds))
+    first = place == 0
+    key, history, shorter = tokens, tokens, tokens
+    for _ in range(1, size):
+        shorter, history = key, np.roll(key, 1)
+        history[first] = mix(key[first] ^ _BEFORE)
+        key = paired(history, shorter)
+    return key, history, shorter, place >= size - 1
+
+
 class _Counter:
-    """Counts of keys, added up whenever many have gathered."""
+    """Training counts of n-grams by key, added up whenever many have gathered."""
 
     def __init__(self):
-        self.keys, self.counts, self.pending = [], [], 0
+        self.parts, self.pending = [], 0
 
-    def add(self, keys: np.ndarray) -> None:
-        keys, counts = np.unique(keys, return_counts=True)
-        self.keys.append(keys)
-        self.counts.append(counts)
-        self.pending += len(keys)
+    def add(self, key: np.ndarray, history: np.ndarray, shorter: np.ndarray, n: np.ndarray) -> None:
+        key, first, at = np.unique(key, return_index=True, return_inverse=True)
+        self.parts.append((key, history[first], shorter[first], np.bincount(at, n, len(key)).astype(np.int64)))
+        self.pending += len(key)
 
     def full(self) -> bool:
         return self.pending >= _MOST_PENDING
 
     def batches(self):
-        if self.keys:
-            keys, counts = sums_by(np.concatenate(self.keys), np.concatenate(self.counts))
+        if self.parts:
+            parts = [np.concatenate(part) for part in zip(*self.parts)]
             self.__init__()
-            for at in range(0, len(keys), 50_000):
+            self.add(*parts)
+            _, *columns = self.parts[0]
+            self.__init__()
+            for at in range(0, len(columns[0]), 50_000):
                 part = slice(at, at + 50_000)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys[part].view(np.int64)), pa.array(counts[part].astype(np.int64))], names=["key", "c"]
+                    [pa.array(column[part].view(np.int64)) for column in columns], names=["history", "shorter", "c"]
                 )
 
 
-def _counted(texts: DataFrame, keys_of) -> DataFrame:
-    """key, c: how often each key comes in all texts; tasks add up before they shuffle."""
+def _counted(docs: DataFrame, size: int) -> DataFrame:
+    """history, shorter, c: all n-grams of all texts and how often each comes in training texts.
+
+    Tasks add up before they shuffle.
+    """
 
     def count(batches):
-        counter, keys = _Counter(), keys_of()
+        counter = _Counter()
         for batch in batches:
-            for _, _, tokens, bounds in _tokens(batch.column(0)):
-                counter.add(keys(tokens, bounds))
+            taught = batch.column(1).to_numpy(zero_copy_only=False)
+            for first, last, tokens, bounds in _tokens(batch.column(0)):
+                key, history, shorter, whole = grams(tokens, bounds, size)
+                counter.add(key, history, shorter, whole & np.repeat(taught[first:last], np.diff(bounds)))
                 if counter.full():
                     yield from counter.batches()
         yield from counter.batches()
 
-    return texts.mapInArrow(count, "key long, c long").groupBy("key").agg(F.sum("c").alias("c"))
+    found = docs.select("text", "taught").mapInArrow(count, "history long, shorter long, c long")
+    return found.groupBy("history", "shorter").agg(F.sum("c").alias("c"))
 
 
 @dataclass(frozen=True)
@@ -128,25 +139,6 @@ class Levels:
     ngrams: list[np.ndarray]
     ngram_counts: list[np.ndarray]
 
-    def keys(self):
-        """A function from tokens to the keys of the next longer n-grams, all of whose parts are kept."""
-        word, tables, size = Lookup(self.words), [Lookup(k) for k in self.ngrams], len(self.words)
-
-        def of(tokens: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-            ids = word(tokens)
-            at = ids
-            follows = np.ones(len(ids), bool)
-            follows[bounds[:-1]] = False
-            for table in [*tables, None]:
-                key = np.full(len(ids), -1, np.int64)
-                good = np.flatnonzero(follows[1:] & (at[:-1] >= 0) & (at[1:] >= 0)) + 1
-                key[good] = at[good - 1] * size + ids[good]
-                if table is not None:
-                    at = np.where(key >= 0, table(key), -1)
-            return key[key >= 0]
-
-        return of
-
 
 @dataclass(frozen=True)
 class Automaton:
@@ -181,16 +173,11 @@ class Automaton:
 
         return step
 
-    def to_root(self) -> list[float]:
-        """The summed weight of a state's failure arcs, which a word without an id follows."""
-        out = [0.0]
-        for state in range(1, len(self.fail)):
-            out.append(self.backoff[state] + out[self.fail[state]])
-        return out
-
 
 def automaton(levels: Levels, total: int, distinct: int, p: Parameters) -> Automaton:
-    """Build states, arcs and failure arcs, shorter n-grams first.
+    """The model of a small corpus in one process: states, arcs and failure arcs, shorter n-grams first.
+
+    `score` computes the same probabilities as tables.
 
     Words have add-one probabilities. A longer n-gram has its count less the discount over its history's count,
     and what that leaves goes to the shorter history, scaled so that each history's probabilities sum to 1.
@@ -246,6 +233,33 @@ def automaton(levels: Levels, total: int, distinct: int, p: Parameters) -> Autom
     return Automaton(levels.words, key, to, log, fail, backoff, np.log10(unigram))
 
 
+def _longer(shorter: DataFrame, found: DataFrame, least: float, p: Parameters) -> DataFrame:
+    """key, log, base, known of n-grams one word longer than those of `shorter`.
+
+    An n-gram of the model has its count less the discount over its history's count. Another has what its history
+    leaves over, which goes to the shorter n-gram, scaled so that each history's probabilities sum to 1.
+    """
+    rows = staged(found.join(bounded(shorter.withColumnRenamed("key", "shorter")), "shorter"), "ngrams")
+    kept, counted = F.col("c") >= least, rows.filter("c > 0")
+    sums = counted.groupBy("history").agg(
+        F.sum("c").cast("double").alias("of_history"),
+        F.sum(F.when(kept, F.col("c") - p.discount)).alias("given"),
+        F.sum(F.when(kept, F.pow(F.lit(10.0), "log"))).alias("lower"),
+    )
+    least_left = F.lit(1e-12)
+    backoff = F.log10(
+        F.greatest(1 - F.col("given") / F.col("of_history"), least_left) / F.greatest(1 - F.col("lower"), least_left)
+    )
+    sums = own_shuffle(sums.select("history", "of_history", F.coalesce(backoff, F.lit(0.0)).alias("backoff")), "history")
+    own = F.log10((F.col("c") - p.discount) / F.col("of_history"))
+    return rows.join(sums, "history", "left").select(
+        F.xxhash64("history", "shorter").alias("key"),
+        F.when(kept, own).otherwise(F.coalesce("backoff", F.lit(0.0)) + F.col("log")).alias("log"),
+        "base",
+        "known",
+    )
+
+
 def score(
     docs: DataFrame,
     training: Column,
@@ -256,124 +270,63 @@ def score(
 ) -> DataFrame:
     """log10 probabilities of all whole texts under a model of the texts for which `training` holds.
 
-    The method: n-grams are counted over all training texts, order by order, each order among n-grams whose
-    parts are frequent enough. The smoothed n-grams become states with failure arcs, and one traversal of
-    each text from left to right carries the state and adds up log-probabilities. The automaton is broadcast, as the
-    shares in `Parameters` bound its size. Words too rare to have an id lead to the empty state; their counts
-    are joined by word hash, summed by text beforehand, so that no key is hot.
+    The method: n-grams of all texts are tables, order by order, with their counts in the training texts. Words have
+    add-one probabilities; each longer n-gram's comes from its count and its history's or, if it is not in the model, by
+    failure to the n-gram one word shorter. A token's probability is that of the longest n-gram that ends at it, so
+    each text's distinct n-grams are looked up by a join and summed by text. Nothing is gathered on the driver but two
+    totals, and no table is cut.
 
     Returns `doc_id, n_tokens, n_known, train_tokens, base_score, score`, one row per row of `docs`. NULL
-    and empty texts are the end token alone. Words are told apart by 64-bit hashes. Without training texts all
-    counts are 0.
+    and empty texts are the end token alone. Words and n-grams are told apart by 64-bit hashes. Without training texts
+    all counts are 0.
     """
-    context = docs.sparkSession.sparkContext
-    taught = docs.filter(training).select(F.coalesce(F.col(text), F.lit("")).alias("text"))
-
-    counts = staged(_counted(taught, lambda: lambda tokens, bounds: tokens), "unigrams")
-    total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("c")).first()
-    frequent = counts.filter(F.col("c") >= max(1.0, p.word_share * total)).orderBy(F.desc("c"), "key").toPandas()
-    levels = Levels(
-        frequent["key"].to_numpy(np.int64).view(np.uint64).copy(), frequent["c"].to_numpy(np.int64).copy(), [], []
-    )
-    for _ in range(1, p.order):
-        sent = context.broadcast(levels)
-        kept = (
-            _counted(taught, lambda sent=sent: sent.value.keys())
-            .filter(F.col("c") >= max(1.0, p.ngram_share * total))
-            .orderBy("key")
-            .toPandas()
-        )
-        if not len(kept):
-            break
-        levels.ngrams.append(kept["key"].to_numpy(np.int64).copy())
-        levels.ngram_counts.append(kept["c"].to_numpy(np.int64).copy())
-        sent.unpersist()
-    model = context.broadcast(automaton(levels, int(total), int(distinct), p))
-    denominator = float(total + distinct + 1)
-
-    scored = staged(
-        docs.select(
-            F.monotonically_increasing_id().alias("row"), F.col(doc_id).alias("doc"), F.col(text).alias("text")
-        ).mapInArrow(
-            lambda batches: _traverse(batches, model.value),
-            "row long, doc long, n_tokens long, n_known long, base_score double, score double, "
-            "rare array<struct<key: long, n: long>>",
-        ),
-        "scored",
+    taught = docs.select(
+        F.coalesce(F.col(text), F.lit("")).alias("text"), F.coalesce(training, F.lit(False)).alias("taught")
     )
-    rare = scored.select("row", F.explode("rare").alias("rare")).select("row", "rare.key", "rare.n")
-    c = F.coalesce("c", F.lit(0))
-    added = (
-        rare.join(counts, "key", "left")
+    words = staged(_counted(taught, 1).select(F.col("shorter").alias("key"), "c"), "words")
+    total, distinct = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.when(F.col("c") > 0, 1))).first()
+    log = F.log10((F.col("c") + 1) / F.lit(float(total + distinct + 1)))
+    model = staged(words.select("key", log.alias("log"), log.alias("base"), (F.col("c") > 0).alias("known")), "level")
+    least = max(1.0, p.word_share * total, p.ngram_share * total)
+    for size in range(2, p.order + 1):
+        model = _longer(model, _counted(taught, size), least, p)
+        if size < p.order:
+            model = staged(model, "level")
+
+    listed = docs.select(
+        F.monotonically_increasing_id().alias("row"), F.col(doc_id).alias("doc"), F.col(text).alias("text")
+    ).mapInArrow(lambda batches: _listed(batches, p.order), "row long, doc long, key long, n long")
+    return (
+        listed.join(model, "key")
         .groupBy("row")
         .agg(
-            F.sum(F.when(c > 0, F.col("n")).otherwise(0)).alias("more_known"),
-            F.sum(F.col("n") * F.log10((c + 1) / F.lit(denominator))).alias("more"),
+            F.max("doc").alias(doc_id),
+            F.sum("n").alias("n_tokens"),
+            F.sum(F.when(F.col("known"), F.col("n")).otherwise(0)).alias("n_known"),
+            F.lit(int(total)).cast("long").alias("train_tokens"),
+            F.sum(F.col("n") * F.col("base")).alias("base_score"),
+            F.sum(F.col("n") * F.col("log")).alias("score"),
         )
-    )
-    more = F.coalesce("more", F.lit(0.0))
-    return scored.drop("rare").join(added, "row", "left").select(
-        F.col("doc").alias(doc_id),
-        "n_tokens",
-        (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
-        F.lit(int(total)).cast("long").alias("train_tokens"),
-        (F.col("base_score") + more).alias("base_score"),
-        (F.col("score") + more).alias("score"),
+        .drop("row")
     )
 
 
-_RARE = pa.list_(pa.struct([("key", pa.int64()), ("n", pa.int64())]))
-
-
-def _traverse(batches, model: Automaton):
-    word, step, to_root, size = Lookup(model.words), model.stepper(), model.to_root(), len(model.words)
-    remembered: dict[int, tuple[int, float]] = {}
+def _listed(batches, order: int):
+    """row, doc, key, n: how often each text holds each n-gram of the model's order."""
     for batch in batches:
-        rows = batch.num_rows
-        n_tokens, n_known = np.zeros(rows, np.int64), np.zeros(rows, np.int64)
-        base, total = np.zeros(rows), np.zeros(rows)
-        rare_key, rare_n, rare_cuts = [], [], [np.zeros(1, np.int64)]
-        gathered = 0
         for first, last, tokens, bounds in _tokens(batch.column(2)):
-            ids = word(tokens)
-            owner = np.repeat(np.arange(last - first), np.diff(bounds))
-            known = ids >= 0
-            n_tokens[first:last] = np.diff(bounds)
-            n_known[first:last] = np.bincount(owner[known], minlength=last - first)
-            base[first:last] = np.bincount(owner[known], model.unigram[ids[known]], last - first) if size else 0.0
-            cuts, listed = bounds.tolist(), ids.tolist()
-            for k in range(last - first):
-                state, log = 0, 0.0
-                for w in listed[cuts[k] : cuts[k + 1]]:
-                    if w < 0:
-                        if state:
-                            log += to_root[state]
-                            state = 0
-                        continue
-                    key = state * size + w
-                    found = remembered.get(key)
-                    if found is None:
-                        if len(remembered) >= _MOST_REMEMBERED:
-                            remembered.clear()
-                        found = remembered[key] = step(state, w)
-                    state = found[0]
-                    log += found[1]
-                total[first + k] = log
-            key, own = tokens[~known], owner[~known]
-            order = np.lexsort((key, own))
-            key, own = key[order], own[order]
-            begin = np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]) | (own[1:] != own[:-1])))[: len(key)])
-            rare_key.append(key[begin].view(np.int64))
-            rare_n.append(np.diff(np.append(begin, len(key))))
-            rare_cuts.append(gathered + np.searchsorted(own[begin], np.arange(1, last - first + 1)))
-            gathered += len(begin)
-        if rows == 0:
-            continue
-        values = pa.StructArray.from_arrays(
-            [pa.array(np.concatenate(rare_key)), pa.array(np.concatenate(rare_n).astype(np.int64))], ["key", "n"]
-        )
-        rare = pa.ListArray.from_arrays(pa.array(np.concatenate(rare_cuts).astype(np.int32)), values)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), *map(pa.array, (n_tokens, n_known, base, total)), rare.cast(_RARE)],
-            names=["row", "doc", "n_tokens", "n_known", "base_score", "score", "rare"],
-        )
+            key = grams(tokens, bounds, order)[0]
+            owner = np.repeat(np.arange(first, last), np.diff(bounds))
+            by = np.lexsort((key, owner))
+            key, owner = key[by], owner[by]
+            begin = np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]) | (owner[1:] != owner[:-1]))))
+            at = pa.array(owner[begin])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0).take(at),
+                    batch.column(1).take(at),
+                    pa.array(key[begin].view(np.int64)),
+                    pa.array(np.diff(np.append(begin, len(key)))),
+                ],
+                names=["row", "doc", "key", "n"],
+            )

@@ -1,5 +1,6 @@
 """Toxicity, personal data and language-model scoring."""
 
+import functools
 import math
 import random
 
@@ -202,3 +203,56 @@ def test_automaton_is_a_backoff_model():
 def test_model_beats_single_words_on_held_out_texts(llm):
     got = queries.op7_language_model(llm, SF).filter("held_out").agg(F.sum("score"), F.sum("base_score")).first()
     assert got[0] > got[1]
+
+
+def test_keys_are_those_of_spark(llm):
+    a, b = np.array([0, 1, -5, 2**62, -(2**63)]), np.array([7, -1, 3, 2**63 - 1, 0])
+    rows = llm.createDataFrame([*zip(a.tolist(), b.tolist())], "a long, b long").select("a", "b", F.xxhash64("a", "b"))
+    got = language_model.paired(a.view(np.uint64), b.view(np.uint64)).view(np.int64).tolist()
+    assert {(r[0], r[1]): r[2] for r in rows.collect()} == dict(zip(zip(a.tolist(), b.tolist()), got))
+
+
+def test_rare_ngrams_of_a_large_corpus_are_in_the_model(llm, texts):
+    """At production parameters, on more training tokens than any share of them would keep rare n-grams of."""
+    rng = random.Random(12)
+    rows = [(k, " ".join(rng.choices("abcdefghij", k=6_000))) for k in range(60)]
+    rows += [(100, "x y z"), (101, "x y a"), (102, "y z"), (103, "n y z o"), (104, None), (105, "x y z")]
+    taught = {k for k, _ in rows if k not in (3, 101, 102, 103)}
+    count = [{}, {}, {}, {}]
+    for k, text in rows:
+        if k in taught:
+            w = [*brute.words(text, brute.NOT_BLANK), brute.END]
+            for n in (1, 2, 3):
+                for i in range(len(w) - n + 1):
+                    g = tuple(w[i : i + n])
+                    count[n][g] = count[n].get(g, 0) + 1
+    total, distinct = sum(count[1].values()), len(count[1])
+    follows = {}
+    for n in (2, 3):
+        for g in count[n]:
+            follows.setdefault(g[:-1], []).append(g[-1])
+
+    @functools.cache
+    def probability(history, w):
+        if not history:
+            return (count[1].get((w,), 0) + 1) / (total + distinct + 1)
+        lower = probability(history[1:], w)
+        if history not in follows:
+            return lower
+        if (*history, w) in count[len(history) + 1]:
+            return (count[len(history) + 1][*history, w] - 0.5) / count[len(history)][history]
+        return lower * left(history)
+
+    @functools.cache
+    def left(history):
+        given = sum(probability(history, v) for v in follows[history])
+        lower = sum(probability(history[1:], v) for v in follows[history])
+        return max(1 - given, 1e-12) / max(1 - lower, 1e-12)
+
+    assert total > 300_000
+    got = language_model.score(texts(*rows), F.col("doc_id").isin(*taught)).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        w = [*brute.words(dict(rows)[r.doc_id], brute.NOT_BLANK), brute.END]
+        expected = sum(math.log10(probability(tuple(w[max(0, i - 2) : i]), x)) for i, x in enumerate(w))
+        assert math.isclose(r.score, expected, rel_tol=1e-9), r
