@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import heapq
 from dataclasses import dataclass
 
 import numpy as np
@@ -19,8 +18,9 @@ class Index:
 
     `most_sampled` vectors fit the centroids; every vector is indexed. `list_rows` is how many a list should
     hold, `most_lists` bounds the centroids that are broadcast. A vector is also put on lists whose centroid is at
-    most `boundary` times as far as the nearest, up to `replicas`. A query visits lists whose centroid is at most
-    `reach` times as far as the nearest. Lists of more than `block_rows` rows are dealt to several tasks.
+    most `boundary` times as far as the nearest, up to `replicas`. A query visits all lists whose centroid is at most
+    `reach` times as far as the nearest, however many they are; its walk over the graph of centroids also goes through
+    the `beam` nearest ones, so that it gets past gaps. Lists of more than `block_rows` rows are dealt to several tasks.
     """
 
     most_sampled: int = 20_000
@@ -71,40 +71,46 @@ class CentroidGraph:
         self.centroids = centroids
         gaps = _gaps(centroids, centroids)
         nearest = np.argsort(gaps, axis=1, kind="stable")[:, : degree + 1]
-        self.links = [set(row) - {k} for k, row in enumerate(nearest.tolist())]
+        links = [set(row) - {k} for k, row in enumerate(nearest.tolist())]
         for k, row in enumerate(nearest.tolist()):
             for other in row:
                 if other != k:
-                    self.links[other].add(k)
+                    links[other].add(k)
         # A ring keeps the graph in one piece.
         for k in range(len(centroids)):
-            self.links[k].add((k + 1) % len(centroids))
+            links[k].add((k + 1) % len(centroids))
+        self.links = [np.array(sorted(own)) for own in links]
         middle = unit(centroids.sum(axis=0, keepdims=True) + 1e-12)
         self.entry = int(np.argmin(_gaps(middle, centroids)))
 
-    def search(self, query: np.ndarray, beam: int) -> list[tuple[float, int]]:
-        """(distance, centroid) of about the `beam` nearest centroids, nearest first."""
-
-        def gap(k):
-            return _gaps(query[None, :], self.centroids[k])[0]
-
-        start = float(gap([self.entry])[0])
-        seen, front, best = {self.entry}, [(start, self.entry)], [(-start, self.entry)]
-        while front:
-            near, at = heapq.heappop(front)
-            if len(best) >= beam and near > -best[0][0]:
-                break
-            new = [k for k in self.links[at] if k not in seen]
-            if not new:
-                continue
-            seen.update(new)
-            for k, g in zip(new, gap(new).tolist()):
-                if len(best) < beam or g < -best[0][0]:
-                    heapq.heappush(front, (g, k))
-                    heapq.heappush(best, (-g, k))
-                    if len(best) > beam:
-                        heapq.heappop(best)
-        return sorted((-g, k) for g, k in best)
+    def search(self, query: np.ndarray, beam: int, reach: float) -> np.ndarray:
+        """The centroids at most `reach` times as far as the nearest, found by way of them and the `beam` nearest."""
+        gaps = np.full(len(self.centroids), np.inf)
+        passed = np.zeros(len(gaps), bool)
+        gaps[self.entry] = _gaps(query[None, :], self.centroids[[self.entry]])[0, 0]
+        while True:
+            seen = gaps[gaps < np.inf]
+            far = seen.min() * reach + 1e-12
+            width = np.partition(seen, beam - 1)[beam - 1] if len(seen) > beam else np.inf
+            front = np.flatnonzero(~passed & (gaps < np.inf) & (gaps <= max(far, width)))
+            if not len(front):
+                return np.flatnonzero(gaps <= far)
+            # The nearest go first, as they bring down what counts as far.
+            front = front[np.argsort(gaps[front], kind="stable")[: max(beam, len(seen) // 2)]]
+            passed[front] = True
+            new = np.unique(np.concatenate([self.links[k] for k in front]))
+            new = new[gaps[new] == np.inf]
+            if len(new):
+                gaps[new] = _gaps(query[None, :], self.centroids[new])[0]
+
+
+def enough(query: np.ndarray, found: np.ndarray, centroids: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
+    """`found` if these lists are home to more than `k` ids, else the nearest lists that are, or all lists."""
+    if ids[found].sum() > k:
+        return found
+    order = np.argsort(_gaps(query[None, :], centroids)[0], kind="stable")
+    more = order[: int(np.searchsorted(np.cumsum(ids[order]), k + 1)) + 1]
+    return np.union1d(found, more)
 
 
 def usable(vectors: DataFrame, vec_id: str, vector: str) -> DataFrame:
@@ -137,7 +143,7 @@ def nearest(
 
     The method: centroids of balanced lists are fitted on a bounded sample; every vector goes to its nearest
     list and, near a boundary, to further ones. A query finds the nearest centroids by a walk over a graph of them and
-    visits the lists that are not too much farther than the nearest. Lists are blocks of bounded size, of
+    visits all lists that are not too much farther than the nearest, and further ones until they hold `k` other ids. Lists are blocks of bounded size, of
     which a task scores one against its visitors and returns `k` of each; the blocks' results are merged by query.
     A third of all rows may be one vector: it fills many blocks of a list, never one task.
 
@@ -173,27 +179,36 @@ def nearest(
                     "list": near[row, column].astype(np.int32),
                     "vec_id": frame["vec_id"].to_numpy()[row],
                     "v": frame["v"].to_numpy()[row],
+                    "home": column == own.argmin(axis=1)[row],
                 }
             )
 
+    posting = "list int, vec_id long, v array<double>"
+    posted = staged(good.mapInPandas(post, f"{posting}, home boolean"), "postings")
+    # At most `most_lists` rows: how many ids are at home on each list, where each id is counted once.
+    homes = posted.filter("home").groupBy("vec_id").agg(F.min("list").alias("list")).groupBy("list").count().toPandas()
+    at_home = np.zeros(len(centroids), np.int64)
+    at_home[homes["list"].to_numpy(np.int64)] = homes["count"]
+
     def visit(frames):
-        graph = sent.value[1]
+        points, graph = sent.value
         for frame in frames:
             if not len(frame):
                 continue
-            listed, query, v = [], [], []
-            for number, value in zip(frame["vec_id"], frame["v"]):
-                found = graph.search(unit(np.asarray(value, float)[None, :])[0], p.beam)
-                far = found[0][0] * p.reach + 1e-12
-                for gap, at in found:
-                    if gap <= far:
-                        listed.append(at)
-                        query.append(number)
-                        v.append(value)
-            yield pd.DataFrame({"list": np.array(listed, np.int32), "vec_id": query, "v": v})
+            listed, row = [], []
+            for at, x in enumerate(unit(_stacked(frame["v"]))):
+                found = enough(x, graph.search(x, p.beam, p.reach), points, at_home, k)
+                listed.append(found)
+                row.append(np.full(len(found), at))
+            row = np.concatenate(row)
+            yield pd.DataFrame(
+                {
+                    "list": np.concatenate(listed).astype(np.int32),
+                    "vec_id": frame["vec_id"].to_numpy()[row],
+                    "v": frame["v"].to_numpy()[row],
+                }
+            )
 
-    posting = "list int, vec_id long, v array<double>"
-    posted = staged(good.mapInPandas(post, posting), "postings")
     # At most `most_lists` rows: how many blocks each list has.
     blocks = posted.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / p.block_rows).cast("int").alias("blocks"))
     blocks = F.broadcast(staged(blocks, "blocks"))

@@ -234,6 +234,31 @@ def test_recall_on_the_given_vectors(llm):
     assert hits >= 0.9 * 5 * len(exact)
 
 
+def test_recall_does_not_fall_with_the_number_of_lists(llm):
+    """1024 lists, as large tables have."""
+    x = np.random.default_rng(8).normal(size=(20_480, 64)).astype(np.float32)
+    vectors = llm.createDataFrame([*enumerate(x.tolist())], "vec_id long, embedding array<float>")
+    got = defaultdict(set)
+    for r in neighbours.nearest(vectors, lambda v: v % 256 == 0, p=neighbours.Index(list_rows=20)).collect():
+        got[r.query_id].add(r.vec_id)
+    x = x / np.linalg.norm(x, axis=1, keepdims=True)
+    hits = 0
+    for q in range(0, len(x), 256):
+        score = x @ x[q]
+        score[q] = -1
+        hits += len(got[q] & set(np.argsort(-score)[:5].tolist()))
+    assert hits >= 0.9 * 5 * len(got) and len(got) == 80
+
+
+def test_a_query_goes_on_until_it_has_found_enough(llm):
+    """Lists of one id each, of which the distance ratio alone admits the query's own."""
+    rows = [(i, [float(np.cos(i / 40)), float(np.sin(i / 40))]) for i in range(40)]
+    vectors = llm.createDataFrame(rows, "vec_id long, embedding array<float>")
+    p = neighbours.Index(list_rows=1, boundary=1.0, rounds=0)
+    got = neighbours.nearest(vectors, lambda v: v % 10 == 0, p=p).collect()
+    assert {(r.query_id, r.rank) for r in got} == {(q, k) for q in (0, 10, 20, 30) for k in (1, 2, 3, 4, 5)}
+
+
 def test_neighbours_edge_cases(llm):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (1, [2.0, 0.0]), (2, [0.0, 1.0]), (3, None), (4, [0.0, 0.0]), (5, [nan, 1.0]), (6, [inf, 1.0]),
