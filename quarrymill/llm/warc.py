@@ -114,7 +114,10 @@ _ARROW = pa.schema(
 
 
 def _number(text: str | None) -> int | None:
-    return int(text) if text and text.lstrip("-").isdigit() and len(text) < 20 else None
+    digits = (text or "").removeprefix("-")
+    if not (digits.isascii() and digits.isdigit() and len(digits) < 20):
+        return None
+    return number if -(2**63) <= (number := int(text)) < 2**63 else None
 
 
 def _located(batches):

@@ -196,6 +196,18 @@ def test_archives_read_back(llm, conf, split, long_text):
     assert warc.read_archives(llm, path).filter("NOT intact").count() == 0
 
 
+def test_archives_keep_all_long_ids(llm):
+    ids = [-(2**63), -(10**18), 2**63 - 1, 10**18, -1, 0]
+    path = shared_path(llm, "test-archives")
+    warc.write_archives(pages(llm, [(k, "u", f"page {k % 5}") for k in ids]), path)
+    got = {r.page_id: r.refers_to for r in warc.read_archives(llm, path).collect()}
+    assert set(got) == set(ids)
+    for k in ids:
+        largest = max(i for i in ids if i % 5 == k % 5)
+        assert got[k] == (None if largest == k else largest)
+    assert [warc._number(x) for x in (None, "", "-", "--5", "5-", "\u0663", str(2**63), str(-(2**63) - 1))] == [None] * 8
+
+
 def test_archives_of_no_pages_and_small_payloads(llm):
     path = shared_path(llm, "test-archives")
     warc.write_archives(pages(llm, [(1, "u", "a")]).limit(0), path)
