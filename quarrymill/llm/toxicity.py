@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -94,7 +95,7 @@ def _pass(rows: list[tuple[np.ndarray, int]], z: np.ndarray, n: np.ndarray, p: F
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, wanted: Column, p: Ftrl, doc_id: str, text: str) -> DataFrame:
-    """doc, label, text: at most `most_rows` labelled texts of each class, those with the smallest hash of their id."""
+    """doc, label, text: the distinct texts of at most `most_rows` labelled ids of each class, those of smallest hash."""
     known = (
         labels.filter(wanted & F.col("toxic").isNotNull() & F.col(doc_id).isNotNull())
         .groupBy(F.col(doc_id).alias("doc"))
@@ -105,7 +106,16 @@ def training_rows(docs: DataFrame, labels: DataFrame, wanted: Column, p: Ftrl, d
     chosen = chosen.unionByName(known.filter("label = 0").orderBy(order, "doc").limit(p.most_rows))
     texts = docs.select(F.col(doc_id).alias("doc"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     # `chosen` has at most 2 * most_rows rows of 12 bytes, whatever the tables hold.
-    return texts.join(F.broadcast(staged(chosen, "labelled")), "doc")
+    return texts.join(F.broadcast(staged(chosen, "labelled")), "doc").dropDuplicates(["doc", "text"])
+
+
+def _bounded(table: DataFrame, sizes: dict[int, int], most: int) -> DataFrame:
+    """At most `most` rows of each label: ids with several texts may have brought more."""
+    if max(sizes.values()) <= most:
+        return table
+    order = [F.xxhash64("doc", "buckets"), "doc", "buckets"]
+    parts = [table.filter(F.col("label") == label).orderBy(*order).limit(most) for label in sorted(sizes)]
+    return functools.reduce(DataFrame.unionByName, parts)
 
 
 def fit(
@@ -120,7 +130,7 @@ def fit(
     """Fit on a bounded sample of the labelled rows for which `wanted` holds.
 
     Features are made in parallel; the learner itself is sequential, so one task goes through the sample's features,
-    which `most_rows` bounds. Without rows of both classes all weights are 0 and every text scores a half.
+    at most `most_rows` distinct texts of each class, however often an id or a text repeats. Without rows of both classes all weights are 0 and every text scores a half.
     """
     bits, size = p.bits, (1 << p.bits) + 1
 
@@ -143,8 +153,10 @@ def fit(
 
     rows = training_rows(docs, labels, wanted, p, doc_id, text)
     table = staged(rows.mapInArrow(featurize, "doc bigint, label int, buckets array<int>"), "features")
-    if table.select("label").distinct().count() < 2:
+    sizes = {r["label"]: r["count"] for r in table.groupBy("label").count().collect()}
+    if len(sizes) < 2:
         return Weights(np.zeros(0, np.int64), np.zeros(0), 0.0, bits)
+    table = _bounded(table, sizes, p.most_rows)
     ordered = table.select("doc", "label", "buckets", F.xxhash64("doc", F.lit(11)).alias("order"), F.lit(0).alias("all"))
     found = ordered.groupBy("all").applyInPandas(learn, "at bigint, weight double").toPandas().sort_values("at")
     at, weight = found["at"].to_numpy(), found["weight"].to_numpy()

@@ -74,6 +74,19 @@ def test_toxicity_edge_cases(llm, texts, long_text):
     assert {r.doc_id for r in kept.collect()} == {*range(0, 60, 2), 100, 101, 102} | ({103} & {r.doc_id for r in kept.collect()})
 
 
+def test_toxicity_learns_from_bounded_rows(llm, texts, monkeypatch):
+    rows = [(k, "you utter moron" if k % 2 else "fine words here") for k in range(10)]
+    docs = texts(*rows, *[(1, "you utter moron")] * 200, *[(2, f"fine words {k}") for k in range(50)])
+    labels = llm.createDataFrame([(k, k % 2) for k in range(10)], "doc_id long, toxic int")
+    p = toxicity.Ftrl(most_rows=5)
+    assert toxicity.training_rows(docs, labels, F.lit(True), p, "doc_id", "text").count() == 60
+    features = llm.createDataFrame([(k % 40, k % 2, [k]) for k in range(90)], "doc long, label int, buckets array<int>")
+    kept = toxicity._bounded(features, {0: 45, 1: 45}, 5).groupBy("label").count().collect()
+    assert sorted(map(tuple, kept)) == [(0, 5), (1, 5)]
+    assert toxicity._bounded(features, {0: 45, 1: 45}, 45).count() == 90
+    assert len(toxicity.fit(docs, labels, F.lit(True), p).buckets) >= 0
+
+
 def test_toxicity_without_labels_or_documents(llm, texts):
     labels = llm.createDataFrame([(1, 1)], "doc_id long, toxic int")
     docs = texts((1, "a"), (2, "b"))
