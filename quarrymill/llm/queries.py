@@ -1,4 +1,4 @@
-"""The named queries of the ten operators and the SQL that checks those that SQL can express."""
+"""The named queries of the operators and the SQL that checks those that SQL can express."""
 
 from __future__ import annotations
 
@@ -16,6 +16,7 @@ from quarrymill.llm import (
     neighbours,
     packing,
     pii,
+    suffix_dedup,
     toxicity,
     warc,
 )
@@ -239,11 +240,43 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_report(spans)
 
 
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeated(table(spark, sf_dir, "documents"), with_texts=False)
+
+
+_OP11_SQL = """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+parts AS (
+  SELECT r, doc_id, k, substr(h, 1000 * k + 1, 1098) AS p
+  FROM (SELECT r, doc_id, h, unnest(range(0, len(h) // 1000 + 1)) AS k FROM d)
+),
+w AS (
+  SELECT r, doc_id, 500 * k + i AS i, substr(p, 2 * i + 1, 100) AS s
+  FROM (SELECT *, unnest(range(0, least(500, greatest(len(p) // 2 - 49, 0)))) AS i FROM parts)
+),
+hit AS (SELECT r, i FROM w JOIN (SELECT s, min(doc_id) AS least FROM w GROUP BY s) USING (s) WHERE least < doc_id),
+run AS (
+  SELECT r, i, sum(CASE WHEN i > coalesce(before + 50, -1) THEN 1 ELSE 0 END) OVER (PARTITION BY r ORDER BY i) AS span
+  FROM (SELECT r, i, lag(i) OVER (PARTITION BY r ORDER BY i) AS before FROM hit)
+),
+spans AS (SELECT r, min(i) AS a, max(i) + 50 AS b FROM run GROUP BY r, span),
+gaps AS (
+  SELECT r, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) AS a, a AS b FROM spans
+  UNION ALL SELECT r, coalesce(max(spans.b), 0), max(len(h) // 2) FROM d LEFT JOIN spans USING (r) GROUP BY r
+),
+kept AS (SELECT r, string_agg(substr(h, 2 * a + 1, 2 * (b - a)), '' ORDER BY a, b) AS k FROM gaps JOIN d USING (r) GROUP BY r),
+n AS (SELECT r, count(*) AS n_spans, sum(b - a) AS n_removed FROM spans GROUP BY r)
+SELECT doc_id, len(h) // 2 AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       coalesce(n_spans, 0) AS n_spans, sha256(unhex(k)) AS kept_sha256
+FROM d JOIN kept USING (r) LEFT JOIN n USING (r)
+"""
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_decontamination, op2_chat, op3_toxicity, op4_pii, op5_packing, op6_warc, op7_language_model,
-        op8_jaccard, op9_neighbours, op10_licenses,
+        op8_jaccard, op9_neighbours, op10_licenses, op11_suffix_dedup,
     )
 }
 CHECK_SQL: dict[str, str] = {
@@ -251,4 +284,5 @@ CHECK_SQL: dict[str, str] = {
     "op2_chat": _OP2_SQL.strip(),
     "op6_warc": _OP6_SQL.strip(),
     "op8_jaccard": _OP8_SQL.strip(),
+    "op11_suffix_dedup": _OP11_SQL.strip(),
 }

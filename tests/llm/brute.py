@@ -123,3 +123,24 @@ def phrase_places(text, phrases):
         p = phrase.split()
         out += [(label, i) for i in range(len(w) - len(p) + 1) if w[i : i + len(p)] == p]
     return sorted(out)
+
+
+def without_repeated(docs, size=50):
+    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) where passages of a smaller id are removed."""
+    least = {}
+    for doc, text in docs:
+        raw = (text or "").encode()
+        for i in range(len(raw) - size + 1 if doc is not None else 0):
+            passage = raw[i : i + size]
+            least[passage] = min(doc, least.get(passage, doc))
+    out = []
+    for doc, text in docs:
+        raw = (text or "").encode()
+        gone = bytearray(len(raw))
+        for i in range(len(raw) - size + 1 if doc is not None else 0):
+            if least[raw[i : i + size]] < doc:
+                gone[i : i + size] = b"\1" * size
+        kept = bytes(x for x, g in zip(raw, gone) if not g)
+        spans = sum(1 for i, g in enumerate(gone) if g and (i == 0 or not gone[i - 1]))
+        out.append((doc, len(raw), sum(gone), spans, hashlib.sha256(kept).hexdigest()))
+    return out
