@@ -19,6 +19,7 @@ from quarrymill.llm import (
     suffix_dedup,
     toxicity,
     warc,
+    whitening,
 )
 from quarrymill.llm.common import in_fold, shared_path, table
 
@@ -272,11 +273,16 @@ FROM d JOIN kept USING (r) LEFT JOIN n USING (r)
 """
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), 32)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_decontamination, op2_chat, op3_toxicity, op4_pii, op5_packing, op6_warc, op7_language_model,
         op8_jaccard, op9_neighbours, op10_licenses, op11_suffix_dedup,
+        op12_whitening,
     )
 }
 CHECK_SQL: dict[str, str] = {
