@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from quarrymill.llm import (
     chat,
     decontamination,
+    hard_negatives,
     jaccard,
     language_model,
     licenses,
@@ -277,12 +278,43 @@ def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"), 32)
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(given.withColumn("label", moved), lambda vec_id: vec_id % 50 == 0)
+
+
+_OP13_SQL = """
+WITH e AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda c: floor(256 * CAST(c AS DOUBLE))) AS x
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+),
+s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(list_inner_product(a.x, b.x) AS BIGINT) AS score
+  FROM e AS a JOIN e AS b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0
+),
+p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id,
+       CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3
+"""
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_decontamination, op2_chat, op3_toxicity, op4_pii, op5_packing, op6_warc, op7_language_model,
         op8_jaccard, op9_neighbours, op10_licenses, op11_suffix_dedup,
-        op12_whitening,
+        op12_whitening, op13_hard_negatives,
     )
 }
 CHECK_SQL: dict[str, str] = {
@@ -291,4 +323,5 @@ CHECK_SQL: dict[str, str] = {
     "op6_warc": _OP6_SQL.strip(),
     "op8_jaccard": _OP8_SQL.strip(),
     "op11_suffix_dedup": _OP11_SQL.strip(),
+    "op13_hard_negatives": _OP13_SQL.strip(),
 }
