@@ -45,6 +45,16 @@ def scan_csv_seed(spark, sf_dir):
     return csv_seed.scan_csv_seed(spark, path)
 
 
+@query(
+    "scan_csv_breaks",
+    "select doc_id, nullif(text, '') as text, lang, source, n_chars from documents",
+)
+def scan_csv_breaks(spark, sf_dir):
+    """Whole documents in one file, read by as many tasks as it has splits although fields hold line breaks."""
+    one_file = load(spark, sf_dir, "documents").coalesce(1)
+    return csv_seed.scan_csv_seed(spark, _write_csv(one_file, _landing(spark, "breaks") + ".csv"), split=True)
+
+
 @query(
     "scan_csv_split",
     """select l_orderkey, l_suppkey, cast(l_linenumber as bigint) as l_linenumber, cast(l_extendedprice as double) as l_extendedprice,

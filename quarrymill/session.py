@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -18,6 +20,7 @@ REQUIRED_SETTINGS = {
 
 
 _local_dirs: dict[str, str] = {}
+_shipped: set[str] = set()
 
 
 def pin(spark: SparkSession) -> SparkSession:
@@ -60,3 +63,20 @@ def shared_dir(spark: SparkSession) -> str:
     if application not in _local_dirs:
         _local_dirs[application] = tempfile.mkdtemp(prefix="quarrymill-")
     return _local_dirs[application]
+
+
+def ship(spark: SparkSession) -> SparkSession:
+    """Send this package to the executors, once per application, for what runs in Python there."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        package = Path(__file__).resolve().parent
+        target = Path(tempfile.mkdtemp(prefix="quarrymill-")) / package.name
+        context.addPyFile(shutil.make_archive(str(target), "zip", package.parent, package.name))
+        _shipped.add(context.applicationId)
+    return spark
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete an intermediate folder of this library, wherever it is."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -9,30 +9,43 @@ from pyspark.sql import functions as F
 
 from quarrymill.functions.inference import type_csv
 from quarrymill.sinks.store import LoadResult, Store, write_replace
+from quarrymill.sources.csv_splits import scan_records
 
+_OPTIONS = {"quote": '"', "escape": '"', "mode": "PERMISSIVE", "maxCharsPerColumn": "-1"}
 
-def scan_csv_text(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
+
+def _larger_than_a_split(spark: SparkSession, path: str) -> bool:
+    """Whether a file at `path` is more than one task should read. The listing reads no contents."""
+    files = spark.read.format("binaryFile").load(path).select("length")
+    largest = files.agg(F.max("length")).first()[0] or 0
+    # Sizes may be set as `128m`; Spark itself says what that is.
+    limit = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    return largest > limit
+
+
+def scan_csv_text(spark: SparkSession, path: str, multiline: bool = True, split: bool | None = None) -> DataFrame:
     """Header and quoted fields, every column as text.
 
     Short rows are padded with NULL, extra fields dropped, blank lines skipped, empty fields NULL.
-    A quoted field may hold line breaks, so by default one task reads one file; pass
-    `multiline=False` for large files known to have none, which Spark then splits.
+    A quoted field may hold line breaks. Files of more than one split are read by several tasks all the same, which
+    takes a pass of its own (`csv_splits`); `split` asks for that, or against it, whatever their size. Pass
+    `multiline=False` for files known to have no such fields, which Spark splits without that pass.
     """
-    return (
-        spark.read.option("header", True)
-        .option("multiLine", multiline)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("mode", "PERMISSIVE")
-        .option("enforceSchema", True)
-        .option("maxCharsPerColumn", -1)
-        .csv(path)
-    )
+    whole = (
+        spark.read.option("header", True).option("multiLine", multiline).option("enforceSchema", True).options(**_OPTIONS)
+    ).csv(path)
+    if not multiline or not (_larger_than_a_split(spark, path) if split is None else split):
+        return whole
+    # Of `whole` only the header is read. Fields go by place, as names may repeat in other letters.
+    places = ", ".join(f"c{i} string" for i in range(len(whole.columns)))
+    records = scan_records(spark, path).filter("NOT first")
+    fields = records.select(F.from_csv("record", places, _OPTIONS).alias("\0r"))
+    return fields.select(*[F.col("\0r")[f"c{i}"].alias(name) for i, name in enumerate(whole.columns)])
 
 
-def scan_csv_seed(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
+def scan_csv_seed(spark: SparkSession, path: str, multiline: bool = True, split: bool | None = None) -> DataFrame:
     """The same with the column types its values show."""
-    return type_csv(scan_csv_text(spark, path, multiline))
+    return type_csv(scan_csv_text(spark, path, multiline, split))
 
 
 def scan_seed_tree(spark: SparkSession, root: str) -> DataFrame:
