@@ -157,6 +157,34 @@ def write_merge_few_rows(spark, sf_dir):
     return store.table("orders")
 
 
+@query(
+    "write_merge_buckets",
+    f"""select o_orderkey as id,
+           case when o_totalprice < {_SMALL} then -1 when o_totalprice > {_BIG} then 0
+                else {_AMOUNT} end as amount,
+           case when o_totalprice < {_SMALL} then 'fixed twice' when o_totalprice > {_BIG} then 'fixed'
+                else o_orderstatus end as status
+    from orders union all select null, -1, 'no key' from orders where o_totalprice < {_SMALL}""",
+)
+def write_merge_buckets(spark, sf_dir):
+    """The same corrections, and rows without a key, in a table laid out in buckets: only those that are touched are rewritten."""
+    store = sinks.scratch_store(spark, "merge_buckets")
+    orders = load(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("id"),
+        cents("o_totalprice").alias("amount"),
+        F.col("o_orderstatus").alias("status"),
+    )
+    cheap, dear = F.col("amount") < _SMALL * 100, F.col("amount") > _BIG * 100
+    sinks.write_merge(store, "orders", orders, "id")
+    sinks.lay_out_buckets(store, "orders", "id", 16)
+    first = orders.filter(cheap | dear).select("id", F.lit(0).alias("amount"), F.lit("fixed").alias("status"))
+    sinks.write_merge(store, "orders", first, "id")
+    second = orders.filter(cheap).select("id", F.lit(-1).alias("amount"), F.lit("fixed twice").alias("status"))
+    unkeyed = second.withColumn("id", F.lit(None)).withColumn("status", F.lit("no key"))
+    sinks.write_merge(store, "orders", second.unionByName(unkeyed), "id")
+    return store.table("orders")
+
+
 @query("join_key_match", f"with {_EXTRACTS_SQL} {_MERGED_SQL}")
 def join_key_match(spark, sf_dir):
     """The upsert itself, from one DataFrame into another."""

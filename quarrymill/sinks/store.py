@@ -10,6 +10,10 @@ Appends add parts; `compact` folds them into one. A merge writes a new version,
 `apart`, only the changed rows as `m__c<run>`: the view is then the parts without the changed keys, and the
 changes. Which of the two it is never depends on sizes, and readers get no hints.
 
+A table that `lay_out_buckets` has dealt into partitions by a hash of its key is merged in place: only the partitions
+that hold keys of the batch are read and overwritten. What they become is written beside the table first and named in the
+view's properties, so that a merge that fails while it overwrites is finished by the next one.
+
 The view's properties name what it reads, and the last batch of each streaming query that was landed, so
 that a batch that runs again after a crash changes nothing. The superseded version is kept for readers that still
 use it, older ones are dropped (`GRACE_VERSIONS`).
@@ -48,6 +52,11 @@ _CHANGES = "quarrymill.changes"
 _CHANGES_KEY = "quarrymill.changes_key"
 _UNIQUE = "quarrymill.unique_key"
 _BATCH = "quarrymill.batch."
+_BUCKETS = "quarrymill.buckets"
+_PENDING = "quarrymill.pending"
+# Partition columns of a bucketed table, which its view leaves out. Rows without a key have a partition per load.
+_BUCKET, _LOAD = "_quarrymill_bucket", "_quarrymill_load"
+_UNKEYED, _KEYED = -1, "keyed"
 
 # A streaming query's id and the number of one of its batches.
 Batch = tuple[str, int]
@@ -139,7 +148,7 @@ def _point(store: Store, table: str, marks: dict[str, str | None], grace: int =
     kept = {key: value for key, value in marks.items() if value is not None}
     listed = ", ".join(f"'{key}' = {_literal(value)}" for key, value in kept.items())
     parts = [store.name(part) for part in _parts(kept)]
-    columns = ", ".join(map(quoted, store.table(_parts(kept)[0]).columns))
+    columns = ", ".join(quoted(c) for c in store.table(_parts(kept)[0]).columns if c not in (_BUCKET, _LOAD))
     if _CHANGES in kept:
         changes, key = store.name(kept[_CHANGES]), quoted(kept[_CHANGES_KEY])
         keys = f"(SELECT {key} FROM {changes} WHERE {key} IS NOT NULL)"
@@ -175,7 +184,7 @@ def _marks(store: Store, table: str) -> dict[str, str]:
 
 def _in_use(store: Store, table: str) -> set[str]:
     marks = _marks(store, table)
-    return {*_parts(marks), *([marks[_CHANGES]] if _CHANGES in marks else [])}
+    return {*_parts(marks), *(marks[kind] for kind in (_CHANGES, _PENDING) if kind in marks)}
 
 
 def _landed(store: Store, table: str, batch: Batch | None) -> dict[str, str]:
@@ -217,7 +226,11 @@ def compact(store: Store, table: str, sort_by: str | None = None, grace: int = G
     Sorted by the merge key, files cover disjoint key ranges, and later merges and look-ups skip
     those they cannot need. Rows with equal keys, or none, are spread by a hash of their values.
     """
+    _finish_pending(store, table)
     marks, rows = _marks(store, table), store.table(table)
+    if _BUCKETS in marks:
+        lay_out_buckets(store, table, marks[_UNIQUE], int(marks[_BUCKETS]), grace)
+        return
     if sort_by:
         hashable = [f.name for f in rows.schema.fields if "map<" not in f.dataType.simpleString()]
         spread = F.xxhash64(*map(exact, hashable))
@@ -318,6 +331,8 @@ def write_append(
         version, seen = _write_version(store, table, df, measures)
         _point(store, table, {_CURRENT: version} | _landed(store, table, batch))
         return _finish(store, table, seen, started)
+    if _BUCKETS in _marks(store, table):
+        raise ValueError(f"{table} is laid out in buckets by key; it is loaded by merge")
     if _CHANGES in _marks(store, table):
         compact(store, table)
     marks = _marks(store, table)
@@ -386,7 +401,7 @@ def _merge(
     if _has_landed(store, table, batch):
         return _nothing(store, table, started, measures)
     if store.exists(table):
-        _marks(store, table)  # a plain view cannot be merged into
+        _finish_pending(store, table)
     staged, seen = _write_version(store, table, df, measures, kind="c")
     pointed = False
     try:
@@ -433,6 +448,9 @@ def _merge_into(
     of `seq` read the key column and shuffle no more than the rows that match.
     """
     marks, base = _marks(store, table), store.table(table)
+    if _BUCKETS in marks:
+        _merge_buckets(store, table, fresh, key, seq, facts, marks | _landed(store, table, batch))
+        return
     if marks.get(_UNIQUE) != key:
         require_unique(touched(base, fresh, key, facts), key, f"existing rows of {table}")
     if seq is not None and seq in base.columns:
@@ -454,3 +472,67 @@ def _merge_into(
         changes, _ = _write_version(store, table, full, kind="c")
     unique = key if marks.get(_UNIQUE) == key else None
     _point(store, table, {**marks, _CHANGES: changes, _CHANGES_KEY: key, _UNIQUE: unique})
+
+
+# --- buckets ----------------------------------------------------------------------------------
+
+
+def _bucketed(rows: DataFrame, key: str, buckets: int, load: str) -> DataFrame:
+    """The rows with their partition: a bucket by a hash of the key, or, without a key, one of this load."""
+    keyed = exact(key).isNotNull()
+    bucket = F.when(keyed, F.pmod(F.xxhash64(exact(key)), F.lit(buckets))).otherwise(_UNKEYED)
+    return rows.withColumn(_BUCKET, bucket.cast("int")).withColumn(_LOAD, F.when(keyed, _KEYED).otherwise(load))
+
+
+def lay_out_buckets(store: Store, table: str, key: str, buckets: int, grace: int = GRACE_VERSIONS) -> None:
+    """Deal a published table into `buckets` partitions by key: from now on a merge rewrites those it touches, and no others.
+
+    The table is rewritten once, and its keys are checked to be unique. Choose as many buckets as give files of some
+    hundred megabytes; a merge whose keys are spread over all of them rewrites all of them.
+    """
+    _finish_pending(store, table)
+    marks, rows = _marks(store, table), store.table(table)
+    require_unique(rows, key, f"existing rows of {table}")
+    version = f"{table}__v{time.time_ns():020d}"
+    dealt = _bucketed(rows, key, buckets, version).hint("rebalance", F.col(_BUCKET))
+    dealt.write.format("parquet").partitionBy(_BUCKET, _LOAD).saveAsTable(store.name(version))
+    kept = {**marks, _CURRENT: version, _CHANGES: None, _CHANGES_KEY: None, _UNIQUE: key, _BUCKETS: str(buckets)}
+    _point(store, table, kept, grace)
+
+
+def _merge_buckets(
+    store: Store, table: str, fresh: DataFrame, key: str, seq: str | None, facts: KeyFacts, marks: dict[str, str]
+) -> None:
+    """Merge aligned rows into the partitions their keys are in. At most one short row per bucket comes to the driver."""
+    if marks[_UNIQUE] != key:
+        raise ValueError(f"{table} is laid out in buckets by {marks[_UNIQUE]!r}; it cannot be merged by {key!r}")
+    buckets, version = int(marks[_BUCKETS]), marks[_CURRENT]
+    keys = _bucketed(fresh.filter(exact(key).isNotNull()).select(exact(key)), key, buckets, "")
+    hit = sorted(row[0] for row in keys.select(_BUCKET).distinct().collect())
+    columns = [exact(name) for name in store.table(table).columns]
+    base = store.table(version).filter(F.col(_BUCKET).isin(hit)).select(*columns)
+    if seq is not None and seq in base.columns:
+        fresh = newer_than_stored(base, fresh, key, seq, facts)
+    pending = f"{table}__c{time.time_ns():020d}"
+    merged = _bucketed(upsert(base, fresh, key, facts), key, buckets, pending)
+    merged.hint("rebalance", F.col(_BUCKET)).write.format("parquet").saveAsTable(store.name(pending))
+    _point(store, table, marks | {_PENDING: pending})
+    _finish_pending(store, table)
+
+
+def _finish_pending(store: Store, table: str) -> None:
+    """Overwrite the partitions that a merge has prepared, now or after it failed half-way. Doing it twice changes nothing."""
+    marks = _marks(store, table)
+    if _PENDING not in marks:
+        return
+    setting = "spark.sql.sources.partitionOverwriteMode"
+    before = store.spark.conf.get(setting)
+    store.spark.conf.set(setting, "dynamic")
+    try:
+        prepared = store.table(marks[_PENDING]).select(*map(exact, store.table(marks[_CURRENT]).columns))
+        prepared.hint("rebalance", F.col(_BUCKET)).write.mode("overwrite").insertInto(store.name(marks[_CURRENT]))
+    finally:
+        store.spark.conf.set(setting, before)
+    pending = marks.pop(_PENDING)
+    _point(store, table, marks)
+    store.spark.sql(f"DROP TABLE IF EXISTS {store.name(pending)}")

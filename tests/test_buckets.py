@@ -1,0 +1,104 @@
+"""Merges into tables that are laid out in buckets by key."""
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from quarrymill.operators.upsert import DuplicateKeyError
+from quarrymill.sinks import store as sinks
+
+ROWS = [(i, f"old {i}", i % 7) for i in range(400)]
+
+
+@pytest.fixture
+def table(store, frame):
+    sinks.write_replace(store, "t", frame("id long, name string, n int", *ROWS))
+    sinks.lay_out_buckets(store, "t", "id", 8)
+    return store
+
+
+def _files(store):
+    """The files of each partition."""
+    current = store.table(sinks._marks(store, "t")[sinks._CURRENT])
+    found = {}
+    for row in current.select("_quarrymill_bucket", F.col("_metadata.file_path").alias("f")).distinct().collect():
+        found.setdefault(row[0], set()).add(row[1])
+    return found
+
+
+def _bucket_of(spark, key):
+    return spark.range(1).select(F.pmod(F.xxhash64(F.lit(key).cast("long")), F.lit(8))).first()[0]
+
+
+def test_untouched_buckets_keep_their_files(spark, table, frame, rows):
+    before = _files(table)
+    assert sorted(before) == list(range(8))
+    sinks.write_merge(table, "t", frame("id long, name string, n int", (3, "new", None), (1003, "more", 1)), "id")
+    after = _files(table)
+    touched = {_bucket_of(spark, 3), _bucket_of(spark, 1003)}
+    assert {b for b in before if before[b] != after[b]} == touched
+    expected = [r if r[0] != 3 else (3, "new", None) for r in ROWS] + [(1003, "more", 1)]
+    assert rows(table.table("t")) == sorted(expected, key=repr)
+    assert table.table("t").columns == ["id", "name", "n"]
+
+
+def test_only_touched_partitions_are_read(spark, table, frame):
+    version = table.table(sinks._marks(table, "t")[sinks._CURRENT])
+    plan = version.filter(F.col("_quarrymill_bucket").isin([3]))._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"ymill_bucket#\d+ = 3\)\], PushedFilters: \[\]", plan)
+    assert len(version.filter(F.col("_quarrymill_bucket").isin([3])).select(F.col("_metadata.file_path")).distinct().collect()) < 8
+
+
+def test_rows_without_a_key_are_added_apart(table, frame, rows):
+    for n in range(3):
+        sinks.write_merge(table, "t", frame("id long, name string, n int", (None, "x", n), (5, f"v{n}", n)), "id")
+    found = rows(table.table("t").filter("id is null or id = 5"))
+    assert found == sorted([(None, "x", 0), (None, "x", 1), (None, "x", 2), (5, "v2", 2)], key=repr)
+    assert table.table("t").count() == 403
+
+
+def test_a_merge_that_failed_half_way_is_finished_by_the_next(table, frame, rows, monkeypatch):
+    def lost(*_):
+        raise RuntimeError("driver lost")
+
+    finish = sinks._finish_pending
+    calls = []
+
+    def second_fails(store, name):
+        calls.append(name)
+        return finish(store, name) if len(calls) == 1 else lost()
+
+    monkeypatch.setattr(sinks, "_finish_pending", second_fails)
+    with pytest.raises(RuntimeError):
+        sinks.write_merge(table, "t", frame("id long, name string, n int", (1, "half", 1), (None, "y", 1)), "id")
+    monkeypatch.undo()
+    for _ in range(2):  # the second time, nothing is left to do
+        sinks.write_merge(table, "t", frame("id long, name string, n int", (2, "next", 2)), "id")
+    assert rows(table.table("t").filter("id in (1, 2) or id is null")) == sorted([(1, "half", 1), (2, "next", 2), (None, "y", 1)], key=repr)
+    assert table.table("t").count() == 401
+
+
+def test_sequences_missing_columns_and_streamed_batches(table, frame, rows):
+    newer = frame("id long, name string, n int", (1, "late", 0), (8, "late", 6))
+    sinks.write_merge(table, "t", newer, "id", seq="n")
+    assert rows(table.table("t").filter("id in (1, 8)")) == [(1, "old 1", 1), (8, "late", 6)]
+    sinks.publish_incremental(table, "t", frame("id long, name string", (9, "nine"), (999, "new")), "id")
+    assert rows(table.table("t").filter("id in (9, 999)")) == [(9, "nine", 2), (999, "new", None)]
+    for _ in range(2):
+        sinks.write_merge(table, "t", frame("id long, name string, n int", (None, "b", 1)), "id", batch=("q", 4))
+    assert table.table("t").filter("name = 'b'").count() == 1
+
+
+def test_other_loads(table, frame, rows):
+    with pytest.raises(ValueError, match="by merge"):
+        sinks.write_append(table, "t", frame("id long, name string, n int", (1, "x", 1)))
+    with pytest.raises(ValueError, match="cannot be merged by"):
+        sinks.write_merge(table, "t", frame("id long, name string, n int", (1, "x", 1)), "n")
+    with pytest.raises(DuplicateKeyError):
+        sinks.lay_out_buckets(table, "t", "n", 4)
+    sinks.compact(table, "t")
+    assert rows(table.table("t")) == sorted(ROWS, key=repr) and len(_files(table)) == 8
+    sinks.write_replace(table, "t", frame("id long, name string, n int", (1, "x", 1)))
+    sinks.write_merge(table, "t", frame("id long, name string, n int", (2, "y", 2)), "id")
+    assert rows(table.table("t")) == [(1, "x", 1), (2, "y", 2)]
