@@ -5,14 +5,14 @@ from __future__ import annotations
 import uuid
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from quarrymill.operators.skew import own_shuffle
-from quarrymill.session import shared_dir
+from quarrymill.session import remove_folder, shared_dir
 
-# Levels of a search that are read one by one before they are folded into one table.
-_LEVELS_APART = 8
+# Levels of a search that are searched one by one before what is left of the graph is contracted.
+_LEVELS_APART = 6
 
 
 def graph_ancestors(
@@ -31,44 +31,123 @@ def graph_descendants(
     return _reach(steps, start, id_col, edges_are_stored)
 
 
+class _Scratch:
+    """Tables of one search in the shared folder. Each cuts the lineage and survives lost executors."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.folder, self.tables = spark, f"{shared_dir(spark)}/reach_{uuid.uuid4().hex}", 0
+
+    def write(self, df: DataFrame) -> tuple[DataFrame, int, str]:
+        """The rows read back, their number, and where they are."""
+        seen, path = Observation(), f"{self.folder}/{self.tables}"
+        self.tables += 1
+        df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+        return self.read(df, path), seen.get["rows"], path
+
+    def write_counting(self, df: DataFrame, mark: str) -> tuple[DataFrame, int]:
+        """The rows read back without the column `mark`, and in how many it is true."""
+        seen, path = Observation(), f"{self.folder}/{self.tables}"
+        self.tables += 1
+        df.observe(seen, F.count_if(F.col(mark)).alias("marked")).drop(mark).write.parquet(path)
+        return self.read(df.drop(mark), path), seen.get["marked"]
+
+    def read(self, like: DataFrame, *paths: str) -> DataFrame:
+        return self.spark.read.schema(like.schema).parquet(*paths)
+
+    def keep_only(self, paths: list[str]) -> None:
+        for number in range(self.tables):
+            if (path := f"{self.folder}/{number}") not in paths:
+                remove_folder(self.spark, path)
+
+
 def _reach(steps: DataFrame, start: DataFrame, id_col: str, stored: bool) -> DataFrame:
-    """Breadth-first over the newest nodes only, one round per level; cycles end by themselves.
-
-    The edges are read once per round, so computed ones are stored first; pass `edges_are_stored`
-    for a plain table. Each round's new nodes are written to the shared folder. That cuts the
-    lineage, survives lost executors, and tells Catalyst the true size of the frontier: a small
-    one is broadcast and the edges are only scanned. Every few rounds the levels so far are written as one
-    table, so that a round of a deep graph does not list and read a folder per earlier level. A frontier holds each node once, so a node
-    with very many edges makes the edge side of the join skewed, which Spark splits at run time.
+    """What the start nodes lead to, in a number of rounds that grows with the logarithm of the length of chains.
+
+    A few levels are searched one by one from the newest nodes, which is all that most graphs need; cycles end by themselves. The levels'
+    true sizes let Catalyst broadcast a small frontier, so that the edges are only scanned. What is left of a
+    deeper graph is then contracted (`_contracted`), and the search goes on in what remains of it; at the end,
+    nodes that were taken out are reached if a node they hang on is. A frontier holds each node once, so a node with very many
+    edges makes the edge side of the join skewed, which Spark splits at run time.
+
+    The edges are read once per round, so computed ones are stored first; pass `edges_are_stored` for a plain table. Only the folders
+    that the result is read from are left behind.
     """
     spark = steps.sparkSession
-    folder = f"{shared_dir(spark)}/reach_{uuid.uuid4().hex}"
+    scratch = _Scratch(spark)
     steps = steps.filter("near is not null and far is not null")
     if not stored:
-        steps.write.parquet(f"{folder}/edges")
-        steps = spark.read.schema(steps.schema).parquet(f"{folder}/edges")
-
-    # What has been reached: one folded table, if there is one, and the levels since.
-    levels: list[str] = []
-    rounds = 0
-    frontier = start.select(F.col(id_col).alias("id")).filter("id is not null").distinct()
-    shape = frontier.schema
-    while True:
-        written = Observation()
-        level = f"{folder}/level={rounds}"
-        frontier.observe(written, F.count(F.lit(1)).alias("rows")).write.parquet(level)
-        levels.append(level)
-        seen = spark.read.schema(shape).parquet(*levels)
-        if written.get["rows"] == 0:
-            return seen
-        rounds += 1
-        if len(levels) > _LEVELS_APART:
-            seen.write.parquet(f"{folder}/folded={rounds}")
-            levels = [f"{folder}/folded={rounds}"]
-            seen = spark.read.schema(shape).parquet(*levels)
-        newest = spark.read.schema(shape).parquet(level)
-        reached = steps.join(newest, steps["near"] == newest["id"]).select(F.col("far").alias("id"))
-        frontier = reached.distinct().join(seen, "id", "left_anti")
+        steps, _, _ = scratch.write(steps)
+    newest, rows, path = scratch.write(start.select(F.col(id_col).alias("id")).filter("id is not null").distinct())
+    levels, hanging = [path], []
+    while rows:
+        for _ in range(_LEVELS_APART):
+            seen = scratch.read(newest, *levels)
+            reached = steps.join(newest, steps["near"] == newest["id"]).select(F.col("far").alias("id"))
+            newest, rows, path = scratch.write(reached.distinct().join(seen, "id", "left_anti"))
+            if not rows:
+                break
+            levels.append(path)
+        if rows:
+            seen, _, path = scratch.write(scratch.read(newest, *levels))
+            levels = [path]
+            # Edges out of the newest nodes, and among those that have not been reached.
+            known = seen.select(F.col("id").alias("far"))
+            passed = seen.join(newest, "id", "left_anti").select(F.col("id").alias("near"))
+            left = steps.join(known, "far", "left_anti").join(passed, "near", "left_anti").select("near", "far").distinct()
+            steps = _contracted(scratch, left, newest, hanging)
+    for taken_out in reversed(hanging):
+        seen = scratch.read(start.select(F.col(id_col).alias("id")), *levels)
+        found = taken_out.join(seen.withColumnRenamed("id", "head"), "head", "left_semi").select("id").distinct()
+        _, _, path = scratch.write(found)
+        levels.append(path)
+    scratch.keep_only(levels)
+    return scratch.read(start.select(F.col(id_col).alias("id")), *levels)
+
+
+def _contracted(scratch: _Scratch, edges: DataFrame, newest: DataFrame, hanging: list[DataFrame]) -> DataFrame:
+    """Fewer edges that lead from `newest` to the same places, without leaves and without the inner nodes of chains.
+
+    Edges out of nodes that no edge leads to are left out, unless they begin at `newest`, which no edge leads to either.
+    What is taken out goes to `hanging` as (id, head): `id` is reached exactly if one of its heads is. Leaves hang on the nodes that lead to them. A node
+    with one edge in and one out hangs on the nearest node before it that is none, which pointers find that
+    jump over each other, four times as far each round. Repeated while it takes out a quarter of the edges, as leaves gone make new chains.
+    """
+    edges, many, _ = scratch.write(edges)
+    begin = newest.select(F.col("id").alias("near"))
+    while many:
+        led_to = edges.select(F.col("far").alias("near")).unionByName(begin).distinct()
+        edges = edges.join(led_to, "near", "left_semi")
+        goes_on = edges.select(F.col("near").alias("far")).distinct()
+        leaves, _, _ = scratch.write(
+            edges.join(goes_on, "far", "left_anti").select(F.col("far").alias("id"), F.col("near").alias("head"))
+        )
+        hanging.append(leaves)
+        inner = edges.join(goes_on, "far", "left_semi").select("near", "far")
+        out = inner.groupBy(F.col("near").alias("id")).agg(F.count(F.lit(1)).alias("out"))
+        into = inner.groupBy(F.col("far").alias("id")).agg(F.count(F.lit(1)).alias("into"), F.min("near").alias("head"))
+        chain = into.filter("into = 1").join(out.filter("out = 1"), "id")
+        chain, links, _ = scratch.write(chain.select("id", "head"))
+        heads, jumped, reach = chain, links, 1
+        # Pointers that have found no end when they reach over all links are on closed cycles, which nothing leads into.
+        while jumped and reach <= links:
+            for _ in range(2):
+                over = heads.select(F.col("id").alias("head"), F.col("head").alias("next"))
+                heads = heads.select("id", "head").join(over, "head", "left")
+                heads = heads.select("id", F.coalesce("next", "head").alias("head"), F.col("next").isNotNull().alias("far_on"))
+            heads, jumped = scratch.write_counting(heads, "far_on")
+            reach *= 4
+        ends = chain.select(F.col("id").alias("head"))
+        hanging.append(heads.join(ends, "head", "left_anti").select("id", "head"))
+        shortened = (
+            inner.join(chain.select(F.col("id").alias("far")), "far", "left_anti")
+            .join(heads.select(F.col("id").alias("near"), "head"), "near", "left")
+            .select(F.coalesce("head", "near").alias("near"), "far")
+        )
+        edges, left, _ = scratch.write(shortened.distinct())
+        if 4 * left > 3 * many:
+            return edges
+        many = left
+    return edges
 
 
 def select_nodes(nodes: DataFrame, method: str, value: str) -> DataFrame:

@@ -161,6 +161,45 @@ def graph_ancestors(spark, sf_dir):
     return lineage.graph_ancestors(edges(spark, sf_dir), urgent.select(_node("order", "o_orderkey").alias("id")))
 
 
+_LATE = 250
+
+
+def chained_orders(spark, sf_dir) -> DataFrame:
+    """Every order leads to the one with the next key, and to the suppliers of its lines: as deep as there are orders."""
+    orders = load(spark, sf_dir, "orders")
+    follows = orders.select(
+        _node("order", "o_orderkey").alias("upstream"),
+        F.concat(F.lit("order:"), (F.col("o_orderkey") + 1).cast("string")).alias("downstream"),
+    )
+    lines = load(spark, sf_dir, "lineitem").select(
+        _node("order", "l_orderkey").alias("upstream"), _node("supplier", "l_suppkey").alias("downstream")
+    )
+    return follows.unionByName(lines)
+
+
+@query(
+    "graph_chain_descendants",
+    f"""select 'order:' || o_orderkey as id from orders where o_orderkey >= {_LATE}
+    union select 'order:' || (max(o_orderkey) + 1) from orders
+    union select 'supplier:' || l_suppkey from lineitem where l_orderkey >= {_LATE}""",
+)
+def graph_chain_descendants(spark, sf_dir):
+    """A search as deep as the table is long, in rounds that grow with its logarithm."""
+    start = load(spark, sf_dir, "orders").filter(F.col("o_orderkey") == _LATE)
+    return lineage.graph_descendants(chained_orders(spark, sf_dir), start.select(_node("order", "o_orderkey").alias("id")))
+
+
+@query(
+    "graph_chain_ancestors",
+    """select 'order:' || o_orderkey as id from orders
+    where o_orderkey <= (select max(l_orderkey) from lineitem where l_suppkey = 7)
+    union select 'supplier:7'""",
+)
+def graph_chain_ancestors(spark, sf_dir):
+    start = load(spark, sf_dir, "supplier").filter("s_suppkey = 7")
+    return lineage.graph_ancestors(chained_orders(spark, sf_dir), start.select(_node("supplier", "s_suppkey").alias("id")))
+
+
 def nodes(spark, sf_dir) -> DataFrame:
     """Parts as models: words of the name as tags, brand and type as the path."""
     return load(spark, sf_dir, "part").select(
