@@ -1,7 +1,7 @@
 """High-water marks of incremental loads, and the load itself.
 
-Marks live in a log that is only appended to: a set adds a line, a clear adds a line without a
-value, and the newest line of a key counts. Writers never rewrite each other's marks.
+Marks are a table of one line per source and stream. A set writes it anew, with the new lines in place of the old ones of
+their keys, and swaps it in; a clear leaves a line out. It is as small as there are streams, however often they are loaded.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, replace
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarrymill.operators.quality import TestedModel, run_column_tests
@@ -33,25 +33,29 @@ def cursor_key(stream: str, field: str) -> str:
 
 def set_cursors(store: Store, marks: DataFrame) -> None:
     """Set several marks at once: rows of (source_name, stream, value); a NULL value clears."""
-    typed_create(store, CURSOR_TABLE, _COLUMNS)
     now = datetime.now(timezone.utc)
     lines = marks.select(
         "source_name", "stream", F.col("value").cast("string").alias("value"), F.lit(now).alias("updated_at")
     )
-    write_append(store, CURSOR_TABLE, lines)
+    # What is stored is read by the write that replaces it, so a mark is never missing in between.
+    write_replace(store, CURSOR_TABLE, _newest(cursors(store).unionByName(lines)).coalesce(1))
 
 
-def cursors(store: Store) -> DataFrame:
-    """The marks that are set: (source_name, stream, value, updated_at)."""
-    typed_create(store, CURSOR_TABLE, _COLUMNS)
-    newest = store.table(CURSOR_TABLE).groupBy("source_name", "stream").agg(
+def _newest(lines: DataFrame) -> DataFrame:
+    newest = lines.groupBy("source_name", "stream").agg(
         F.max_by("value", "updated_at").alias("value"), F.max("updated_at").alias("updated_at")
     )
     return newest.filter(F.col("value").isNotNull())
 
 
+def cursors(store: Store) -> DataFrame:
+    """The marks that are set: (source_name, stream, value, updated_at)."""
+    typed_create(store, CURSOR_TABLE, _COLUMNS)
+    return store.table(CURSOR_TABLE)
+
+
 def compact_cursors(store: Store) -> None:
-    """Rewrite the log as its newest lines."""
+    """Rewrite the table as it is. Sets keep it small; nothing depends on this."""
     write_replace(store, CURSOR_TABLE, cursors(store).coalesce(1))
 
 
@@ -80,10 +84,12 @@ def next_cursor(df: DataFrame, cursor: str, previous: str | None = None) -> Data
 
     Compared as the column's own type. NULL cursors do not count.
     """
-    kind = df.schema[cursor].dataType
-    return df.agg(
-        F.greatest(F.max(F.col(cursor)), F.lit(previous).cast(kind)).cast("string").alias("value")
-    )
+    return df.agg(_greatest(df, cursor, previous).alias("value"))
+
+
+def _greatest(df: DataFrame, cursor: str, previous: str | None) -> Column:
+    before = F.lit(previous).cast(df.schema[cursor].dataType)
+    return F.greatest(F.max(F.col(cursor)), before).cast("string")
 
 
 @dataclass(frozen=True)
@@ -166,11 +172,8 @@ def _load(
     field = config.cursor_field
     stored = cursor_get(store, source, cursor_key(stream, field)) if field else None
     batch = extract(stored if stored is not None else config.initial_value)
-    measures = None
-    if field:
-        previous = None if config.write_disposition == "replace" else stored
-        before = F.lit(previous).cast(batch.schema[field].dataType)
-        measures = {"high": F.greatest(F.max(F.col(field)), before).cast("string")}
+    previous = None if config.write_disposition == "replace" else stored
+    measures = {"high": _greatest(batch, field, previous)} if field else None
     if config.inclusive and config.write_disposition == "append":
         raise ValueError(f"{source}.{stream}: inclusive cursors need a merge by primary_key")
 

@@ -6,7 +6,8 @@ reader sees the old rows or the new ones, after an append as well. A job that fa
 where it was. Views that other people build on `m` bind by name and survive. One writer per
 table at a time is assumed.
 
-Appends add parts; `compact` folds them into one. A merge writes a new version, or, if the caller asks for
+Appends add parts. Whenever the newest `FOLDED_PARTS` of them have been folded equally often, they become one, so that
+there are few of them after any number of appends and a row is rewritten a logarithmic number of times; `compact` folds all. A merge writes a new version, or, if the caller asks for
 `apart`, only the changed rows as `m__c<run>`: the view is then the parts without the changed keys, and the
 changes. Which of the two it is never depends on sizes, and readers get no hints.
 
@@ -25,6 +26,7 @@ import re
 import time
 import uuid
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -46,10 +48,16 @@ from quarrymill.session import shared_dir
 
 # Superseded versions that are left for readers that have begun before a change.
 GRACE_VERSIONS = 1
+# Parts that are folded into one.
+FOLDED_PARTS = 16
 
 _CURRENT = "quarrymill.current"
 _CHANGES = "quarrymill.changes"
 _CHANGES_KEY = "quarrymill.changes_key"
+# Parts that were appended after the changes, which therefore hide none of their rows.
+_AFTER = "quarrymill.after_changes"
+# How often each part has been folded.
+_TIERS = "quarrymill.tiers"
 _UNIQUE = "quarrymill.unique_key"
 _BATCH = "quarrymill.batch."
 _BUCKETS = "quarrymill.buckets"
@@ -143,6 +151,10 @@ def _parts(marks: dict[str, str]) -> list[str]:
     return marks[_CURRENT].split(",")
 
 
+def _listed(marks: dict[str, str], key: str) -> list[str]:
+    return marks[key].split(",") if marks.get(key) else []
+
+
 def _point(store: Store, table: str, marks: dict[str, str | None], grace: int = GRACE_VERSIONS) -> None:
     """Make the view show what the marks say, in one catalog operation, and drop what is long superseded."""
     kept = {key: value for key, value in marks.items() if value is not None}
@@ -153,7 +165,8 @@ def _point(store: Store, table: str, marks: dict[str, str | None], grace: int =
         changes, key = store.name(kept[_CHANGES]), quoted(kept[_CHANGES_KEY])
         keys = f"(SELECT {key} FROM {changes} WHERE {key} IS NOT NULL)"
         reads = [f"SELECT {columns} FROM {part} v LEFT ANTI JOIN {keys} c ON v.{key} = c.{key}" for part in parts]
-        reads.append(f"SELECT {columns} FROM {changes}")
+        after = [store.name(part) for part in _listed(kept, _AFTER)]
+        reads += [f"SELECT {columns} FROM {part}" for part in (changes, *after)]
     else:
         reads = [f"SELECT {columns} FROM {part}" for part in parts]
     store.spark.sql(
@@ -184,7 +197,7 @@ def _marks(store: Store, table: str) -> dict[str, str]:
 
 def _in_use(store: Store, table: str) -> set[str]:
     marks = _marks(store, table)
-    return {*_parts(marks), *(marks[kind] for kind in (_CHANGES, _PENDING) if kind in marks)}
+    return {*_parts(marks), *_listed(marks, _AFTER), *(marks[kind] for kind in (_CHANGES, _PENDING) if kind in marks)}
 
 
 def _landed(store: Store, table: str, batch: Batch | None) -> dict[str, str]:
@@ -238,7 +251,27 @@ def compact(store: Store, table: str, sort_by: str | None = None, grace: int = G
     else:
         rows = rows.hint("rebalance")
     version, _ = _write_version(store, table, rows)
-    _point(store, table, {**marks, _CURRENT: version, _CHANGES: None, _CHANGES_KEY: None}, grace)
+    _point(store, table, {**marks, _CURRENT: version} | _ONE_PART, grace)
+
+
+# What a table that has been written as one part no longer has.
+_ONE_PART = {_CHANGES: None, _CHANGES_KEY: None, _AFTER: None, _TIERS: None}
+
+
+def _fold_parts(store: Store, table: str) -> None:
+    """Make one part of the newest ones while `FOLDED_PARTS` of them have been folded equally often."""
+    while True:
+        marks = _marks(store, table)
+        parts = _parts(marks)
+        tiers = [int(t) for t in _listed(marks, _TIERS)] or [0] * len(parts)
+        if _CHANGES in marks or len(parts) < FOLDED_PARTS or len(set(tiers[-FOLDED_PARTS:])) > 1:
+            return
+        rows = reduce(DataFrame.unionAll, [store.table(part) for part in parts[-FOLDED_PARTS:]])
+        folded, _ = _write_version(store, table, rows.hint("rebalance"))
+        tiers = [*tiers[:-FOLDED_PARTS], tiers[-1] + 1]
+        marks = {**marks, _CURRENT: ",".join([*parts[:-FOLDED_PARTS], folded]), _TIERS: ",".join(map(str, tiers))}
+        # Readers that have begun still use all of the parts.
+        _point(store, table, marks, GRACE_VERSIONS + FOLDED_PARTS)
 
 
 # --- materializations -------------------------------------------------------------------------
@@ -322,7 +355,7 @@ def write_append(
     """Add the rows as a part of their own, creating the table if there is none. No dedup.
 
     Columns the rows lack become NULL; a column the table lacks is an error. Changes that are kept apart
-    are folded in first, as appended rows may have their keys. A streamed `batch` that has landed is skipped.
+    hide nothing of what is appended after them. A streamed `batch` that has landed is skipped.
     """
     started = time.monotonic()
     if _has_landed(store, table, batch):
@@ -333,8 +366,6 @@ def write_append(
         return _finish(store, table, seen, started)
     if _BUCKETS in _marks(store, table):
         raise ValueError(f"{table} is laid out in buckets by key; it is loaded by merge")
-    if _CHANGES in _marks(store, table):
-        compact(store, table)
     marks = _marks(store, table)
     target = store.table(_parts(marks)[0])
     aligned = align(df, target, f"append to {table}")
@@ -347,8 +378,13 @@ def write_append(
         ]
     )
     part, seen = _write_version(store, table, filled, measures)
-    marks = {**marks, _CURRENT: f"{marks[_CURRENT]},{part}", _UNIQUE: None}
-    _point(store, table, marks | _landed(store, table, batch))
+    if _CHANGES in marks:
+        added = {_AFTER: ",".join([*_listed(marks, _AFTER), part])}
+    else:
+        tiers = _listed(marks, _TIERS) or ["0"] * len(_parts(marks))
+        added = {_CURRENT: f"{marks[_CURRENT]},{part}", _TIERS: ",".join([*tiers, "0"])}
+    _point(store, table, {**marks, **added, _UNIQUE: None} | _landed(store, table, batch))
+    _fold_parts(store, table)
     return _finish(store, table, seen, started)
 
 
@@ -459,7 +495,7 @@ def _merge_into(
     if not apart:
         version, _ = _write_version(store, table, upsert(base, fresh, key, facts))
         unique = key if marks.get(_UNIQUE) == key else None
-        _point(store, table, {**marks, _CURRENT: version, _CHANGES: None, _CHANGES_KEY: None, _UNIQUE: unique})
+        _point(store, table, {**marks, _CURRENT: version, _UNIQUE: unique} | _ONE_PART)
         return
     if marks.get(_CHANGES_KEY, key) != key:
         raise ValueError(f"{table} keeps changes apart by {marks[_CHANGES_KEY]!r}; compact it to merge by {key!r}")
@@ -470,6 +506,11 @@ def _merge_into(
         if _CHANGES in marks:
             full = upsert(store.table(marks[_CHANGES]), full, key, facts)
         changes, _ = _write_version(store, table, full, kind="c")
+    if _AFTER in marks:
+        # The new changes hide rows of these parts, the older ones do not: what is hidden is left out for good.
+        after = reduce(DataFrame.unionAll, map(store.table, _listed(marks, _AFTER)))
+        rest, _ = _write_version(store, table, after.join(fresh.select(exact(key)), key, "left_anti").select(*map(exact, base.columns)))
+        marks = {**marks, _AFTER: rest}
     unique = key if marks.get(_UNIQUE) == key else None
     _point(store, table, {**marks, _CHANGES: changes, _CHANGES_KEY: key, _UNIQUE: unique})
 
@@ -496,7 +537,7 @@ def lay_out_buckets(store: Store, table: str, key: str, buckets: int, grace: int
     version = f"{table}__v{time.time_ns():020d}"
     dealt = _bucketed(rows, key, buckets, version).hint("rebalance", F.col(_BUCKET))
     dealt.write.format("parquet").partitionBy(_BUCKET, _LOAD).saveAsTable(store.name(version))
-    kept = {**marks, _CURRENT: version, _CHANGES: None, _CHANGES_KEY: None, _UNIQUE: key, _BUCKETS: str(buckets)}
+    kept = {**marks, _CURRENT: version, _UNIQUE: key, _BUCKETS: str(buckets)} | _ONE_PART
     _point(store, table, kept, grace)
 
 

@@ -176,3 +176,12 @@ def test_all_declared_streams_are_loaded(store, frame):
     streams = {"a": cursors.StreamConfig(identifier="big.a"), "b": cursors.StreamConfig("replace")}
     loaded = cursors.load_streams(store, "x", streams, lambda name, config: lambda mark: frame("id int, t string", (1, name)))
     assert [r.target.split(".")[-1] for r in loaded] == ["raw_x_a", "raw_x_b"]
+
+
+def test_many_sets_leave_one_small_table(store):
+    for n in range(12):
+        cursors.cursor_set(store, "shop", f"s{n % 3}", str(n))
+    cursors.cursor_clear(store, "shop", "s0")
+    assert len(store.versions(cursors.CURSOR_TABLE)) <= 2
+    assert store.table(cursors.CURSOR_TABLE).count() == 2
+    assert [cursors.cursor_get(store, "shop", f"s{n}") for n in range(3)] == [None, "10", "11"]

@@ -377,3 +377,32 @@ def test_keys_of_every_type(store, spark, rows, kind):
     sinks.write_merge(store, "u", spark.range(40).selectExpr(f"{made} as k", "'old' as name"), "k")
     sinks.write_merge(store, "u", spark.range(9, 25).selectExpr(f"{made} as k", "'new' as name"), "k")
     assert rows(store.table("u").groupBy("name").count()) == [("new", 16), ("old", 24)]
+
+
+def test_an_append_after_changes_kept_apart_writes_its_rows_only(store, frame, rows):
+    sinks.write_merge(store, "u", frame(NUMBERED, *[(i, "old") for i in range(100)]), "id")
+    sinks.write_merge(store, "u", frame(NUMBERED, (3, "new"), (5, "new")), "id", apart=True)
+    before = set(store.versions("u"))
+    assert sinks.write_append(store, "u", frame(NUMBERED, (3, "added"), (200, "added"))).rows == 2
+    (part,) = set(store.versions("u")) - before
+    assert store.table(part).count() == 2 and before <= set(store.versions("u"))
+    found = rows(store.table("u").filter("id in (3, 5, 200)"))
+    assert sorted(found) == [(3, "added"), (3, "new"), (5, "new"), (200, "added")]
+    sinks.write_merge(store, "u", frame(NUMBERED, (200, "merged"), (7, "merged")), "id", apart=True)
+    assert sorted(rows(store.table("u").filter("id in (3, 5, 7, 200)"))) == [
+        (3, "added"), (3, "new"), (5, "new"), (7, "merged"), (200, "merged")
+    ]
+    assert store.table("u").count() == 102
+    sinks.compact(store, "u")
+    assert store.table("u").count() == 102
+
+
+def test_many_appends_leave_few_parts(store, frame, rows, monkeypatch):
+    monkeypatch.setattr(sinks, "FOLDED_PARTS", 3)
+    for n in range(14):
+        sinks.write_append(store, "u", frame("id int, n int", (n, n), (n, None)))
+    marks = sinks._marks(store, "u")
+    # 14 is 112 to the base of three.
+    assert marks[sinks._TIERS] == "2,1,0,0" and len(sinks._parts(marks)) == 4
+    assert rows(store.table("u")) == sorted([(n, n) for n in range(14)] + [(n, None) for n in range(14)], key=repr)
+    assert len(store.versions("u")) <= 4 + sinks.GRACE_VERSIONS + 3
