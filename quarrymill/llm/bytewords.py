@@ -10,22 +10,7 @@ import pyarrow as pa
 # Bytes handled at a time; one longer text is handled alone.
 SLICE_BYTES = 1 << 18
 
-_BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
-_BASE_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
-_powers: dict[str, np.ndarray] = {}
-
-
-def _powers_of(name: str, base: np.uint64, n: int) -> np.ndarray:
-    """1, base, base**2, ... modulo 2**64, kept and doubled as needed up to a few slices."""
-    have = _powers.get(name)
-    if have is None or len(have) < n:
-        size = max(n, 2 * SLICE_BYTES)
-        have = np.full(size, base, np.uint64)
-        have[0] = 1
-        np.multiply.accumulate(have, out=have)
-        if size <= 8 * SLICE_BYTES:
-            _powers[name] = have
-    return have[:n]
+_GOLDEN, _ALL = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -96,14 +81,23 @@ def words_of(data: np.ndarray, offsets: np.ndarray, of_word: np.ndarray, stems:
     lasts = offsets[1:][offsets[:-1] < offsets[1:]] - 1
     ends[lasts] = inside[lasts]
     start, end = np.flatnonzero(starts), np.flatnonzero(ends)
-    # A word's hash is a polynomial of its bytes: a difference of running sums, moved to power 0.
-    terms = (_LOWERED[data].astype(np.uint64) + np.uint64(1)) * _powers_of("up", _BASE, n)
-    running = np.cumsum(terms, dtype=np.uint64)
-    down = _powers_of("down", _BASE_INVERSE, n)[start]
+    lowered = np.zeros(n + 8, np.uint8)
+    lowered[:n] = _LOWERED[data]
+    eight = np.lib.stride_tricks.sliding_window_view(lowered, 8)
 
     def hashed(last: np.ndarray) -> np.ndarray:
-        total = running[last] - running[start] + terms[start]
-        return mix(total * down + (last - start).astype(np.uint64))
+        """A word's hash sums its scrambled groups of eight bytes, each with its place, so that no order or repetition cancels out."""
+        size = last - start + 1
+        groups = (size + 7) >> 3
+        word = np.repeat(np.arange(len(start)), groups)
+        place = np.arange(len(word)) - np.repeat(np.cumsum(groups) - groups, groups)
+        at = start[word] + 8 * place
+        value = np.ascontiguousarray(eight[at]).view("<u8").ravel()
+        left = np.minimum(size[word] - 8 * place, 8).astype(np.uint64)
+        value = value & (_ALL >> (np.uint64(64) - np.uint64(8) * left))
+        terms = mix(mix(value + _GOLDEN) + (place.astype(np.uint64) + np.uint64(1)) * _GOLDEN)
+        total = np.add.reduceat(terms, np.cumsum(groups) - groups) if len(terms) else np.zeros(0, np.uint64)
+        return mix(total + size.astype(np.uint64))
 
     cut = [hashed(np.minimum(end, start + size - 1)) for size in stems]
     return Words(hashed(end), np.searchsorted(start, offsets), cut)

@@ -9,15 +9,18 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from quarrymill.llm.bytewords import NOT_BLANK, Words, mix, slices
-from quarrymill.llm.common import bounded, staged
+from quarrymill.llm.common import bounded, mapped, staged
 from quarrymill.llm.components import components
 
 # Sizes of one band differ by less than this factor.
 BAND_RATIO = 1.4
 # A bucket of more members in several components is crowded: it yields no pairs unless pigeonhole needs it.
 CROWDED = 64
+# Classes that a task remembers to have indexed.
+REMEMBERED = 1 << 18
 # Bits of a set's sketch: two per element, up to this many.
 MOST_SKETCH_BITS = 4096
 
@@ -181,11 +184,18 @@ def _indexed(likeness: Likeness):
 
     def work(batches):
         held: list[list[np.ndarray]] = [[], [], []]
+        seen: set[int] = set()
         for batch in batches:
             for _, shingles in _shingle_sets(batch.column(0), likeness.shingle):
                 if not len(shingles):
                     continue
+                # Copies are indexed once per task; should more classes come than are remembered, some are once more.
                 name = class_of(shingles)
+                if name in seen:
+                    continue
+                if len(seen) >= REMEMBERED:
+                    seen.clear()
+                seen.add(name)
                 for b in bands_of(len(shingles), likeness):
                     band = bands(likeness)[b]
                     if not band.apart:
@@ -269,27 +279,8 @@ def _may_be_alike(a: str, b: str, likeness: Likeness) -> Column:
     return _of_size(x, y, likeness) & (differ * (likeness.per + likeness.least) <= most)
 
 
-def similar_sets(
-    docs: DataFrame, likeness: Likeness = Likeness(), *, doc_id: str = "doc_id", text: str = "text"
-) -> DataFrame:
-    """Join texts whose sets of word shingles are alike, and name the component of each.
-
-    The method: equal sets are one class. The universe of shingles is cut into segments by hash, their number by
-    the size band of the smaller set; linked sets differ in fewer elements than there are segments, so one segment is
-    equal. Segments are indexed by signatures, the first few with each element left out as well. A set pays for its
-    empty and crowded segments out of what that leaves spare. Candidates that share a bucket are verified
-    on their shingles, if sizes and parity sketches do not rule them out: first each member against the
-    bucket's smallest, then, where a bucket still holds several components, all pairs from different ones. Crowded buckets are left out of the second step except
-    among sets that have nothing spare: a pair either of whose sets can spare its crowded buckets has met elsewhere.
-    So no link between components is lost, and pairs within a component are not made.
-
-    Returns `doc_id, n_shingles, component_id`, one row per row of `docs`: the set's size and the smallest id
-    that links lead to. Words are separated by blanks, A-Z is lower-cased. Texts of fewer words than a shingle are
-    one shingle; NULL and empty texts have none and no links. Rows with a NULL id have no component and link
-    nothing; rows that repeat an id are one document with all their texts. Shingles and sets are told apart by
-    64-bit hashes.
-    """
-    given = docs.select(F.col(doc_id).alias("doc"), F.col(text).alias("text"))
+def _components(given: DataFrame, likeness: Likeness) -> tuple[DataFrame, DataFrame]:
+    """(doc, n, class) of each row of `given` (doc, text), and (class, label, doc): the component of each class, its smallest id."""
     described = staged(
         given.mapInArrow(_described(likeness), f"doc long, n long, class long, bands {_IN_BANDS}"), "described"
     )
@@ -322,16 +313,44 @@ def similar_sets(
         linked = staged(linked.unionByName(more), "all_links")
         labels = components(linked)
 
-    named = classes.join(labels.withColumnRenamed("node", "doc"), "doc", "left").select(
-        "class", F.coalesce("label", "doc").alias("label")
-    )
-    out = described.select("doc", "n", F.when(F.col("n") > 0, F.col("class")).alias("class")).join(
-        named, "class", "left"
-    )
+    named = staged(_named(classes, labels), "labelled")
+    smallest = named.groupBy("label").agg(F.min("doc").alias("doc"))
+    return described.select("doc", "n", "class"), named.select("class", "label").join(smallest, "label")
+
+
+def _named(classes: DataFrame, labels: DataFrame) -> DataFrame:
+    """class, doc, label: the smallest class that links lead to."""
+    found = labels.withColumnRenamed("node", "class")
+    return classes.join(found, "class", "left").select("class", "doc", F.coalesce("label", "class").alias("label"))
+
+
+def similar_sets(
+    docs: DataFrame, likeness: Likeness = Likeness(), *, doc_id: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """Join texts whose sets of word shingles are alike, and name the component of each.
+
+    The method: equal sets are one class. The universe of shingles is cut into segments by hash, their number by
+    the size band of the smaller set; linked sets differ in fewer elements than there are segments, so one segment is
+    equal. Segments are indexed by signatures, the first few with each element left out as well. A set pays for its
+    empty and crowded segments out of what that leaves spare. Candidates that share a bucket are verified
+    on their shingles, if sizes and parity sketches do not rule them out: first each member against the
+    bucket's smallest, then, where a bucket still holds several components, all pairs from different ones. Crowded buckets are left out of the second step except
+    among sets that have nothing spare: a pair either of whose sets can spare its crowded buckets has met elsewhere.
+    So no link between components is lost, and pairs within a component are not made.
+
+    Returns `doc_id, n_shingles, component_id`, one row per row of `docs`: the set's size and the smallest id
+    that links lead to. Words are separated by blanks, A-Z is lower-cased. Texts of fewer words than a shingle are
+    one shingle; NULL and empty texts have none and no links. Rows with a NULL id have no component and link
+    nothing; rows that repeat an id are each in the component of their text. Shingles and sets are told apart by
+    64-bit hashes.
+    """
+    described, named = _components(docs.select(F.col(doc_id).alias("doc"), F.col(text).alias("text")), likeness)
+    named = named.select(F.col("class").alias("of"), F.col("doc").alias("least"))
+    out = described.join(named, (F.col("n") > 0) & (F.col("class") == F.col("of")), "left")
     return out.select(
         F.col("doc").alias(doc_id),
         F.col("n").alias("n_shingles"),
-        F.when(F.col("doc").isNotNull(), F.coalesce("label", "doc")).alias("component_id"),
+        F.when(F.col("doc").isNotNull(), F.coalesce("least", "doc")).alias("component_id"),
     )
 
 
@@ -368,8 +387,7 @@ def _later_pairs(
     shared: DataFrame, classes: DataFrame, in_bands: DataFrame, labels: DataFrame, likeness: Likeness
 ) -> DataFrame:
     """x, y: pairs from different components that share a bucket, as far as pigeonhole needs them."""
-    named = classes.join(labels.withColumnRenamed("node", "doc"), "doc", "left")
-    named = staged(named.select("class", F.coalesce("label", "doc").alias("label")), "named")
+    named = staged(_named(classes, labels).select("class", "label"), "named")
     bucket = Window.partitionBy("signature")
     open_ = (
         shared.join(named, "class")
@@ -416,38 +434,62 @@ def _later_pairs(
 
 
 def _links(given: DataFrame, classes: DataFrame, pairs: DataFrame, likeness: Likeness) -> DataFrame:
-    """a, b: ids of the classes of those pairs whose sets are alike."""
+    """a, b: those pairs of classes whose sets are alike."""
     pairs = staged(pairs, "pairs")
     wanted = pairs.select(F.explode(F.array("x", "y")).alias("class")).distinct()
     wanted = bounded(staged(wanted.join(classes, "class").select("class", "doc"), "wanted"))
     texts = given.join(wanted.select("doc"), "doc", "left_semi").select("text")
     # A repeated id may stand for another text as well: only sets that are wanted stay, one of each class.
     sets = texts.mapInArrow(_fetched(likeness), "class long, shingles binary")
-    sets = sets.join(wanted, "class").groupBy("class", "doc").agg(F.first("shingles").alias("shingles"))
+    sets = sets.join(wanted.select("class"), "class").groupBy("class").agg(F.first("shingles").alias("shingles"))
     sets = staged(sets, "sets")
-    left = sets.select(F.col("class").alias("x"), F.col("doc").alias("a"), F.col("shingles").alias("s"))
-    right = sets.select(F.col("class").alias("y"), F.col("doc").alias("b"), F.col("shingles").alias("t"))
-    both = pairs.join(left, "x").join(right, "y").select("a", "b", "s", "t")
+    left, right = sets.toDF("x", "s"), sets.toDF("y", "t")
+    both = pairs.join(left, "x").join(right, "y").select(F.col("x").alias("a"), F.col("y").alias("b"), "s", "t")
     return staged(both.mapInArrow(_verified(likeness), "a long, b long"), "verified")
 
 
+def _classed(likeness: Likeness, at: int):
+    """The class of the text in column `at`; None where it has no shingles."""
+
+    def work(batches):
+        for batch in batches:
+            name = [class_of(s) if len(s) else None for _, s in _shingle_sets(batch.column(at), likeness.shingle)]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(name, pa.int64())], names=[*batch.schema.names, "class"]
+            )
+
+    return work
+
+
 def remove_similar(
     docs: DataFrame, likeness: Likeness = Likeness(), *, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """`docs` with one row of each component, that of the smallest id; columns as they were.
+    """`docs` with one row of each component of texts, that of the smallest id; columns as they were.
 
-    Rows with a NULL id stay. Rows that repeat an id are one document, of which one row stays.
+    Rows are judged by their text, so an id that stands for several texts may lose one and keep another. Of rows that agree in id and
+    shingles one stays, and of unlike texts of one component under the smallest id one too. Rows with a NULL id, or without words, stay.
     """
-    found = similar_sets(docs, likeness, doc_id=doc_id, text=text)
-    gone = staged(
-        found.filter(F.col(doc_id) != F.col("component_id")).select(F.col(doc_id).alias("__gone")).distinct(), "gone"
-    )
-    kept = docs.join(bounded(gone), F.col(doc_id) == F.col("__gone"), "left_anti")
-    again = docs.filter(F.col(doc_id).isNotNull()).groupBy(F.col(doc_id).alias("__again")).count().filter("count > 1")
-    again = staged(again.select("__again"), "again")
-    if again.isEmpty():
-        return kept
-    again = bounded(again)
-    same = F.col(doc_id) == F.col("__again")
-    once = kept.join(again, same, "left_anti")
-    return once.unionByName(kept.join(again, same, "left_semi").dropDuplicates([doc_id]))
+    described, named = _components(docs.select(F.col(doc_id).alias("doc"), F.col(text).alias("text")), likeness)
+    rows = described.filter("n > 0 AND doc IS NOT NULL").groupBy("doc", "class").count()
+    rows = staged(rows.join(named.select("class", "label"), "class"), "rows")
+    chosen = rows.groupBy("label").agg(F.min(F.struct("doc", "class")).alias("kept"))
+    judged = rows.join(chosen, "label").withColumn("stays", F.struct("doc", "class") == F.col("kept"))
+    pairs = ["__doc", "__class"]
+    judged = staged(judged.select("doc", "class", "count", "stays").toDF(*pairs, "count", "stays"), "judged")
+    gone = bounded(staged(judged.filter("NOT stays").select(*pairs), "gone"))
+    again = staged(judged.filter("stays AND count > 1").select(*pairs), "again")
+
+    # By place, so that no column of the table can clash with those needed here.
+    places = [f"__{i}" for i in range(len(docs.columns))]
+    id_place = places[docs.columns.index(doc_id)]
+    classed = mapped(docs, _classed(likeness, docs.columns.index(text)), _CLASS_COLUMN).toDF(*places, "__own")
+    same = (F.col(id_place) == F.col("__doc")) & (F.col("__own") == F.col("__class"))
+    kept = classed.join(gone, same, "left_anti")
+    if not again.isEmpty():
+        again = bounded(again)
+        once = kept.join(again, same, "left_semi").dropDuplicates([id_place, "__own"])
+        kept = kept.join(again, same, "left_anti").unionByName(once)
+    return kept.select(*places).toDF(*docs.columns)
+
+
+_CLASS_COLUMN = StructType([StructField("class", LongType())])

@@ -103,6 +103,37 @@ def test_copies_keep_one_row(llm, texts, long_text):
     assert jaccard.similar_sets(docs.limit(0)).count() == 0 == jaccard.remove_similar(docs.limit(0)).count()
 
 
+def thue_morse(n, a, b):
+    return "".join(a if bin(k).count("1") % 2 == 0 else b for k in range(n))
+
+
+def test_words_of_one_pattern_are_told_apart(texts):
+    words = [thue_morse(n, *pair) for n in (1024, 2048, 64) for pair in ("ab", "ba", "xy", "yx")]
+    words += ["a" * n for n in range(1, 40)] + ["abcdefgh" * n for n in (1, 2, 3)] + ["abcdefg", "bacdefgh", "abcdefgh\0"]
+    rows = list(enumerate(words))
+    assert similar(texts(*rows)) == {k: (1, k) for k, _ in rows}
+
+
+def test_removal_judges_rows_by_their_text(texts):
+    a, b, c = "a b c d e f", "one two three four five six", "g h i j k l"
+    docs = texts((1, a), (5, a), (5, b), (6, c), (6, c), (7, b + " seven"), (7, c), (8, None), (8, None))
+    kept = jaccard.remove_similar(docs, jaccard.Likeness(shingle=5, least=80)).collect()
+    assert sorted((r.doc_id, r.text) for r in kept if r.text) == [(1, a), (5, b), (6, c), (7, b + " seven")]
+    assert sum(r.text is None for r in kept) == 2
+    # A hot text under one id and under many, beside unlike texts of the same ids.
+    many = [(k % 40, a if k % 3 else f"own {k} words that no other row has") for k in range(240)]
+    kept = jaccard.remove_similar(texts(*many).repartition(5)).collect()
+    assert sorted(r.text for r in kept) == sorted([a, *[t for _, t in many if t != a]])
+
+
+def test_copies_are_indexed_once_a_task(texts):
+    rows = [(k, "the same text of some ten words in each of them") for k in range(300)]
+    index = texts(*rows).repartition(3).select("text").mapInArrow(
+        jaccard._indexed(jaccard.Likeness(shingle=2)), "signature long, class long, tag long"
+    )
+    assert index.groupBy("signature").count().agg(F.max("count")).first()[0] <= 3
+
+
 def test_components_of_long_chains_and_stars(llm):
     links = [(k, k + 1) for k in range(1, 300)] + [(1000, k) for k in range(1001, 1100)] + [(2000, 1999), (2000, 1999), (5000, 5000)]
     got = {r.node: r.label for r in components(llm.createDataFrame(links, "a long, b long")).collect()}
