@@ -1,7 +1,10 @@
-"""Language-model scoring: a weighted backoff model over all n-grams counted in the corpus."""
+"""Language-model scoring: a weighted backoff automaton over all n-grams counted in the corpus."""
 
 from __future__ import annotations
 
+import math
+import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -10,254 +13,277 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarrymill.llm.bytewords import NOT_BLANK, mix, slices
-from quarrymill.llm.common import bounded, staged
-from quarrymill.operators.skew import own_shuffle
+from quarrymill.llm.common import staged
+from quarrymill.llm.slabs import kept_slabs, slabs_of
 
 # The token after the last word of a text.
 END = np.uint64(0x3C2F733E)
-# Marks what stands in for the words before a text.
-_BEFORE = np.uint64(0x3C733E)
-# Partial counts held by a task before equal keys are added up.
-_MOST_PENDING = 2_000_000
 
 
 @dataclass(frozen=True)
 class Parameters:
-    """The model's order, and how few of an n-gram's occurrences make it part of the model.
+    """`prior` is how many occurrences a history lends to what the shorter one predicts.
 
-    All words and n-grams of the training texts are part of it. A caller may ask for a smaller model: then a word must
-    make up at least `word_share` of all training tokens and a longer n-gram the larger of both shares, and what is
-    rarer backs off. Counts and `base_score` cover all words in any case.
+    Texts are walked `segment` tokens at a time, many side by side. `slab_bytes` of text are counted and walked together, and a task adds up counts of
+    about `part_keys` n-grams. The model holds every n-gram of up to three words of the training texts.
     """
 
-    order: int = 3
-    word_share: float = 0.0
-    ngram_share: float = 0.0
-    discount: float = 0.5
+    prior: float = 30.0
+    segment: int = 256
+    slab_bytes: int = 8 << 20
+    part_keys: int = 1_000_000
 
 
-def _tokens(texts: pa.Array):
-    """(first, last, tokens, bounds) of consecutive rows: word hashes with END after each text."""
-    for first, last, words in slices(texts, NOT_BLANK):
-        tokens = np.insert(words.hashes, words.bounds[1:], END)
-        yield first, last, tokens, words.bounds + np.arange(last - first + 1)
+# --- n-grams of a slab ------------------------------------------------------------------------
 
 
-def paired(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Spark's xxhash64(a, b) of two long columns."""
-    one, two, three, four, five = map(
-        np.uint64, (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5)
-    )
-
-    def turned(x, bits):
-        return (x << np.uint64(bits)) | (x >> np.uint64(64 - bits))
-
-    out = np.full(len(a), 42, np.uint64)
-    for x in (a, b):
-        out = out + five + np.uint64(8)
-        out = turned(out ^ (turned(x * two, 31) * one), 27) * one + four
-        out = (out ^ (out >> np.uint64(33))) * two
-        out = (out ^ (out >> np.uint64(29))) * three
-        out = out ^ (out >> np.uint64(32))
-    return out
+def _paired(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of two, in this order."""
+    return mix(mix(a + np.uint64(0x9E3779B97F4A7C15)) + b)
 
 
-def grams(tokens: np.ndarray, bounds: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(key, history, shorter, whole) of the n-gram of `size` words that ends at each token.
+class Grams:
+    """Tokens of some texts and their n-grams of one, two and three words.
 
-    `history` is the key of it without its last word, `shorter` of it without its first word; a single word has
-    neither. Before a text's first word stands something that is no word; n-grams with it are not `whole`.
-    """
-    place = np.arange(len(tokens)) - np.repeat(bounds[:-1], np.diff(bounds))
-    first = place == 0
-    key, history, shorter = tokens, tokens, tokens
-    for _ in range(1, size):
-        shorter, history = key, np.roll(key, 1)
-        history[first] = mix(key[first] ^ _BEFORE)
-        key = paired(history, shorter)
-    return key, history, shorter, place >= size - 1
-
-
-class _Counter:
-    """Training counts of n-grams by key, added up whenever many have gathered."""
-
-    def __init__(self):
-        self.parts, self.pending = [], 0
-
-    def add(self, key: np.ndarray, history: np.ndarray, shorter: np.ndarray, n: np.ndarray) -> None:
-        key, first, at = np.unique(key, return_index=True, return_inverse=True)
-        self.parts.append((key, history[first], shorter[first], np.bincount(at, n, len(key)).astype(np.int64)))
-        self.pending += len(key)
-
-    def full(self) -> bool:
-        return self.pending >= _MOST_PENDING
-
-    def batches(self):
-        if self.parts:
-            parts = [np.concatenate(part) for part in zip(*self.parts)]
-            self.__init__()
-            self.add(*parts)
-            _, *columns = self.parts[0]
-            self.__init__()
-            for at in range(0, len(columns[0]), 50_000):
-                part = slice(at, at + 50_000)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(column[part].view(np.int64)) for column in columns], names=["history", "shorter", "c"]
-                )
-
-
-def _counted(docs: DataFrame, size: int) -> DataFrame:
-    """history, shorter, c: all n-grams of all texts and how often each comes in training texts.
-
-    Tasks add up before they shuffle.
+    `keys[n]` are the distinct hashes, ascending. `at[n]` says for every token which of them ends there, -1 where the text has
+    too few words before it.
     """
 
-    def count(batches):
-        counter = _Counter()
-        for batch in batches:
-            taught = batch.column(1).to_numpy(zero_copy_only=False)
-            for first, last, tokens, bounds in _tokens(batch.column(0)):
-                key, history, shorter, whole = grams(tokens, bounds, size)
-                counter.add(key, history, shorter, whole & np.repeat(taught[first:last], np.diff(bounds)))
-                if counter.full():
-                    yield from counter.batches()
-        yield from counter.batches()
+    def __init__(self, texts: pa.Array):
+        tokens, bounds = [], [0]
+        for _, _, words in slices(texts, NOT_BLANK):
+            tokens.append(np.insert(words.hashes, words.bounds[1:], END))
+            bounds += (bounds[-1] + words.bounds[1:] + np.arange(1, len(words.bounds))).tolist()
+        self.tokens = np.concatenate(tokens) if tokens else np.zeros(0, np.uint64)
+        self.bounds = np.array(bounds)
+        place = np.arange(len(self.tokens)) - np.repeat(self.bounds[:-1], np.diff(self.bounds))
+        self.place = place
+        two = np.zeros_like(self.tokens)
+        two[1:] = _paired(self.tokens[:-1], self.tokens[1:])
+        three = np.zeros_like(self.tokens)
+        three[2:] = _paired(two[1:-1], self.tokens[2:])
+        self.keys, self.at = [], []
+        for n, key in enumerate((self.tokens, two, three)):
+            whole = np.flatnonzero(place >= n)
+            keys, at = np.unique(key[whole], return_inverse=True)
+            own = np.full(len(key), -1, np.int64)
+            own[whole] = at
+            self.keys.append(keys)
+            self.at.append(own)
+
+
+# --- counts -----------------------------------------------------------------------------------
+
+
+def pack_sorted(keys: np.ndarray) -> bytes:
+    """Ascending 64-bit numbers as their differences, in as many bytes as the largest one needs."""
+    if not len(keys):
+        return b""
+    gaps = np.diff(keys, prepend=np.uint64(0))
+    width = max(1, (int(gaps.max()).bit_length() + 7) // 8)
+    raw = np.ascontiguousarray(gaps.astype("<u8")).view(np.uint8).reshape(-1, 8)[:, :width]
+    return bytes([width]) + np.ascontiguousarray(raw).tobytes()
+
+
+def unpack_sorted(blob: bytes) -> np.ndarray:
+    if not blob:
+        return np.zeros(0, np.uint64)
+    raw = np.frombuffer(blob, np.uint8)
+    width = int(raw[0])
+    out = np.zeros(((len(raw) - 1) // width, 8), np.uint8)
+    out[:, :width] = raw[1:].reshape(-1, width)
+    return np.cumsum(out.view("<u8").ravel(), dtype=np.uint64)
+
+
+def pack_counts(counts: np.ndarray) -> bytes:
+    kind = next(k for k in ("<u1", "<u2", "<u4", "<u8") if int(counts.max(initial=0)) <= np.iinfo(k).max)
+    return kind[1:].encode() + zlib.compress(counts.astype(kind).tobytes(), 1)
+
+
+def unpack_counts(blob: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(blob[2:]), "<" + blob[:2].decode()).astype(np.int64)
+
+
+def _named(batches: Iterator[pa.RecordBatch], parts: int):
+    """size, part, slab, keys, counts: the distinct n-grams of each slab by ranges of their keys, and how often training texts have them."""
+    width = -(-(1 << 64) // parts)
+    starts = np.array([min(k * width, (1 << 64) - 1) for k in range(parts)], np.uint64)
+    for batch in batches:
+        for row in range(batch.num_rows):
+            grams = Grams(batch.column("texts")[row].values)
+            taught = np.asarray(batch.column("taughts")[row].values.fill_null(False))
+            of_token = np.repeat(taught, np.diff(grams.bounds))
+            out: dict[str, list] = {"size": [], "part": [], "keys": [], "counts": []}
+            for n, (keys, at) in enumerate(zip(grams.keys, grams.at)):
+                own = at[(at >= 0) & of_token]
+                counts = np.bincount(own, minlength=len(keys))
+                cuts = [*np.searchsorted(keys, starts).tolist(), len(keys)]
+                for part, (low, high) in enumerate(zip(cuts, cuts[1:])):
+                    if low < high:
+                        out["size"].append(n + 1)
+                        out["part"].append(part)
+                        out["keys"].append(pack_sorted(keys[low:high]))
+                        out["counts"].append(pack_counts(counts[low:high]))
+            rows = len(out["size"])
+            yield pa.record_batch(
+                [
+                    pa.array(out["size"], pa.int32()),
+                    pa.array(out["part"], pa.int32()),
+                    pa.array([batch.column("slab")[row].as_py()] * rows, pa.int64()),
+                    pa.array(out["keys"], pa.binary()),
+                    pa.array(out["counts"], pa.binary()),
+                ],
+                names=["size", "part", "slab", "keys", "counts"],
+            )
 
-    found = docs.select("text", "taught").mapInArrow(count, "history long, shorter long, c long")
-    return found.groupBy("history", "shorter").agg(F.sum("c").alias("c"))
 
+def _added(table: pa.Table) -> pa.Table:
+    """The corpus's count of every key of every slab, in the order of the slab's keys; on one row, all counts and how many are not 0."""
+    slabs = table.column("slab").to_pylist()
+    keys = [unpack_sorted(blob) for blob in table.column("keys").to_pylist()]
+    counts = np.concatenate([unpack_counts(blob) for blob in table.column("counts").to_pylist()])
+    distinct, at = np.unique(np.concatenate(keys), return_inverse=True)
+    # Bounded by the tokens of the corpus, so doubles hold the sums exactly.
+    total = np.bincount(at, counts, len(distinct)).astype(np.int64)
+    ends = np.cumsum([0, *map(len, keys)])
+    first = [1] + [0] * (len(slabs) - 1)
+    return pa.table(
+        {
+            "size": table.column("size"),
+            "part": table.column("part"),
+            "slab": table.column("slab"),
+            "counts": pa.array([pack_counts(total[at[a:b]]) for a, b in zip(ends, ends[1:])], pa.binary()),
+            "all": pa.array([int(total.sum()) * f for f in first], pa.int64()),
+            "known": pa.array([int((total > 0).sum()) * f for f in first], pa.int64()),
+        }
+    )
 
-@dataclass(frozen=True)
-class Levels:
-    """words: hashes of the words with an id. ngrams[k]: keys of the kept n-grams of k + 2 words.
 
-    A key is the position of the n-gram without its last word, times the number of words, plus the last word's id.
-    """
+# --- the automaton ----------------------------------------------------------------------------
 
-    words: np.ndarray
-    word_counts: np.ndarray
-    ngrams: list[np.ndarray]
-    ngram_counts: list[np.ndarray]
 
-
-@dataclass(frozen=True)
 class Automaton:
-    """States are n-grams that something may follow; state 0 is the empty one.
-
-    arcs: state * words + word, the state after it and log10 of the word's probability. A state without an
-    arc for a word has its failure arc: `fail` is the state of the longest shorter n-gram and `backoff` log10 of its
-    weight. At state 0 every word has an arc.
-    """
-
-    words: np.ndarray
-    arc_key: np.ndarray
-    arc_to: np.ndarray
-    arc_log: np.ndarray
-    fail: list[int]
-    backoff: list[float]
-    unigram: np.ndarray
-
-    def stepper(self):
-        """A function (state, word) -> (state, log10 probability) along failure arcs, remembering what it found."""
-        arcs = dict(zip(self.arc_key.tolist(), zip(self.arc_to.tolist(), self.arc_log.tolist())))
-        size, fail, backoff, unigram = len(self.words), self.fail, self.backoff, self.unigram.tolist()
-
-        def step(state: int, word: int) -> tuple[int, float]:
-            weight = 0.0
-            while (found := arcs.get(state * size + word)) is None:
-                if state == 0:
-                    return 0, weight + unigram[word]
-                weight += backoff[state]
-                state = fail[state]
-            return found[0], weight + found[1]
-
-        return step
-
-
-def automaton(levels: Levels, total: int, distinct: int, p: Parameters) -> Automaton:
-    """The model of a small corpus in one process: states, arcs and failure arcs, shorter n-grams first.
+    """The part of the model that some texts can reach: states are histories that the corpus has, 0 the empty one.
 
-    `score` computes the same probabilities as tables.
+    An arc leads from a state by a word to the longest known history that then holds, and weighs log10 of the word's probability. A state without an
+    arc for a word has its failure arc to the history without its first word, which weighs `backoff`. At state 0 every word has an arc.
 
-    Words have add-one probabilities. A longer n-gram has its count less the discount over its history's count,
-    and what that leaves goes to the shorter history, scaled so that each history's probabilities sum to 1.
+    A word has an add-one probability. After a history, it has its count there, and `prior` times its probability after the
+    shorter history, over the history's count and `prior`; so a history's probabilities sum to 1, and a word that never followed it has
+    the shorter history's probability times prior / (count + prior).
     """
-    size = len(levels.words)
-    unigram = (levels.word_counts + 1) / (total + distinct + 1)
-    histories = [np.unique(k // size) if size else k for k in levels.ngrams]
-    # State numbers of n-grams by their length; those that nothing follows are none.
-    state_of: list[dict[int, int]] = []
-    count = 1
-    for at in histories:
-        state_of.append({int(h): count + i for i, h in enumerate(at)})
-        count += len(at)
-    state_of.append({})
-    fail, backoff = [0] * count, [0.0] * count
-    arcs: dict[int, tuple[int, float]] = {}
-    for word, state in (state_of[0] if state_of else {}).items():
-        arcs[word] = (state, float(unigram[word]))
-
-    def probability(state: int, word: int) -> tuple[int, float]:
-        weight = 1.0
-        while (found := arcs.get(state * size + word)) is None:
-            if state == 0:
-                return 0, weight * float(unigram[word])
-            weight *= 10 ** backoff[state]
-            state = fail[state]
-        return found[0], weight * found[1]
-
-    for level, keys in enumerate(levels.ngrams):
-        before = levels.word_counts if level == 0 else levels.ngram_counts[level - 1]
-        # Where a history's failure arc goes is where the shorter history went with its last word.
-        if level:
-            for position, state in state_of[level].items():
-                key = int(levels.ngrams[level - 1][position])
-                fail[state] = probability(fail[state_of[level - 1][key // size]], key % size)[0]
-        own = []
-        taken: dict[int, list[float]] = {}
-        for position, key in enumerate(keys.tolist()):
-            history, word = divmod(key, size)
-            state = state_of[level][history]
-            next_state, lower = probability(fail[state], word)
-            p_word = (float(levels.ngram_counts[level][position]) - p.discount) / float(before[history])
-            own.append((state * size + word, state_of[level + 1].get(position, next_state), p_word))
-            sums = taken.setdefault(state, [0.0, 0.0])
-            sums[0] += p_word
-            sums[1] += lower
-        arcs.update({key: (to, p_word) for key, to, p_word in own})
-        for state, (given, lower) in taken.items():
-            backoff[state] = float(np.log10(max(1 - given, 1e-12) / max(1 - lower, 1e-12)))
-    key = np.fromiter(arcs, np.int64, len(arcs))
-    to = np.array([a[0] for a in arcs.values()], np.int64)
-    log = np.log10(np.array([a[1] for a in arcs.values()], float))
-    return Automaton(levels.words, key, to, log, fail, backoff, np.log10(unigram))
-
-
-def _longer(shorter: DataFrame, found: DataFrame, least: float, p: Parameters) -> DataFrame:
-    """key, log, base, known of n-grams one word longer than those of `shorter`.
-
-    An n-gram of the model has its count less the discount over its history's count. Another has what its history
-    leaves over, which goes to the shorter n-gram, scaled so that each history's probabilities sum to 1.
-    """
-    rows = staged(found.join(bounded(shorter.withColumnRenamed("key", "shorter")), "shorter"), "ngrams")
-    kept, counted = F.col("c") >= least, rows.filter("c > 0")
-    sums = counted.groupBy("history").agg(
-        F.sum("c").cast("double").alias("of_history"),
-        F.sum(F.when(kept, F.col("c") - p.discount)).alias("given"),
-        F.sum(F.when(kept, F.pow(F.lit(10.0), "log"))).alias("lower"),
-    )
-    least_left = F.lit(1e-12)
-    backoff = F.log10(
-        F.greatest(1 - F.col("given") / F.col("of_history"), least_left) / F.greatest(1 - F.col("lower"), least_left)
-    )
-    sums = own_shuffle(sums.select("history", "of_history", F.coalesce(backoff, F.lit(0.0)).alias("backoff")), "history")
-    own = F.log10((F.col("c") - p.discount) / F.col("of_history"))
-    return rows.join(sums, "history", "left").select(
-        F.xxhash64("history", "shorter").alias("key"),
-        F.when(kept, own).otherwise(F.coalesce("backoff", F.lit(0.0)) + F.col("log")).alias("log"),
-        "base",
-        "known",
-    )
+
+    def __init__(self, grams: Grams, counts: list[np.ndarray], total: int, distinct: int, p: Parameters):
+        one, two, three = counts
+        self.words = len(one)
+        # An n-gram's last word, and where in the tokens it is found.
+        first = [np.zeros(len(c), np.int64) for c in counts]
+        for n, at in enumerate(grams.at):
+            found = np.flatnonzero(at >= 0)
+            first[n][at[found]] = found
+        ends = grams.keys[0] == END
+        word_of_two, prefix_of_two = grams.at[0][first[1]], grams.at[0][first[1] - 1]
+        word_of_three, prefix_of_three, suffix_of_three = grams.at[0][first[2]], grams.at[1][first[2] - 1], grams.at[1][first[2]]
+
+        # State numbers: words, then pairs of words.
+        state_of_word = np.where((one > 0) & ~ends, np.cumsum((one > 0) & ~ends), 0)
+        many = int(state_of_word.max(initial=0))
+        open_pair = (two > 0) & ~ends[word_of_two] if len(two) else np.zeros(0, bool)
+        state_of_pair = np.where(open_pair, many + np.cumsum(open_pair), 0)
+        states = many + int(open_pair.sum()) + 1
+        self.fail = np.zeros(states, np.int64)
+        lends = np.zeros(states)
+        lends[state_of_word] = np.log10(p.prior / (one + p.prior))
+        self.fail[state_of_pair[open_pair]] = state_of_word[word_of_two[open_pair]]
+        lends[state_of_pair[open_pair]] = np.log10(p.prior / (two[open_pair] + p.prior))
+        lends[0] = 0.0
+        self.backoff = lends
+
+        unigram = (one + 1.0) / (total + distinct + 1.0)
+        self.unigram, self.after_word = np.log10(unigram), state_of_word
+        bigram = (two + p.prior * unigram[word_of_two]) / (one[prefix_of_two] + p.prior)
+        trigram = (three + p.prior * bigram[suffix_of_three]) / (two[prefix_of_three] + p.prior)
+        seen_two, seen_three = np.flatnonzero(two > 0), np.flatnonzero(three > 0)
+        key = np.concatenate(
+            (
+                state_of_word[prefix_of_two[seen_two]] * self.words + word_of_two[seen_two],
+                state_of_pair[prefix_of_three[seen_three]] * self.words + word_of_three[seen_three],
+            )
+        )
+        leads_to = np.concatenate((state_of_pair[seen_two], state_of_pair[suffix_of_three[seen_three]]))
+        weight = np.log10(np.concatenate((bigram[seen_two], trigram[seen_three])))
+        order = np.argsort(key, kind="stable")
+        self.arc, self.leads_to, self.weight = key[order], leads_to[order], weight[order]
+
+    def step(self, state: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The states after one word each, and log10 of its probability, along failure arcs where there is no other."""
+        total, after = np.zeros(len(state)), np.zeros(len(state), np.int64)
+        left, now = np.arange(len(state)), state
+        while len(left):
+            empty = now == 0
+            if empty.any():
+                done = left[empty]
+                total[done] += self.unigram[word[done]]
+                after[done] = self.after_word[word[done]]
+                left, now = left[~empty], now[~empty]
+            sought = now * self.words + word[left]
+            at = np.minimum(np.searchsorted(self.arc, sought), len(self.arc) - 1)
+            found = self.arc[at] == sought if len(self.arc) else np.zeros(len(left), bool)
+            total[left[found]] += self.weight[at[found]]
+            after[left[found]] = self.leads_to[at[found]]
+            left, now = left[~found], now[~found]
+            total[left] += self.backoff[now]
+            now = self.fail[now]
+        return after, total
+
+    def walk(self, words: np.ndarray, bounds: np.ndarray, segment: int) -> np.ndarray:
+        """log10 probability of each text, read from left to right.
+
+        A long text is read as several segments side by side: two words, the longest history, fix the state, so a segment begins
+        with the two words before it, which it does not weigh.
+        """
+        sizes = np.diff(bounds)
+        parts = -(-sizes // segment)
+        text = np.repeat(np.arange(len(sizes)), parts)
+        nth = np.arange(len(text)) - np.repeat(np.cumsum(parts) - parts, parts)
+        start = bounds[:-1][text] + nth * segment
+        lead = np.minimum(nth * segment, 2)
+        length = np.minimum(segment, sizes[text] - nth * segment) + lead
+        order = np.argsort(-length, kind="stable")
+        text, start, lead, length = text[order], start[order] - lead[order], lead[order], length[order]
+        state, score = np.zeros(len(text), np.int64), np.zeros(len(text))
+        for at in range(int(length.max(initial=0))):
+            going = int(np.searchsorted(-length, -at, side="left"))
+            state, weight = self.step(state[:going], words[start[:going] + at])
+            score[:going] += np.where(at >= lead[:going], weight, 0.0)
+        return np.bincount(text, score, len(sizes))
+
+
+def _walked(batches: Iterator[pa.RecordBatch], total: int, distinct: int, p: Parameters):
+    for batch in batches:
+        for row in range(batch.num_rows):
+            grams = Grams(batch.column("texts")[row].values)
+            given = sorted(batch.column("found")[row].as_py(), key=lambda r: (r["size"], r["part"]))
+            counts = [
+                np.concatenate([unpack_counts(r["counts"]) for r in given if r["size"] == n] or [np.zeros(0, np.int64)])
+                for n in (1, 2, 3)
+            ]
+            model = Automaton(grams, counts, total, distinct, p)
+            words = grams.at[0]
+            score = model.walk(words, grams.bounds, p.segment)
+            sizes = np.diff(grams.bounds)
+            text = np.repeat(np.arange(len(sizes)), sizes)
+            yield pa.record_batch(
+                [
+                    batch.column("docs")[row].values,
+                    pa.array(sizes),
+                    pa.array(np.bincount(text, counts[0][words] > 0, len(sizes)).astype(np.int64)),
+                    pa.array(np.full(len(sizes), total, np.int64)),
+                    pa.array(np.bincount(text, model.unigram[words], len(sizes))),
+                    pa.array(score),
+                ],
+                names=["doc", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
+            )
 
 
 def score(
@@ -270,63 +296,37 @@ def score(
 ) -> DataFrame:
     """log10 probabilities of all whole texts under a model of the texts for which `training` holds.
 
-    The method: n-grams of all texts are tables, order by order, with their counts in the training texts. Words have
-    add-one probabilities; each longer n-gram's comes from its count and its history's or, if it is not in the model, by
-    failure to the n-gram one word shorter. A token's probability is that of the longest n-gram that ends at it, so
-    each text's distinct n-grams are looked up by a join and summed by text. Nothing is gathered on the driver but two
-    totals, and no table is cut.
+    The method: the n-grams of each slab of texts are sent by their keys, with their counts in its training texts, to the tasks that add
+    them up, and the corpus's counts of the same n-grams come back to the slab. That is all of the model that its texts can
+    reach: it becomes an automaton of states, arcs and failure arcs (`Automaton`), and one traversal of every text from left
+    to right carries the state and adds up weights. A frequent n-gram is one key per slab, keys are spread evenly by hash, and the
+    driver sees two totals.
 
     Returns `doc_id, n_tokens, n_known, train_tokens, base_score, score`, one row per row of `docs`. NULL
     and empty texts are the end token alone. Words and n-grams are told apart by 64-bit hashes. Without training texts
     all counts are 0.
     """
-    taught = docs.select(
-        F.coalesce(F.col(text), F.lit("")).alias("text"), F.coalesce(training, F.lit(False)).alias("taught")
+    rows = docs.select(
+        F.col(doc_id).alias("doc"), F.coalesce(training, F.lit(False)).alias("taught"), F.coalesce(F.col(text), F.lit("")).alias("text")
     )
-    words = staged(_counted(taught, 1).select(F.col("shorter").alias("key"), "c"), "words")
-    total, distinct = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.when(F.col("c") > 0, 1))).first()
-    log = F.log10((F.col("c") + 1) / F.lit(float(total + distinct + 1)))
-    model = staged(words.select("key", log.alias("log"), log.alias("base"), (F.col("c") > 0).alias("known")), "level")
-    least = max(1.0, p.word_share * total, p.ngram_share * total)
-    for size in range(2, p.order + 1):
-        model = _longer(model, _counted(taught, size), least, p)
-        if size < p.order:
-            model = staged(model, "level")
-
-    listed = docs.select(
-        F.monotonically_increasing_id().alias("row"), F.col(doc_id).alias("doc"), F.col(text).alias("text")
-    ).mapInArrow(lambda batches: _listed(batches, p.order), "row long, doc long, key long, n long")
-    return (
-        listed.join(model, "key")
-        .groupBy("row")
-        .agg(
-            F.max("doc").alias(doc_id),
-            F.sum("n").alias("n_tokens"),
-            F.sum(F.when(F.col("known"), F.col("n")).otherwise(0)).alias("n_known"),
-            F.lit(int(total)).cast("long").alias("train_tokens"),
-            F.sum(F.col("n") * F.col("base")).alias("base_score"),
-            F.sum(F.col("n") * F.col("log")).alias("score"),
-        )
-        .drop("row")
+    size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    slabs = kept_slabs(slabs_of(rows, p.slab_bytes), min(50_000, max(1, math.ceil(size / (2 * p.slab_bytes)))))
+    slabs = slabs.select("slab", "docs", "taughts", "texts")
+    # A word has some six bytes, and is the end of three n-grams.
+    parts = max(1, math.ceil(size / 2 / p.part_keys))
+    named = slabs.mapInArrow(
+        lambda batches: _named(batches, parts), "size int, part int, slab long, keys binary, counts binary"
     )
-
-
-def _listed(batches, order: int):
-    """row, doc, key, n: how often each text holds each n-gram of the model's order."""
-    for batch in batches:
-        for first, last, tokens, bounds in _tokens(batch.column(2)):
-            key = grams(tokens, bounds, order)[0]
-            owner = np.repeat(np.arange(first, last), np.diff(bounds))
-            by = np.lexsort((key, owner))
-            key, owner = key[by], owner[by]
-            begin = np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]) | (owner[1:] != owner[:-1]))))
-            at = pa.array(owner[begin])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0).take(at),
-                    batch.column(1).take(at),
-                    pa.array(key[begin].view(np.int64)),
-                    pa.array(np.diff(np.append(begin, len(key)))),
-                ],
-                names=["row", "doc", "key", "n"],
-            )
+    added = named.groupBy("size", "part").applyInArrow(
+        _added, "size int, part int, slab long, counts binary, all long, known long"
+    )
+    added = staged(added, "counts")
+    of_words = added.filter("size = 1").agg(F.coalesce(F.sum("all"), F.lit(0)), F.coalesce(F.sum("known"), F.lit(0)))
+    total, distinct = of_words.first()
+    found = added.groupBy("slab").agg(F.collect_list(F.struct("size", "part", "counts")).alias("found"))
+    kind = rows.schema["doc"].dataType.simpleString()
+    walked = slabs.join(found, "slab").mapInArrow(
+        lambda batches: _walked(batches, total, distinct, p),
+        f"doc {kind}, n_tokens long, n_known long, train_tokens long, base_score double, score double",
+    )
+    return walked.withColumnRenamed("doc", doc_id)

@@ -202,6 +202,49 @@ def op7_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_PRIOR = language_model.Parameters().prior
+_OP7_SQL = f"""
+WITH entry AS (
+  SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+                        lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v
+  FROM range(256) AS r(i)
+),
+entries AS (SELECT list(v ORDER BY i) AS e FROM entry),
+d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         list_reduce([4294967295] || list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda ch: ascii(ch)),
+                     lambda c, b: xor(c >> 8, e[(xor(c, b) & 255) + 1])) AS crc,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x20\x09-\x0D]+') || [' '] AS w
+  FROM documents, entries
+),
+t AS (
+  SELECT r, xor(crc, 4294967295) % 7 = 2 AS held_out, i, w[i] AS x,
+         CASE WHEN i > 1 THEN w[i - 1] END AS a, CASE WHEN i > 2 THEN w[i - 2] END AS b
+  FROM (SELECT *, unnest(range(1, len(w) + 1)) AS i FROM d)
+),
+one AS (SELECT x, count(*) AS n FROM t WHERE NOT held_out GROUP BY ALL),
+two AS (SELECT a, x, count(*) AS n FROM t WHERE NOT held_out AND a IS NOT NULL GROUP BY ALL),
+three AS (SELECT b, a, x, count(*) AS n FROM t WHERE NOT held_out AND b IS NOT NULL GROUP BY ALL),
+size AS (SELECT CAST(coalesce(sum(n), 0) AS BIGINT) AS tokens, count(*) AS words FROM one),
+c AS (
+  SELECT t.r, held_out, tokens, coalesce(o.n, 0) AS c1, coalesce(h.n, 0) AS h1, coalesce(w.n, 0) AS c2,
+         coalesce(g.n, 0) AS h2, coalesce(q.n, 0) AS c3, (coalesce(o.n, 0) + 1) / (tokens + words + 1) AS p1
+  FROM t CROSS JOIN size LEFT JOIN one AS o ON o.x = t.x LEFT JOIN one AS h ON h.x = t.a
+       LEFT JOIN two AS w ON w.a = t.a AND w.x = t.x LEFT JOIN two AS g ON g.a = t.b AND g.x = t.a
+       LEFT JOIN three AS q ON q.b = t.b AND q.a = t.a AND q.x = t.x
+),
+p AS (SELECT *, CASE WHEN h1 > 0 THEN (c2 + {_PRIOR} * p1) / (h1 + {_PRIOR}) ELSE p1 END AS p2 FROM c),
+s AS (
+  SELECT r, held_out, count(*) AS n_tokens, CAST(count(*) FILTER (c1 > 0) AS BIGINT) AS n_known,
+         max(tokens) AS train_tokens, sum(log10(p1)) AS base_score,
+         sum(log10(CASE WHEN h2 > 0 THEN (c3 + {_PRIOR} * p2) / (h2 + {_PRIOR}) ELSE p2 END)) AS score
+  FROM p GROUP BY r, held_out
+)
+SELECT doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score FROM d JOIN s USING (r)
+"""
+
+
 def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar_sets(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -321,6 +364,7 @@ CHECK_SQL: dict[str, str] = {
     "op1_decontamination": _OP1_SQL.strip(),
     "op2_chat": _OP2_SQL.strip(),
     "op6_warc": _OP6_SQL.strip(),
+    "op7_language_model": _OP7_SQL.strip(),
     "op8_jaccard": _OP8_SQL.strip(),
     "op11_suffix_dedup": _OP11_SQL.strip(),
     "op13_hard_negatives": _OP13_SQL.strip(),

@@ -4,18 +4,15 @@ from __future__ import annotations
 
 import hashlib
 import math
-import uuid
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarrymill.llm.bytewords import buffers
-from quarrymill.llm.common import shared_path, staged
+from quarrymill.llm.common import staged
+from quarrymill.llm.slabs import kept_slabs, slabs_of, texts_of
 from quarrymill.llm.suffix_groups import suffix_arrays
 
 
@@ -125,57 +122,11 @@ def pieces(data: np.ndarray, offsets: np.ndarray, p: Passages) -> tuple[np.ndarr
 # --- slabs ------------------------------------------------------------------------------------
 
 
-def _slabs(docs: DataFrame, doc_id: str, text: str, p: Passages) -> DataFrame:
-    """slab, bytes, ids, texts: the rows of the table dealt, where they lie, into groups of about `slab_bytes`."""
-    rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-
-    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task, number, held, size = TaskContext.get().partitionId(), 0, [], 0
-
-        def slab():
-            table = pa.Table.from_batches(held).combine_chunks()
-            n = table.num_rows
-            at = pa.array([0, n], pa.int32())
-            ids, texts = (pa.concat_arrays(c.chunks) for c in table.columns)
-            return pa.record_batch(
-                [
-                    pa.array([(task << 32) + number]),
-                    pa.array([size]),
-                    pa.ListArray.from_arrays(at, ids),
-                    pa.ListArray.from_arrays(at, texts),
-                ],
-                names=["slab", "bytes", "ids", "texts"],
-            )
-
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            held.append(batch)
-            _, offsets = buffers(batch.column(1))
-            size += int(offsets[-1] - offsets[0])
-            if size >= p.slab_bytes:
-                yield slab()
-                number, held, size = number + 1, [], 0
-        if held:
-            yield slab()
-
-    return rows.mapInArrow(dealt, "slab long, bytes long, ids array<long>, texts array<string>")
-
-
-def _kept(slabs: DataFrame, buckets: int) -> DataFrame:
-    """The slabs as a table in the shared folder that is bucketed by slab: joins by slab leave the texts where they are."""
-    spark, name = slabs.sparkSession, f"suffix_slabs_{uuid.uuid4().hex}"
-    writer = slabs.write.format("parquet").option("path", shared_path(spark, "slabs")).option("compression", "zstd")
-    writer.bucketBy(buckets, "slab").saveAsTable(name)
-    return spark.table(name)
-
-
 def _texts(batch: pa.RecordBatch, row: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """ids, whether each is an id, bytes and offsets of one slab."""
     ids = batch.column("ids")[row].values
-    data, offsets = buffers(batch.column("texts")[row].values)
     known = np.asarray(ids.is_valid())
-    return ids.fill_null(0).to_numpy(zero_copy_only=False), known, data, offsets.astype(np.int64)
+    return ids.fill_null(0).to_numpy(zero_copy_only=False), known, *texts_of(batch, row)
 
 
 # --- shared anchors ---------------------------------------------------------------------------
@@ -512,8 +463,7 @@ def _without(batches, with_texts: bool):
     for batch in batches:
         for row in range(batch.num_rows):
             ids = batch.column("ids")[row].values
-            data, offsets = buffers(batch.column("texts")[row].values)
-            offsets = offsets.astype(np.int64)
+            data, offsets = texts_of(batch, row)
             cuts = np.frombuffer(b"".join(batch.column("cuts")[row].as_py() or []), _CUT)
             cuts = cuts[np.lexsort((cuts["start"], cuts["text"]))]
             bounds = np.searchsorted(cuts["text"], np.arange(len(ids) + 1))
@@ -562,9 +512,9 @@ def remove_repeated(
     NULL text is empty; texts shorter than a passage lose nothing. Rows without an id lose nothing and take nothing from others, and rows with equal
     ids take nothing from each other, so that repeated rows stay alike. Other columns are left out; an empty table gives none.
     """
-    slabs = _slabs(docs, doc_id, text, p)
+    rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     total = docs.agg(F.sum(F.octet_length(F.col(text)))).first()[0] or 0
-    kept = _kept(slabs, min(50_000, max(1, math.ceil(total / (2 * p.slab_bytes)))))
+    kept = kept_slabs(slabs_of(rows, p.slab_bytes), min(50_000, max(1, math.ceil(total / (2 * p.slab_bytes)))))
     shared = staged(_shared(kept, max(1, math.ceil(total / p.part_bytes)), p), "shared-anchors")
     by_slab = shared.groupBy("slab").agg(F.collect_list("keys").alias("keys"), F.collect_list("hot").alias("hot"))
     cut = kept.select("slab", "ids", "texts").join(by_slab, "slab")

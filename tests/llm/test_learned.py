@@ -158,8 +158,8 @@ def test_unigrams_agree_with_brute_force(llm, texts, long_text):
     rows = [(k, " ".join(rng.choices("aA bB cc é É , the of and".split(), k=rng.choice([0, 1, 5, 60])))) for k in range(50)]
     rows += [(60, None), (61, ""), (62, long_text), (63, "\x00 a\x0bb \x1c")]
     expected = brute.unigram_scores(rows, lambda d: brute.crc(d) % 7 != 2)
-    for share in (0.0, 1e-3, 0.05, 1.0):
-        got = lm(texts(*rows), ~in_fold("doc_id", 7, 2), word_share=share, ngram_share=max(share, 1e-3))
+    for options in ({}, {"slab_bytes": 300, "part_keys": 40, "segment": 3}):
+        got = lm(texts(*rows), ~in_fold("doc_id", 7, 2), **options)
         assert len(got) == len(rows)
         for r in got:
             assert (r.n_tokens, r.n_known, r.train_tokens) == expected[r.doc_id][:3]
@@ -176,41 +176,58 @@ def test_repeated_and_missing_rows(llm, texts):
     assert all(r.n_known == 0 and r.train_tokens == 0 and r.base_score == 0 for r in untrained)
 
 
-def test_automaton_is_a_backoff_model():
-    """Every history's probabilities sum to 1, and a text's score is that of plain backoff over counted n-grams."""
-    rng = random.Random(9)
-    text = [rng.choice("abcd") if rng.random() < 0.7 else "a" for _ in range(400)]
-    order, p = 3, language_model.Parameters(ngram_share=0.0)
-    words = sorted(set(text))
-    ids = [words.index(w) for w in text]
-    grams = [[tuple(ids[i : i + n]) for i in range(len(ids) - n + 1)] for n in range(1, order + 1)]
-    kept = [sorted(set(g)) for g in grams]
-    count = {g: gs.count(g) for gs in grams for g in set(gs)}
-    size = len(words)
-    place = [{g: k for k, g in enumerate(level)} for level in kept]
-    keys = [np.array([place[n - 1][g[:-1]] * size + g[-1] for g in kept[n]]) for n in range(1, order)]
-    counts = [np.array([count[g] for g in kept[n]]) for n in range(1, order)]
-    one = np.array([count[g] for g in kept[0]])
-    model = language_model.automaton(
-        language_model.Levels(np.arange(size, dtype=np.uint64), one, keys, counts), len(ids), size, p
-    )
-    step = model.stepper()
+def counted(texts):
+    """Counts of the n-grams of up to three tokens, and the probabilities that follow from them."""
+    count = {}
+    for text in texts:
+        w = [*brute.words(text, brute.NOT_BLANK), brute.END]
+        for n in (1, 2, 3):
+            for i in range(len(w) - n + 1):
+                count[tuple(w[i : i + n])] = count.get(tuple(w[i : i + n]), 0) + 1
+    single = [c for g, c in count.items() if len(g) == 1]
+    total, distinct, prior = sum(single), len(single), language_model.Parameters().prior
 
+    @functools.cache
     def probability(history, w):
         if not history:
-            return (one[w] + 1) / (len(ids) + size + 1)
-        if (*history, w) in count:
-            return (count[(*history, w)] - p.discount) / count[history]
-        seen = [v for v in range(size) if (*history, v) in count]
-        left = 1 - sum(probability(history, v) for v in seen)
-        lower = 1 - sum(probability(history[1:], v) for v in seen)
-        return probability(history[1:], w) * max(left, 1e-12) / max(lower, 1e-12) if seen else probability(history[1:], w)
+            return (count.get((w,), 0) + 1) / (total + distinct + 1)
+        lower, of_history = probability(history[1:], w), count.get(history, 0)
+        return (count.get((*history, w), 0) + prior * lower) / (of_history + prior) if of_history else lower
+
+    return count, probability
 
-    state, history = 0, ()
-    for w in ids[:60] + [1, 1, 2, 2, 3, 3, 0, 2]:
-        new, log = step(state, w)
-        assert math.isclose(log, math.log10(probability(history, w)), rel_tol=1e-9, abs_tol=1e-9)
-        state, history = new, (*history, w)[-(order - 1) :]
+
+def test_the_automaton_is_a_backoff_model():
+    """Every history's probabilities sum to 1, and each step's weight is that of the longest known history."""
+    rng = random.Random(9)
+    taught = [" ".join(rng.choice("abcd") if rng.random() < 0.7 else "a" for _ in range(40)) for _ in range(9)]
+    others = ["a b c d zz a a b", "zz yy", "", "d c b a " * 9]
+    count, probability = counted(taught)
+    vocabulary = [*"abcd", brute.END]
+    for history in [("a",), ("b", "a"), ("c", "d")]:
+        assert math.isclose(sum(probability(history, w) for w in vocabulary) + probability(history, "never"), 1, rel_tol=1e-3)
+    grams = language_model.Grams(pa.array([*taught, *others]))
+    of_token = np.repeat(np.arange(len(grams.bounds) - 1) < len(taught), np.diff(grams.bounds))
+    counts = [np.bincount(at[(at >= 0) & of_token], minlength=len(k)) for k, at in zip(grams.keys, grams.at)]
+    single = [c for g, c in count.items() if len(g) == 1]
+    model = language_model.Automaton(grams, counts, sum(single), len(single), language_model.Parameters())
+    assert (model.fail[1:] < np.arange(1, len(model.fail))).all() and (model.backoff[1:] < 0).all()
+    state = np.zeros(1, np.int64)
+    for k, text in enumerate([*taught, *others]):
+        w, state = [*brute.words(text, brute.NOT_BLANK), brute.END], np.zeros(1, np.int64)
+        for i, x in enumerate(w):
+            state, weight = model.step(state, grams.at[0][grams.bounds[k] + i : grams.bounds[k] + i + 1])
+            assert math.isclose(weight[0], math.log10(probability(tuple(w[max(0, i - 2) : i]), x)), rel_tol=1e-9)
+    whole = model.walk(grams.at[0], grams.bounds, 10_000)
+    assert np.allclose(model.walk(grams.at[0], grams.bounds, 4), whole, rtol=1e-12)
+
+
+def test_packed_numbers_come_back():
+    rng = np.random.default_rng(0)
+    for keys in (np.zeros(0, np.uint64), np.array([0, 1, 2**64 - 1], np.uint64), np.unique(rng.integers(0, 2**63, 5000).astype(np.uint64))):
+        assert (language_model.unpack_sorted(language_model.pack_sorted(keys)) == keys).all()
+    for counts in (np.zeros(0, np.int64), np.array([0, 255]), np.array([7, 256]), np.array([2**40, 0])):
+        assert (language_model.unpack_counts(language_model.pack_counts(counts)) == counts).all()
 
 
 def test_model_beats_single_words_on_held_out_texts(llm):
@@ -218,52 +235,15 @@ def test_model_beats_single_words_on_held_out_texts(llm):
     assert got[0] > got[1]
 
 
-def test_keys_are_those_of_spark(llm):
-    a, b = np.array([0, 1, -5, 2**62, -(2**63)]), np.array([7, -1, 3, 2**63 - 1, 0])
-    rows = llm.createDataFrame([*zip(a.tolist(), b.tolist())], "a long, b long").select("a", "b", F.xxhash64("a", "b"))
-    got = language_model.paired(a.view(np.uint64), b.view(np.uint64)).view(np.int64).tolist()
-    assert {(r[0], r[1]): r[2] for r in rows.collect()} == dict(zip(zip(a.tolist(), b.tolist()), got))
-
-
 def test_rare_ngrams_of_a_large_corpus_are_in_the_model(llm, texts):
-    """At production parameters, on more training tokens than any share of them would keep rare n-grams of."""
     rng = random.Random(12)
     rows = [(k, " ".join(rng.choices("abcdefghij", k=6_000))) for k in range(60)]
     rows += [(100, "x y z"), (101, "x y a"), (102, "y z"), (103, "n y z o"), (104, None), (105, "x y z")]
     taught = {k for k, _ in rows if k not in (3, 101, 102, 103)}
-    count = [{}, {}, {}, {}]
-    for k, text in rows:
-        if k in taught:
-            w = [*brute.words(text, brute.NOT_BLANK), brute.END]
-            for n in (1, 2, 3):
-                for i in range(len(w) - n + 1):
-                    g = tuple(w[i : i + n])
-                    count[n][g] = count[n].get(g, 0) + 1
-    total, distinct = sum(count[1].values()), len(count[1])
-    follows = {}
-    for n in (2, 3):
-        for g in count[n]:
-            follows.setdefault(g[:-1], []).append(g[-1])
-
-    @functools.cache
-    def probability(history, w):
-        if not history:
-            return (count[1].get((w,), 0) + 1) / (total + distinct + 1)
-        lower = probability(history[1:], w)
-        if history not in follows:
-            return lower
-        if (*history, w) in count[len(history) + 1]:
-            return (count[len(history) + 1][*history, w] - 0.5) / count[len(history)][history]
-        return lower * left(history)
-
-    @functools.cache
-    def left(history):
-        given = sum(probability(history, v) for v in follows[history])
-        lower = sum(probability(history[1:], v) for v in follows[history])
-        return max(1 - given, 1e-12) / max(1 - lower, 1e-12)
-
-    assert total > 300_000
-    got = language_model.score(texts(*rows), F.col("doc_id").isin(*taught)).collect()
+    count, probability = counted([t for k, t in rows if k in taught])
+    assert sum(c for g, c in count.items() if len(g) == 1) > 300_000
+    p = language_model.Parameters(slab_bytes=200_000)
+    got = language_model.score(texts(*rows).repartition(3), F.col("doc_id").isin(*taught), p).collect()
     assert len(got) == len(rows)
     for r in got:
         w = [*brute.words(dict(rows)[r.doc_id], brute.NOT_BLANK), brute.END]
