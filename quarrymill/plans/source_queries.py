@@ -12,7 +12,8 @@ from quarrymill.plans.registry import query
 from quarrymill.plans.tables import load
 from quarrymill.session import shared_dir
 from quarrymill.sinks import store as sinks
-from quarrymill.sources import api_pages, csv_seed, records
+from quarrymill.sources import api_pages, csv_seed, landed, records
+from quarrymill.streaming.file_load import land_stream
 
 
 def _landing(spark: SparkSession, name: str) -> str:
@@ -319,6 +320,36 @@ def scan_api_pages(spark, sf_dir):
     return api_pages.typed_records(items).withColumn("balance", F.col("balance").cast("double"))
 
 
+_CUSTOMERS_SQL = """select c_custkey // 100 as page, cast(c_custkey % 100 as int) as position, c_custkey as key from customer"""
+
+
+def _landed_customers(pages: DataFrame) -> DataFrame:
+    items = api_pages.scan_api_pages(pages.drop("file"))
+    return items.select("page", "position", F.get_json_object("record", "$.key").cast("bigint").alias("key"))
+
+
+@query("scan_landed_pages", _CUSTOMERS_SQL)
+def scan_landed_pages(spark, sf_dir):
+    """The pages as files of one page each, read through a data source of this library."""
+    path = _landing(spark, "landed")
+    _customer_pages(spark, sf_dir).write.partitionBy("page").text(path)
+    return _landed_customers(landed.read_landed(spark, path, pagesPerPartition=4))
+
+
+@query("stream_landed_pages", _CUSTOMERS_SQL)
+def stream_landed_pages(spark, sf_dir):
+    """The same as a stream, in three runs: pages that come before an earlier one has landed wait for it."""
+    store, path = sinks.scratch_store(spark, "landed"), _landing(spark, "landed_stream")
+    pages = _customer_pages(spark, sf_dir)
+    sinks.clone_empty(store, "pages", spark.createDataFrame([], "page bigint, file string, value string"))
+    first, hole = F.col("page") < 2, F.col("page") == 2
+    for wave in (first, ~first & ~hole, hole):
+        pages.filter(wave).write.mode("append").partitionBy("page").text(path)
+        run = land_stream(store, "pages", landed.read_landed(spark, path, stream=True), f"{path}_checkpoint")
+        run.awaitTermination()
+    return _landed_customers(store.table("pages"))
+
+
 @query(
     "page_chain_audit",
     """with p as (

@@ -43,6 +43,20 @@ def stream_load(
         .option("maxFilesPerTrigger", max_files)
         .load(path)
     )
+    return land_stream(store, table, arriving, checkpoint, strategy, key, seq)
+
+
+def land_stream(
+    store: Store,
+    table: str,
+    arriving: DataFrame,
+    checkpoint: str,
+    strategy: str = "append",
+    key: str | None = None,
+    seq: str | None = None,
+) -> StreamingQuery:
+    """Land what has arrived of any streaming source, then stop; as `stream_load` does with files."""
+    spark = store.spark
     if strategy == "append" and not store.exists(table):
         clone_empty(store, table, spark.createDataFrame([], arriving.schema))
     # The query's id outlives restarts but is known only once it runs; batches wait for it.
