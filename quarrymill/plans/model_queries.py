@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from quarrymill.functions.scalars import surrogate_key
 from quarrymill.operators.quality import TestedModel, all_passed, run_column_tests
+from quarrymill.operators.totals import Totals, merge_with_totals
 from quarrymill.plans import demo_job, models, tables
 from quarrymill.plans.registry import query
 from quarrymill.plans.tables import with_raw
-from quarrymill.sinks.store import scratch_store
+from quarrymill.sinks.store import lay_out_buckets, scratch_store
 
 
 def staged(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -123,6 +126,46 @@ def customer_order_counts(spark, sf_dir):
     )
 
 
+ORDER_TOTALS = Totals(
+    "order_totals",
+    "customer_id",
+    sums={"orders": "1", "amount": "amount"},
+    latest={"last_order_at": "created_at"},
+)
+
+
+@query(
+    "customer_order_counts_incremental",
+    f"""{with_raw("raw_postgres_customers", "raw_seed_customers", "raw_postgres_orders")},
+    moved as (select id, case when id % 5 = 0 then customer_id + 1 else customer_id end as customer_id,
+                     case when status = 'O' then amount + 1 else amount end as amount, created_at
+              from raw_postgres_orders)
+    select md5(concat(raw_id, origin)) as customer_id, name,
+           (select count(*) from moved d where d.customer_id = raw_id and origin = 'postgres') as order_count,
+           cast(coalesce((select sum(amount) from moved d
+                          where d.customer_id = raw_id and origin = 'postgres'), 0) as double) as total_amount,
+           (select max(d.created_at) from moved d where d.customer_id = raw_id and origin = 'postgres') as last_order_at
+    from {PEOPLE_SQL}""",
+)
+def customer_order_counts_incremental(spark, sf_dir):
+    """Two loads of orders, then changed amounts and orders that go to another customer: the totals follow."""
+    store = scratch_store(spark, "totals")
+    orders = staged(spark, sf_dir, "postgres_orders")
+    late = F.col("status") == "O"
+    for load in (orders.filter(~late), orders.filter(late)):
+        merge_with_totals(store, "orders", load, "id", ORDER_TOTALS)
+    lay_out_buckets(store, "orders", "id", 16)
+    changed = orders.withColumn("amount", F.when(late, F.col("amount") + 1).otherwise(F.col("amount")).cast(orders.schema["amount"].dataType))
+    moved = changed.withColumn(
+        "customer_id", F.when(F.col("id") % 5 == 0, F.col("customer_id") + 1).otherwise(F.col("customer_id"))
+    )
+    merge_with_totals(store, "orders", moved.filter(late | (F.col("id") % 5 == 0)), "id", ORDER_TOTALS)
+    totals = store.table("order_totals")
+    counts = models.customer_order_counts_of(customers_model(spark, sf_dir), totals)
+    latest = totals.select(surrogate_key("customer_id", "postgres").alias("customer_id"), "last_order_at")
+    return counts.join(latest, "customer_id", "left")
+
+
 _ACTIVITY_QUERY = f"""
     {with_raw("raw_postgres_customers", "raw_seed_customers", "raw_postgres_orders", "raw_seed_orders",
               "raw_clickhouse_events", "raw_stripe_customers", "raw_stripe_charges", "raw_stripe_subscriptions")}

@@ -117,6 +117,11 @@ def customer_order_counts(all_customers: DataFrame, postgres_orders: DataFrame)
         .groupBy("customer_id")
         .agg(F.count("id").alias("orders"), F.sum("amount").alias("amount"))
     )
+    return customer_order_counts_of(all_customers, per_customer)
+
+
+def customer_order_counts_of(all_customers: DataFrame, per_customer: DataFrame) -> DataFrame:
+    """The same from `orders` and `amount` of each raw customer id, as totals keep them."""
     return (
         all_customers.join(_keyed_by_customer(per_customer, "customer_id", "postgres"), "id", "left")
         .groupBy(F.col("id").alias("customer_id"), "name")

@@ -214,6 +214,23 @@ def _has_landed(store: Store, table: str, batch: Batch | None) -> bool:
     return int(_marks(store, table).get(_BATCH + batch[0], -1)) >= batch[1]
 
 
+def last_batch(store: Store, table: str, query: str) -> int:
+    """The number of the last batch of `query` that has landed in the table; -1 if none has."""
+    return int(_marks(store, table).get(_BATCH + query, -1)) if store.exists(table) else -1
+
+
+def rows_of_keys(store: Store, table: str, keys: DataFrame, key: str) -> DataFrame:
+    """The stored rows that have one of these keys. Of a table in buckets by this key only theirs are read."""
+    _finish_pending(store, table)
+    marks, rows = _marks(store, table), store.table(table)
+    wanted = keys.filter(exact(key).isNotNull()).select(exact(key)).distinct()
+    if _BUCKETS in marks and marks[_UNIQUE] == key:
+        bucket = _bucketed(wanted, key, int(marks[_BUCKETS]), "").select(_BUCKET).distinct()
+        hit = sorted(row[0] for row in bucket.collect())
+        rows = store.table(marks[_CURRENT]).filter(F.col(_BUCKET).isin(hit)).select(*map(exact, rows.columns))
+    return rows.join(wanted, key, "left_semi")
+
+
 def _nothing(store: Store, table: str, started: float, measures: dict[str, Column] | None) -> LoadResult:
     return _finish(store, table, {"rows": 0, **dict.fromkeys(measures or {})}, started)
 
