@@ -167,9 +167,9 @@ def type_json(df: DataFrame, json_col: str, types: dict[str, str]) -> DataFrame:
 
 def _typed(text: Column, kind: str) -> Column:
     if kind == "bigint":
-        # `1.0` and `1e3` are integers in JSON but not in a cast from text.
+        # `1.0` and `1e3` are integers in JSON but not in a cast from text; decimals keep all digits of them.
         plain = text.rlike(CSV_SHAPES["bigint"])
-        return F.when(plain, text.cast("bigint")).otherwise(text.cast("double").cast("bigint"))
+        return F.when(plain, text.cast("bigint")).otherwise(text.cast("decimal(38,10)").cast("bigint"))
     return cast_column(text, T.StringType(), kind)
 
 

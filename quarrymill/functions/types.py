@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from quarrymill.functions.columns import exact
 
 # Warehouse type name -> Spark type.
-# `numeric` has no scale of its own: it is measured (see `numeric_type_of`).
+# A bare `numeric` has no scale of its own: it has one fixed size, below.
 WAREHOUSE_TYPES = {
     "smallint": "smallint",
     "integer": "int",
@@ -68,9 +68,10 @@ CLICKHOUSE_TYPES = {
     "Enum8": "text",
     "Enum16": "text",
 }
-# These take no parameters; with a bracket they are some other type, which lands as text.
+# Types that take no parameters; with a bracket they are some other type, which lands as text.
 _CLICKHOUSE_BARE = {"Int8", "Int16", "Int32", "Int64", "UInt8", "UInt16", "UInt32", "UInt64",
                     "Float32", "Float64", "Bool", "Boolean", "Date", "Date32", "UUID", "String"}
+# What may stand around a type.
 _CLICKHOUSE_WRAPPERS = ("Nullable", "LowCardinality", "SimpleAggregateFunction")
 
 _MAX_PRECISION = 38

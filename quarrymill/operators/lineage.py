@@ -150,6 +150,40 @@ def _contracted(scratch: _Scratch, edges: DataFrame, newest: DataFrame, hanging:
     return edges
 
 
+MOST_SELECTIONS = 64
+
+
+def reach_many(edges: DataFrame, starts: DataFrame, upstream: bool = False, id_col: str = "id") -> DataFrame:
+    """(selection, id) of everything each of several selections leads to, by one search for all of them.
+
+    `starts` has rows of (selection, id), with selections numbered from 0 to 63. A node carries a bit per selection that has reached it. Each
+    round sends on only the bits that are new to a node; they are or-ed map-side, so that a node which many edges lead to is a row per
+    task, and the edges are read once a level for all selections together. The start nodes belong to their selections.
+    """
+    spark = edges.sparkSession
+    scratch = _Scratch(spark)
+    near, far = ("downstream", "upstream") if upstream else ("upstream", "downstream")
+    steps = edges.filter("upstream is not null and downstream is not null")
+    steps, _, _ = scratch.write(steps.select(F.col(near).alias("near"), F.col(far).alias("far")).distinct())
+    wrong = ~F.coalesce(F.col("selection").between(0, MOST_SELECTIONS - 1), F.lit(False))
+    bit = F.when(wrong, F.raise_error(F.lit(f"selections are numbered from 0 to {MOST_SELECTIONS - 1}"))).otherwise(
+        F.expr("shiftleft(1L, int(selection))")
+    )
+    begin = starts.select(F.col(id_col).alias("id"), bit.alias("bits")).filter("id is not null")
+    newest, rows, path = scratch.write(begin.groupBy("id").agg(F.bit_or("bits").alias("bits")))
+    levels = [path]
+    while rows:
+        seen = scratch.read(newest, *levels).groupBy("id").agg(F.bit_or("bits").alias("had"))
+        sent = steps.join(newest, steps["near"] == newest["id"]).groupBy(F.col("far").alias("id")).agg(F.bit_or("bits").alias("bits"))
+        fresh = F.col("bits").bitwiseAND(F.bitwise_not(F.coalesce("had", F.lit(0).cast("bigint"))))
+        newest, rows, path = scratch.write(sent.join(seen, "id", "left").select("id", fresh.alias("bits")).filter("bits <> 0"))
+        levels.append(path)
+    scratch.keep_only(levels)
+    reached = scratch.read(newest, *levels)
+    named = F.filter(F.sequence(F.lit(0), F.lit(MOST_SELECTIONS - 1)), lambda k: F.getbit("bits", k) == 1)
+    return reached.select(F.explode(named).alias("selection"), "id")
+
+
 def select_nodes(nodes: DataFrame, method: str, value: str) -> DataFrame:
     """Ids of the nodes a selector method matches; an unknown method compares the id.
 

@@ -200,6 +200,29 @@ def graph_chain_ancestors(spark, sf_dir):
     return lineage.graph_ancestors(chained_orders(spark, sf_dir), start.select(_node("supplier", "s_suppkey").alias("id")))
 
 
+@query(
+    "select_many",
+    """with down as (
+        select c_custkey % 64 as selection, 'customer:' || c_custkey as id from customer
+        union select o_custkey % 64, 'order:' || o_orderkey from orders where o_custkey in (select c_custkey from customer)
+        union select o_custkey % 64, 'supplier:' || l_suppkey from lineitem join orders on l_orderkey = o_orderkey
+              where o_custkey in (select c_custkey from customer)),
+    up as (
+        select c_custkey % 64 as selection, 'customer:' || c_custkey as id from customer
+        union select c_custkey % 64, 'nation:' || c_nationkey from customer
+        union select c_custkey % 64, 'region:' || n_regionkey from customer join nation on n_nationkey = c_nationkey)
+    select cast(selection as int) as selection, id, 'downstream' as direction from down
+    union all select cast(selection as int), id, 'upstream' from up""",
+)
+def select_many(spark, sf_dir):
+    """64 selections of customers, each with all it depends on and all that depends on it, by one search per direction."""
+    starts = load(spark, sf_dir, "customer").select((F.col("c_custkey") % 64).alias("selection"), _node("customer", "c_custkey").alias("id"))
+    graph = edges(spark, sf_dir)
+    down = lineage.reach_many(graph, starts).withColumn("direction", F.lit("downstream"))
+    up = lineage.reach_many(graph, starts, upstream=True).withColumn("direction", F.lit("upstream"))
+    return down.unionByName(up)
+
+
 def nodes(spark, sf_dir) -> DataFrame:
     """Parts as models: words of the name as tags, brand and type as the path."""
     return load(spark, sf_dir, "part").select(

@@ -58,3 +58,18 @@ def test_a_shallow_search_is_not_contracted(spark, frame, monkeypatch):
     monkeypatch.setattr(lineage, "_contracted", lambda *_: pytest.fail("contracted"))
     edges = frame("upstream string, downstream string", ("a", "b"), ("b", "c"), ("c", "a"))
     assert lineage.graph_descendants(edges, frame("id string", ("a",))).count() == 3
+
+
+def test_many_selections_agree_with_one_search_each(frame):
+    rng = random.Random(5)
+    pairs = [(rng.randint(0, 40), rng.randint(0, 40)) for _ in range(60)] + [(1, 1), (2, 3), (3, 2)]
+    starts = [(rng.randint(0, 63), rng.randint(0, 45)) for _ in range(90)] + [(63, 1), (0, None)]
+    found = lineage.reach_many(frame("upstream long, downstream long", *pairs, (None, 1)), frame("selection int, id long", *starts))
+    expected = {(s, node) for s in {s for s, _ in starts} for node in _reached(pairs, [i for k, i in starts if k == s and i is not None])}
+    got = [(r["selection"], r["id"]) for r in found.collect()]
+    assert len(got) == len(set(got)) and set(got) == expected
+
+
+def test_selections_beyond_the_bits_are_refused(frame):
+    with pytest.raises(Exception, match="numbered from 0 to 63"):
+        lineage.reach_many(frame("upstream long, downstream long", (1, 2)), frame("selection int, id long", (64, 1)))
