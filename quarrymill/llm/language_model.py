@@ -25,13 +25,19 @@ class Parameters:
     """`prior` is how many occurrences a history lends to what the shorter one predicts.
 
     Texts are walked `segment` tokens at a time, many side by side. `slab_bytes` of text are counted and walked together, and a task adds up counts of
-    about `part_keys` n-grams. The model holds every n-gram of up to three words of the training texts.
+    some `part_keys` n-grams. `spare_bits` make the hashes of n-grams longer than their number needs, so that one in
+    2**spare_bits look-ups may meet an unlike n-gram. The model holds every n-gram of up to three words of the training texts.
     """
 
     prior: float = 30.0
     segment: int = 256
     slab_bytes: int = 8 << 20
-    part_keys: int = 1_000_000
+    part_keys: int = 2_000_000
+    spare_bits: int = 24
+
+    def bits(self, size: int) -> int:
+        """How many bits tell apart the n-grams of `size` bytes of text."""
+        return min(64, max(52, (3 * size // 2).bit_length() + self.spare_bits))
 
 
 # --- n-grams of a slab ------------------------------------------------------------------------
@@ -49,7 +55,7 @@ class Grams:
     too few words before it.
     """
 
-    def __init__(self, texts: pa.Array):
+    def __init__(self, texts: pa.Array, bits: int = 64):
         tokens, bounds = [], [0]
         for _, _, words in slices(texts, NOT_BLANK):
             tokens.append(np.insert(words.hashes, words.bounds[1:], END))
@@ -63,7 +69,8 @@ class Grams:
         three = np.zeros_like(self.tokens)
         three[2:] = _paired(two[1:-1], self.tokens[2:])
         self.keys, self.at = [], []
-        for n, key in enumerate((self.tokens, two, three)):
+        cut = np.uint64(64 - bits)
+        for n, key in enumerate((self.tokens, two >> cut, three >> cut)):
             whole = np.flatnonzero(place >= n)
             keys, at = np.unique(key[whole], return_inverse=True)
             own = np.full(len(key), -1, np.int64)
@@ -76,23 +83,29 @@ class Grams:
 
 
 def pack_sorted(keys: np.ndarray) -> bytes:
-    """Ascending 64-bit numbers as their differences, in as many bytes as the largest one needs."""
+    """Ascending numbers as their differences, byte by byte: the highest bytes, which are mostly small, are compressed."""
     if not len(keys):
         return b""
     gaps = np.diff(keys, prepend=np.uint64(0))
-    width = max(1, (int(gaps.max()).bit_length() + 7) // 8)
-    raw = np.ascontiguousarray(gaps.astype("<u8")).view(np.uint8).reshape(-1, 8)[:, :width]
-    return bytes([width]) + np.ascontiguousarray(raw).tobytes()
+    width = max(1, (int(gaps[1:].max(initial=0)).bit_length() + 7) // 8)
+    raw = np.ascontiguousarray(gaps.astype("<u8")).view(np.uint8).reshape(-1, 8)
+    raw[0] = 0
+    high = zlib.compress(np.ascontiguousarray(raw[:, width - 1]).tobytes(), 1)
+    head = bytes([width]) + int(keys[0]).to_bytes(8, "little") + len(high).to_bytes(4, "little")
+    return head + high + np.ascontiguousarray(raw[:, : width - 1].T).tobytes()
 
 
 def unpack_sorted(blob: bytes) -> np.ndarray:
     if not blob:
         return np.zeros(0, np.uint64)
-    raw = np.frombuffer(blob, np.uint8)
-    width = int(raw[0])
-    out = np.zeros(((len(raw) - 1) // width, 8), np.uint8)
-    out[:, :width] = raw[1:].reshape(-1, width)
-    return np.cumsum(out.view("<u8").ravel(), dtype=np.uint64)
+    width, first, size = blob[0], int.from_bytes(blob[1:9], "little"), int.from_bytes(blob[9:13], "little")
+    high = np.frombuffer(zlib.decompress(blob[13 : 13 + size]), np.uint8)
+    out = np.zeros((len(high), 8), np.uint8)
+    out[:, width - 1] = high
+    out[:, : width - 1] = np.frombuffer(blob[13 + size :], np.uint8).reshape(width - 1, len(high)).T
+    gaps = out.view("<u8").ravel()
+    gaps[0] = first
+    return np.cumsum(gaps, dtype=np.uint64)
 
 
 def pack_counts(counts: np.ndarray) -> bytes:
@@ -104,32 +117,61 @@ def unpack_counts(blob: bytes) -> np.ndarray:
     return np.frombuffer(zlib.decompress(blob[2:]), "<" + blob[:2].decode()).astype(np.int64)
 
 
-def _named(batches: Iterator[pa.RecordBatch], parts: int):
-    """size, part, slab, keys, counts: the distinct n-grams of each slab by ranges of their keys, and how often training texts have them."""
-    width = -(-(1 << 64) // parts)
-    starts = np.array([min(k * width, (1 << 64) - 1) for k in range(parts)], np.uint64)
+def _taught(batch: pa.RecordBatch, row: int, grams: Grams) -> np.ndarray:
+    """Whether each token is in a training text."""
+    taught = np.asarray(batch.column("taughts")[row].values.fill_null(False))
+    return np.repeat(taught, np.diff(grams.bounds))
+
+
+def _own(grams: Grams, n: int, taught: np.ndarray) -> np.ndarray:
+    """How often the slab's own training texts have its n-grams of n + 1 words."""
+    at = grams.at[n]
+    return np.bincount(at[(at >= 0) & taught], minlength=len(grams.keys[n]))
+
+
+def _counts_of(found, n: int) -> np.ndarray:
+    """The corpus's counts of a slab's n-grams, in the order of their keys, from what has come back."""
+    parts = sorted((r["part"], r["counts"]) for r in found or () if r["size"] == n + 1)
+    return np.concatenate([unpack_counts(blob) for _, blob in parts] or [np.zeros(0, np.int64)])
+
+
+def _asked(grams: Grams, taught: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """Which n-grams of three words other slabs may have: those whose pairs other training texts have too."""
+    elsewhere = two > _own(grams, 1, taught)
+    last = np.zeros(len(grams.keys[2]), np.int64)
+    place = np.flatnonzero(grams.at[2] >= 0)
+    last[grams.at[2][place]] = place
+    return elsewhere[grams.at[1][last]] & elsewhere[grams.at[1][last - 1]]
+
+
+def _named(batches: Iterator[pa.RecordBatch], parts: int, bits: int, sizes: tuple[int, ...]):
+    """size, part, slab, keys, counts: n-grams of each slab by ranges of their keys, and how often its training texts have them.
+
+    Of three words those that are `_asked` for, once the counts of the shorter ones have come back.
+    """
     for batch in batches:
         for row in range(batch.num_rows):
-            grams = Grams(batch.column("texts")[row].values)
-            taught = np.asarray(batch.column("taughts")[row].values.fill_null(False))
-            of_token = np.repeat(taught, np.diff(grams.bounds))
+            grams = Grams(batch.column("texts")[row].values, bits)
+            taught = _taught(batch, row, grams)
             out: dict[str, list] = {"size": [], "part": [], "keys": [], "counts": []}
-            for n, (keys, at) in enumerate(zip(grams.keys, grams.at)):
-                own = at[(at >= 0) & of_token]
-                counts = np.bincount(own, minlength=len(keys))
-                cuts = [*np.searchsorted(keys, starts).tolist(), len(keys)]
+            for size in sizes:
+                keys, counts = grams.keys[size - 1], _own(grams, size - 1, taught)
+                if size == 3:
+                    asked = _asked(grams, taught, _counts_of(batch.column("found")[row].as_py(), 1))
+                    keys, counts = keys[asked], counts[asked]
+                width = -(-(1 << (64 if size == 1 else bits)) // parts)
+                cuts = [*np.searchsorted(keys, np.array([k * width for k in range(parts)], np.uint64)).tolist(), len(keys)]
                 for part, (low, high) in enumerate(zip(cuts, cuts[1:])):
                     if low < high:
-                        out["size"].append(n + 1)
+                        out["size"].append(size)
                         out["part"].append(part)
                         out["keys"].append(pack_sorted(keys[low:high]))
                         out["counts"].append(pack_counts(counts[low:high]))
-            rows = len(out["size"])
             yield pa.record_batch(
                 [
                     pa.array(out["size"], pa.int32()),
                     pa.array(out["part"], pa.int32()),
-                    pa.array([batch.column("slab")[row].as_py()] * rows, pa.int64()),
+                    pa.array([batch.column("slab")[row].as_py()] * len(out["size"]), pa.int64()),
                     pa.array(out["keys"], pa.binary()),
                     pa.array(out["counts"], pa.binary()),
                 ],
@@ -259,15 +301,15 @@ class Automaton:
         return np.bincount(text, score, len(sizes))
 
 
-def _walked(batches: Iterator[pa.RecordBatch], total: int, distinct: int, p: Parameters):
+def _walked(batches: Iterator[pa.RecordBatch], total: int, distinct: int, bits: int, p: Parameters):
     for batch in batches:
         for row in range(batch.num_rows):
-            grams = Grams(batch.column("texts")[row].values)
-            given = sorted(batch.column("found")[row].as_py(), key=lambda r: (r["size"], r["part"]))
-            counts = [
-                np.concatenate([unpack_counts(r["counts"]) for r in given if r["size"] == n] or [np.zeros(0, np.int64)])
-                for n in (1, 2, 3)
-            ]
+            grams = Grams(batch.column("texts")[row].values, bits)
+            taught = _taught(batch, row, grams)
+            short = batch.column("found")[row].as_py()
+            counts = [_counts_of(short, 0), _counts_of(short, 1), _own(grams, 2, taught)]
+            # What nobody else can have is counted by the slab alone.
+            counts[2][_asked(grams, taught, counts[1])] = _counts_of(batch.column("longer")[row].as_py(), 2)
             model = Automaton(grams, counts, total, distinct, p)
             words = grams.at[0]
             score = model.walk(words, grams.bounds, p.segment)
@@ -297,13 +339,14 @@ def score(
     """log10 probabilities of all whole texts under a model of the texts for which `training` holds.
 
     The method: the n-grams of each slab of texts are sent by their keys, with their counts in its training texts, to the tasks that add
-    them up, and the corpus's counts of the same n-grams come back to the slab. That is all of the model that its texts can
+    them up, and the corpus's counts of the same n-grams come back to the slab; first words and pairs, then those of three words whose
+    pairs other slabs have as well, since all others are the slab's alone. That is all of the model that its texts can
     reach: it becomes an automaton of states, arcs and failure arcs (`Automaton`), and one traversal of every text from left
     to right carries the state and adds up weights. A frequent n-gram is one key per slab, keys are spread evenly by hash, and the
     driver sees two totals.
 
     Returns `doc_id, n_tokens, n_known, train_tokens, base_score, score`, one row per row of `docs`. NULL
-    and empty texts are the end token alone. Words and n-grams are told apart by 64-bit hashes. Without training texts
+    and empty texts are the end token alone. Words are told apart by 64-bit hashes, n-grams by `bits` of them. Without training texts
     all counts are 0.
     """
     rows = docs.select(
@@ -312,21 +355,25 @@ def score(
     size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     slabs = kept_slabs(slabs_of(rows, p.slab_bytes), min(50_000, max(1, math.ceil(size / (2 * p.slab_bytes)))))
     slabs = slabs.select("slab", "docs", "taughts", "texts")
-    # A word has some six bytes, and is the end of three n-grams.
-    parts = max(1, math.ceil(size / 2 / p.part_keys))
-    named = slabs.mapInArrow(
-        lambda batches: _named(batches, parts), "size int, part int, slab long, keys binary, counts binary"
-    )
-    added = named.groupBy("size", "part").applyInArrow(
-        _added, "size int, part int, slab long, counts binary, all long, known long"
-    )
-    added = staged(added, "counts")
+    # A token takes two bytes at least.
+    parts, bits = max(1, math.ceil(size / 2 / p.part_keys)), p.bits(size)
+
+    def counted(given: DataFrame, sizes: tuple[int, ...]) -> tuple[DataFrame, DataFrame]:
+        named = given.mapInArrow(
+            lambda batches: _named(batches, parts, bits, sizes), "size int, part int, slab long, keys binary, counts binary"
+        )
+        shape = "size int, part int, slab long, counts binary, all long, known long"
+        added = staged(named.groupBy("size", "part").applyInArrow(_added, shape), "counts")
+        return added, added.groupBy("slab").agg(F.collect_list(F.struct("size", "part", "counts")).alias("found"))
+
+    added, short = counted(slabs, (1, 2))
     of_words = added.filter("size = 1").agg(F.coalesce(F.sum("all"), F.lit(0)), F.coalesce(F.sum("known"), F.lit(0)))
     total, distinct = of_words.first()
-    found = added.groupBy("slab").agg(F.collect_list(F.struct("size", "part", "counts")).alias("found"))
+    _, longer = counted(slabs.join(short, "slab"), (3,))
     kind = rows.schema["doc"].dataType.simpleString()
-    walked = slabs.join(found, "slab").mapInArrow(
-        lambda batches: _walked(batches, total, distinct, p),
+    known = slabs.join(short, "slab").join(longer.withColumnRenamed("found", "longer"), "slab", "left")
+    walked = known.mapInArrow(
+        lambda batches: _walked(batches, total, distinct, bits, p),
         f"doc {kind}, n_tokens long, n_known long, train_tokens long, base_score double, score double",
     )
     return walked.withColumnRenamed("doc", doc_id)
