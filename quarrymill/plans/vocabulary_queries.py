@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -16,10 +17,11 @@ from quarrymill.functions.scalars import (
     pg_cast,
     surrogate_key,
 )
-from quarrymill.operators import lineage
+from quarrymill.operators import lineage, paging
 from quarrymill.plans import tables
 from quarrymill.plans.registry import query
 from quarrymill.plans.tables import cents, load, with_raw
+from quarrymill.session import shared_dir
 from quarrymill.sources.records import scan_past_target
 
 _CENTS = "cast(cast({} as decimal(18,2)) * 100 as bigint)"
@@ -271,6 +273,19 @@ def sort_result(spark, sf_dir):
     return rows.orderBy(F.col("email").desc_nulls_first(), F.col("id").asc_nulls_last())
 
 
+@query(
+    "keyset_page_deep",
+    """select event_id, ts, user_id, event_type from events
+    order by ts, event_id limit 100 offset (select count(*) // 2 from events)""",
+)
+def keyset_page_deep(spark, sf_dir):
+    """A page from the middle of all events, of which one or two ranges are read."""
+    events = load(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
+    path = f"{shared_dir(spark)}/pages_{uuid.uuid4().hex}"
+    paging.write_pages(events, path, ["ts", "event_id"], 16)
+    return paging.keyset_page(spark, path, ["ts", "event_id"], events.count() // 2, 100)
+
+
 @query(
     "keyset_page",
     """select event_id, ts, user_id, event_type from events where ts > timestamp '2024-01-10'
