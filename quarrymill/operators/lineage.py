@@ -31,7 +31,7 @@ def graph_descendants(
     return _reach(steps, start, id_col, edges_are_stored)
 
 
-class _Scratch:
+class Scratch:
     """Tables of one search in the shared folder. Each cuts the lineage and survives lost executors."""
 
     def __init__(self, spark: SparkSession):
@@ -73,7 +73,7 @@ def _reach(steps: DataFrame, start: DataFrame, id_col: str, stored: bool) -> Dat
     that the result is read from are left behind.
     """
     spark = steps.sparkSession
-    scratch = _Scratch(spark)
+    scratch = Scratch(spark)
     steps = steps.filter("near is not null and far is not null")
     if not stored:
         steps, _, _ = scratch.write(steps)
@@ -104,7 +104,7 @@ def _reach(steps: DataFrame, start: DataFrame, id_col: str, stored: bool) -> Dat
     return scratch.read(start.select(F.col(id_col).alias("id")), *levels)
 
 
-def _contracted(scratch: _Scratch, edges: DataFrame, newest: DataFrame, hanging: list[DataFrame]) -> DataFrame:
+def _contracted(scratch: Scratch, edges: DataFrame, newest: DataFrame, hanging: list[DataFrame]) -> DataFrame:
     """Fewer edges that lead from `newest` to the same places, without leaves and without the inner nodes of chains.
 
     Edges out of nodes that no edge leads to are left out, unless they begin at `newest`, which no edge leads to either.
@@ -161,7 +161,7 @@ def reach_many(edges: DataFrame, starts: DataFrame, upstream: bool = False, id_c
     task, and the edges are read once a level for all selections together. The start nodes belong to their selections.
     """
     spark = edges.sparkSession
-    scratch = _Scratch(spark)
+    scratch = Scratch(spark)
     near, far = ("downstream", "upstream") if upstream else ("upstream", "downstream")
     steps = edges.filter("upstream is not null and downstream is not null")
     steps, _, _ = scratch.write(steps.select(F.col(near).alias("near"), F.col(far).alias("far")).distinct())

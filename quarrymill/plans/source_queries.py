@@ -463,3 +463,46 @@ def coerce_literals(spark, sf_dir):
     )
     loaded = types.coerce_or_reject(text, {"event_id": "bigint", "user_id": "integer", "ts": "timestamp"})
     return loaded.withColumn("rejected", F.concat_ws(",", "rejected"))
+
+
+@query(
+    "rank_pages",
+    """with recursive ends as (select conv_id, max(turn) as last from conversations group by 1),
+    p as (
+      select conv_id as stream, conv_id || ':' || turn as page,
+             case when turn > 0 then conv_id || ':' || (turn - 1)
+                  when conv_id % 5 = 0 then conv_id || ':' || last end as after,
+             conv_id || ':' || turn as last_id
+      from conversations join ends using (conv_id) where not (conv_id % 3 = 0 and conv_id % 5 <> 0 and turn = 1)
+      union all
+      select conv_id, conv_id || ':copy', conv_id || ':0', conv_id || ':copy'
+      from conversations where conv_id % 7 = 0 and turn = 1),
+    heads as (select stream, page, after from p
+              where after is null or (stream, after) not in (select (stream, last_id) from p)),
+    walk as (
+      select p.stream, p.page, p.last_id, p.page as head, 0 as rank from p join heads using (stream, page)
+      union all
+      select p.stream, p.page, p.last_id, walk.head, walk.rank + 1
+      from walk join p on p.stream = walk.stream and p.after = walk.last_id)
+    select p.stream, p.page, head, cast(rank as bigint) as rank,
+           case when head = p.page and p.after is not null then 'lost head'
+                when p.after is not null and (select count(*) from p q where q.stream = p.stream and q.after = p.after) > 1 then 'fork'
+                when rank is null then 'cycle' end as problem
+    from p left join walk on walk.stream = p.stream and walk.page = p.page""",
+)
+def rank_pages(spark, sf_dir):
+    """Conversations as chains of turns without numbers: some closed to a ring, some forked, some without their second turn."""
+    turns = load(spark, sf_dir, "conversations").select("conv_id", "turn")
+    conv, turn = F.col("conv_id"), F.col("turn")
+
+    def name(number):
+        return F.concat_ws(":", conv.cast("string"), number.cast("string"))
+
+    last = turns.groupBy("conv_id").agg(F.max("turn").alias("last"))
+    after = F.when(turn > 0, name(turn - 1)).when(conv % 5 == 0, name(F.col("last")))
+    given = turns.join(last, "conv_id").filter(~((conv % 3 == 0) & (conv % 5 != 0) & (turn == 1)))
+    pages = given.select(conv.alias("stream"), name(turn).alias("page"), after.alias("after"), name(turn).alias("last_id"))
+    forked = turns.filter((conv % 7 == 0) & (turn == 1)).select(
+        conv.alias("stream"), name(F.lit("copy")).alias("page"), name(F.lit(0)).alias("after"), name(F.lit("copy")).alias("last_id")
+    )
+    return api_pages.rank_pages(pages.unionByName(forked), "stream", "page", "after", "last_id")

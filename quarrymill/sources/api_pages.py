@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quarrymill.functions.columns import exact
 from quarrymill.functions.inference import infer_json_types, type_json
+from quarrymill.operators.lineage import Scratch
 from quarrymill.operators.skew import own_shuffle
 
 # Elements of `data` are kept as JSON text; their own keys are typed later.
@@ -100,3 +101,57 @@ def page_chain_audit(
         checks["wrong cursor"] = follows & ~F.col("after").eqNullSafe(F.col("before_last_id"))
     found = F.array_compact(F.array(*[F.when(broken, F.lit(name)) for name, broken in checks.items()]))
     return chained.select("stream", "page", F.explode(found).alias("problem"))
+
+
+def rank_pages(pages: DataFrame, stream: str, page: str, after: str, last_id: str) -> DataFrame:
+    """`(stream, page, head, rank, problem)` of pages that know only after which id they begin and with which they end.
+
+    A page follows the one whose last id it begins after; one that begins after nothing is a chain's head, and has rank 0. Pointers to
+    the page before jump over each other, so a chain of any length is ranked in as many rounds as its length has binary digits, spread
+    over all tasks. `page` names pages uniquely. Problems, NULL for none:
+
+    - `lost head`: it begins after an id that no page of its stream ends with; the rest of its chain is ranked from it
+    - `fork`: another page begins after the same id; both are ranked
+    - `shared id`: another page ends with the same id; what follows is ranked after the one with the smaller name
+    - `cycle`: it is on a closed chain, or follows one, and has neither head nor rank
+    """
+    scratch = Scratch(pages.sparkSession)
+    own, _, _ = scratch.write(
+        pages.select(
+            F.col(stream).alias("stream"), F.col(page).alias("page"),
+            F.col(after).cast("string").alias("after"), F.col(last_id).cast("string").alias("last_id"),
+        )
+    )
+    ends = own.filter("last_id is not null").groupBy("stream", F.col("last_id").alias("after")).agg(
+        F.min("page").alias("before"), F.count(F.lit(1)).alias("ending")
+    )
+    begins = own.filter("after is not null").groupBy("stream", "after").agg(F.count(F.lit(1)).alias("beginning"))
+    known = own.join(ends, ["stream", "after"], "left").join(begins, ["stream", "after"], "left")
+    shared = ends.filter("ending > 1").select("stream", F.col("after").alias("last_id"), F.lit(True).alias("shared"))
+    known = known.join(shared, ["stream", "last_id"], "left").select(
+        "stream", "page", F.coalesce("before", "page").alias("up"), F.col("before").isNull().alias("is_head"),
+        F.when(F.col("before").isNull() & F.col("after").isNotNull(), "lost head")
+        .when(F.col("beginning") > 1, "fork").when(F.col("shared"), "shared id").alias("problem"),
+    )
+    linked, many, _ = scratch.write(known)
+    steps = F.when(F.col("is_head"), 0).otherwise(1).cast("bigint")
+    ranked = linked.select("stream", "page", "up", steps.alias("rank"), F.col("is_head").alias("done"))
+    jumped, reach = many, 1
+    while jumped and reach <= 2 * many:
+        over = ranked.select("stream", F.col("page").alias("up"), F.col("up").alias("next"), F.col("rank").alias("more"), F.col("done").alias("ends"))
+        ranked = ranked.join(over, ["stream", "up"]).select(
+            "stream", "page", F.col("next").alias("up"), (F.col("rank") + F.col("more")).alias("rank"),
+            (F.col("done") | F.col("ends")).alias("done"), (~F.col("done") & ~F.col("ends")).alias("open"),
+        )
+        ranked, jumped = scratch.write_counting(ranked, "open")
+        reach *= 2
+    closed = ~F.col("done")
+    result = linked.select("stream", "page", "problem").join(ranked, ["stream", "page"])
+    result, _, path = scratch.write(
+        result.select(
+            "stream", "page", F.when(~closed, F.col("up")).alias("head"), F.when(~closed, F.col("rank")).alias("rank"),
+            F.coalesce("problem", F.when(closed, "cycle")).alias("problem"),
+        )
+    )
+    scratch.keep_only([path])
+    return result

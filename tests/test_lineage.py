@@ -42,9 +42,9 @@ def test_contraction_agrees_with_brute_force(spark, frame, monkeypatch, seed):
 def test_a_chain_of_ten_thousand_takes_few_rounds(spark, monkeypatch):
     edges = spark.range(10_000).selectExpr("id AS upstream", "id + 1 AS downstream")
     written = []
-    write, counting = lineage._Scratch.write, lineage._Scratch.write_counting
-    monkeypatch.setattr(lineage._Scratch, "write", lambda self, df: written.append("table") or write(self, df))
-    monkeypatch.setattr(lineage._Scratch, "write_counting", lambda self, df, mark: written.append("round") or counting(self, df, mark))
+    write, counting = lineage.Scratch.write, lineage.Scratch.write_counting
+    monkeypatch.setattr(lineage.Scratch, "write", lambda self, df: written.append("table") or write(self, df))
+    monkeypatch.setattr(lineage.Scratch, "write_counting", lambda self, df, mark: written.append("round") or counting(self, df, mark))
     before = _folders(spark)
     found = lineage.graph_descendants(edges, spark.range(1))
     assert found.count() == 10_001

@@ -276,3 +276,32 @@ def test_further_spellings_of_times(frame):
     df = frame("t string", ("Mon, 01 Jan 2024 00:00:00 GMT",), ("2024/01/01",), ("2024/01/01 00:00:01",), ("01/02/2024",), ("Mon, soon",), ("2024/13/45",), (None,))
     found = [r[0] for r in df.select(epoch_or_iso_seconds("t")).collect()]
     assert found == [1704067200, 1704067200, 1704067201, 1704153600, None, None, None]
+
+
+def test_long_chains_are_ranked_in_few_rounds(spark, frame, monkeypatch):
+    from quarrymill.operators import lineage
+
+    rounds = []
+    counting = lineage.Scratch.write_counting
+    monkeypatch.setattr(lineage.Scratch, "write_counting", lambda self, df, mark: rounds.append(1) or counting(self, df, mark))
+    chain = spark.range(3000).selectExpr("'s' AS stream", "id AS page", "if(id > 0, id - 1, NULL) AS after", "id AS last_id")
+    found = api_pages.rank_pages(chain, "stream", "page", "after", "last_id")
+    assert found.filter("rank = page AND head = 0 AND problem IS NULL").count() == 3000 and len(rounds) <= 13
+
+
+def test_problems_of_chains_without_numbers(frame):
+    pages = frame(
+        "stream string, page string, after string, last_id string",
+        ("a", "h", None, "1"), ("a", "x", "1", "2"), ("a", "y", "1", "3"), ("a", "z", "3", None),
+        ("b", "l", "gone", "1"), ("b", "m", "1", "2"),
+        ("c", "r", "2", "1"), ("c", "s", "1", "2"), ("c", "t", "2", "9"), ("c", "o", "7", "7"),
+        ("d", "p", None, "1"), ("d", "q", None, "1"), ("d", "w", "1", "5"),
+    )
+    found = api_pages.rank_pages(pages, "stream", "page", "after", "last_id")
+    assert {(r["stream"], r["page"]): (r["head"], r["rank"], r["problem"]) for r in found.collect()} == {
+        ("a", "h"): ("h", 0, None), ("a", "x"): ("h", 1, "fork"), ("a", "y"): ("h", 1, "fork"), ("a", "z"): ("h", 2, None),
+        ("b", "l"): ("l", 0, "lost head"), ("b", "m"): ("l", 1, None),
+        ("c", "r"): (None, None, "fork"), ("c", "s"): (None, None, "cycle"), ("c", "t"): (None, None, "fork"), ("c", "o"): (None, None, "cycle"),
+        ("d", "p"): ("p", 0, "shared id"), ("d", "q"): ("q", 0, "shared id"), ("d", "w"): ("p", 1, None),
+    }
+    assert api_pages.rank_pages(pages.limit(0), "stream", "page", "after", "last_id").count() == 0
