@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
@@ -56,6 +57,58 @@ def partition_options(
     }
 
 
+# Ranges that one count query measures; each is a column of it.
+_MEASURED = 64
+
+
+def equi_depth_ranges(
+    count: Callable[[list[tuple[int, int]]], list[int]], low: int, high: int, parts: int
+) -> list[tuple[int, int]]:
+    """At most about `parts` ranges [a, b) that cover `low` to `high` and hold about equally many rows each.
+
+    `count` tells how many rows each of some ranges holds. Ranges that hold too many are cut into equal widths and counted again, however
+    uneven the values are; only a value that repeats too often stays a range of its own. Neighbours that hold little are joined.
+    """
+    pieces = [(low, high + 1, count([(low, high + 1)])[0])]
+    most = max(1, -(-pieces[0][2] // parts))
+    while heavy := [piece for piece in pieces if piece[2] > most and piece[1] - piece[0] > 1]:
+        bins = max(2, _MEASURED // len(heavy))
+        cuts = []
+        for a, b, _ in heavy:
+            number = min(bins, b - a)
+            edges = [a + (b - a) * k // number for k in range(number + 1)]
+            cuts += zip(edges, edges[1:])
+        counts = [n for k in range(0, len(cuts), _MEASURED) for n in count(cuts[k : k + _MEASURED])]
+        pieces = sorted([*(piece for piece in pieces if piece not in heavy), *((a, b, n) for (a, b), n in zip(cuts, counts))])
+    ranges: list[list[int]] = []
+    held = 0
+    for a, b, n in pieces:
+        if ranges and held + n <= most:
+            ranges[-1][1], held = b, held + n
+        else:
+            ranges.append([a, b])
+            held = n
+    return [(a, b) for a, b in ranges]
+
+
+def _even_predicates(reader: DataFrameReader, source: str, column: str, low: object, high: object, parts: int) -> list[str]:
+    """Conditions that select every row once, about equally many each. Rows beyond the bounds go to the outer ones, NULL to the first."""
+    if not all(isinstance(end, (int, Decimal)) and end == int(end) for end in (low, high)):
+        raise ValueError(f"{column}: even ranges need a column of whole numbers")
+
+    def count(ranges: list[tuple[int, int]]) -> list[int]:
+        counts = ", ".join(f"count(case when {column} >= {a} and {column} < {b} then 1 end) n{k}" for k, (a, b) in enumerate(ranges))
+        where = f"{column} >= {ranges[0][0]} and {column} < {ranges[-1][1]}"
+        return [int(n) for n in reader.option("query", f"select {counts} from {source} where {where}").load().first()]
+
+    ranges = equi_depth_ranges(count, int(low), int(high), parts)
+    if len(ranges) == 1:
+        return ["1 = 1"]
+    first, last = ranges[0], ranges[-1]
+    inner = [f"{column} >= {a} and {column} < {b}" for a, b in ranges[1:-1]]
+    return [f"{column} < {first[1]} or {column} is null", *inner, f"{column} >= {last[0]}"]
+
+
 def scan_jdbc_full(
     spark: SparkSession,
     url: str,
@@ -67,11 +120,13 @@ def scan_jdbc_full(
     properties: Mapping[str, str] | None = None,
     predicates: list[str] | None = None,
     past: tuple[str, str] | None = None,
+    even: bool = False,
 ) -> DataFrame:
     """A whole database table, read in parallel ranges of a numeric, date or timestamp column.
 
     The ranges cover every value and NULL, so no row is skipped or read twice however the column
-    repeats. Where its values are so uneven that one range holds most rows, give `predicates`
+    repeats. They are equally wide. Where values are so uneven that one of them would hold most rows, ask for `even` ranges of whole
+    numbers, which a few count queries find, or give `predicates`
     instead: conditions, one query each, that together select every row once. Filters and columns
     of what follows are pushed into the queries.
 
@@ -99,6 +154,10 @@ def scan_jdbc_full(
     whole = jdbc_reader(spark, url, properties).option("dbtable", source)
     if bounds[0] is None:
         return whole.load()
+    if even:
+        counted = jdbc_reader(spark, url, properties)
+        each = _even_predicates(counted, source, partition_column, bounds[0], bounds[1], num_partitions)
+        return jdbc_reader(spark, url, properties).jdbc(url, source, predicates=each, properties=dict(properties or {}))
     return whole.options(**partition_options(partition_column, bounds[0], bounds[1], num_partitions)).load()
 
 

@@ -1,10 +1,12 @@
 """CSV seeds, JSON lines, API pages, database tables and cursor scans."""
 
 import datetime as dt
+import functools
 import json
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import DataFrame
 
 from quarrymill.sources import api_pages, csv_seed, records
 
@@ -305,3 +307,55 @@ def test_problems_of_chains_without_numbers(frame):
         ("d", "p"): ("p", 0, "shared id"), ("d", "q"): ("q", 0, "shared id"), ("d", "w"): ("p", 1, None),
     }
     assert api_pages.rank_pages(pages.limit(0), "stream", "page", "after", "last_id").count() == 0
+
+
+def test_even_ranges_of_uneven_keys():
+    import random
+
+    rng = random.Random(8)
+    for values in (
+        [rng.randrange(100) for _ in range(5000)] + [10**12, -(10**9)],
+        [int(rng.paretovariate(0.3)) for _ in range(4000)],
+        [7] * 3000 + list(range(2000)),
+        [5],
+    ):
+        queries = []
+
+        def count(ranges, values=values, queries=queries):
+            queries.append(len(ranges))
+            return [sum(a <= v < b for v in values) for a, b in ranges]
+
+        ranges = records.equi_depth_ranges(count, min(values), max(values), 16)
+        assert ranges[0][0] == min(values) and ranges[-1][1] == max(values) + 1
+        assert all(b == c for (_, b), (c, _) in zip(ranges, ranges[1:]))
+        target = -(-len(values) // 16)
+        held = [(sum(a <= v < b for v in values), b - a) for a, b in ranges]
+        assert all(n <= target or width == 1 for n, width in held)
+        assert len(ranges) <= 40 and max(queries) <= 64 and len(queries) < 60
+
+
+def test_even_database_scan_reads_every_row_once(monkeypatch, spark, frame):
+    orders = frame("id long, note string", *[(i % 50, "x") for i in range(600)], *[(10**9 + i, "y") for i in range(20)], (None, "z"))
+    orders.createOrReplaceTempView("even_orders")
+
+    class Database(FakeReader):
+        """Answers count queries from a view, and reads one partition per predicate."""
+
+        def option(self, key, value):
+            copy = Database(self.answer)
+            copy.opts = self.opts | {key: value}
+            return copy
+
+        def load(self):
+            return spark.sql(self.opts["query"].replace("public.even_orders", "even_orders"))
+
+        def jdbc(self, url, table, predicates, properties):
+            parts = [spark.table("even_orders").filter(p).coalesce(1) for p in predicates]
+            sizes.extend(part.count() for part in parts)
+            return parts[0] if len(parts) == 1 else functools.reduce(DataFrame.unionByName, parts)
+
+    sizes = []
+    monkeypatch.setattr(records, "jdbc_reader", lambda *args: Database(None))
+    found = records.scan_jdbc_full(spark, "jdbc:x", "even_orders", "id", 10, even=True)
+    assert sorted(found.collect(), key=repr) == sorted(orders.collect(), key=repr)
+    assert len(sizes) >= 8 and max(sizes) <= 2 * 621 // 10
