@@ -20,7 +20,7 @@ BAND_RATIO = 1.4
 # A bucket of more members in several components is crowded: it yields no pairs unless pigeonhole needs it.
 CROWDED = 64
 # Classes that a task remembers to have indexed.
-REMEMBERED = 1 << 18
+REMEMBERED = 1 << 14
 # Bits of a set's sketch: two per element, up to this many.
 MOST_SKETCH_BITS = 4096
 
