@@ -470,26 +470,37 @@ def remove_similar(
     shingles one stays, and of unlike texts of one component under the smallest id one too. Rows with a NULL id, or without words, stay.
     """
     described, named = _components(docs.select(F.col(doc_id).alias("doc"), F.col(text).alias("text")), likeness)
-    rows = described.filter("n > 0 AND doc IS NOT NULL").groupBy("doc", "class").count()
+    rows = described.filter("n > 0 AND doc IS NOT NULL").select("doc", "class").distinct()
     rows = staged(rows.join(named.select("class", "label"), "class"), "rows")
     chosen = rows.groupBy("label").agg(F.min(F.struct("doc", "class")).alias("kept"))
     judged = rows.join(chosen, "label").withColumn("stays", F.struct("doc", "class") == F.col("kept"))
-    pairs = ["__doc", "__class"]
-    judged = staged(judged.select("doc", "class", "count", "stays").toDF(*pairs, "count", "stays"), "judged")
-    gone = bounded(staged(judged.filter("NOT stays").select(*pairs), "gone"))
-    again = staged(judged.filter("stays AND count > 1").select(*pairs), "again")
+    judged = staged(judged.select("doc", "class", "stays"), "judged")
+    # Ids of one row are judged by id alone; texts are only looked at again for ids of several rows.
+    several = described.filter("doc IS NOT NULL").groupBy("doc").count().filter("count > 1").select("doc")
+    several = staged(several, "several")
+    gone = staged(judged.filter("NOT stays").join(several, "doc", "left_anti").select("doc"), "gone")
 
     # By place, so that no column of the table can clash with those needed here.
     places = [f"__{i}" for i in range(len(docs.columns))]
     id_place = places[docs.columns.index(doc_id)]
-    classed = mapped(docs, _classed(likeness, docs.columns.index(text)), _CLASS_COLUMN).toDF(*places, "__own")
-    same = (F.col(id_place) == F.col("__doc")) & (F.col("__own") == F.col("__class"))
-    kept = classed.join(gone, same, "left_anti")
-    if not again.isEmpty():
-        again = bounded(again)
-        once = kept.join(again, same, "left_semi").dropDuplicates([id_place, "__own"])
-        kept = kept.join(again, same, "left_anti").unionByName(once)
-    return kept.select(*places).toDF(*docs.columns)
+    placed = docs.toDF(*places)
+    same_id = F.col(id_place) == F.col("doc")
+    kept = placed.join(bounded(gone), same_id, "left_anti")
+    if not several.isEmpty():
+        listed = bounded(several)
+        own = _one_of_each(placed.join(listed, same_id, "left_semi"), judged.join(several, "doc", "left_semi"), likeness, id_place, docs.columns.index(text))
+        kept = kept.join(listed, same_id, "left_anti").unionByName(own)
+    return kept.toDF(*docs.columns)
+
+
+def _one_of_each(rows: DataFrame, judged: DataFrame, likeness: Likeness, id_place: str, at_text: int) -> DataFrame:
+    """Of rows that share ids with others: one of each id and class that stays, and those without words."""
+    places = rows.columns
+    classed = mapped(rows, _classed(likeness, at_text), _CLASS_COLUMN).toDF(*places, "__own")
+    same = (F.col(id_place) == F.col("doc")) & (F.col("__own") == F.col("class"))
+    stays = bounded(staged(judged.filter("stays").select("doc", "class"), "stays"))
+    once = classed.join(stays, same, "left_semi").dropDuplicates([id_place, "__own"])
+    return classed.filter("__own IS NULL").unionByName(once).select(*places)
 
 
 _CLASS_COLUMN = StructType([StructField("class", LongType())])

@@ -116,10 +116,10 @@ def test_words_of_one_pattern_are_told_apart(texts):
 
 def test_removal_judges_rows_by_their_text(texts):
     a, b, c = "a b c d e f", "one two three four five six", "g h i j k l"
-    docs = texts((1, a), (5, a), (5, b), (6, c), (6, c), (7, b + " seven"), (7, c), (8, None), (8, None))
+    docs = texts((1, a), (5, a), (5, b), (6, c), (6, c), (7, b + " seven"), (7, c), (8, None), (8, None), (9, c), (9, ""))
     kept = jaccard.remove_similar(docs, jaccard.Likeness(shingle=5, least=80)).collect()
     assert sorted((r.doc_id, r.text) for r in kept if r.text) == [(1, a), (5, b), (6, c), (7, b + " seven")]
-    assert sum(r.text is None for r in kept) == 2
+    assert sum(r.text is None for r in kept) == 2 and sum(r.text == "" for r in kept) == 1
     # A hot text under one id and under many, beside unlike texts of the same ids.
     many = [(k % 40, a if k % 3 else f"own {k} words that no other row has") for k in range(240)]
     kept = jaccard.remove_similar(texts(*many).repartition(5)).collect()
