@@ -14,6 +14,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 from quarrymill.llm.bytewords import NOT_BLANK, Words, mix, slices
 from quarrymill.llm.common import bounded, mapped, staged
 from quarrymill.llm.components import components
+from quarrymill.operators.skew import own_shuffle
 
 # Sizes of one band differ by less than this factor.
 BAND_RATIO = 1.4
@@ -473,7 +474,8 @@ def remove_similar(
     rows = described.filter("n > 0 AND doc IS NOT NULL").select("doc", "class").distinct()
     rows = staged(rows.join(named.select("class", "label"), "class"), "rows")
     chosen = rows.groupBy("label").agg(F.min(F.struct("doc", "class")).alias("kept"))
-    judged = rows.join(chosen, "label").withColumn("stays", F.struct("doc", "class") == F.col("kept"))
+    # A large component is one label: a shuffle of its own lets Spark split it.
+    judged = rows.join(own_shuffle(chosen, "label"), "label").withColumn("stays", F.struct("doc", "class") == F.col("kept"))
     judged = staged(judged.select("doc", "class", "stays"), "judged")
     # Ids of one row are judged by id alone; texts are only looked at again for ids of several rows.
     several = described.filter("doc IS NOT NULL").groupBy("doc").count().filter("count > 1").select("doc")
