@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import bisect
 import re
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -133,13 +134,13 @@ def features(text: str, kind: str, start: int, end: int) -> list[float]:
 
 @dataclass(frozen=True)
 class Boosting:
-    """Parameters. `most_docs` bounds the texts whose candidates the trees are fitted on."""
+    """Parameters. The trees are fitted on the candidates of all texts; a caller may set `most_docs` to bound those."""
 
     trees: int = 30
     depth: int = 3
     rate: float = 0.3
     l2: float = 1.0
-    most_docs: int = 12_000
+    most_docs: int | None = None
     precision: float = 0.98
 
 
@@ -151,11 +152,16 @@ class Tree:
     cut: np.ndarray
     leaf: np.ndarray
 
-    def __call__(self, x: np.ndarray) -> np.ndarray:
+    def nodes(self, x: np.ndarray, depth: int) -> np.ndarray:
+        """The node each row has come to after `depth` cuts, numbered in heap order."""
         node = np.zeros(len(x), np.int64)
-        while len(self.feature) and node.min() < len(self.feature):
+        for _ in range(depth):
             node = 2 * node + 1 + (x[np.arange(len(x)), self.feature[node]] > self.cut[node])
-        return self.leaf[node - len(self.feature)]
+        return node
+
+    def __call__(self, x: np.ndarray) -> np.ndarray:
+        depth = (len(self.feature) + 1).bit_length() - 1
+        return self.leaf[self.nodes(x, depth) - len(self.feature)]
 
 
 @dataclass(frozen=True)
@@ -170,69 +176,180 @@ class Model:
         return 1.0 / (1.0 + np.exp(-np.clip(margin, -35, 35)))
 
 
-def _best_cut(x: np.ndarray, g: np.ndarray, h: np.ndarray, l2: float) -> tuple[int, float]:
-    """The feature and cut with the largest gain; no cut sends every row left."""
-    best, total = (0, np.inf, 0.0), g.sum() ** 2 / (h.sum() + l2)
+# First and second derivatives are added up as multiples of 2**-30, so that no order of rows or tasks alters a sum.
+_UNIT = 2.0**30
+# Thresholds are multiples of 2**-16.
+_STEPS = 1 << 16
+
+
+@dataclass(frozen=True)
+class Sums:
+    """Per node, feature and value of the feature, in this order: sums of the derivatives over the rows."""
+
+    node: np.ndarray
+    feature: np.ndarray
+    value: np.ndarray
+    g: np.ndarray
+    h: np.ndarray
+
+
+def _sums(x: np.ndarray, y: np.ndarray, count: np.ndarray, model: Model, grown: Tree, depth: int) -> Sums:
+    """Sums over rows that each stand for `count` equal ones, at the nodes of the tree that is being grown."""
+    score = model.score(x)
+    g = np.rint((score - y) * _UNIT).astype(np.int64) * count
+    h = np.rint(score * (1 - score) * _UNIT).astype(np.int64) * count
+    node, parts = grown.nodes(x, depth), []
     for k in range(x.shape[1]):
         values, inverse = np.unique(x[:, k], return_inverse=True)
-        if len(values) < 2:
+        keys, inverse = np.unique(node * len(values) + inverse, return_inverse=True)
+        totals = np.zeros((2, len(keys)), np.int64)
+        np.add.at(totals[0], inverse, g)
+        np.add.at(totals[1], inverse, h)
+        parts.append((keys // len(values), np.full(len(keys), k), values[keys % len(values)], *totals))
+    return Sums(*map(np.concatenate, zip(*parts)))
+
+
+def _merged(parts: list[Sums]) -> Sums:
+    """The sums of several runs of rows as one."""
+    node, feature, value, g, h = (
+        np.concatenate([getattr(part, name) for part in parts]) for name in ("node", "feature", "value", "g", "h")
+    )
+    keys, at = np.unique(np.column_stack([node, feature, value]), axis=0, return_inverse=True)
+    totals = np.zeros((2, len(keys)), np.int64)
+    np.add.at(totals[0], at.ravel(), g)
+    np.add.at(totals[1], at.ravel(), h)
+    return Sums(keys[:, 0].astype(np.int64), keys[:, 1].astype(np.int64), keys[:, 2], *totals)
+
+
+def _best_cut(own: Sums, g: float, h: float, l2: float) -> tuple[int, float, tuple[float, float]]:
+    """Feature and cut with the largest gain at a node of these sums, and the sums left of it; no cut sends every row left."""
+    best, total = (0, np.inf, (g, h), 0.0), g**2 / (h + l2)
+    for k in np.unique(own.feature):
+        at = np.flatnonzero(own.feature == k)
+        if len(at) < 2:
             continue
-        gl = np.cumsum(np.bincount(inverse, g))[:-1]
-        hl = np.cumsum(np.bincount(inverse, h))[:-1]
-        gain = gl**2 / (hl + l2) + (g.sum() - gl) ** 2 / (h.sum() - hl + l2) - total
-        at = int(np.argmax(gain))
-        if gain[at] > best[2] + 1e-9:
-            best = (k, float((values[at] + values[at + 1]) / 2), float(gain[at]))
-    return best[0], best[1]
-
-
-def _grow(x: np.ndarray, g: np.ndarray, h: np.ndarray, p: Boosting) -> Tree:
+        at = at[np.argsort(own.value[at])]
+        values = own.value[at]
+        gl, hl = (np.cumsum(sums[at])[:-1] / _UNIT for sums in (own.g, own.h))
+        gain = gl**2 / (hl + l2) + (g - gl) ** 2 / (h - hl + l2) - total
+        found = int(np.argmax(gain))
+        if gain[found] > best[3] + 1e-9:
+            best = (int(k), float((values[found] + values[found + 1]) / 2), (gl[found], hl[found]), float(gain[found]))
+    return best[:3]
+
+
+def _grow(sums_of: Callable[[Tree, int], Sums], p: Boosting) -> Tree:
+    """A tree from the sums at its nodes, which are asked for once per level."""
     inner = 2**p.depth - 1
-    feature, cut, leaf = np.zeros(inner, np.int64), np.full(inner, np.inf), np.zeros(2**p.depth)
-    rows = {0: np.arange(len(x))}
-    for node in range(inner):
-        own = rows.pop(node)
-        if len(own):
-            feature[node], cut[node] = _best_cut(x[own], g[own], h[own], p.l2)
-        right = x[own, feature[node]] > cut[node]
-        rows[2 * node + 1], rows[2 * node + 2] = own[~right], own[right]
-    for node, own in rows.items():
-        leaf[node - inner] = -p.rate * g[own].sum() / (h[own].sum() + p.l2)
-    return Tree(feature, cut, leaf)
+    grown = Tree(np.zeros(inner, np.int64), np.full(inner, np.inf), np.zeros(2**p.depth))
+    totals = {}
+    for depth in range(p.depth):
+        sums = sums_of(grown, depth)
+        for node in range(2**depth - 1, 2 ** (depth + 1) - 1):
+            at = sums.node == node
+            own = Sums(*[part[at] for part in (sums.node, sums.feature, sums.value, sums.g, sums.h)])
+            first = own.feature == 0
+            g, h = own.g[first].sum() / _UNIT, own.h[first].sum() / _UNIT
+            grown.feature[node], grown.cut[node], (gl, hl) = _best_cut(own, g, h, p.l2)
+            totals[2 * node + 1], totals[2 * node + 2] = (gl, hl), (g - gl, h - hl)
+    for k in range(2**p.depth):
+        g, h = totals[inner + k]
+        grown.leaf[k] = -p.rate * g / (h + p.l2)
+    return grown
+
+
+def _boosted(sums_of: Callable[[Model, Tree, int], Sums], p: Boosting) -> Model:
+    """Gradient boosting of the logistic loss, second order, on sums per node, feature and value."""
+    model = Model()
+    for _ in range(p.trees):
+        model = Model([*model.trees, _grow(lambda grown, depth: sums_of(model, grown, depth), p)])
+    return model
 
 
 def boost(x: np.ndarray, y: np.ndarray, p: Boosting) -> Model:
-    """Gradient boosting of the logistic loss, second order."""
-    trees, margin = [], np.zeros(len(x))
-    for _ in range(p.trees):
-        score = 1.0 / (1.0 + np.exp(-margin))
-        tree = _grow(x, score - y, score * (1 - score), p)
-        trees.append(tree)
-        margin += tree(x)
-    return Model(trees)
+    """The same on rows at hand."""
+    count = np.ones(len(x), np.int64)
+    return _boosted(lambda model, grown, depth: _sums(x, y, count, model, grown, depth), p)
+
 
+def _threshold(score: np.ndarray, y: np.ndarray, precision: float, count: np.ndarray | None = None) -> float:
+    """The lowest score at which this precision is reached on rows the trees have not seen; above 1 if none is.
 
-def _threshold(score: np.ndarray, y: np.ndarray, precision: float) -> float:
-    """The lowest score at which this precision is reached on rows the trees have not seen; above 1 if none is."""
+    A row may stand for `count` rows, of which `y` are true.
+    """
     order = np.argsort(-score, kind="stable")
     hits = np.cumsum(y[order])
+    rows = np.cumsum(np.ones(len(y)) if count is None else count[order])
     last = np.flatnonzero(np.append(score[order][1:] < score[order][:-1], True)) if len(y) else np.zeros(0, int)
-    good = [k for k in last if hits[k] >= 5 and hits[k] / (k + 1) >= precision]
+    good = [k for k in last if hits[k] >= 5 and hits[k] / rows[k] >= precision]
     return float(score[order][good[-1]]) if good else 2.0
 
 
+def _arrays(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """x, y and count of the rows of each batch."""
+    for batch in batches:
+        if batch.num_rows:
+            x = batch.column("x").flatten().to_numpy().reshape(batch.num_rows, -1)
+            yield x, batch.column("y").to_numpy(), batch.column("count").to_numpy()
+
+
+# Batches whose sums a task holds before it makes them one.
+_HELD = 64
+
+
+def _sums_of_table(table: DataFrame, model: Model, grown: Tree, depth: int) -> Sums:
+    """The sums over a whole table. Each task sends its own, which are short: a feature of a candidate has some hundred values at most."""
+    sent = table.sparkSession.sparkContext.broadcast((model, grown))
+    names = ["node", "feature", "value", "g", "h"]
+
+    def summed(batches):
+        held: list[Sums] = []
+        for x, y, count in _arrays(batches):
+            held.append(_sums(x, y, count, *sent.value, depth))
+            if len(held) == _HELD:
+                held = [_merged(held)]
+        if held:
+            s = _merged(held)
+            yield pa.record_batch([pa.array(part) for part in (s.node, s.feature, s.value, s.g, s.h)], names=names)
+
+    found = table.mapInArrow(summed, "node long, feature long, value double, g long, h long").toArrow()
+    sent.destroy()
+    return _merged([Sums(*[found[name].to_numpy() for name in names])])
+
+
+def _thresholds(table: DataFrame, model: Model, precision: float) -> dict[str, float]:
+    """Each kind's threshold on the rows of `table`, from at most `_STEPS` + 1 steps of the score."""
+    sent = table.sparkSession.sparkContext.broadcast(model)
+
+    def scored(batches):
+        for x, y, count in _arrays(batches):
+            step = np.floor(sent.value.score(x) * _STEPS).astype(np.int64)
+            kind = x[:, 0].astype(np.int64)
+            hits = y.astype(np.int64) * count
+            yield pa.record_batch([pa.array(a) for a in (kind, step, hits, count)], names=["kind", "step", "hits", "count"])
+
+    steps = table.mapInArrow(scored, "kind long, step long, hits long, count long")
+    found = steps.groupBy("kind", "step").agg(F.sum("hits").alias("hits"), F.sum("count").alias("count")).toArrow()
+    sent.destroy()
+    kinds, step, hits, count = (found[name].to_numpy() for name in ("kind", "step", "hits", "count"))
+    return {
+        kind: _threshold(step[kinds == k] / _STEPS, hits[kinds == k], precision, count[kinds == k])
+        for k, kind in enumerate(KINDS)
+    }
+
+
 def fit(docs: DataFrame, p: Boosting = Boosting(), *, doc_id: str = "doc_id", text: str = "text") -> Model:
-    """Fit trees and thresholds on candidates of a bounded sample of texts, those with the smallest hash of their id.
+    """Fit trees and thresholds on the candidates of all texts, or, with `most_docs`, of those with the smallest hash of their id.
 
     Nobody labels personal data here, so a candidate counts as true if it agrees with a span of the fixed formats on
     four fifths of their joint length; the trees carry that over to spellings the formats do not cover. A third of
-    the documents calibrates the thresholds. Without true candidates nothing is added to the fixed formats.
+    the documents calibrates the thresholds. Equal candidates are one row with their number; each level of a tree is grown from
+    sums that Spark makes over all of them. Without true candidates nothing is added to the fixed formats.
     """
-    ids = docs.select(F.col(doc_id).alias("doc")).filter("doc IS NOT NULL").distinct()
-    chosen = ids.orderBy(F.xxhash64("doc", F.lit(5)), "doc").limit(p.most_docs)
-    texts = docs.select(F.col(doc_id).alias("doc"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    # `chosen` has at most `most_docs` ids, whatever the table holds.
-    sample = texts.join(F.broadcast(staged(chosen, "sampled")), "doc")
+    texts = docs.select(F.col(doc_id).alias("doc"), F.coalesce(F.col(text), F.lit("")).alias("text")).filter("doc IS NOT NULL")
+    if p.most_docs is not None:
+        chosen = texts.select("doc").distinct().orderBy(F.xxhash64("doc", F.lit(5)), "doc").limit(p.most_docs)
+        texts = texts.join(staged(chosen, "sampled"), "doc")
 
     def rows(batches):
         for batch in batches:
@@ -244,32 +361,20 @@ def fit(docs: DataFrame, p: Boosting = Boosting(), *, doc_id: str = "doc_id", te
                         k == kind and min(e, end) - max(s, start) >= 0.8 * (max(e, end) - min(s, start))
                         for k, s, e in true
                     )
-                    out.append((doc, float(y), features(value, kind, start, end)))
+                    out.append((doc % 3 == 0, float(y), features(value, kind, start, end)))
             if out:
-                doc, y, x = zip(*out)
+                held, y, x = zip(*out)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(doc, pa.int64()), pa.array(y, pa.float64()), pa.array(x, pa.list_(pa.float64()))],
-                    names=["doc", "y", "x"],
+                    [pa.array(held, pa.bool_()), pa.array(y, pa.float64()), pa.array(x, pa.list_(pa.float64()))],
+                    names=["held", "y", "x"],
                 )
 
-    most = 4 * p.most_docs
-    found = (
-        sample.mapInArrow(rows, "doc long, y double, x array<double>")
-        .orderBy(F.xxhash64("doc"), "doc", "x", "y")
-        .limit(most)
-        .toPandas()
-    )
-    if not len(found) or found["y"].sum() == 0:
+    found = texts.mapInArrow(rows, "held boolean, y double, x array<double>")
+    table = staged(found.groupBy("held", "y", "x").agg(F.count(F.lit(1)).alias("count")), "candidates")
+    if table.filter("y > 0").isEmpty():
         return Model()
-    x, y = np.array(found["x"].tolist(), float), found["y"].to_numpy()
-    held = found["doc"].to_numpy() % 3 == 0
-    model = boost(x[~held], y[~held], p)
-    score = model.score(x[held])
-    kinds = x[held][:, 0]
-    thresholds = {
-        kind: _threshold(score[kinds == k], y[held][kinds == k], p.precision) for k, kind in enumerate(KINDS)
-    }
-    return Model(model.trees, thresholds)
+    model = _boosted(lambda *at: _sums_of_table(table.filter("NOT held"), *at), p)
+    return Model(model.trees, _thresholds(table.filter("held"), model, p.precision))
 
 
 def spans_of(text: str, model: Model) -> list[tuple[str, int, int, bool, float]]:

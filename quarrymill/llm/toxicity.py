@@ -3,34 +3,40 @@
 from __future__ import annotations
 
 import functools
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import groupby
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from quarrymill.llm.bytewords import ALPHANUMERIC, Words, mix, slices
-from quarrymill.llm.common import mapped, staged
+from quarrymill.llm.common import bounded, mapped, shared_path, staged
 
 BUCKET_BITS = 18
 # First bytes of a word that are features as well, for languages that inflect.
 STEM_BYTES = (4, 5)
+# Changes of a coordinate are added up as multiples of 2**-40, so that no order of slabs or tasks alters the sum.
+_UNIT = 2.0**40
 
 
 @dataclass(frozen=True)
 class Ftrl:
-    """Parameters of the learner. `most_rows` bounds the labelled rows of each class that it is fitted on."""
+    """Parameters of the learner, which goes through about `slab_rows` rows one after the other in each of its slabs.
+
+    It is fitted on all labelled rows; a caller may set `most_rows` to bound those of each class.
+    """
 
     alpha: float = 1.0
     beta: float = 1.0
     l1: float = 6.0
     l2: float = 0.1
     epochs: int = 8
-    most_rows: int = 4000
+    most_rows: int | None = None
+    slab_rows: int = 8000
     bits: int = BUCKET_BITS
 
 
@@ -78,7 +84,7 @@ def _bias_of(z: float, n: float, p: Ftrl) -> float:
     return -z / ((p.beta + np.sqrt(n)) / p.alpha + p.l2)
 
 
-def _pass(rows: list[tuple[np.ndarray, int]], z: np.ndarray, n: np.ndarray, p: Ftrl) -> None:
+def _pass(rows: Iterable[tuple[np.ndarray, int]], z: np.ndarray, n: np.ndarray, p: Ftrl) -> None:
     """One pass of FTRL-proximal over rows, changing z and n in place. The last coordinate is the bias, without L1."""
     for buckets, label in rows:
         zi, ni = z[buckets], n[buckets]
@@ -95,18 +101,25 @@ def _pass(rows: list[tuple[np.ndarray, int]], z: np.ndarray, n: np.ndarray, p: F
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, wanted: Column, p: Ftrl, doc_id: str, text: str) -> DataFrame:
-    """doc, label, text: the distinct texts of at most `most_rows` labelled ids of each class, those of smallest hash."""
+    """doc, label, text, slab: the distinct texts of the labelled ids, dealt into slabs by a hash; each slab lies in one partition.
+
+    With `most_rows`, of at most so many ids of each class, those of smallest hash.
+    """
     known = (
         labels.filter(wanted & F.col("toxic").isNotNull() & F.col(doc_id).isNotNull())
         .groupBy(F.col(doc_id).alias("doc"))
         .agg(F.max(F.col("toxic").cast("int")).alias("label"))
     )
-    order = F.xxhash64("doc", F.lit(7))
-    chosen = known.filter("label = 1").orderBy(order, "doc").limit(p.most_rows)
-    chosen = chosen.unionByName(known.filter("label = 0").orderBy(order, "doc").limit(p.most_rows))
+    if p.most_rows is not None:
+        order, all_known = F.xxhash64("doc", F.lit(7)), known
+        known = all_known.filter("label = 1").orderBy(order, "doc").limit(p.most_rows)
+        known = known.unionByName(all_known.filter("label = 0").orderBy(order, "doc").limit(p.most_rows))
+    known = staged(known, "labelled")
+    slabs = max(1, -(-known.count() // p.slab_rows))
     texts = docs.select(F.col(doc_id).alias("doc"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    # `chosen` has at most 2 * most_rows rows of 12 bytes, whatever the tables hold.
-    return texts.join(F.broadcast(staged(chosen, "labelled")), "doc").dropDuplicates(["doc", "text"])
+    slab = F.pmod(F.xxhash64("doc", "text", F.lit(13)), F.lit(slabs)).cast("int")
+    rows = texts.join(bounded(known), "doc").withColumn("slab", slab)
+    return rows.repartition(slabs, "slab").dropDuplicates(["slab", "doc", "text"]).select("doc", "label", "text", "slab")
 
 
 def _bounded(table: DataFrame, sizes: dict[int, int], most: int) -> DataFrame:
@@ -118,6 +131,22 @@ def _bounded(table: DataFrame, sizes: dict[int, int], most: int) -> DataFrame:
     return functools.reduce(DataFrame.unionByName, parts)
 
 
+def _examples(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, int]]:
+    """(slab, buckets, label) of every row."""
+    for batch in batches:
+        lists, slabs, labels = batch.column("buckets"), batch.column("slab").to_pylist(), batch.column("label").to_pylist()
+        bounds, values = lists.offsets.to_numpy(), lists.values.to_numpy().astype(np.int64)
+        for k, (slab, label) in enumerate(zip(slabs, labels)):
+            yield slab, values[bounds[k] : bounds[k + 1]], label
+
+
+def _in_slabs(table: DataFrame, order: list[Column | str]) -> DataFrame:
+    """`table` stored as one file per slab, in this order."""
+    path = shared_path(table.sparkSession, "slabs")
+    table.sortWithinPartitions("slab", *order).drop("order").write.partitionBy("slab").parquet(path)
+    return table.sparkSession.read.schema(table.drop("order").schema).parquet(path)
+
+
 def fit(
     docs: DataFrame,
     labels: DataFrame,
@@ -127,40 +156,72 @@ def fit(
     doc_id: str = "doc_id",
     text: str = "text",
 ) -> Weights:
-    """Fit on a bounded sample of the labelled rows for which `wanted` holds.
+    """Fit on all labelled rows for which `wanted` holds, or as many as `p` asks for.
 
-    Features are made in parallel; the learner itself is sequential, so one task goes through the sample's features,
-    at most `most_rows` distinct texts of each class, however often an id or a text repeats. Without rows of both classes all weights are 0 and every text scores a half.
+    The rows are dealt into slabs of one size, whatever their number. In each epoch every slab is passed by the sequential
+    learner from the same state, all slabs in parallel; the next state is the mean of theirs by rows. One slab is plain FTRL. A
+    slab of more than one Parquet row group may be passed in parts, each of which counts by its rows. Distinct texts
+    of an id count once, however often they repeat. Without rows of both classes all weights are 0 and every text scores a half.
     """
     bits, size = p.bits, (1 << p.bits) + 1
+    spark = docs.sparkSession
 
     def featurize(batches):
         for batch in batches:
             found = [x.astype(np.int32) for x in _row_features(batch.column("text"), bits)]
+            kept = [batch.column(name) for name in ("doc", "label", "order", "slab")]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc"), batch.column("label"), pa.array(found, pa.list_(pa.int32()))],
-                names=["doc", "label", "buckets"],
+                [*kept, pa.array(found, pa.list_(pa.int32()))], names=["doc", "label", "order", "slab", "buckets"]
             )
 
-    def learn(rows: pd.DataFrame) -> pd.DataFrame:
-        z, n = np.zeros(size), np.zeros(size)
-        rows = rows.sort_values(["order", "doc"])
-        for _ in range(p.epochs):
-            _pass(list(zip(rows["buckets"], rows["label"])), z, n, p)
-        w = np.append(_weights_of(z[:-1], n[:-1], p), _bias_of(z[-1], n[-1], p))
-        at = np.append(np.flatnonzero(w[:-1]), size - 1)
-        return pd.DataFrame({"at": at, "weight": w[at]})
-
-    rows = training_rows(docs, labels, wanted, p, doc_id, text)
-    table = staged(rows.mapInArrow(featurize, "doc bigint, label int, buckets array<int>"), "features")
+    order = [F.xxhash64("doc", F.lit(11)), "doc", "order"]
+    rows = training_rows(docs, labels, wanted, p, doc_id, text).withColumn("order", F.xxhash64("text"))
+    made = rows.mapInArrow(featurize, "doc bigint, label int, order bigint, slab int, buckets array<int>")
+    table = _in_slabs(made.select("label", "buckets", "doc", "order", "slab"), order)
     sizes = {r["label"]: r["count"] for r in table.groupBy("label").count().collect()}
     if len(sizes) < 2:
         return Weights(np.zeros(0, np.int64), np.zeros(0), 0.0, bits)
-    table = _bounded(table, sizes, p.most_rows)
-    ordered = table.select("doc", "label", "buckets", F.xxhash64("doc", F.lit(11)).alias("order"), F.lit(0).alias("all"))
-    found = ordered.groupBy("all").applyInPandas(learn, "at bigint, weight double").toPandas().sort_values("at")
-    at, weight = found["at"].to_numpy(), found["weight"].to_numpy()
-    return Weights(at[:-1], weight[:-1], float(weight[-1]), bits)
+    if p.most_rows is not None and max(sizes.values()) > p.most_rows:
+        fewer = _bounded(table, sizes, p.most_rows).repartition("slab")
+        table = _in_slabs(fewer, [*order[:2], "buckets"])
+        sizes = {r["label"]: r["count"] for r in table.groupBy("label").count().collect()}
+    total = sum(sizes.values())
+    examples = table.select("label", "buckets", "slab")
+
+    z, n = np.zeros(size), np.zeros(size)
+    for _ in range(p.epochs):
+        sent = spark.sparkContext.broadcast((z, n))
+
+        def passed(batches):
+            z0, n0 = sent.value
+            changed = np.zeros((2, size), np.int64)
+            for _, rows in groupby(_examples(batches), key=lambda row: row[0]):
+                z, n, count = z0.copy(), n0.copy(), 0
+
+                def counted():
+                    nonlocal count
+                    for _, buckets, label in rows:
+                        count += 1
+                        yield buckets, label
+
+                _pass(counted(), z, n, p)
+                share = count / total * _UNIT
+                changed += np.rint(np.stack([z - z0, n - n0]) * share).astype(np.int64)
+            at = np.flatnonzero(changed.any(axis=0))
+            for low in range(0, len(at), 1 << 16):
+                own = at[low : low + (1 << 16)]
+                yield pa.record_batch([pa.array(own), *[pa.array(c[own]) for c in changed]], names=["at", "z", "n"])
+
+        changes = examples.mapInArrow(passed, "at bigint, z bigint, n bigint")
+        # At most 2**bits + 1 rows.
+        found = changes.groupBy("at").agg(F.sum("z").alias("z"), F.sum("n").alias("n")).toArrow()
+        at = found["at"].to_numpy()
+        z[at] += found["z"].to_numpy() / _UNIT
+        n[at] += found["n"].to_numpy() / _UNIT
+        sent.destroy()
+    w, bias = _weights_of(z[:-1], n[:-1], p), _bias_of(z[-1], n[-1], p)
+    at = np.flatnonzero(w)
+    return Weights(at, w[at], float(bias), bits)
 
 
 def score(docs: DataFrame, weights: Weights, *, text: str = "text", out: str = "score") -> DataFrame:

@@ -301,3 +301,63 @@ def test_rare_ngrams_of_a_large_corpus_are_in_the_model(llm, texts):
         w = [*brute.words(dict(rows)[r.doc_id], brute.NOT_BLANK), brute.END]
         expected = sum(math.log10(probability(tuple(w[max(0, i - 2) : i]), x)) for i, x in enumerate(w))
         assert math.isclose(r.score, expected, rel_tol=1e-9), r
+
+
+def _beyond(docs, seed, most):
+    """Ids that a choice of the `most` smallest hashes passes over."""
+    order = [F.xxhash64("doc_id", F.lit(seed)), "doc_id"]
+    return {r.doc_id for r in docs.select("doc_id").orderBy(*order).offset(most).collect()}
+
+
+def test_toxicity_learns_from_every_labelled_row(llm):
+    """More labelled rows than one slab holds; a word that only some late ones have."""
+    ids = llm.range(9_000).toDF("doc_id")
+    labels = ids.selectExpr("doc_id", "cast(doc_id % 2 as int) AS toxic")
+    late = _beyond(labels.filter("toxic = 1"), 7, 4000)
+    assert len(late) == 500
+    said = F.when(F.col("doc_id").isin(*late), "vile thing").when(F.col("doc_id") % 2 == 1, "utter moron").otherwise("kind words")
+    docs = ids.withColumn("text", said)
+    weights = toxicity.fit(docs, labels, F.lit(True))
+    scored = toxicity.score(docs, weights).groupBy("text").agg(F.min("score"), F.max("score"))
+    got = {text: (low, high) for text, low, high in scored.collect()}
+    assert got["vile thing"][0] > 0.7 and got["utter moron"][0] > 0.7 > 0.3 > got["kind words"][1]
+    again = toxicity.fit(docs, labels, F.lit(True))
+    assert np.array_equal(weights.buckets, again.buckets) and np.array_equal(weights.values, again.values)
+
+
+def test_one_slab_is_plain_ftrl_and_more_are_its_mean(llm, texts):
+    docs = texts(*[(k, "utter moron" if k % 3 else "fine words") for k in range(90)])
+    labels = llm.createDataFrame([(k, int(k % 3 > 0)) for k in range(90)], "doc_id long, toxic int")
+    p = toxicity.Ftrl(l1=0.1, bits=10, epochs=3)
+    rows = docs.join(labels, "doc_id").orderBy(F.xxhash64("doc_id", F.lit(11)), "doc_id").collect()
+    found = toxicity._row_features(pa.array([r.text for r in rows]), p.bits)
+    given = list(zip(found, [r.toxic for r in rows]))
+    z, n = np.zeros((1 << p.bits) + 1), np.zeros((1 << p.bits) + 1)
+    for _ in range(p.epochs):
+        toxicity._pass(given, z, n, p)
+    weights = toxicity.fit(docs, labels, F.lit(True), p)
+    assert np.allclose(weights.dense(), toxicity._weights_of(z[:-1], n[:-1], p), atol=1e-6)
+    assert math.isclose(weights.bias, toxicity._bias_of(z[-1], n[-1], p), abs_tol=1e-6)
+    several = toxicity.fit(docs, labels, F.lit(True), toxicity.Ftrl(l1=0.1, bits=10, epochs=3, slab_rows=30))
+    assert np.array_equal(np.sign(several.dense()), np.sign(weights.dense()))
+
+
+def test_personal_data_is_learned_from_every_text(llm):
+    """Only texts that a choice of 12,000 would pass over hold any."""
+    ids = llm.range(12_300).toDF("doc_id")
+    late = _beyond(ids, 5, 12_000)
+    docs = ids.withColumn("text", F.when(F.col("doc_id").isin(*late), F.format_string("mail a%s@y.zz", "doc_id")).otherwise("none"))
+    model = pii.fit(docs, pii.Boosting(trees=2))
+    assert len(model.trees) == 2 and model.thresholds["email"] <= 1
+
+
+def test_trees_on_a_table_are_those_on_its_rows(llm):
+    rng = np.random.default_rng(5)
+    x = rng.integers(0, 4, (800, 5)).astype(float)
+    y = ((x[:, 0] > 1) ^ (x[:, 1] > 2)).astype(float)
+    p = pii.Boosting(trees=3)
+    rows = llm.createDataFrame([(v.tolist(), float(t)) for v, t in zip(x, y)], "x array<double>, y double")
+    table = rows.repartition(5).groupBy("x", "y").agg(F.count(F.lit(1)).alias("count"))
+    one, two = pii.boost(x, y, p), pii._boosted(lambda *at: pii._sums_of_table(table, *at), p)
+    for a, b in zip(one.trees, two.trees):
+        assert np.array_equal(a.feature, b.feature) and np.array_equal(a.cut, b.cut) and np.array_equal(a.leaf, b.leaf)
