@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from quarrymill.operators.skew import own_shuffle
@@ -13,6 +13,8 @@ from quarrymill.session import remove_folder, shared_dir
 
 # Levels of a search that are searched one by one before what is left of the graph is contracted.
 _LEVELS_APART = 6
+# One in so many nodes of a chain is a stop, by a hash of its id.
+_BETWEEN_STOPS = 16
 
 
 def graph_ancestors(
@@ -104,13 +106,35 @@ def _reach(steps: DataFrame, start: DataFrame, id_col: str, stored: bool) -> Dat
     return scratch.read(start.select(F.col(id_col).alias("id")), *levels)
 
 
+def _jumped(scratch: Scratch, heads: DataFrame, links: int, jumps: int, passed: Column | None = None) -> DataFrame:
+    """(id, head) with every pointer moved on until its head has no pointer, or none that is to be `passed`.
+
+    Pointers reach `jumps` + 1 times as far each round. Those that have come to their end take no further part; others still jump over them.
+    Pointers that have found no end when they reach over all links are on closed cycles, which nothing leads into.
+    """
+    ended, moving, left, reach = [], heads, links, 1
+    while left and reach <= links:
+        known = reduce(DataFrame.unionByName, [*ended, moving])
+        over = known if passed is None else known.filter(passed)
+        over = over.select(F.col("id").alias("head"), F.col("head").alias("next"))
+        found = moving
+        for _ in range(jumps):
+            found = found.select("id", "head").join(over, "head", "left")
+            found = found.select("id", F.coalesce("next", "head").alias("head"), F.col("next").isNotNull().alias("on"))
+        found, left = scratch.write_counting(found.withColumn("far_on", F.col("on")), "far_on")
+        ended.append(found.filter("NOT on").select("id", "head"))
+        moving = found.filter("on").select("id", "head")
+        reach *= jumps + 1
+    return reduce(DataFrame.unionByName, [*ended, moving])
+
+
 def _contracted(scratch: Scratch, edges: DataFrame, newest: DataFrame, hanging: list[DataFrame]) -> DataFrame:
     """Fewer edges that lead from `newest` to the same places, without leaves and without the inner nodes of chains.
 
     Edges out of nodes that no edge leads to are left out, unless they begin at `newest`, which no edge leads to either.
     What is taken out goes to `hanging` as (id, head): `id` is reached exactly if one of its heads is. Leaves hang on the nodes that lead to them. A node
     with one edge in and one out hangs on the nearest node before it that is none, which pointers find that
-    jump over each other, four times as far each round. Repeated while it takes out a quarter of the edges, as leaves gone make new chains.
+    jump over each other (`_jumped`). Repeated while it takes out a quarter of the edges, as leaves gone make new chains.
     """
     edges, many, _ = scratch.write(edges)
     begin = newest.select(F.col("id").alias("near"))
@@ -127,17 +151,15 @@ def _contracted(scratch: Scratch, edges: DataFrame, newest: DataFrame, hanging:
         into = inner.groupBy(F.col("far").alias("id")).agg(F.count(F.lit(1)).alias("into"), F.min("near").alias("head"))
         chain = into.filter("into = 1").join(out.filter("out = 1"), "id")
         chain, links, _ = scratch.write(chain.select("id", "head"))
-        heads, jumped, reach = chain, links, 1
-        # Pointers that have found no end when they reach over all links are on closed cycles, which nothing leads into.
-        while jumped and reach <= links:
-            for _ in range(2):
-                over = heads.select(F.col("id").alias("head"), F.col("head").alias("next"))
-                heads = heads.select("id", "head").join(over, "head", "left")
-                heads = heads.select("id", F.coalesce("next", "head").alias("head"), F.col("next").isNotNull().alias("far_on"))
-            heads, jumped = scratch.write_counting(heads, "far_on")
-            reach *= 4
-        ends = chain.select(F.col("id").alias("head"))
-        hanging.append(heads.join(ends, "head", "left_anti").select("id", "head"))
+        heads = chain
+        if links:
+            # First to the nearest stop before each node, then from stop to stop: few pointers have a long way.
+            stop = F.pmod(F.xxhash64("id"), F.lit(_BETWEEN_STOPS)) == 0
+            near_stop = _jumped(scratch, chain, links, 3, ~stop)
+            last = _jumped(scratch, near_stop.filter(stop), links, 5).select(F.col("id").alias("head"), F.col("head").alias("last"))
+            heads, _, _ = scratch.write(near_stop.join(last, "head", "left").select("id", F.coalesce("last", "head").alias("head")))
+            ends = chain.select(F.col("id").alias("head"))
+            hanging.append(heads.join(ends, "head", "left_anti").select("id", "head"))
         shortened = (
             inner.join(chain.select(F.col("id").alias("far")), "far", "left_anti")
             .join(heads.select(F.col("id").alias("near"), "head"), "near", "left")

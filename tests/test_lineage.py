@@ -73,3 +73,19 @@ def test_many_selections_agree_with_one_search_each(frame):
 def test_selections_beyond_the_bits_are_refused(frame):
     with pytest.raises(Exception, match="numbered from 0 to 63"):
         lineage.reach_many(frame("upstream long, downstream long", (1, 2)), frame("selection int, id long", (64, 1)))
+
+
+def test_pointers_at_their_end_are_not_moved_again(spark, monkeypatch):
+    """The rounds on one long chain together move a few pointers per node, however many rounds there are."""
+    moved = []
+    counting = lineage.Scratch.write_counting
+
+    def counted(self, df, mark):
+        table, marked = counting(self, df, mark)
+        moved.append(table.count())
+        return table, marked
+
+    monkeypatch.setattr(lineage.Scratch, "write_counting", counted)
+    edges = spark.range(20_000).selectExpr("id AS upstream", "id + 1 AS downstream")
+    assert lineage.graph_descendants(edges, spark.range(1)).count() == 20_001
+    assert len(moved) > 6 and sum(moved) < 5 * 20_000
