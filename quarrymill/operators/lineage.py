@@ -175,18 +175,23 @@ def _contracted(scratch: Scratch, edges: DataFrame, newest: DataFrame, hanging:
 MOST_SELECTIONS = 64
 
 
-def reach_many(edges: DataFrame, starts: DataFrame, upstream: bool = False, id_col: str = "id") -> DataFrame:
+def reach_many(
+    edges: DataFrame, starts: DataFrame, upstream: bool = False, id_col: str = "id", edges_are_stored: bool = False
+) -> DataFrame:
     """(selection, id) of everything each of several selections leads to, by one search for all of them.
 
     `starts` has rows of (selection, id), with selections numbered from 0 to 63. A node carries a bit per selection that has reached it. Each
     round sends on only the bits that are new to a node; they are or-ed map-side, so that a node which many edges lead to is a row per
-    task, and the edges are read once a level for all selections together. The start nodes belong to their selections.
+    task, and the edges are read once a level for all selections together. Computed edges are stored first, unless `edges_are_stored`; an edge
+    that comes twice changes nothing. The start nodes belong to their selections.
     """
     spark = edges.sparkSession
     scratch = Scratch(spark)
     near, far = ("downstream", "upstream") if upstream else ("upstream", "downstream")
     steps = edges.filter("upstream is not null and downstream is not null")
-    steps, _, _ = scratch.write(steps.select(F.col(near).alias("near"), F.col(far).alias("far")).distinct())
+    steps = steps.select(F.col(near).alias("near"), F.col(far).alias("far"))
+    if not edges_are_stored:
+        steps, _, _ = scratch.write(steps)
     wrong = ~F.coalesce(F.col("selection").between(0, MOST_SELECTIONS - 1), F.lit(False))
     bit = F.when(wrong, F.raise_error(F.lit(f"selections are numbered from 0 to {MOST_SELECTIONS - 1}"))).otherwise(
         F.expr("shiftleft(1L, int(selection))")

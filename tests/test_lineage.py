@@ -89,3 +89,14 @@ def test_pointers_at_their_end_are_not_moved_again(spark, monkeypatch):
     edges = spark.range(20_000).selectExpr("id AS upstream", "id + 1 AS downstream")
     assert lineage.graph_descendants(edges, spark.range(1)).count() == 20_001
     assert len(moved) > 6 and sum(moved) < 5 * 20_000
+
+
+def test_stored_edges_are_neither_stored_again_nor_made_distinct(spark, frame, monkeypatch):
+    written = []
+    write = lineage.Scratch.write
+    monkeypatch.setattr(lineage.Scratch, "write", lambda self, df: written.append(df.columns) or write(self, df))
+    edges, _, _ = lineage.Scratch(spark).write(frame("upstream long, downstream long", (1, 2), (1, 2), (2, 3)))
+    written.clear()
+    found = lineage.reach_many(edges, frame("selection int, id long", (0, 1), (5, 2)), edges_are_stored=True)
+    assert sorted(map(tuple, found.collect())) == [(0, 1), (0, 2), (0, 3), (5, 2), (5, 3)]
+    assert all(columns == ["id", "bits"] for columns in written)
