@@ -33,6 +33,10 @@ def _write_csv(df: DataFrame, path: str) -> str:
     return path
 
 
+# Stored bytes of a table that go into one file whose fields hold line breaks.
+_FILE_BYTES = 256 << 20
+
+
 # --- CSV --------------------------------------------------------------------------------------
 
 
@@ -51,9 +55,14 @@ def scan_csv_seed(spark, sf_dir):
     "select doc_id, nullif(text, '') as text, lang, source, n_chars from documents",
 )
 def scan_csv_breaks(spark, sf_dir):
-    """Whole documents in one file, read by as many tasks as it has splits although fields hold line breaks."""
-    one_file = load(spark, sf_dir, "documents").coalesce(1)
-    return csv_seed.scan_csv_seed(spark, _write_csv(one_file, _landing(spark, "breaks") + ".csv"), split=True)
+    """Whole documents in one file, read by as many tasks as it has splits although fields hold line breaks.
+
+    A file is written by one task, so that tables of more than `_FILE_BYTES` become several files, each still of many splits.
+    """
+    documents = load(spark, sf_dir, "documents")
+    size = spark.read.format("binaryFile").load(f"{sf_dir}/documents.parquet").agg(F.sum("length")).first()[0] or 0
+    files = documents.coalesce(max(1, -(-size // _FILE_BYTES)))
+    return csv_seed.scan_csv_seed(spark, _write_csv(files, _landing(spark, "breaks") + ".csv"), split=True)
 
 
 @query(

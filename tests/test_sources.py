@@ -359,3 +359,16 @@ def test_even_database_scan_reads_every_row_once(monkeypatch, spark, frame):
     found = records.scan_jdbc_full(spark, "jdbc:x", "even_orders", "id", 10, even=True)
     assert sorted(found.collect(), key=repr) == sorted(orders.collect(), key=repr)
     assert len(sizes) >= 8 and max(sizes) <= 2 * 621 // 10
+
+
+def test_a_file_with_breaks_is_of_bounded_size(spark, monkeypatch):
+    from quarrymill.plans import source_queries
+
+    written = []
+    write = source_queries._write_csv
+    monkeypatch.setattr(source_queries, "_write_csv", lambda df, path: written.append(write(df, path)) or written[-1])
+    monkeypatch.setattr(source_queries, "_FILE_BYTES", 4 << 20)
+    sf_dir = "/root/testdata/sf0.1"
+    found = source_queries.scan_csv_breaks(spark, sf_dir)
+    assert found.count() == spark.read.parquet(f"{sf_dir}/documents.parquet").count()
+    assert spark.read.format("binaryFile").load(written[0]).count() > 1
