@@ -119,7 +119,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, wanted: Column, p: Ftrl, d
     texts = docs.select(F.col(doc_id).alias("doc"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     slab = F.pmod(F.xxhash64("doc", "text", F.lit(13)), F.lit(slabs)).cast("int")
     rows = texts.join(bounded(known), "doc").withColumn("slab", slab)
-    return rows.repartition(slabs, "slab").dropDuplicates(["slab", "doc", "text"]).select("doc", "label", "text", "slab")
+    # More partitions than slabs, so that few have to hold several slabs at once.
+    return rows.repartition(4 * slabs, "slab").dropDuplicates(["slab", "doc", "text"]).select("doc", "label", "text", "slab")
 
 
 def _bounded(table: DataFrame, sizes: dict[int, int], most: int) -> DataFrame:
@@ -141,9 +142,13 @@ def _examples(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarr
 
 
 def _in_slabs(table: DataFrame, order: list[Column | str]) -> DataFrame:
-    """`table` stored as one file per slab, in this order."""
+    """`table` stored as one file per slab, in this order.
+
+    The buckets of a text ascend, so they are stored as differences, in half the space.
+    """
     path = shared_path(table.sparkSession, "slabs")
-    table.sortWithinPartitions("slab", *order).drop("order").write.partitionBy("slab").parquet(path)
+    writer = table.sortWithinPartitions("slab", *order).drop("order").write.partitionBy("slab")
+    writer.option("parquet.writer.version", "PARQUET_2_0").option("parquet.enable.dictionary", "false").parquet(path)
     return table.sparkSession.read.schema(table.drop("order").schema).parquet(path)
 
 
@@ -186,7 +191,8 @@ def fit(
         table = _in_slabs(fewer, [*order[:2], "buckets"])
         sizes = {r["label"]: r["count"] for r in table.groupBy("label").count().collect()}
     total = sum(sizes.values())
-    examples = table.select("label", "buckets", "slab")
+    # A task adds up the changes of its slabs before they are shuffled: a row per coordinate and task, however many slabs.
+    examples = table.select("label", "buckets", "slab").coalesce(spark.sparkContext.defaultParallelism)
 
     z, n = np.zeros(size), np.zeros(size)
     for _ in range(p.epochs):

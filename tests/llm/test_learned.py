@@ -3,6 +3,7 @@
 import functools
 import math
 import random
+from pathlib import Path
 
 import brute
 import numpy as np
@@ -53,6 +54,28 @@ def test_toxicity_on_held_out_labels(llm):
     assert hit / held.toxic.sum() > 0.7 and hit / held.predicted.sum() > 0.9
 
 
+def test_stored_buckets_take_little_space(llm):
+    rng = np.random.default_rng(1)
+    rows = [(k % 2, np.unique(rng.integers(0, 1 << 18, 1000)).tolist(), k, k, k % 3) for k in range(300)]
+    table = llm.createDataFrame(rows, "label int, buckets array<int>, doc long, order long, slab int")
+    stored = toxicity._in_slabs(table.repartition("slab"), ["doc", "order"])
+    assert sorted((r.doc, r.buckets) for r in stored.collect()) == sorted((r[2], r[1]) for r in rows)
+    files = [Path(name.removeprefix("file:").replace("///", "/")) for name in stored.inputFiles()]
+    assert sum(file.stat().st_size for file in files) < 2 * 300 * 1000
+
+
+def test_slabs_of_a_task_are_added_up_before_the_shuffle(llm, texts, conf, monkeypatch):
+    conf(spark__sql__files__maxPartitionBytes="64k")
+    docs = texts(*[(k, "you utter moron" if k % 2 else "fine words here") for k in range(400)])
+    labels = llm.createDataFrame([(k, k % 2) for k in range(400)], "doc_id long, toxic int")
+    seen = []
+    own = type(docs).groupBy
+    monkeypatch.setattr(type(docs), "groupBy", lambda self, *keys: (seen.append(self) if str(keys) == "('at',)" else None) or own(self, *keys))
+    toxicity.fit(docs, labels, F.lit(True), toxicity.Ftrl(slab_rows=10, epochs=1))
+    (changes,) = seen
+    assert changes.rdd.getNumPartitions() <= llm.sparkContext.defaultParallelism
+
+
 def test_toxicity_edge_cases(llm, texts, long_text):
     rows = [(k, "you utter moron" if k % 2 else "fine words here") for k in range(60)]
     rows += [(100, None), (101, ""), (102, long_text), (103, long_text + " moron"), (None, "moron"), (1, "you utter moron")]
