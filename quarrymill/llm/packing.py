@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import json
 import re
+import sys
+from array import array
+from collections.abc import Iterator
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,10 +26,14 @@ LINEAR, QUADRATIC = 1.0, 1.0 / 4096
 
 # The splitting pattern of the tokenizer file for texts of these characters, in lower case.
 _PLAIN = re.compile(r"[\t\n\r\x20-\x7eÀ-ÖØ-öø-ÿ]*")
-_PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-z0-9ß-öø-ÿ]+")
+# Letters and digits are tried first; no part that begins with an apostrophe begins with one of them.
+_PARTS = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[^\sa-z0-9ß-öø-ÿ]+")
+# All of these but runs of letters, for Arrow, which sets them apart by blanks.
+_APART = r"([0-9]|'(?:s|t|re|ve|m|ll|d)|[^\sa-zß-öø-ÿ0-9]+)"
 # The same pattern in full, as the tokenizer file must state it for the short way to be taken.
 _STATED = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-_MOST_CACHED = 120_000
+# Parts whose ids are kept, and as many again that were in use before them.
+_MOST_CACHED, _LONGEST_CACHED = 100_000, 64
 
 
 def _byte_letters() -> dict[int, str]:
@@ -36,20 +44,36 @@ def _byte_letters() -> dict[int, str]:
 
 
 class _Ids(dict):
-    """The ids of a part of a text as bytes, worked out when first asked for and kept, up to a number of parts."""
+    """The ids of a part of a text as bytes, worked out when first asked for and kept while in use.
+
+    When `_MOST_CACHED` are kept, they become `before`; those asked for again come back from there, the others go the next time.
+    """
 
     def __init__(self, encode):
         super().__init__()
-        self.encode = encode
+        self.encode, self.before = encode, {}
 
     def __missing__(self, part: str) -> bytes:
+        ids = self.before.get(part)
+        if ids is None:
+            ids = _as_bytes(self.encode(part))
+        if len(part) > _LONGEST_CACHED:
+            return ids
         if len(self) >= _MOST_CACHED:
+            self.before = dict(self)
             self.clear()
-        ids = np.asarray(self.encode(part), "<u4").tobytes()
         self[part] = ids
         return ids
 
 
+def _as_bytes(ids: list[int]) -> bytes:
+    """Little-endian unsigned 32-bit numbers."""
+    numbers = array("I", ids)
+    if sys.byteorder == "big":
+        numbers.byteswap()
+    return numbers.tobytes()
+
+
 class Encoder:
     """A tokenizer's ids for whole texts, the same as its own `encode`, with repeated words looked up."""
 
@@ -57,14 +81,17 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
-        stated = json.loads(tokenizer_json)
-        self.by_words = _STATED in json.dumps(stated["pre_tokenizer"], ensure_ascii=False).replace("\\\\", "\\")
-        self.special = [x["content"] for x in stated["added_tokens"]]
+        # Asked of the tokenizer, so that its file with all words is not parsed a second time.
+        stated = json.loads(self.tokenizer.pre_tokenizer.__getstate__()) if self.tokenizer.pre_tokenizer else None
+        self.by_words = _STATED in json.dumps(stated, ensure_ascii=False).replace("\\\\", "\\")
+        self.special = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
         letters = _byte_letters()
         model = self.tokenizer.model
 
         def word(part: str) -> list[int]:
-            return [t.id for t in model.tokenize("".join([letters[b] for b in part.encode()]))]
+            # Printable ASCII stands for itself.
+            written = part if part.isascii() else "".join([letters[b] for b in part.encode()])
+            return [t.id for t in model.tokenize(written)]
 
         self.words = _Ids(word)
         self.chunks = _Ids(self.whole)
@@ -74,12 +101,34 @@ class Encoder:
 
     def __call__(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit numbers."""
-        if not self.by_words or any(s in text for s in self.special):
-            return np.asarray(self.whole(text), "<u4").tobytes()
-        if _PLAIN.fullmatch(text):
-            return b"".join(map(self.words.__getitem__, _PARTS.findall(text.lower())))
-        # White space is dropped and nothing reaches across it, so the text may be cut there.
-        return b"".join(map(self._chunk, text.replace("\n", " ").split(" ")))
+        return self.all([text])[0]
+
+    def all(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text. Plain ones are split side by side by Arrow, so that a part is looked up once for all of them."""
+        out, plain = [b""] * len(texts), []
+        for k, text in enumerate(texts):
+            if not self.by_words or any(s in text for s in self.special):
+                out[k] = _as_bytes(self.whole(text))
+            elif _PLAIN.fullmatch(text):
+                plain.append(k)
+            else:
+                # White space is dropped and nothing reaches across it, so the text may be cut there.
+                out[k] = b"".join(map(self._chunk, text.replace("\n", " ").split(" ")))
+        if plain:
+            for k, ids in zip(plain, self._plain([texts[k].lower() for k in plain])):
+                out[k] = ids
+        return out
+
+    def _plain(self, lowered: list[str]) -> Iterator[bytes]:
+        spaced = pc.replace_substring_regex(pa.array(lowered, pa.large_string()), _APART, r" \1 ")
+        split = pc.ascii_split_whitespace(spaced)
+        parts = split.values.dictionary_encode()
+        ids = pa.array([self.words[part] if part else b"" for part in parts.dictionary.to_pylist()], pa.large_binary())
+        joined = ids.take(parts.indices)
+        _, offsets, data = joined.buffers()
+        bounds = np.frombuffer(offsets, np.int64)[: len(joined) + 1][split.offsets.to_numpy()].tolist()
+        data = memoryview(data) if data is not None else b""
+        return (bytes(data[low:high]) for low, high in zip(bounds, bounds[1:]))
 
     def _chunk(self, chunk: str) -> bytes:
         if _PLAIN.fullmatch(chunk):
@@ -122,8 +171,8 @@ def tokenize(
         for batch in batches:
             rows, ids = batch.column("row").to_pylist(), batch.column("doc").to_pylist()
             out = []
-            for row, doc, value in zip(rows, ids, batch.column("text")):
-                data = encode(value.as_py() or "") + end
+            for row, doc, data in zip(rows, ids, encode.all(batch.column("text").fill_null("").to_pylist())):
+                data += end
                 n = len(data) // 4
                 for at in range(0, len(data), width):
                     piece = data[at : at + width]
@@ -212,16 +261,21 @@ def pack(
         moves = place(table.column("length").to_numpy(), most)
         piece = np.array([m[0] for m in moves], np.int64)
         skip, length, at, offset = (np.array([m[k] for m in moves], np.int64) for k in range(1, 5))
-        ids = table.column("ids").to_pylist()
-        cut = [ids[p][4 * s : 4 * (s + n)] for p, s, n in zip(piece, skip, length)]
         taken = table.take(pa.array(piece))
+        ids = pa.concat_arrays(taken.column("ids").chunks)
+        parted = np.flatnonzero(length < taken.column("length").to_numpy())
+        if len(parted):
+            cuts = [ids[k].as_py()[4 * skip[k] : 4 * (skip[k] + length[k])] for k in parted.tolist()]
+            where = np.zeros(len(ids), bool)
+            where[parted] = True
+            ids = pc.replace_with_mask(ids, pa.array(where), pa.array(cuts, ids.type))
         return pa.table(
             {
                 "doc": taken.column("doc"),
                 "doc_tokens": taken.column("doc_tokens"),
                 "start": pa.array(taken.column("start").to_numpy() + skip),
                 "length": pa.array(length),
-                "ids": pa.array(cut, pa.binary()),
+                "ids": ids,
                 "sequence_id": pa.array(((key[0].as_py() << 32) + at) * 2 + 1),
                 "offset": pa.array(offset),
             }

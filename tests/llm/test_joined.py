@@ -155,6 +155,28 @@ def test_ids_are_the_tokenizers():
         assert np.frombuffer(fast(text), "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_a_part_is_looked_up_once_for_all_texts(monkeypatch):
+    source = open(queries.tokenizer_file()).read()
+    plain, fast = Tokenizer.from_str(source), packing.Encoder(source)
+    given = ["the cat's the THE, the", "", "É 12the\tthe!'s", " \n", *ODD, "we'll the'd the"]
+    looked = []
+    monkeypatch.setattr(packing._Ids, "__getitem__", lambda self, part: looked.append(part) or self.__missing__(part), raising=False)
+    found = fast.all(given)
+    assert [np.frombuffer(x, "<u4").tolist() for x in found] == [plain.encode(x, add_special_tokens=False).ids for x in given]
+    assert looked.count("the") == 1 and looked.count("'s") <= 3
+
+
+def test_parts_in_use_stay_known(monkeypatch):
+    monkeypatch.setattr(packing, "_MOST_CACHED", 4)
+    asked = []
+    ids = packing._Ids(lambda part: asked.append(part) or [len(part), 2**32 - 1])
+    for k in range(200):
+        assert ids["the"] == b"\x03\0\0\0\xff\xff\xff\xff"
+        assert len(ids[f"{k:03}" * 40]) == len(ids[f"{k}"]) == 8
+        assert len(ids) + len(ids.before) <= 8 and all(len(part) <= 64 for part in ids)
+    assert asked.count("the") == 1
+
+
 def test_sequences_hold_every_token_once(llm, texts, long_text):
     rng = random.Random(7)
     rows = [(k, " ".join(rng.choices(["the", "of", "é", "x1"], k=rng.choice([0, 1, 30, 700, 1200])))) for k in range(150)]
