@@ -33,7 +33,9 @@ _APART = r"([0-9]|'(?:s|t|re|ve|m|ll|d)|[^\sa-zß-öø-ÿ0-9]+)"
 # The same pattern in full, as the tokenizer file must state it for the short way to be taken.
 _STATED = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 # Parts whose ids are kept, and as many again that were in use before them.
-_MOST_CACHED, _LONGEST_CACHED = 100_000, 64
+_MOST_CACHED, _LONGEST_CACHED = 50_000, 64
+# Plain texts are split together up to so many letters; Arrow's copies of them are all given back after each batch.
+_TOGETHER = 1 << 20
 
 
 def _byte_letters() -> dict[int, str]:
@@ -105,17 +107,21 @@ class Encoder:
 
     def all(self, texts: list[str]) -> list[bytes]:
         """The ids of each text. Plain ones are split side by side by Arrow, so that a part is looked up once for all of them."""
-        out, plain = [b""] * len(texts), []
+        out, plain, size = [b""] * len(texts), [[]], 0
         for k, text in enumerate(texts):
             if not self.by_words or any(s in text for s in self.special):
                 out[k] = _as_bytes(self.whole(text))
             elif _PLAIN.fullmatch(text):
-                plain.append(k)
+                if size > _TOGETHER:
+                    plain.append([])
+                    size = 0
+                plain[-1].append(k)
+                size += len(text)
             else:
                 # White space is dropped and nothing reaches across it, so the text may be cut there.
                 out[k] = b"".join(map(self._chunk, text.replace("\n", " ").split(" ")))
-        if plain:
-            for k, ids in zip(plain, self._plain([texts[k].lower() for k in plain])):
+        for some in filter(None, plain):
+            for k, ids in zip(some, self._plain([texts[k].lower() for k in some])):
                 out[k] = ids
         return out
 
@@ -182,6 +188,7 @@ def tokenize(
                         out = []
             if out:
                 yield _batch(out)
+            pa.default_memory_pool().release_unused()
 
     given = docs.select(
         F.monotonically_increasing_id().alias("row"), F.col(doc_id).alias("doc"), F.col(text).alias("text")
@@ -269,6 +276,7 @@ def pack(
             where = np.zeros(len(ids), bool)
             where[parted] = True
             ids = pc.replace_with_mask(ids, pa.array(where), pa.array(cuts, ids.type))
+        pa.default_memory_pool().release_unused()
         return pa.table(
             {
                 "doc": taken.column("doc"),

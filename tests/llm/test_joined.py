@@ -164,6 +164,8 @@ def test_a_part_is_looked_up_once_for_all_texts(monkeypatch):
     found = fast.all(given)
     assert [np.frombuffer(x, "<u4").tolist() for x in found] == [plain.encode(x, add_special_tokens=False).ids for x in given]
     assert looked.count("the") == 1 and looked.count("'s") <= 3
+    monkeypatch.setattr(packing, "_TOGETHER", 5)
+    assert fast.all(given) == found and looked.count("the") > 2
 
 
 def test_parts_in_use_stay_known(monkeypatch):
