@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -66,8 +66,10 @@ def delta(comes: DataFrame, goes: DataFrame | None, totals: Totals) -> DataFrame
     return both.groupBy(exact(totals.group)).agg(*sums, *ends)
 
 
-def _settled(changes: DataFrame, stored: DataFrame | None, after: DataFrame, totals: Totals) -> DataFrame:
-    """The new rows of the groups that change.
+def _settled(
+    changes: DataFrame, stored: DataFrame | None, after: DataFrame, totals: Totals, written: Callable[[DataFrame, str], DataFrame]
+) -> DataFrame:
+    """The new rows of the groups that change. `written` stores a DataFrame under a name, so that it is worked out once.
 
     A latest value that has gone cannot be undone from totals: only for such groups the facts, as they are `after` the load, are asked.
     """
@@ -85,8 +87,11 @@ def _settled(changes: DataFrame, stored: DataFrame | None, after: DataFrame, tot
             F.lit(False),
         ).alias("\0asked"),
     )
-    asked = kept.filter("`\0asked`")
-    if not totals.latest or asked.isEmpty():
+    if totals.latest:
+        # Three jobs ask for it below, and a task that also sorted for the joins above would hold all their memory at once.
+        kept = written(kept, "kept")
+    asked = kept.filter("`\0asked`") if totals.latest else None
+    if asked is None or asked.isEmpty():
         return kept.drop("\0asked")
     seen = after.join(asked.select(group), group, "left_semi").groupBy(exact(group)).agg(
         *[F.max(F.expr(value)).alias(name) for name, value in totals.latest.items()]
@@ -107,9 +112,13 @@ def merge_with_totals(
     batch: Batch = (f"totals of {facts}", last_batch(store, facts, f"totals of {facts}") + 1 if number is None else number)
     exists = store.exists(facts)
     folder = f"{shared_dir(store.spark)}/totals_{uuid.uuid4().hex}"
-    df.write.parquet(folder)
+
+    def written(rows: DataFrame, name: str) -> DataFrame:
+        rows.write.parquet(f"{folder}/{name}")
+        return store.spark.read.schema(rows.schema).parquet(f"{folder}/{name}")
+
     try:
-        given = store.spark.read.schema(df.schema).parquet(folder)
+        given = written(df, "given")
         if exists:
             given = align(given, store.table(facts), f"merge into {facts}")
             missing = [name for name in store.table(facts).columns if name not in given.columns]
@@ -117,10 +126,10 @@ def merge_with_totals(
                 raise ValueError(f"merge into {facts}: totals need whole rows, {missing} are missing")
         require_unique(given, key, f"merge into {facts}")
         goes = rows_of_keys(store, facts, given, key) if exists else None
-        changes = delta(given, goes, totals)
+        changes = written(delta(given, goes, totals), "changes")
         stored = rows_of_keys(store, totals.table, changes, totals.group) if store.exists(totals.table) else None
         after = given if not exists else store.table(facts).join(given.select(exact(key)), key, "left_anti").unionByName(given)
-        write_merge(store, totals.table, _settled(changes, stored, after, totals), totals.group, batch=batch)
+        write_merge(store, totals.table, _settled(changes, stored, after, totals, written), totals.group, batch=batch)
         return write_merge(store, facts, given, key, batch=batch)
     finally:
         remove_folder(store.spark, folder)

@@ -91,3 +91,19 @@ def test_what_cannot_be_kept_is_refused(store, frame):
         merge_with_totals(store, "f", frame("id long, who string, x double", (1, "a", 1.0)), "id", Totals("t", "who", {"x": "x"}))
     with pytest.raises(DuplicateKeyError):
         merge_with_totals(store, "f", frame(SCHEMA, (1, "a", 1, 1), (1, "a", 1, 1)), "id", KEPT)
+
+
+def test_changes_are_worked_out_once(store, frame, monkeypatch):
+    plans, merge = [], totals_module.write_merge
+
+    def seen(store, table, df, *args, **options):
+        if table == "t":
+            plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return merge(store, table, df, *args, **options)
+
+    monkeypatch.setattr(totals_module, "write_merge", seen)
+    merge_with_totals(store, "facts", frame(SCHEMA, (1, "a", 5, 9), (2, "a", 6, 3), (3, "b", 1, 1)), "id", KEPT)
+    merge_with_totals(store, "facts", frame(SCHEMA, (1, "b", 7, 2)), "id", KEPT)
+    # The latest value of `a` has gone, so the facts are asked: they are joined with the load, they and the load with the groups, and these with what was found.
+    assert _found(store) == {"a": (1, 6, 3), "b": (2, 8, 2)}
+    assert plans[1].count("Join ") <= 4
