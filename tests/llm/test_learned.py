@@ -3,6 +3,7 @@
 import functools
 import math
 import random
+import tracemalloc
 from pathlib import Path
 
 import brute
@@ -305,6 +306,44 @@ def test_packed_numbers_come_back():
         assert (language_model.unpack_counts(language_model.pack_counts(counts)) == counts).all()
 
 
+def test_places_of_keys_in_order():
+    """Also of keys of which only the lower bits differ, which do not fit beside the places."""
+    rng = np.random.default_rng(3)
+    wide = rng.integers(0, 2**63, 3000).astype(np.uint64) * np.uint64(2)
+    for keys in (wide, rng.permutation(np.concatenate((wide, wide[:900], wide[:500] + np.uint64(1)))), wide >> np.uint64(50), wide[:1], wide[:0]):
+        assert (keys[language_model.ordered(keys)] == np.sort(keys)).all()
+        distinct, at, place = language_model.ranked(keys)
+        assert (distinct == np.unique(keys)).all() and (distinct[at] == keys).all() and (keys[place] == distinct).all()
+
+
+def test_walking_holds_one_slab_at_a_time():
+    rng = np.random.default_rng(1)
+    slabs = [[" ".join(f"w{int(k)}" for k in 20_000 * rng.random(400) ** 3) for _ in range(200)] for _ in range(3)]
+    found, longer = [], []
+    for texts in slabs:
+        grams = language_model.Grams(pa.array(texts))
+        short = language_model.Grams(pa.array(texts), 64, (1, 2))
+        assert short.keys[2] is None and all((a == b).all() for a, b in zip(short.at[:2], grams.at))
+        counts = [2 * np.bincount(at[at >= 0]) for at in grams.at]
+        asked = language_model._asked(grams, np.ones(len(grams.tokens), bool), counts[1])
+        assert asked.all()
+        parts = [{"size": n + 1, "part": 0, "counts": language_model.pack_counts(c)} for n, c in enumerate(counts)]
+        found.append(parts[:2])
+        longer.append(parts[2:])
+    total, distinct = int(counts[0].sum()), len(counts[0])
+    back = pa.list_(pa.struct([("size", pa.int32()), ("part", pa.int32()), ("counts", pa.binary())]))
+    columns = {"docs": [list(range(200))] * 3, "taughts": [[True] * 200] * 3, "texts": slabs}
+    batch = pa.record_batch({**columns, "found": pa.array(found, back), "longer": pa.array(longer, back)})
+    size = sum(map(len, slabs[0]))
+    tracemalloc.start()
+    try:
+        rows = sum(len(b) for b in language_model._walked([batch], total, distinct, 64, language_model.Parameters()))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert rows == 600 and peak < 55 * size, peak / size
+
+
 def test_model_beats_single_words_on_held_out_texts(llm):
     got = queries.op7_language_model(llm, SF).filter("held_out").agg(F.sum("score"), F.sum("base_score")).first()
     assert got[0] > got[1]
