@@ -4,10 +4,9 @@ from __future__ import annotations
 
 import json
 import re
-import sys
-from array import array
 from collections.abc import Iterator
 from pathlib import Path
+from struct import Struct
 
 import numpy as np
 import pyarrow as pa
@@ -68,12 +67,13 @@ class _Ids(dict):
         return ids
 
 
+# How as many numbers as a word commonly has are written.
+_WRITTEN = [Struct(f"<{n}I").pack for n in range(17)]
+
+
 def _as_bytes(ids: list[int]) -> bytes:
     """Little-endian unsigned 32-bit numbers."""
-    numbers = array("I", ids)
-    if sys.byteorder == "big":
-        numbers.byteswap()
-    return numbers.tobytes()
+    return _WRITTEN[len(ids)](*ids) if len(ids) < len(_WRITTEN) else np.asarray(ids, "<u4").tobytes()
 
 
 class Encoder:
@@ -88,12 +88,12 @@ class Encoder:
         self.by_words = _STATED in json.dumps(stated, ensure_ascii=False).replace("\\\\", "\\")
         self.special = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
         letters = _byte_letters()
-        model = self.tokenizer.model
+        tokens = self.tokenizer.model.tokenize
 
         def word(part: str) -> list[int]:
             # Printable ASCII stands for itself.
-            written = part if part.isascii() else "".join([letters[b] for b in part.encode()])
-            return [t.id for t in model.tokenize(written)]
+            written = part if part.isascii() else part.encode().decode("latin-1").translate(letters)
+            return [t.id for t in tokens(written)]
 
         self.words = _Ids(word)
         self.chunks = _Ids(self.whole)
@@ -129,7 +129,11 @@ class Encoder:
         spaced = pc.replace_substring_regex(pa.array(lowered, pa.large_string()), _APART, r" \1 ")
         split = pc.ascii_split_whitespace(spaced)
         parts = split.values.dictionary_encode()
-        ids = pa.array([self.words[part] if part else b"" for part in parts.dictionary.to_pylist()], pa.large_binary())
+        # By way of numpy, which makes the strings without an Arrow scalar for each.
+        distinct = parts.dictionary.to_numpy(zero_copy_only=False).tolist()
+        words = self.words
+        ids = pa.array([words[part] if part else b"" for part in distinct], pa.large_binary())
+        del distinct
         joined = ids.take(parts.indices)
         _, offsets, data = joined.buffers()
         bounds = np.frombuffer(offsets, np.int64)[: len(joined) + 1][split.offsets.to_numpy()].tolist()
