@@ -20,6 +20,9 @@ from quarrymill.streaming.file_load import land_stream
 # Executors get the functions themselves, so that this package need not be installed there.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+# So many rows, or bytes, are thinned together, whatever the session's Arrow batches hold.
+ROWS_THINNED, BYTES_THINNED = 10_000, 16 << 20
+
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -51,12 +54,25 @@ def _above(value, other) -> bool:
     return value is not None and (other is None or value > other)
 
 
+def _together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Small batches put together."""
+    held, n, size = [], 0, 0
+    for batch in batches:
+        held.append(batch)
+        n, size = n + batch.num_rows, size + batch.nbytes
+        if n >= ROWS_THINNED or size >= BYTES_THINNED:
+            yield pa.concat_batches(held)
+            held, n, size = [], 0, 0
+    if held:
+        yield pa.concat_batches(held)
+
+
 def newest_in_batches(rows: DataFrame, key: str, seq: str) -> DataFrame:
-    """Of each Arrow batch the newest row of every key, so that a hot key is a row per batch before it is shuffled."""
+    """Of some `ROWS_THINNED` rows each the newest of every key, so that a hot key is few rows before it is shuffled."""
     at_key, at_seq = rows.columns.index(key), rows.columns.index(seq)
 
     def thin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _together(batches):
             order = pc.sort_indices(
                 pa.table({"k": batch.column(at_key), "s": batch.column(at_seq)}),
                 sort_keys=[("k", "ascending"), ("s", "descending")],

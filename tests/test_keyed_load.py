@@ -46,3 +46,15 @@ def test_hot_keys_are_thinned_before_the_shuffle(spark):
     thin = newest_in_batches(hot, "id", "seq")
     assert thin.filter("id = 7").count() <= 4 and thin.agg(F.max("seq")).first()[0] == 19_999
     assert thin.filter("id <> 7").count() == hot.filter("id <> 7").count()
+
+
+def test_small_arrow_batches_are_thinned_together(spark):
+    hot = spark.range(0, 20_000, 1, 2).selectExpr("if(id % 3 = 0, 7, id) AS id", "cast(id AS int) AS seq", "'x' AS name")
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
+    try:
+        thin = newest_in_batches(hot, "id", "seq")
+        assert thin.filter("id = 7").count() <= 4
+        assert thin.filter("id <> 7").count() == hot.filter("id <> 7").count()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
