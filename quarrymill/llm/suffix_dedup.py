@@ -22,8 +22,8 @@ class Passages:
 
     `least` bytes make a passage. `anchor` bytes, the smallest by hash within a passage, are what equal passages meet by.
     Texts are dealt into slabs of about `slab_bytes`. Suffix arrays are built for buckets of up to `bucket_bytes`
-    (fuller ones are cut into single passages first), `lockstep_bytes` at a time. An anchor that more than `most_slabs` slabs share is cut into
-    single passages before it is shuffled. None of these bounds what is found.
+    (fuller ones are cut into single passages first), `lockstep_bytes` at a time. The pieces of an anchor that more than `most_slabs` slabs share
+    are dealt into buckets of about `most_slabs` times 64; what stays in them meets again as single passages. None of these bounds what is found.
     """
 
     least: int = 50
@@ -132,26 +132,59 @@ def _texts(batch: pa.RecordBatch, row: int) -> tuple[np.ndarray, np.ndarray, np.
 # --- shared anchors ---------------------------------------------------------------------------
 
 
-def _six_bytes(keys: np.ndarray) -> bytes:
-    return np.ascontiguousarray(keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
-
-
-def _from_six_bytes(blob: bytes) -> np.ndarray:
-    six = np.frombuffer(blob, np.uint8).reshape(-1, 6)
-    out = np.zeros((len(six), 8), np.uint8)
-    out[:, :6] = six
-    return out.view("<u8").ravel()
+class _Names:
+    """The anchors of one slab, as it names them to others: 32 bits each and a part, with which unlike ones seldom agree.
 
+    `entry` has the entry of each piece, -1 for texts without an id. Entries are ordered by part, those with one piece in the slab before
+    those with `many`. `several` are entries of documents with unlike ids, `size` is the logarithm of the number of an entry's pieces.
+    An entry that unlike anchors share only costs work.
+    """
 
-def _key(v: np.ndarray) -> np.ndarray:
-    """48 bits of an anchor hash. Unlike anchors with one key only cost work."""
-    return v >> np.uint64(16)
+    def __init__(self, v: np.ndarray, text: np.ndarray, ids: np.ndarray, known: np.ndarray, parts: int):
+        fine = np.flatnonzero(known[text])
+        low = np.uint64(32)
+        name = ((v[fine] >> low) % np.uint64(parts) << low) | (v[fine] & np.uint64(0xFFFFFFFF))
+        order = np.argsort(name, kind="stable")
+        name, owner = name[order], ids[text[fine[order]]]
+        first = np.flatnonzero(np.concatenate(([True], name[1:] != name[:-1]))) if len(name) else np.zeros(0, np.int64)
+        count = np.diff(np.append(first, len(name)))
+        several = np.zeros(0, bool)
+        if len(first):
+            several = np.minimum.reduceat(owner, first) < np.maximum.reduceat(owner, first)
+        part, many = (name[first] >> low).astype(np.int64), count > 1
+        by_part = np.lexsort((many, part))
+        place = np.empty(len(first), np.int64)
+        place[by_part] = np.arange(len(first))
+        self.entry = np.full(len(v), -1, np.int64)
+        self.entry[fine[order]] = np.repeat(place, count)
+        self.part, self.many, self.several = part[by_part], many[by_part], several[by_part]
+        self.low = name[first][by_part].astype(np.uint32)
+        self.size = np.ceil(np.log2(count[by_part])).astype(np.uint8)
+
+
+def _blobs(values: np.ndarray, counts: np.ndarray) -> pa.Array:
+    """Binary values of so many of the items each."""
+    return _binary(values.view(np.uint8), np.concatenate(([0], np.cumsum(counts))) * values.itemsize)
+
+
+def _one(column: pa.ChunkedArray) -> pa.Array:
+    return column.chunk(0) if column.num_chunks == 1 else pa.concat_arrays(column.chunks)
+
+
+def _items(column: pa.ChunkedArray, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """The items of all binary values, one after the other, and how many each value has."""
+    array = _one(column)
+    offsets = np.frombuffer(array.buffers()[1], np.int32)[array.offset : array.offset + len(array) + 1]
+    raw = array.buffers()[2]
+    data = np.frombuffer(raw, np.uint8)[offsets[0] : offsets[-1]] if raw is not None else np.zeros(0, np.uint8)
+    return data.view(kind) if data.size else np.zeros(0, kind), np.diff(offsets).astype(np.int64) // np.dtype(kind).itemsize
 
 
 def _shared(slabs: DataFrame, parts: int, p: Passages) -> DataFrame:
-    """slab, keys, hot: keys of the slab's anchors that documents with another id have too, a blob per part.
+    """slab, part, bits, spread: which of a slab's entries documents with another id have too, in the order of `_Names`.
 
-    Each slab names an anchor once, so a key of a third of all texts is as many entries as there are slabs.
+    Each slab names an anchor once, so a key of a third of all texts is as many entries as there are slabs. `spread` has for each such entry
+    the logarithm of the number of buckets its pieces are dealt into; it is empty where that is one for all.
     """
 
     def named(batches):
@@ -159,65 +192,80 @@ def _shared(slabs: DataFrame, parts: int, p: Passages) -> DataFrame:
             for row in range(batch.num_rows):
                 ids, known, data, offsets = _texts(batch, row)
                 v, text, _, _ = pieces(data, offsets, p)
-                fine = known[text]
-                key, owner = _key(v[fine]), ids[text[fine]]
-                order = np.argsort(key, kind="stable")
-                key, owner = key[order], owner[order]
-                if not len(key):
+                own = _Names(v, text, ids, known, parts)
+                if not len(own.part):
                     continue
-                first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
-                several = np.minimum.reduceat(owner, first) < np.maximum.reduceat(owner, first)
-                key = key[first]
-                part = (key % np.uint64(parts)).astype(np.int64)
-                names, once, many = [], [], []
-                for number in np.unique(part).tolist():
-                    own = part == number
-                    names.append(number)
-                    once.append(_six_bytes(key[own & ~several]))
-                    many.append(_six_bytes(key[own & several]))
+                numbers, first = np.unique(own.part, return_index=True)
+                many = np.add.reduceat(own.many, first, dtype=np.int64)
+                once = np.diff(np.append(first, len(own.part))) - many
                 yield pa.record_batch(
                     [
-                        pa.array(names, pa.int32()),
-                        pa.array([batch.column("slab")[row].as_py()] * len(names)),
-                        pa.array(once, pa.binary()),
-                        pa.array(many, pa.binary()),
+                        pa.array(numbers.astype(np.int32)),
+                        pa.array([batch.column("slab")[row].as_py()] * len(numbers), pa.int64()),
+                        _blobs(own.low[~own.many], once),
+                        _blobs(own.low[own.many], many),
+                        _blobs(own.size[own.many] | own.several[own.many].astype(np.uint8) << np.uint8(7), many),
                     ],
-                    names=["part", "slab", "once", "many"],
+                    names=["part", "slab", "once", "many", "sizes"],
                 )
 
     def met(table: pa.Table) -> pa.Table:
-        slab, once, many = (table.column(c).to_pylist() for c in ("slab", "once", "many"))
-        blobs = [_from_six_bytes(blob) for blob in (*once, *many)]
-        key = np.concatenate(blobs)
-        row = np.repeat(np.tile(np.arange(len(slab)), 2), [len(b) for b in blobs])
-        several = np.arange(len(key)) >= sum(len(b) for b in blobs[: len(slab)])
-        order = np.lexsort((row, key))
-        key, row, several = key[order], row[order], several[order]
-        first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
-        count = np.diff(np.append(first, len(key)))
-        shared = np.repeat((count > 1) | np.logical_or.reduceat(several, first), count)
-        hot = np.repeat(count > p.most_slabs, count)[shared]
-        key, row = key[shared], row[shared]
-        order = np.argsort(row, kind="stable")
-        key, row, hot = key[order], row[order], hot[order]
-        at = np.searchsorted(row, np.arange(len(slab) + 1))
+        once, n_once = _items(table.column("once"), np.uint32)
+        many, n_many = _items(table.column("many"), np.uint32)
+        sizes, _ = _items(table.column("sizes"), np.uint8)
+        entry = np.concatenate((once, many)).astype(np.uint64) << np.uint64(32) | np.arange(len(once) + len(many), dtype=np.uint64)
+        entry.sort()
+        low, order = entry >> np.uint64(32), (entry & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        first = np.flatnonzero(np.concatenate(([True], low[1:] != low[:-1])))
+        count = np.diff(np.append(first, len(low)))
+        of_slab = np.concatenate((np.zeros(len(once), np.uint8), sizes))[order]
+        shared = (count > 1) | (np.maximum.reduceat(of_slab, first) >= 128)
+        pieces_of = np.add.reduceat(np.left_shift(1, of_slab & np.uint8(127), dtype=np.int64), first)
+        wide = np.where(count > p.most_slabs, pieces_of / max(1, p.most_slabs * _RUN), 1)
+        spread = np.ceil(np.log2(np.maximum(wide, 1))).astype(np.uint8)
+        # Back in the order of the entries: for every slab those with one piece, then the others.
+        place = np.empty(len(low), np.int64)
+        both = n_once + n_many
+        opens = np.cumsum(both) - both
+        place[: len(once)] = np.arange(len(once)) + np.repeat(opens - (np.cumsum(n_once) - n_once), n_once)
+        place[len(once) :] = np.arange(len(many)) + np.repeat(opens + n_once - (np.cumsum(n_many) - n_many), n_many)
+        flags, buckets = np.zeros(len(low), bool), np.zeros(len(low), np.uint8)
+        flags[place[order]], buckets[place[order]] = np.repeat(shared, count), np.repeat(spread, count)
+        size = (both + 7) // 8
+        bits = np.zeros(8 * int(size.sum()), bool)
+        bits[np.arange(len(low)) + np.repeat(8 * (np.cumsum(size) - size) - opens, both)] = flags
+        row = np.repeat(np.arange(len(both)), both)
+        some = np.bincount(row, weights=buckets, minlength=len(both)) > 0
+        told = flags & some[row]
         return pa.table(
             {
-                "slab": pa.array(slab, pa.int64()),
-                "keys": pa.array([_six_bytes(key[a:b]) for a, b in zip(at[:-1], at[1:])], pa.binary()),
-                "hot": pa.array([np.packbits(hot[a:b]).tobytes() for a, b in zip(at[:-1], at[1:])], pa.binary()),
+                "slab": table.column("slab"),
+                "part": table.column("part"),
+                "bits": _blobs(np.packbits(bits), size),
+                "spread": _blobs(buckets[told], np.bincount(row[told], minlength=len(both))),
             }
         )
 
-    keyed = slabs.select("slab", "ids", "texts").mapInArrow(named, "part int, slab long, once binary, many binary")
-    found = keyed.groupBy("part").applyInArrow(met, "slab long, keys binary, hot binary")
-    return found.filter(F.octet_length("keys") > 0)
+    keyed = slabs.select("slab", "ids", "texts").mapInArrow(named, "part int, slab long, once binary, many binary, sizes binary")
+    return keyed.groupBy("part").applyInArrow(met, "slab long, part int, bits binary, spread binary")
+
+
+def _told(names: _Names, told: list[dict]) -> tuple[np.ndarray, np.ndarray]:
+    """Of each entry of a slab, whether it is shared, and the logarithm of the number of its buckets."""
+    shared, spread = np.zeros(len(names.part), bool), np.zeros(len(names.part), np.uint8)
+    for one in told:
+        first, last = np.searchsorted(names.part, [one["part"], one["part"] + 1])
+        shared[first:last] = np.unpackbits(np.frombuffer(one["bits"], np.uint8))[: last - first]
+        if one["spread"]:
+            spread[first:last][shared[first:last]] = np.frombuffer(one["spread"], np.uint8)
+    return shared, spread
 
 
 # --- pieces of shared anchors -----------------------------------------------------------------
 
-_OCCURRENCE = np.dtype([("id", "<i8"), ("text", "<i4"), ("start", "<i8")])
-_PIECE = "v long, piece binary, least long, alone boolean, slab long, places binary"
+_OCCURRENCE = np.dtype([("id", "<i8"), ("text", "<i4"), ("start", "<i4")])
+_CUT = np.dtype([("text", "<i4"), ("start", "<i4"), ("end", "<i4")])
+_PIECE = "v long, spread int, piece binary, least long, slab long, places binary"
 
 
 def _gathered(data: np.ndarray, start: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -232,32 +280,19 @@ def _binary(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
     )
 
 
-def _cut_out(batches, p: Passages):
-    """The distinct pieces of a slab that have shared anchors, each with its places. Those of hot anchors are single windows."""
+def _cut_out(batches, parts: int, p: Passages):
+    """The distinct pieces of a slab that have shared anchors, each with its places."""
     for batch in batches:
         for row in range(batch.num_rows):
             ids, known, data, offsets = _texts(batch, row)
             v, text, start, windows = pieces(data, offsets, p)
-            blobs = [_from_six_bytes(x) for x in batch.column("keys")[row].as_py()]
-            keys = np.concatenate(blobs)
-            flags = batch.column("hot")[row].as_py()
-            hot = np.concatenate([np.unpackbits(np.frombuffer(f, np.uint8))[: len(b)] for f, b in zip(flags, blobs)])
-            order = np.argsort(keys)
-            keys, hot = keys[order], hot[order].astype(bool)
-            key = _key(v)
-            at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
-            fine = known[text] & (keys[at] == key)
-            v, text, start, windows, alone = v[fine], text[fine], start[fine], windows[fine], hot[at[fine]]
-            if alone.any():
-                times = np.where(alone, windows, 1)
-                again = np.repeat(np.arange(len(v)), times)
-                nth = np.arange(len(again)) - np.repeat(np.cumsum(times) - times, times)
-                v, text, alone = v[again], text[again], alone[again]
-                start, windows = start[again] + nth, np.where(alone, 1, windows[again])
-                for at in np.flatnonzero(alone).tolist():
-                    v[at] = hashes(data[start[at] : start[at] + p.least], p.least)[0]
-            if not len(v):
+            names = _Names(v, text, ids, known, parts)
+            shared, spread = _told(names, batch.column("told")[row].as_py())
+            fine = np.flatnonzero(names.entry >= 0)
+            fine = fine[shared[names.entry[fine]]]
+            if not len(fine):
                 continue
+            v, text, start, windows, spread = v[fine], text[fine], start[fine], windows[fine], spread[names.entry[fine]]
             strings, bounds = _gathered(data, start, windows + p.least - 1)
             coded = _binary(strings, bounds).dictionary_encode()
             code = coded.indices.to_numpy()
@@ -270,13 +305,13 @@ def _cut_out(batches, p: Passages):
             yield pa.record_batch(
                 [
                     pa.array(v[order][first].view(np.int64)),
+                    pa.array(spread[order][first].astype(np.int32)),
                     coded.dictionary.take(pa.array(code[first])),
                     pa.array(places["id"][first]),
-                    pa.array(alone[order][first]),
                     pa.array([batch.column("slab")[row].as_py()] * n, pa.int64()),
                     _binary(places.view(np.uint8), np.append(first, len(places)) * _OCCURRENCE.itemsize),
                 ],
-                names=["v", "piece", "least", "alone", "slab", "places"],
+                names=["v", "spread", "piece", "least", "slab", "places"],
             )
 
 
@@ -345,40 +380,88 @@ def least_of_windows(data: np.ndarray, offsets: np.ndarray, bucket: np.ndarray,
     return out, at
 
 
-def _removals(batches, p: Passages):
-    """slab, cuts: for the pieces of a bucket in a row, the places whose passages a smaller id has too."""
-    held: list[pa.RecordBatch] = []
-    size = 0
-    carried: tuple[bytes, int] | None = None
+_REMOVAL = "slab long, cuts binary"
+_REST = "piece binary, least long, places binary"
+
+
+def _beaten(table: pa.Table, before: tuple | None) -> tuple[np.ndarray, tuple]:
+    """Which rows, sorted by bucket, piece and id, have a row of the same piece and a smaller id before them; (bucket, piece, id) of the last piece."""
+    v, least = table.column("v").to_numpy(), table.column("least").to_numpy()
+    code = _one(table.column("piece")).dictionary_encode().indices.to_numpy()
+    first = np.flatnonzero(np.concatenate(([True], (v[1:] != v[:-1]) | (code[1:] != code[:-1]))))
+    smallest = least[first]
+    if before and before[0] == v[0] and before[1] == table.column("piece")[0].as_py():
+        smallest[0] = before[2]
+    last = (v[-1], table.column("piece")[int(first[-1])].as_py(), smallest[-1])
+    return least > np.repeat(smallest, np.diff(np.append(first, len(v)))), last
+
+
+def _cuts_of(slab: np.ndarray, cut: np.ndarray) -> dict[str, pa.Array]:
+    order = np.argsort(slab, kind="stable")
+    slab, cut = slab[order], cut[order]
+    first = np.flatnonzero(np.concatenate(([True], slab[1:] != slab[:-1])))
+    return {"slab": pa.array(slab[first]), "cuts": _binary(cut.view(np.uint8), np.append(first, len(cut)) * _CUT.itemsize)}
+
+
+def _removals(batches, p: Passages, rest: bool):
+    """slab, cuts: for the pieces of a bucket in a row, the places whose passages a smaller id has too.
+
+    Of rows with one piece only those of the smallest id are held, until their bucket is whole; all passages of the others go. With `rest`, the
+    passages that stay in a bucket that is one of several of its anchor come out, too, as rows of `_REST`.
+    """
+    kinds = pa.schema([("slab", pa.int64()), ("cuts", pa.binary())])
+    if rest:
+        kinds = pa.schema([*kinds, ("piece", pa.binary()), ("least", pa.int64()), ("places", pa.binary())])
+
+    def out(columns: dict[str, pa.Array]) -> pa.RecordBatch:
+        n = len(columns["slab"])
+        return pa.record_batch([columns.get(f.name, pa.nulls(n, f.type)) for f in kinds], schema=kinds)
+
+    def whole(table: pa.Table):
+        """Rows of which every passage goes."""
+        many, each = _items(table.column("places"), _OCCURRENCE)
+        _, size = _items(table.column("piece"), np.uint8)
+        cut = np.empty(len(many), _CUT)
+        cut["text"], cut["start"], cut["end"] = many["text"], many["start"], many["start"] + np.repeat(size, each)
+        return out(_cuts_of(np.repeat(table.column("slab").to_numpy(), each), cut))
 
     def solve(table: pa.Table):
-        nonlocal carried
         v = table.column("v").to_numpy()
-        coded = pa.chunked_array([pa.concat_arrays(table.column("piece").chunks)]).combine_chunks().dictionary_encode()
+        coded = _one(table.column("piece")).dictionary_encode()
         code, strings = coded.indices.to_numpy(), coded.dictionary
         smallest = np.full(len(strings), np.iinfo(np.int64).max)
         np.minimum.at(smallest, code, table.column("least").to_numpy())
-        if carried and strings[0].as_py() == carried[0]:
-            smallest[0] = min(smallest[0], carried[1])
-        key, alone = np.zeros(len(strings), np.int64), np.zeros(len(strings), bool)
-        key[code], alone[code] = v, table.column("alone").to_numpy(zero_copy_only=False)
-        carried = (strings[int(code[-1])].as_py(), int(smallest[code[-1]])) if alone[code[-1]] else None
-        least, at = _in_buckets(strings, key, alone, smallest, p)
+        key = np.zeros(len(strings), np.int64)
+        key[code] = v
+        least, at = _in_buckets(strings, key, smallest, p)
         # Occurrences by windows.
-        places = table.column("places").combine_chunks()
-        places = places if isinstance(places, pa.Array) and not isinstance(places, pa.ChunkedArray) else pa.concat_arrays(places.chunks)
-        raw = b"".join(places.to_pylist())
-        many = np.frombuffer(raw, _OCCURRENCE)
-        each = np.diff(np.frombuffer(places.buffers()[1], np.int32)[places.offset : places.offset + len(places) + 1]) // _OCCURRENCE.itemsize
+        many, each = _items(table.column("places"), _OCCURRENCE)
         of = np.repeat(code, each)
         slab = np.repeat(table.column("slab").to_numpy(), each)
         # A piece's windows that its first occurrence keeps are kept by all if no id is larger.
         n = np.diff(at)[of]
         again = np.repeat(np.arange(len(many)), n)
         nth = np.arange(len(again)) - np.repeat(np.cumsum(n) - n, n)
-        goes = np.flatnonzero(least[at[of[again]] + nth] < many["id"][again])
+        gone = least[at[of[again]] + nth] < many["id"][again]
+        if rest:
+            spread = np.repeat(table.column("spread").to_numpy() > 0, each)
+            stays = np.flatnonzero(~gone & spread[again])
+            if len(stays):
+                own = many[again[stays]]
+                own["start"] += nth[stays].astype(np.int32)
+                offsets, data = _offsets(strings)
+                begin = offsets[of[again[stays]]] + nth[stays]
+                yield out(
+                    {
+                        "slab": pa.array(slab[again[stays]]),
+                        "piece": _blobs(_windows(data, begin, p.least), np.ones(len(stays), np.int64) * p.least),
+                        "least": pa.array(own["id"]),
+                        "places": _blobs(own, np.ones(len(stays), np.int64)),
+                    }
+                )
+        goes = np.flatnonzero(gone)
         if not len(goes):
-            return None
+            return
         again, nth = again[goes], nth[goes]
         opens = np.flatnonzero(np.concatenate(([True], (again[1:] != again[:-1]) | (nth[1:] != nth[:-1] + 1))))
         ends = np.append(opens[1:], len(again)) - 1
@@ -387,49 +470,68 @@ def _removals(batches, p: Passages):
         cut["text"] = many["text"][occurrence]
         cut["start"] = many["start"][occurrence] + nth[opens]
         cut["end"] = many["start"][occurrence] + nth[ends] + p.least
-        own = slab[occurrence]
-        order = np.argsort(own, kind="stable")
-        own, cut = own[order], cut[order]
-        first = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
-        blobs = _binary(cut.view(np.uint8), np.append(first, len(cut)) * _CUT.itemsize)
-        return pa.record_batch([pa.array(own[first]), blobs], names=["slab", "cuts"])
+        yield out(_cuts_of(slab[occurrence], cut))
+
+    held: pa.Table | None = None
+    fresh: list[pa.RecordBatch] = []
+    last: tuple | None = None
+
+    def ready(end: bool):
+        """Cuts of what has come, as far as buckets are whole."""
+        nonlocal held, last
+        table = pa.Table.from_batches(fresh).combine_chunks()
+        fresh.clear()
+        gone, last = _beaten(table, last)
+        if gone.any():
+            yield whole(table.filter(pa.array(gone)))
+            table = table.filter(pa.array(~gone))
+        table = (pa.concat_tables([held, table]) if held is not None else table).combine_chunks()
+        v = table.column("v").to_numpy()
+        opens = np.flatnonzero(v[1:] != v[:-1])
+        upto = len(v) if end else int(opens[-1]) + 1 if len(opens) else 0
+        if upto:
+            yield from solve(table.slice(0, upto).combine_chunks())
+        held = pa.Table.from_batches(table.slice(upto).combine_chunks().to_batches(), table.schema)
 
+    size = 0
     for batch in batches:
         if not batch.num_rows:
             continue
-        # Cut where a new bucket begins, or a new row of a bucket of single windows, which equal nothing but themselves.
-        held.append(batch)
+        fresh.append(batch)
         size += batch.nbytes
-        if size < 4 * p.lockstep_bytes:
-            continue
-        table = pa.Table.from_batches(held).combine_chunks()
-        v, alone = table.column("v").to_numpy(), table.column("alone").to_numpy()
-        whole = np.flatnonzero((v[1:] != v[:-1]) | (alone[1:] & alone[:-1]))
-        if len(whole):
-            upto = int(whole[-1]) + 1
-            found = solve(table.slice(0, upto).combine_chunks())
-            if found is not None:
-                yield found
-            held = table.slice(upto).combine_chunks().to_batches()
-            size = sum(b.nbytes for b in held)
-    if held:
-        found = solve(pa.Table.from_batches(held).combine_chunks())
-        if found is not None:
-            yield found
-
-
-_CUT = np.dtype([("text", "<i4"), ("start", "<i8"), ("end", "<i8")])
-
-
-def _in_buckets(strings: pa.Array, key: np.ndarray, alone: np.ndarray, smallest: np.ndarray, p: Passages):
-    """`least_of_windows` of distinct pieces; buckets that are too full are cut into single windows first."""
+        if size >= 4 * p.lockstep_bytes:
+            yield from ready(False)
+            size = 0
+    if fresh:
+        yield from ready(True)
+    elif held is not None and held.num_rows:
+        yield from solve(held.combine_chunks())
+
+
+def _solved(found: DataFrame, rest: bool, p: Passages) -> DataFrame:
+    """`_removals` of pieces, dealt and sorted by bucket."""
+    found = found.repartition(F.col("v")).sortWithinPartitions("v", "piece", "least")
+    return found.mapInArrow(lambda batches: _removals(batches, p, rest), f"{_REMOVAL}, {_REST}" if rest else _REMOVAL)
+
+
+def _offsets(strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     offsets = np.frombuffer(strings.buffers()[1], np.int32)[strings.offset : strings.offset + len(strings) + 1].astype(np.int64)
-    data = np.frombuffer(strings.buffers()[2], np.uint8)
+    return offsets, np.frombuffer(strings.buffers()[2], np.uint8)
+
+
+def _windows(data: np.ndarray, begin: np.ndarray, least: int) -> np.ndarray:
+    """The `least` bytes from each place on, one after the other."""
+    return np.lib.stride_tricks.sliding_window_view(data, least)[begin].ravel()
+
+
+def _in_buckets(strings: pa.Array, key: np.ndarray, smallest: np.ndarray, p: Passages):
+    """`least_of_windows` of distinct pieces; buckets that are too full are cut into single windows first."""
+    offsets, data = _offsets(strings)
     sizes = np.diff(offsets)
     order = np.argsort(key, kind="stable")
     _, first, count = np.unique(key[order], return_index=True, return_counts=True)
     full = np.add.reduceat(sizes[order] + 1, first) > p.bucket_bytes
-    full = np.repeat(full & (count > 1), count) & ~alone[order]
+    full = np.repeat(full & (count > 1), count)
     n = sizes - p.least + 1
     at = np.concatenate(([0], np.cumsum(n)))
     out = np.empty(at[-1], np.int64)
@@ -442,8 +544,7 @@ def _in_buckets(strings: pa.Array, key: np.ndarray, alone: np.ndarray, smallest:
         wide = order[full]
         begin, _ = _gathered(np.arange(len(data)), offsets[wide], n[wide])
         into, _ = _gathered(np.arange(len(out)), at[wide], n[wide])
-        strung, bounds = _gathered(data, begin, np.full(len(begin), p.least))
-        coded = _binary(strung, bounds).dictionary_encode()
+        coded = _blobs(_windows(data, begin, p.least), np.full(len(begin), p.least)).dictionary_encode()
         code = coded.indices.to_numpy()
         own = np.full(len(coded.dictionary), np.iinfo(np.int64).max)
         np.minimum.at(own, code, np.repeat(smallest[wide], n[wide]))
@@ -507,7 +608,8 @@ def remove_repeated(
     windows meet by that key; only keys that two slabs, or two ids of a slab, share go on. Their pieces of text are shuffled by key, each
     distinct piece of a slab once, and in every bucket a suffix array by linear grouping (`suffix_groups`) puts equal windows side by side, compared byte by byte.
     The least id of equal windows goes back to the slabs as cuts. Work is bounded by slab, part and bucket; copies count once a slab,
-    and a passage of a third of all texts is single windows, of which one row per slab goes through a task as a stream.
+    and of equal pieces all but those of the least id go through a task as a stream. An anchor with more pieces than a bucket should hold is
+    dealt by piece into several; only the windows that none of these removes are shuffled again, by themselves.
 
     NULL text is empty; texts shorter than a passage lose nothing. Rows without an id lose nothing and take nothing from others, and rows with equal
     ids take nothing from each other, so that repeated rows stay alike. Other columns are left out; an empty table gives none.
@@ -515,13 +617,21 @@ def remove_repeated(
     rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     total = docs.agg(F.sum(F.octet_length(F.col(text)))).first()[0] or 0
     kept = kept_slabs(slabs_of(rows, p.slab_bytes), min(50_000, max(1, math.ceil(total / (2 * p.slab_bytes)))))
-    shared = staged(_shared(kept, max(1, math.ceil(total / p.part_bytes)), p), "shared-anchors")
-    by_slab = shared.groupBy("slab").agg(F.collect_list("keys").alias("keys"), F.collect_list("hot").alias("hot"))
-    cut = kept.select("slab", "ids", "texts").join(by_slab, "slab")
-    cut = cut.mapInArrow(lambda batches: _cut_out(batches, p), _PIECE)
-    sorted_pieces = cut.repartition(F.col("v")).sortWithinPartitions("v", "piece", "least")
-    removals = sorted_pieces.mapInArrow(lambda batches: _removals(batches, p), "slab long, cuts binary")
-    removals = staged(removals, "removals").groupBy("slab").agg(F.collect_list("cuts").alias("cuts"))
+    parts = max(1, math.ceil(total / p.part_bytes))
+    shared = staged(_shared(kept, parts, p), "shared-anchors")
+    several = not shared.filter(F.octet_length("spread") > 0).isEmpty()
+    by_slab = shared.groupBy("slab").agg(F.collect_list(F.struct("part", "bits", "spread")).alias("told"))
+    cut = kept.select("slab", "ids", "texts").join(by_slab, "slab").mapInArrow(lambda batches: _cut_out(batches, parts, p), _PIECE)
+    dealt = F.when(F.col("spread") == 0, F.col("v")).otherwise(
+        F.xxhash64("v", F.pmod(F.xxhash64("piece"), F.expr("shiftleft(1L, spread)")))
+    )
+    removals = staged(_solved(cut.withColumn("v", dealt), several, p), "removals")
+    if several:
+        rest = removals.filter(F.col("piece").isNotNull())
+        rest = rest.select(F.xxhash64("piece").alias("v"), F.lit(0).alias("spread"), "piece", "least", "slab", "places")
+        last = staged(_solved(rest, False, p), "last-removals")
+        removals = removals.filter(F.col("cuts").isNotNull()).select("slab", "cuts").unionByName(last)
+    removals = removals.groupBy("slab").agg(F.collect_list("cuts").alias("cuts"))
     whole = kept.select("slab", "ids", "texts").join(removals, "slab", "left")
     out = whole.mapInArrow(lambda batches: _without(batches, with_texts), _RESULT)
     return out if with_texts else out.drop("kept", "spans")

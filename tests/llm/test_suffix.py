@@ -4,9 +4,10 @@ import random
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from quarrymill.llm.suffix_dedup import Passages, pieces, remove_repeated
+from quarrymill.llm.suffix_dedup import _CUT, _OCCURRENCE, Passages, _removals, pieces, remove_repeated
 from quarrymill.llm.suffix_groups import lyndon_groups, suffix_arrays
 
 SMALL = Passages(slab_bytes=4000, most_slabs=3, lockstep_bytes=2000, part_bytes=20_000, bucket_bytes=200)
@@ -89,6 +90,55 @@ def test_hot_copies_and_a_hot_passage(texts, rows):
     assert rows(found) == sorted(brute.without_repeated(docs), key=repr)
 
 
+def test_a_hot_passage_is_shuffled_as_pieces(texts, monkeypatch):
+    rng = random.Random(2)
+    own = lambda n: "".join(rng.choice("abcdefghijklmnop ") for _ in range(n))
+    passage = own(200)
+    docs = texts(*[(i, own(70) + passage + own(70)) for i in range(60)]).repartition(60, "doc_id")
+    counts, sort = [], type(docs).sortWithinPartitions
+    monkeypatch.setattr(type(docs), "sortWithinPartitions", lambda self, *a, **k: counts.append(self.count()) or sort(self, *a, **k))
+    for most in (3, 1000):
+        remove_repeated(docs, Passages(slab_bytes=300, most_slabs=most))
+    assert len(counts) == 2 and counts[0] <= counts[1]
+
+
+@pytest.mark.parametrize("most", [0, 1])
+def test_anchors_in_several_buckets_lose_the_same(texts, rows, most):
+    rng = random.Random(6)
+    own = lambda n: "".join(rng.choice("abcdefghijklmnop ") for _ in range(n))
+    passage = own(110)
+    docs = _mixed(8) + [(rng.randint(300, 420), own(40) + passage[rng.randint(0, 40) :] + own(60)) for _ in range(150)]
+    p = Passages(slab_bytes=700, most_slabs=most, lockstep_bytes=500, part_bytes=900, bucket_bytes=150)
+    found = remove_repeated(texts(*docs).repartition(5), p, with_texts=False)
+    assert rows(found) == sorted(brute.without_repeated(docs), key=repr)
+
+
+@pytest.mark.parametrize("at_once", [1, 3, 40])
+def test_removals_of_a_stream_do_not_depend_on_its_batches(at_once):
+    rng = random.Random(5)
+    shared = bytes(rng.randrange(97, 123) for _ in range(90))
+    found = []
+    for slab in range(50):
+        own = shared if slab % 3 else bytes(rng.randrange(97, 123) for _ in range(30)) + shared[:70] + b"x" * 20
+        data = np.frombuffer(own, np.uint8)
+        for v, _, start, windows in zip(*pieces(data, np.array([0, len(own)]), Passages())):
+            id_ = slab * 7 % 23
+            place = np.array([(id_, 0, start)], _OCCURRENCE).tobytes()
+            found.append((int(v.view(np.int64)), 0, own[start : start + windows + 49], id_, slab, place))
+    found.sort(key=lambda row: (row[0], row[2], row[3]))
+    names = ["v", "spread", "piece", "least", "slab", "places"]
+
+    def cuts(size):
+        cut = set()
+        batches = [pa.RecordBatch.from_pylist([dict(zip(names, row)) for row in found[i : i + size]]) for i in range(0, len(found), size)]
+        for batch in _removals(iter(batches), Passages(lockstep_bytes=50), False):
+            for slab, blob in zip(*(batch.column(c).to_pylist() for c in ("slab", "cuts"))):
+                cut |= {(slab, at) for _, a, b in np.frombuffer(blob, _CUT).tolist() for at in range(a, b)}
+        return cut
+
+    assert cuts(at_once) == cuts(len(found)) != set()
+
+
 def test_spans_and_kept_bytes(texts, long_text):
     found = remove_repeated(texts((1, long_text), (2, "before " + long_text[:5000] + " after"), (3, "é" * 60))).collect()
     by_id = {r["doc_id"]: r for r in found}
