@@ -616,12 +616,15 @@ def remove_repeated(
     """
     rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     total = docs.agg(F.sum(F.octet_length(F.col(text)))).first()[0] or 0
-    kept = kept_slabs(slabs_of(rows, p.slab_bytes), min(50_000, max(1, math.ceil(total / (2 * p.slab_bytes)))))
+    buckets = max(1, math.ceil(total / (2 * p.slab_bytes)))
+    kept = kept_slabs(slabs_of(rows, p.slab_bytes), min(50_000, buckets))
+    # What a bucket of few slabs joins fits into memory, and slabs are not copied to be sorted.
+    joined = "shuffle_hash" if buckets <= 50_000 else "merge"
     parts = max(1, math.ceil(total / p.part_bytes))
     shared = staged(_shared(kept, parts, p), "shared-anchors")
     several = not shared.filter(F.octet_length("spread") > 0).isEmpty()
     by_slab = shared.groupBy("slab").agg(F.collect_list(F.struct("part", "bits", "spread")).alias("told"))
-    cut = kept.select("slab", "ids", "texts").join(by_slab, "slab").mapInArrow(lambda batches: _cut_out(batches, parts, p), _PIECE)
+    cut = kept.select("slab", "ids", "texts").join(by_slab.hint(joined), "slab").mapInArrow(lambda batches: _cut_out(batches, parts, p), _PIECE)
     dealt = F.when(F.col("spread") == 0, F.col("v")).otherwise(
         F.xxhash64("v", F.pmod(F.xxhash64("piece"), F.expr("shiftleft(1L, spread)")))
     )
@@ -632,6 +635,6 @@ def remove_repeated(
         last = staged(_solved(rest, False, p), "last-removals")
         removals = removals.filter(F.col("cuts").isNotNull()).select("slab", "cuts").unionByName(last)
     removals = removals.groupBy("slab").agg(F.collect_list("cuts").alias("cuts"))
-    whole = kept.select("slab", "ids", "texts").join(removals, "slab", "left")
+    whole = kept.select("slab", "ids", "texts").join(removals.hint(joined), "slab", "left")
     out = whole.mapInArrow(lambda batches: _without(batches, with_texts), _RESULT)
     return out if with_texts else out.drop("kept", "spans")
